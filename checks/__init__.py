@@ -1,0 +1 @@
+"""Registered queries, their SQL and the projections of the driver tables they read."""
