@@ -1 +1,6 @@
 """Registered queries, their SQL and the projections of the driver tables they read."""
+
+from checks.registry import QUERIES, SQL
+from checks import queries_functions, queries_grid, queries_locate, queries_tables, queries_text  # noqa: F401
+
+__all__ = ["QUERIES", "SQL"]

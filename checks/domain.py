@@ -189,7 +189,7 @@ def mdt_lines(spark: SparkSession, sf: str, layout: int) -> DataFrame:
     """Drive-test text from events; some numbers are unreadable, some points far away."""
     event = F.col("event_id")
     lon = F.when(event % 13 == 0, F.lit(121000000)).otherwise(F.lit(117230100) + (event % 61) * 40)
-    lat = F.lit(32885000) + (event % 37) * 38
+    lat = F.lit(32884600) + (event % 37) * 38
     time = F.when(event % 19 == 0, F.lit("")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
     rsrp = F.when(event % 17 == 0, F.lit("NULL")).otherwise((-(60 + event % 50)).cast("string"))
     user, cell = F.col("user_id").cast("string"), (event % CELLS).cast("string")

@@ -88,7 +88,7 @@ select * from (
   cast(user_id as varchar) mmeues1apid, event_id % 200 objectid,
   cast(case when event_id % 17 = 0 then 0 else -(60 + event_id % 50) end as integer) ltescrsrp,
   cast(case when event_id % 13 = 0 then 121000000 else 117230100 + (event_id % 61) * 40 end as double) / 1000000 longitude,
-  cast(32885000 + (event_id % 37) * 38 as double) / 1000000 latitude, 0 height
+  cast(32884600 + (event_id % 37) * 38 as double) / 1000000 latitude, 0 height
  from events) e
 where longitude > 115 and longitude < 120 and latitude > 30 and latitude < 35
 """,

@@ -36,7 +36,7 @@ def log10(value) -> Column:
 
 
 def millis_between(start, end) -> Column:
-    return F.unix_millis(col(end)) - F.unix_millis(col(start))
+    return F.unix_millis(col(end).cast("timestamp")) - F.unix_millis(col(start).cast("timestamp"))
 
 
 def add_seconds(ts, seconds) -> Column:

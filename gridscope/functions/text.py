@@ -72,7 +72,7 @@ def split_items(text, pattern: str) -> Column:
 
 
 def format_by_pattern(number, pattern: str) -> Column:
-    return F.format_number(col(number), pattern)
+    return F.call_function("format_number", col(number), F.lit(pattern))
 
 
 def left(text, count: int) -> Column:

@@ -100,7 +100,10 @@ def locate_by_ta_aoa(samples: DataFrame, sites: DataFrame, ground: DataFrame,
 
 def with_fallback(mro: DataFrame, located: DataFrame, sites: DataFrame, ground: DataFrame,
                   jitter: Column | None = None, carry: Sequence[str] = ()) -> DataFrame:
-    """Fingerprint result and fallback result together, one row per sample."""
+    """Fingerprint result and fallback result together, one row per sample.
+
+    ``located`` is read twice: pass a written table, not the plan that computes it.
+    """
     rest = unlocated(serving_rows(mro, carry), located)
     fallback = locate_by_ta_aoa(rest, sites, ground, jitter, carry)
     columns = [*SAMPLE_KEY, *SERVING, *carry, "gridid", "height"]

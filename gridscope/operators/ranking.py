@@ -21,9 +21,10 @@ def global_row_number(df: DataFrame, key: str, name: str = "row_number", ranges:
     counts = hashed.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
     # At most ``ranges`` range totals: small enough for one window.
     cuts = counts.agg(F.percentile_approx(key, [i / ranges for i in range(1, ranges)]).alias("cuts"))
-    ranged = counts.withColumn(
-        "_range",
-        F.size(F.filter(cuts.select("cuts").scalar(), lambda cut: cut < F.col(key))),
+    ranged = (
+        counts.withColumn("_cuts", cuts.select("cuts").scalar())
+        .withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut < F.col(key))))
+        .drop("_cuts")
     )
     totals = ranged.groupBy("_range").agg(F.sum("_rows").alias("_total"))
     before = totals.select(

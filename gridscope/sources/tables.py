@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -42,12 +43,15 @@ def read_partition(spark: SparkSession, path: str, day: str | None = None, hour:
                    fmt: str = "parquet", schema: str | None = None) -> DataFrame:
     """One day or hour of a table partitioned by day and hour; other folders are not read.
 
-    With ``fmt='csv'`` and a schema it reads delimited text (S5).
+    With ``fmt='csv'`` and a schema it reads delimited text (S5). Day and hour
+    are text, also where they look like numbers.
     """
-    reader = spark.read.format(fmt)
-    if schema is not None:
-        reader = reader.schema(f"{schema}, day string, hour string")
-    df = reader.load(path)
+    if schema is None:
+        found = spark.read.format(fmt).load(path).drop("day", "hour").schema
+    else:
+        found = T.StructType.fromDDL(schema)
+    typed = T.StructType(found.fields).add("day", "string").add("hour", "string")
+    df = spark.read.format(fmt).schema(typed).load(path)
     if day is not None:
         df = df.where(F.col("day") == day)
     if hour is not None:
@@ -82,9 +86,11 @@ def overwrite_partition(df: DataFrame, path: str, fmt: str = "parquet", **partit
 
 
 def save_as_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), fmt: str = "parquet",
-                  mode: str = "error") -> None:
-    """Catalog table, created from the rows."""
+                  mode: str = "error", path: str | None = None) -> None:
+    """Catalog table, created from the rows; with ``path`` its files lie there."""
     writer = df.write.format(fmt).mode(mode)
+    if path is not None:
+        writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
@@ -92,9 +98,15 @@ def save_as_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), f
 
 def drop_partition(spark: SparkSession, table: str, day: str, hour: str | None = None) -> None:
     """Drop a day or hour of a catalog table before it is computed again."""
-    spec = {"day": day, **({"hour": hour} if hour is not None else {})}
-    parts = ", ".join(f"{name} = :{name}" for name in spec)
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({parts})", args=spec)
+    if not all(value is None or value.isalnum() for value in (day, hour)):
+        raise ValueError(f"not a day or hour: {day}, {hour}")
+    hours = [hour]
+    if hour is None:
+        shown = spark.sql(f"SHOW PARTITIONS {table} PARTITION (day = '{day}')").collect()
+        hours = [row.partition.rsplit("hour=", 1)[-1] for row in shown]
+    parts = ", ".join(f"PARTITION (day = '{day}', hour = '{h}')" for h in hours)
+    if parts:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
 
 
 def by_columns(df: DataFrame, *columns: str, files_per_value: int = 1) -> DataFrame:
