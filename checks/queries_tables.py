@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from checks import domain as d
 from checks.domain_sql import with_tables
+from checks.queries_locate import located_chain
 from checks.queries_text import PARSED, _line_sql, feature_lines
 from checks.registry import query
 from gridscope import schemas
 from gridscope.operators import features
+from gridscope.plans import hourly as hourly_plan
 from gridscope.sources import mdt_text, tables
 
 HOURLY = """
@@ -162,3 +164,14 @@ def input_guard(spark, sf):
     if not tables.has_rows(rows) or tables.has_rows(rows.where("day = 'none'")):
         raise ValueError("the guard is wrong")
     return summary(rows, "day", "hour")
+
+
+@query("e1_locate_all_hours", with_tables("mro finger sites", """
+select * replace (left(day, 4) || '0101' as day, lpad(cast(cast(mmeues1apid as bigint) % 4 as varchar), 2, '0') as hour)
+from samples
+""", **located_chain("all")))
+def locate_all_hours(spark, sf):
+    floor_path, result_path = tables.scratch_path(spark, "floor"), tables.scratch_path(spark, "result")
+    hourly_plan.locate_hours(spark, _written(spark, sf, "mro"), d.finger_ground(spark, sf), d.finger_upper(spark, sf),
+                             d.sites(spark, sf), floor_path, result_path)
+    return tables.read_partition(spark, result_path, schema=hourly_plan.LOCATED)

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridscope.schemas import SAMPLE_KEY, SERVING
+from gridscope.sources.tables import cut_lineage
 
 # The block scorer travels with the plan, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -129,7 +130,8 @@ def locate(mro: DataFrame, *fingers: DataFrame, min_matches: int = 2,
         F.sum(kept).alias("gap"),
         F.sum(kept * kept).alias("gap2"),
     )
-    counts = block_counts(readings, finger, sample_rows, finger_rows)
+    # One row per cell. Written, so that its size is known when the joins are planned.
+    counts = cut_lineage(block_counts(readings, finger, sample_rows, finger_rows), "blocks")
 
     def block_of(columns, blocks: str) -> Column:
         return F.pmod(F.xxhash64(*columns), F.col(blocks))

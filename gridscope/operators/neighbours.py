@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -175,14 +176,15 @@ def unpivot_neighbours(mro_wide: DataFrame) -> DataFrame:
         .select(*kept, "_slot.ltencrsrp")
 
 
-def resolve_neighbours(mro_wide: DataFrame, nearest: DataFrame, mode: str = "serving") -> DataFrame:
+def resolve_neighbours(mro_wide: DataFrame, nearest: DataFrame, mode: str = "serving",
+                       carry: Sequence[str] = ()) -> DataFrame:
     """C4: wide reports to one row per neighbour reading with the neighbour's cell id.
 
     ``serving`` looks the neighbour up by the serving cell's channel, as the
     reports without neighbour identities allow. ``paired`` uses the channel of
     each reading (columns ltencearfcn_i and ltencpci_i).
     """
-    sample = [F.col(old).alias(new) for old, new in SAMPLE_COLUMNS.items()]
+    sample = [*[F.col(old).alias(new) for old, new in SAMPLE_COLUMNS.items()], *carry]
     known = nearest.select("eci", *CHANNEL, F.col("reci").alias("ncellobjectid"))
     if mode == "serving":
         # Joined before the slots are unfolded: one lookup per report.

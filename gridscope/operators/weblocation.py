@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -128,31 +129,37 @@ TRAFFIC_HOST = "trafficapp.autonavi.com:8888"
 POSITION_TYPES = ("wf", "cl", "ll")
 
 
-def _holds(text: Column, key: str, strict: bool = False) -> Column:
-    lowered = F.lower(text)
-    return lowered.startswith(key.lower()) if strict else lowered.contains(key.lower())
+def _cut(text: Column, pattern) -> Column:
+    """Items of a text, each as it is and in lower case."""
+    return F.transform(F.split(text, pattern),
+                       lambda i: F.struct(i.alias("raw"), F.lower(i).alias("low")))
 
 
-def _after(item: Column, key: str) -> Column:
-    return F.substring(item, F.instr(F.lower(item), key.lower()) + len(key), F.length(item))
+def _after(item: Column, key: Column) -> Column:
+    return F.substring(item["raw"], F.position(key, item["low"]) + F.length(key), F.length(item["raw"]))
 
 
 def _point(lat: Column, lng: Column) -> Column:
     return F.struct(lat.alias("lat"), lng.alias("lng"))
 
 
-def _parts(value: Column, cut: str) -> Column:
+def _parts(value: Column, cut: Column) -> Column:
     """Pieces of a value; separators at its end do not open a piece."""
-    return F.split(F.regexp_replace(value, f"(?:{cut})+$", ""), cut)
+    ending = F.concat(F.lit("(?:"), cut, F.lit(")+$"))
+    return F.split(F.regexp_replace(value, ending, F.lit("")), cut)
 
 
-def _pair(value: Column, cut: str, order: str, at_least_two: bool = False) -> Column:
-    """Point from exactly two pieces, else null; a longitude ends at a bracket."""
+def _pair(value: Column, cut: Column, lat_first: Column, least: Column | None = None) -> Column:
+    """Point from exactly two pieces (or from ``least`` and more), else null.
+
+    A longitude ends at a bracket.
+    """
     parts = _parts(value, cut)
-    lat_at, lng_at = (0, 1) if order == "lat,lng" else (1, 0)
+    lat = F.get(parts, F.when(lat_first, 0).otherwise(1))
+    lng = F.get(parts, F.when(lat_first, 1).otherwise(0))
     size = F.size(parts)
-    point = _point(F.get(parts, F.lit(lat_at)), F.substring_index(F.get(parts, F.lit(lng_at)), "(", 1))
-    return F.when(size >= 2 if at_least_two else size == 2, point)
+    fits = size == 2 if least is None else (size == 2) | (size >= least)
+    return F.when(fits, _point(lat, F.substring_index(lng, "(", 1)))
 
 
 def _bare(text: Column) -> Column:
@@ -187,38 +194,74 @@ def _two_items(items: Column, is_first, is_second) -> tuple[Column, Column]:
     )
 
 
-def _rule_points(rule, uri: Column, items: Column, strict: bool) -> Column:
-    """Array of points by one rule, null where the rule does not apply."""
-    if isinstance(rule, TwoKeys):
-        lng, lat = _two_items(items, lambda i: _holds(i, rule.lng, strict),
-                              lambda i: _holds(i, rule.lat, strict))
-        points = F.when(lng.isNotNull() & lat.isNotNull(),
-                        F.array(_point(_after(lat, rule.lat), _after(lng, rule.lng))))
-        return F.when(_holds(uri, rule.lng) & _holds(uri, rule.lat), points)
-    if isinstance(rule, PathParts):
-        lat_word, lng_word = rule.lat.strip("-"), rule.lng.strip("-")
-        lat, lng = _two_items(F.split(uri, "-"), lambda i: i.contains(lat_word),
-                              lambda i: i.contains(lng_word))
-        point = _point(F.replace(lat, F.lit(lat_word), F.lit("")), F.replace(lng, F.lit(lng_word), F.lit("")))
-        return F.when(uri.contains(rule.lat) & uri.contains(rule.lng),
-                      F.when(lat.isNotNull() & lng.isNotNull(), F.array(point)))
-    if isinstance(rule, OnePair):
-        item = F.get(F.filter(items, lambda i: _holds(i, rule.key, strict or rule.at_start)), F.lit(0))
-        point = _pair(_after(item, rule.key), COMMA, rule.order, at_least_two=rule.at_start)
-        applies = _holds(uri, rule.key) & (_holds(uri, rule.host) if rule.host else F.lit(True))
-        return F.when(applies, F.when(point.isNotNull(), F.array(point)))
-    if rule.item_cut != ITEM_CUT:
-        items = F.split(uri, rule.item_cut)
-    named = F.filter(items, lambda i: _holds(i, rule.key, strict))
-    if isinstance(rule, PairList):
-        values = F.transform(named, lambda i: _after(i, rule.key))
-        applies = _holds(uri, rule.key)
-    else:
-        values = _parts(_after(F.get(named, F.lit(0)), rule.key), rule.list_cut)
-        applies = _holds(uri, rule.key) & _holds(uri, rule.host)
-    points = F.filter(F.transform(values, lambda v: _pair(v, rule.pair_cut, rule.order)),
-                      lambda p: p.isNotNull())
-    return F.when(applies, _numeric_points(points))
+def _rule_column(rule) -> Column:
+    """A rule as a struct of constants, keys in lower case."""
+    fields = {}
+    for name, value in vars(rule).items():
+        if name in ("key", "lng", "lat", "host") and not isinstance(rule, PathParts):
+            value = value.lower()
+        if name == "order":
+            name, value = "lat_first", value == "lat,lng"
+        fields[name] = F.lit(value)
+    return F.struct(*[column.alias(name) for name, column in fields.items()])
+
+
+class _Request:
+    """Columns of one request that the rules look at."""
+
+    def __init__(self, uri: Column, low: Column, items: Column, strict: bool):
+        self.uri, self.low, self.items = uri, low, items
+        self.strict = strict
+
+    def _named(self, item: Column, key: Column) -> Column:
+        return item["low"].startswith(key) if self.strict else item["low"].contains(key)
+
+    def _host(self, rule: Column) -> Column:
+        return (rule["host"] == "") | self.low.contains(rule["host"])
+
+    def applies(self, kind, rule: Column) -> Column:
+        """A cheap test before the request is taken apart."""
+        if kind is PathParts:
+            return self.uri.contains(rule["lat"]) & self.uri.contains(rule["lng"])
+        if kind is TwoKeys:
+            return self.low.contains(rule["lng"]) & self.low.contains(rule["lat"])
+        named = self.low.contains(rule["key"])
+        return named if kind is PairList else named & self._host(rule)
+
+    def points(self, kind, rule: Column) -> Column:
+        """Array of points by a rule that applies; null if it finds none."""
+        if kind is TwoKeys:
+            lng, lat = _two_items(self.items, lambda i: self._named(i, rule["lng"]),
+                                  lambda i: self._named(i, rule["lat"]))
+            point = _point(_after(lat, rule["lat"]), _after(lng, rule["lng"]))
+            return F.when(lng.isNotNull() & lat.isNotNull(), F.array(point))
+        if kind is PathParts:
+            lat_word, lng_word = F.substring(rule["lat"], 2, 9), F.substring(rule["lng"], 2, 9)
+            lat, lng = _two_items(F.split(self.uri, "-"), lambda i: i.contains(lat_word),
+                                  lambda i: i.contains(lng_word))
+            point = _point(F.replace(lat, lat_word, F.lit("")), F.replace(lng, lng_word, F.lit("")))
+            return F.when(lat.isNotNull() & lng.isNotNull(), F.array(point))
+        if kind is OnePair:
+            item = F.get(F.filter(self.items, lambda i: F.when(
+                rule["at_start"], i["low"].startswith(rule["key"])).otherwise(
+                self._named(i, rule["key"]))), F.lit(0))
+            least = F.when(rule["at_start"], 2)
+            point = _pair(_after(item, rule["key"]), F.lit(COMMA), rule["lat_first"], least)
+            return F.when(point.isNotNull(), F.array(point))
+        named = F.filter(_cut(self.uri, rule["item_cut"]), lambda i: self._named(i, rule["key"]))
+        if kind is PairList:
+            values = F.transform(named, lambda i: _after(i, rule["key"]))
+        else:
+            values = _parts(_after(F.get(named, F.lit(0)), rule["key"]), rule["list_cut"])
+        pairs = F.transform(values, lambda v: _pair(v, rule["pair_cut"], rule["lat_first"]))
+        return _numeric_points(F.filter(pairs, lambda p: p.isNotNull()))
+
+    def first_points(self, kind, rules) -> Column:
+        """Points by the first of several rules of one kind."""
+        listed = F.array(*[_rule_column(rule) for rule in rules])
+        tried = F.transform(F.filter(listed, lambda rule: self.applies(kind, rule)),
+                            lambda rule: self.points(kind, rule))
+        return F.get(F.filter(tried, lambda points: points.isNotNull()), F.lit(0))
 
 
 def with_uri_points(logs: DataFrame, uri: str = "uri", name: str = "points", strict: bool = False,
@@ -227,9 +270,10 @@ def with_uri_points(logs: DataFrame, uri: str = "uri", name: str = "points", str
 
     Keys count anywhere in an item; ``strict`` wants them at its start.
     """
-    prepared = logs.withColumn("_items", F.split(F.col(uri), ITEM_CUT))
-    found = [_rule_points(rule, F.col(uri), F.col("_items"), strict) for rule in rules]
-    return prepared.withColumn(name, F.coalesce(*found)).drop("_items")
+    prepared = logs.withColumn("_low", F.lower(F.col(uri))).withColumn("_items", _cut(F.col(uri), ITEM_CUT))
+    request = _Request(F.col(uri), F.col("_low"), F.col("_items"), strict)
+    runs = [request.first_points(kind, list(run)) for kind, run in groupby(rules, type)]
+    return prepared.withColumn(name, F.coalesce(*runs)).drop("_low", "_items")
 
 
 def uri_locations(logs: DataFrame, strict: bool = False) -> DataFrame:
@@ -246,8 +290,12 @@ def uri_location_rows(logs: DataFrame, strict: bool = False) -> DataFrame:
     """One row per point of a request."""
     rows = with_uri_points(logs, strict=strict)
     kept = [c for c in rows.columns if c != "points"]
-    return rows.select(*kept, F.posexplode("points").alias("position", "_point")).select(
-        *kept, "position", F.col("_point.lat").alias("latitude"), F.col("_point.lng").alias("longitude"))
+    # The outer form keeps the optimizer from computing the points a second time as a filter.
+    return (
+        rows.select(*kept, F.posexplode_outer("points").alias("position", "_point"))
+        .where(F.col("position").isNotNull())
+        .select(*kept, "position", F.col("_point.lat").alias("latitude"), F.col("_point.lng").alias("longitude"))
+    )
 
 
 def _tag(content: Column, name: str) -> Column:
