@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,11 @@ from pyspark.sql import types as T
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+@cache
+def _own_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"gridscope-{application}-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors can reach, as the cluster names it.
 
@@ -23,9 +29,7 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
-    own = tempfile.mkdtemp(prefix="gridscope-")
-    spark.conf.set(CHECKPOINT_DIR, own)
-    return own
+    return _own_dir(spark.sparkContext.applicationId)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
