@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import domain as d
 from checks.domain_sql import GRID_LAT, GRID_LON, with_tables
 from checks.registry import query
-from gridscope.functions import codes, geo, text
+from gridscope.functions import codes, geo, sql_names, text
 
 
 def _lines(spark, sf):
@@ -329,6 +329,22 @@ def point_in_cell(spark, sf):
     return near.select("event_id", inside.alias("inside"))
 
 
+@query("f5_g7_g8_sql_names", f"""
+with points as ({POINTS})
+select event_id, cast(event_id * 256 + event_id % 7 as integer) as objectid,
+ {HAVERSINE.format(lon1='lon', lat1='lat', lon2='lon2', lat2='lat2')} as metres,
+ {GRID_COL.format(lon='lon')} as grid_column, {GRID_ROW.format(lat='lat')} as grid_row from points
+""")
+def names_in_sql(spark, sf):
+    sql_names.register(spark)
+    points(spark, sf).createOrReplaceTempView("gridscope_points")
+    return spark.sql("""
+        select event_id, transformObjectId(concat(event_id, '_', event_id % 7)) as objectid,
+               st_distance(lon, lon2, lat, lat2) as metres,
+               getwebmercatorfromwgs(lon, 'lon') as grid_column, getwebmercatorfromwgs(lat, 'lat') as grid_row
+        from gridscope_points""")
+
+
 def _documents(spark, sf, *columns):
     return d.table(spark, sf, "documents").select("doc_id", *columns)
 

@@ -29,7 +29,7 @@ from gridscope.sources.tables import cut_lineage
 # The block scorer travels with the plan, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SAMPLE_ROWS_PER_BLOCK = 50_000
+SAMPLE_ROWS_PER_BLOCK = 100_000
 FINGER_ROWS_PER_BLOCK = 100_000
 
 

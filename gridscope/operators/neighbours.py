@@ -151,6 +151,21 @@ def nearest_cell_by_pci(cells: DataFrame, pci_list: DataFrame,
         .select("eci", *CHANNEL, "reci")
 
 
+def reported_channels(mro_wide: DataFrame, cells: DataFrame, mode: str = "serving") -> DataFrame:
+    """The (eci, earfcn, pci) that reports ask for, with the position of the asking cell.
+
+    Passed to :func:`nearest_cell` in place of the expanded list, it limits the
+    search to what :func:`resolve_neighbours` looks up.
+    """
+    if mode == "serving":
+        asked = mro_wide.select("eci", F.col("ltescearfcn").alias("earfcn"), F.col("ltescpci").alias("pci"))
+    else:
+        slots = F.explode(_readings("ltencrsrp", "ltencearfcn", "ltencpci")).alias("_slot")
+        asked = mro_wide.select("eci", slots).select(
+            "eci", F.col("_slot.ltencearfcn").alias("earfcn"), F.col("_slot.ltencpci").alias("pci"))
+    return asked.distinct().join(cells.select("eci", "longitude", "latitude"), "eci")
+
+
 SAMPLE_COLUMNS = {
     "eci": "objectid", "mmeues1apid": "mmeues1apid", "timestamp": "time_stamp",
     "ltescrsrp": "ltescrsrp", "ltescrsrq": "ltescrsrq", "ltescsinrul": "ltescsinrul",

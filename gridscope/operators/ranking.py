@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
-SLICE_BITS = 6
+RANGES = 256
+# Rows of one key are numbered in up to 2**SLICE_BITS separate groups.
+SLICE_BITS = 16
 
 
 def global_row_number(df: DataFrame, key: str, name: str = "row_number", ranges: int = RANGES) -> DataFrame:

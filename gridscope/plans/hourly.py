@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from gridscope import schemas
 from gridscope.operators.fallback import with_fallback
 from gridscope.operators.locate import locate
-from gridscope.operators.neighbours import resolve_neighbours
+from gridscope.operators.neighbours import nearest_cell, reported_channels, resolve_neighbours
 from gridscope.sources.tables import has_rows, overwrite_partitions, read_partition
 
 PARTITION = ("day", "hour")
@@ -33,8 +33,9 @@ def locate_hours(spark: SparkSession, mro_path: str, ground: DataFrame, upper: D
     return True
 
 
-def build_mro(mro_wide: DataFrame, nearest: DataFrame, mro_path: str, mode: str = "serving",
+def build_mro(mro_wide: DataFrame, cells: DataFrame, mro_path: str, mode: str = "serving",
               fmt: str = "parquet") -> None:
     """Wide reports (with day and hour columns) to the sample table, neighbours resolved."""
+    nearest = nearest_cell(reported_channels(mro_wide, cells, mode), cells)
     rows = resolve_neighbours(mro_wide, nearest, mode, carry=PARTITION)
     overwrite_partitions(rows, mro_path, PARTITION, fmt)

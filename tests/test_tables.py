@@ -161,7 +161,9 @@ def test_mro_job(spark, sf, folder):
     wide = d.mro_wide(spark, sf).withColumn("day", F.substring(F.regexp_replace("timestamp", "-", ""), 1, 4)) \
         .withColumn("hour", F.lit("00"))
     cells = d.cells(spark, sf)
-    hourly_plan.build_mro(wide, neighbours.nearest_cell_by_pci(cells, d.pci_list(spark, sf)), path)
+    hourly_plan.build_mro(wide, cells, path)
+    whole = neighbours.resolve_neighbours(wide, neighbours.nearest_cell_by_pci(cells, d.pci_list(spark, sf)))
     made = tables.read_partition(spark, path, schema=schemas.MRO)
     assert set(made.columns) >= {"objectid", "ncellobjectid", "ltencrsrp", "ta", "day", "hour"}
-    assert not made.isEmpty() and made.where("ncellobjectid = objectid").isEmpty()
+    assert same(made.select(*whole.columns), whole) and not whole.isEmpty()
+    assert made.where("ncellobjectid = objectid").isEmpty()
