@@ -142,7 +142,7 @@ def drop_partition(spark, sf):
 @query("s12_compaction", with_tables("mro", summary_sql("hourly", "day", "hour"), hourly=HOURLY))
 def compaction(spark, sf):
     source, path = _written(spark, sf, "loose"), tables.scratch_path(spark, "compact")
-    tables.compact(tables.read_partition(spark, source, schema=schemas.MRO), path, files_per_value=2)
+    tables.compact(tables.read_partition(spark, source, schema=schemas.MRO), path)
     return summary(tables.read_partition(spark, path, schema=schemas.MRO), "day", "hour")
 
 
@@ -155,7 +155,7 @@ def csv_export(spark, sf):
 
 @query("s15_redistribute", with_tables("mro", summary_sql("hourly", "hour", "objectid"), hourly=HOURLY))
 def redistribute(spark, sf):
-    return summary(tables.by_columns(hourly(spark, sf), "hour", files_per_value=4), "hour", "objectid")
+    return summary(tables.by_columns(hourly(spark, sf), "hour"), "hour", "objectid")
 
 
 @query("s16_input_guard", with_tables("mro", summary_sql("hourly", "day", "hour"), hourly=HOURLY))

@@ -105,9 +105,12 @@ def upper_layers(finger: DataFrame) -> DataFrame:
 
 
 def build_fingerprint(raw: DataFrame, cells: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Ground layer (distinct rows) and upper layers of the fingerprint."""
+    """Ground layer (distinct rows) and upper layers of the fingerprint.
+
+    Repeated ground readings go before the join; they could only repeat its rows.
+    """
     readings = antenna_readings(raw)
-    ground, upper = ground_layer(readings), upper_layers(readings)
+    ground, upper = ground_layer(readings).distinct(), upper_layers(readings)
     return (
         cell_pairs(strongest_cells(ground, cells), ground).distinct(),
         cell_pairs(strongest_cells(upper, cells), upper),

@@ -94,16 +94,21 @@ def locate_by_join(mro: DataFrame, *fingers: DataFrame, min_matches: int = 2,
     return best_grid(grid_distances(pairs, min_matches, max_distance, carry))
 
 
-def _blocks(rows: Column, rows_per_block: int) -> Column:
-    return F.ceil(rows / rows_per_block).cast("int")
+def _blocks(keys: Sequence[str], rows_per_block: int) -> Column:
+    """Blocks for the distinct rows by ``keys``; repeated rows are folded and need no room."""
+    rows = F.approx_count_distinct(F.xxhash64(*keys))
+    return F.greatest(F.ceil(rows / rows_per_block), F.lit(1)).cast("int")
 
 
 def block_counts(mro: DataFrame, finger: DataFrame, sample_rows: int, finger_rows: int) -> DataFrame:
-    """How many sample and fingerprint blocks each serving cell is cut into."""
+    """How many sample and fingerprint blocks each serving cell is cut into.
+
+    An estimate is enough: it sets the size of the blocks, not their content.
+    """
     samples = mro.groupBy("objectid").agg(
-        _blocks(F.count(F.lit(1)), sample_rows).alias("sample_blocks"))
+        _blocks([*SAMPLE_KEY[1:], *SERVING, "ncellobjectid"], sample_rows).alias("sample_blocks"))
     grids = finger.groupBy("objectid").agg(
-        _blocks(F.count(F.lit(1)), finger_rows).alias("finger_blocks"))
+        _blocks(["gridid", "height", "n_objectid"], finger_rows).alias("finger_blocks"))
     return samples.join(grids, "objectid")
 
 

@@ -30,11 +30,11 @@ class DayTables:
 
 
 def report_day(spark: SparkSession, located_path: str, mro_path: str, ground: DataFrame, root: str, day: str,
-               grid_building: DataFrame | None = None, files_per_hour: int = 1) -> dict[str, DataFrame]:
+               grid_building: DataFrame | None = None) -> dict[str, DataFrame]:
     """All tables of a day, by name; every step reads what the step before has written."""
     tables = DayTables(root)
     samples = read_partition(spark, located_path, day, schema=LOCATED).drop("day")
-    samples = tables.write(by_columns(samples, "hour", files_per_value=files_per_hour), "samples", day)
+    samples = tables.write(by_columns(samples, "hour"), "samples", day)
     mro = read_partition(spark, mro_path, day, schema=schemas.MRO)
     made = {"samples": samples}
     made["overlaps"] = tables.write(kpi.overlap_by_grid(samples, mro), "overlaps", day)
@@ -43,8 +43,7 @@ def report_day(spark: SparkSession, located_path: str, mro_path: str, ground: Da
     made["grid_result"] = tables.write(
         kpi.grid_result(made["grid_kpi"], made["grid_loss"], ground), "grid_result", day)
     made["sample_positions"] = tables.write(
-        by_columns(kpi.sample_positions(samples, ground), "hour", files_per_value=files_per_hour),
-        "sample_positions", day)
+        by_columns(kpi.sample_positions(samples, ground), "hour"), "sample_positions", day)
     if grid_building is not None:
         made["floor_rsrp"] = tables.write(kpi.floor_rsrp(made["grid_kpi"], grid_building), "floor_rsrp", day)
     return {name: df.withColumn("day", F.lit(day)) for name, df in made.items()}

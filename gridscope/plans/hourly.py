@@ -8,7 +8,7 @@ from gridscope import schemas
 from gridscope.operators.fallback import with_fallback
 from gridscope.operators.locate import locate
 from gridscope.operators.neighbours import nearest_cell, reported_channels, resolve_neighbours
-from gridscope.sources.tables import has_rows, overwrite_partitions, read_partition
+from gridscope.sources.tables import by_columns, has_rows, overwrite_partitions, read_partition
 
 PARTITION = ("day", "hour")
 LOCATED = "objectid bigint, mmeues1apid string, time_stamp string, ltescrsrp int, ltescrsrq int, " \
@@ -26,16 +26,21 @@ def locate_hours(spark: SparkSession, mro_path: str, ground: DataFrame, upper: D
     mro = read_partition(spark, mro_path, day, hour, fmt, schemas.MRO)
     if not has_rows(mro):
         return False
-    overwrite_partitions(locate(mro, ground, upper, carry=PARTITION), floor_path, PARTITION, fmt)
+    _write(locate(mro, ground, upper, carry=PARTITION), floor_path, hour, fmt)
     located = read_partition(spark, floor_path, day, hour, fmt, schemas.LOCATED)
     placed = with_fallback(mro, located, sites, ground, jitter, carry=PARTITION)
-    overwrite_partitions(placed, result_path, PARTITION, fmt)
+    _write(placed, result_path, hour, fmt)
     return True
 
 
+def _write(rows: DataFrame, path: str, hour: str | None, fmt: str) -> None:
+    """Many hours at once are brought together first, or every task would write a file into each."""
+    overwrite_partitions(rows if hour else by_columns(rows, *PARTITION), path, PARTITION, fmt)
+
+
 def build_mro(mro_wide: DataFrame, cells: DataFrame, mro_path: str, mode: str = "serving",
               fmt: str = "parquet") -> None:
     """Wide reports (with day and hour columns) to the sample table, neighbours resolved."""
     nearest = nearest_cell(reported_channels(mro_wide, cells, mode), cells)
     rows = resolve_neighbours(mro_wide, nearest, mode, carry=PARTITION)
-    overwrite_partitions(rows, mro_path, PARTITION, fmt)
+    _write(rows, mro_path, None, fmt)

@@ -113,22 +113,17 @@ def drop_partition(spark: SparkSession, table: str, day: str, hour: str | None =
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
 
 
-def by_columns(df: DataFrame, *columns: str, files_per_value: int = 1) -> DataFrame:
-    """Rows of equal values together, in up to ``files_per_value`` files each.
+def by_columns(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows of equal values together, for few files per value.
 
-    More files per value keep a large value from landing in one task.
+    A value with many rows is split over several tasks and files, small ones share a task.
     """
-    if files_per_value <= 1:
-        return df.repartition(*columns)
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))
-    return df.withColumn("_file", spread).repartition(*columns, "_file").drop("_file")
+    return df.hint("rebalance", *columns)
 
 
-def compact(df: DataFrame, path: str, partition_by: Sequence[str] = ("day", "hour"),
-            files_per_value: int = 1, fmt: str = "parquet") -> None:
+def compact(df: DataFrame, path: str, partition_by: Sequence[str] = ("day", "hour"), fmt: str = "parquet") -> None:
     """Write many small files again as few files per partition."""
-    overwrite_partitions(by_columns(df, *partition_by, files_per_value=files_per_value),
-                         path, partition_by, fmt)
+    overwrite_partitions(by_columns(df, *partition_by), path, partition_by, fmt)
 
 
 def export_csv(df: DataFrame, path: str, limit: int | None = None,

@@ -65,14 +65,14 @@ def test_compaction_leaves_few_files_and_all_rows(spark, folder):
     loose = spark.range(1000).select(F.col("id").alias("v"), F.lit("d").alias("day"),
                                      (F.col("id") % 2).cast("string").alias("hour")).repartition(8)
     tables.write_table(loose, source, ("day", "hour"))
-    tables.compact(tables.read_partition(spark, source), path, files_per_value=1)
+    tables.compact(tables.read_partition(spark, source), path)
     assert len(glob.glob(f"{path}/day=d/hour=0/*.parquet")) == 1
     assert same(tables.read_partition(spark, path), tables.read_partition(spark, source))
 
 
 def test_redistribution_keeps_rows(spark):
     df = spark.range(500).select((F.col("id") % 3).alias("k"), "id")
-    assert same(tables.by_columns(df, "k"), df) and same(tables.by_columns(df, "k", files_per_value=4), df)
+    assert same(tables.by_columns(df, "k"), df)
 
 
 def test_export_with_limit_takes_the_first_rows(table, spark, folder):
