@@ -9,7 +9,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from checks import QUERIES  # noqa: E402
+from gridscope_checks import QUERIES  # noqa: E402
 from gridscope.session import local_session  # noqa: E402
 
 HEADLINE = (

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridscope.functions.columns import col
-
 # Feature names in table order, and how many values a list feature keeps.
 FEATURES = (
     "uid", "age", "gender", "marriagestatus", "education", "consumptionability", "lbs",
@@ -23,23 +21,36 @@ def is_list(name: str) -> bool:
     return name.startswith(LIST_PREFIXES)
 
 
-def feature_text(line, name: str) -> Column:
-    """Values of one feature as they stand in a ``name v v|name v`` line; '' if absent."""
-    return F.regexp_extract(col(line), rf"(?i)(?:^|\|){name} ([^|]*)", 1)
+def feature_maps(lines: DataFrame) -> DataFrame:
+    """Per line (column ``value``) a map from feature name (lower case) to its values as text.
+
+    The first of equal names counts. Step by step, so that no step is computed per item again.
+    """
+    items = F.filter(F.split("value", r"\|"), lambda item: item.contains(" "))
+    names = F.transform("_items", lambda item: F.lower(F.substring_index(item, " ", 1)))
+    values = F.transform("_items", lambda item: F.substring(item, F.instr(item, " ") + 1, F.length(item)))
+    pairs = F.filter(
+        F.arrays_zip(F.col("_names").alias("name"), F.col("_values").alias("value")),
+        lambda pair, at: F.array_position("_names", pair["name"]) == at + 1,
+    )
+    return (
+        lines.select(items.alias("_items"))
+        .select(names.alias("_names"), values.alias("_values"))
+        .select(F.map_from_entries(pairs).alias("features"))
+    )
 
 
 def parse_features(lines: DataFrame) -> DataFrame:
     """One column per feature; list features are arrays, the others keep their first value."""
     columns = []
     for name in FEATURES:
-        text = F.col(f"_{name}")
-        values = F.split(F.rtrim(text), " ")
+        text = F.try_element_at("features", F.lit(name))
         if is_list(name):
-            value = F.when(text == "", F.array(F.lit(ABSENT))).otherwise(values)
+            value = F.coalesce(F.split(F.rtrim(text), " "), F.array(F.lit(ABSENT)))
         else:
-            value = F.when(text == "", F.lit(ABSENT)).otherwise(values[0])
+            value = F.coalesce(F.substring_index(text, " ", 1), F.lit(ABSENT))
         columns.append(value.alias(name))
-    return lines.select(*[feature_text("value", n).alias(f"_{n}") for n in FEATURES]).select(*columns)
+    return feature_maps(lines).select(*columns)
 
 
 def widen_features(features: DataFrame) -> DataFrame:

@@ -139,6 +139,11 @@ def _after(item: Column, key: Column) -> Column:
     return F.substring(item["raw"], F.position(key, item["low"]) + F.length(key), F.length(item["raw"]))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _point(lat: Column, lng: Column) -> Column:
     return F.struct(lat.alias("lat"), lng.alias("lng"))
 
@@ -154,12 +159,14 @@ def _pair(value: Column, cut: Column, lat_first: Column, least: Column | None =
 
     A longitude ends at a bracket.
     """
-    parts = _parts(value, cut)
-    lat = F.get(parts, F.when(lat_first, 0).otherwise(1))
-    lng = F.get(parts, F.when(lat_first, 1).otherwise(0))
-    size = F.size(parts)
-    fits = size == 2 if least is None else (size == 2) | (size >= least)
-    return F.when(fits, _point(lat, F.substring_index(lng, "(", 1)))
+    def read(parts: Column) -> Column:
+        lat = F.get(parts, F.when(lat_first, 0).otherwise(1))
+        lng = F.get(parts, F.when(lat_first, 1).otherwise(0))
+        size = F.size(parts)
+        fits = size == 2 if least is None else (size == 2) | (size >= least)
+        return F.when(fits, _point(lat, F.substring_index(lng, "(", 1)))
+
+    return _let(_parts(value, cut), read)
 
 
 def _bare(text: Column) -> Column:
@@ -171,27 +178,37 @@ def _numeric_points(points: Column) -> Column:
     bare = F.transform(points, lambda p: _point(_bare(p["lat"]), _bare(p["lng"])))
     kept = F.filter(bare, lambda p: p["lat"].try_cast("double").isNotNull()
                     & p["lng"].try_cast("double").isNotNull())
-    return F.when(F.size(kept) > 0, kept)
+    return _let(kept, lambda points: F.when(F.size(points) > 0, points))
 
 
 def _last(items: Column, test) -> Column:
     return F.try_element_at(F.filter(items, test), F.lit(-1))
 
 
-def _two_items(items: Column, is_first, is_second) -> tuple[Column, Column]:
-    """The two items a reader holds once both kinds were seen; later ones replace earlier ones.
+def _two_items(items: Column, is_first, is_second) -> Column:
+    """Struct of the two items a reader holds once both kinds were seen, else null.
 
-    Of one item that is of both kinds, the first kind is read first.
+    Later items replace earlier ones until then. Of one item that is of both
+    kinds, the first kind is read first.
     """
-    first_at = F.array_position(F.transform(items, is_first), True)
-    second_at = F.array_position(F.transform(items, is_second), True)
-    stop = F.greatest(first_at, second_at).cast("int")
-    second_stop = F.when(first_at > second_at, first_at - 1).otherwise(second_at).cast("int")
-    both = (first_at > 0) & (second_at > 0)
-    return (
-        F.when(both, _last(F.slice(items, F.lit(1), stop), is_first)),
-        F.when(both, _last(F.slice(items, F.lit(1), second_stop), is_second)),
+    def pick(at: Column) -> Column:
+        first_end = F.greatest(at["first"], at["second"])
+        second_end = F.when(at["first"] > at["second"], at["first"] - 1).otherwise(at["second"])
+        return F.when((at["first"] > 0) & (at["second"] > 0), F.struct(
+            _last(F.slice(items, F.lit(1), first_end), is_first).alias("first"),
+            _last(F.slice(items, F.lit(1), second_end), is_second).alias("second"),
+        ))
+
+    places = F.struct(
+        F.array_position(F.transform(items, is_first), True).cast("int").alias("first"),
+        F.array_position(F.transform(items, is_second), True).cast("int").alias("second"),
     )
+    return _let(places, pick)
+
+
+def _single(point: Column) -> Column:
+    """The point as an array of one; null if there is none."""
+    return _let(point, lambda p: F.when(p.isNotNull(), F.array(p)))
 
 
 def _rule_column(rule) -> Column:
@@ -231,28 +248,30 @@ class _Request:
     def points(self, kind, rule: Column) -> Column:
         """Array of points by a rule that applies; null if it finds none."""
         if kind is TwoKeys:
-            lng, lat = _two_items(self.items, lambda i: self._named(i, rule["lng"]),
-                                  lambda i: self._named(i, rule["lat"]))
-            point = _point(_after(lat, rule["lat"]), _after(lng, rule["lng"]))
-            return F.when(lng.isNotNull() & lat.isNotNull(), F.array(point))
+            both = _two_items(self.items, lambda i: self._named(i, rule["lng"]),
+                              lambda i: self._named(i, rule["lat"]))
+            return _let(both, lambda item: F.when(item.isNotNull(), F.array(_point(
+                _after(item["second"], rule["lat"]), _after(item["first"], rule["lng"])))))
         if kind is PathParts:
             lat_word, lng_word = F.substring(rule["lat"], 2, 9), F.substring(rule["lng"], 2, 9)
-            lat, lng = _two_items(F.split(self.uri, "-"), lambda i: i.contains(lat_word),
-                                  lambda i: i.contains(lng_word))
-            point = _point(F.replace(lat, lat_word, F.lit("")), F.replace(lng, lng_word, F.lit("")))
-            return F.when(lat.isNotNull() & lng.isNotNull(), F.array(point))
+            both = _two_items(F.split(self.uri, "-"), lambda i: i.contains(lat_word),
+                              lambda i: i.contains(lng_word))
+            return _let(both, lambda item: F.when(item.isNotNull(), F.array(_point(
+                F.replace(item["first"], lat_word, F.lit("")),
+                F.replace(item["second"], lng_word, F.lit(""))))))
         if kind is OnePair:
             item = F.get(F.filter(self.items, lambda i: F.when(
                 rule["at_start"], i["low"].startswith(rule["key"])).otherwise(
                 self._named(i, rule["key"]))), F.lit(0))
+            value = _let(item, lambda i: _after(i, rule["key"]))
             least = F.when(rule["at_start"], 2)
-            point = _pair(_after(item, rule["key"]), F.lit(COMMA), rule["lat_first"], least)
-            return F.when(point.isNotNull(), F.array(point))
+            return _single(_pair(value, F.lit(COMMA), rule["lat_first"], least))
         named = F.filter(_cut(self.uri, rule["item_cut"]), lambda i: self._named(i, rule["key"]))
         if kind is PairList:
             values = F.transform(named, lambda i: _after(i, rule["key"]))
         else:
-            values = _parts(_after(F.get(named, F.lit(0)), rule["key"]), rule["list_cut"])
+            value = _let(F.get(named, F.lit(0)), lambda i: _after(i, rule["key"]))
+            values = _parts(value, rule["list_cut"])
         pairs = F.transform(values, lambda v: _pair(v, rule["pair_cut"], rule["lat_first"]))
         return _numeric_points(F.filter(pairs, lambda p: p.isNotNull()))
 

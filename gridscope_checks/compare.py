@@ -10,7 +10,7 @@ import time
 
 import duckdb
 
-from checks import QUERIES, SQL
+from gridscope_checks import QUERIES, SQL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()

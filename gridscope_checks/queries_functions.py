@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks import domain as d
-from checks.domain_sql import GRID_LAT, GRID_LON, with_tables
-from checks.registry import query
+from gridscope_checks import domain as d
+from gridscope_checks.domain_sql import GRID_LAT, GRID_LON, with_tables
+from gridscope_checks.registry import query
 from gridscope.functions import codes, geo, sql_names, text
 
 
@@ -272,7 +272,7 @@ select time_stamp, mmeues1apid, objectid,
  {GRID_COL.format(lon='longitude')} || '_' || {GRID_ROW.format(lat='latitude')} as gridid from mdt
 """))
 def grid_of_point(spark, sf):
-    from checks.queries_grid import mdt_points
+    from gridscope_checks.queries_grid import mdt_points
 
     return mdt_points(spark, sf).select("time_stamp", "mmeues1apid", "objectid",
                                         geo.gridid_of("longitude", "latitude").alias("gridid"))

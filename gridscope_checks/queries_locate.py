@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks import domain as d
-from checks.domain_sql import with_tables
-from checks.registry import query
+from gridscope_checks import domain as d
+from gridscope_checks.domain_sql import with_tables
+from gridscope_checks.registry import query
 from gridscope.operators import fallback, locate, ranking, skew
 from gridscope.sources import tables
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks import domain as d
-from checks.domain_sql import with_tables
-from checks.queries_locate import located_chain
-from checks.queries_text import PARSED, _line_sql, feature_lines
-from checks.registry import query
+from gridscope_checks import domain as d
+from gridscope_checks.domain_sql import with_tables
+from gridscope_checks.queries_locate import located_chain
+from gridscope_checks.queries_text import PARSED, _line_sql, feature_lines
+from gridscope_checks.registry import query
 from gridscope import schemas
 from gridscope.operators import features
 from gridscope.plans import hourly as hourly_plan

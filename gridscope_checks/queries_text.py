@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks import domain as d
-from checks.registry import query
+from gridscope_checks import domain as d
+from gridscope_checks.registry import query
 from gridscope.operators import features, weblocation as web
 
 URIS = (

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from checks import domain as d
+from gridscope_checks import domain as d
 from gridscope.functions.geo import grid_centre
 from gridscope.operators import fallback, kpi
 from gridscope.operators.locate import locate

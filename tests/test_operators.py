@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from checks import domain as d
+from gridscope_checks import domain as d
 from gridscope.operators import fingerprint, mdt, neighbours, ranking, skew
 from gridscope.sources import mdt_text
 

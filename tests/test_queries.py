@@ -2,8 +2,8 @@
 
 import pytest
 
-from checks import QUERIES, SQL
-from checks.compare import compare, connect
+from gridscope_checks import QUERIES, SQL
+from gridscope_checks.compare import compare, connect
 
 
 @pytest.fixture(scope="module")

@@ -6,8 +6,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from checks import domain as d
-from checks.queries_tables import hourly
+from gridscope_checks import domain as d
+from gridscope_checks.queries_tables import hourly
 from gridscope import schemas
 from gridscope.operators import neighbours
 from gridscope.plans import daily, fingerprint, hourly as hourly_plan
@@ -146,7 +146,7 @@ def test_hourly_and_daily_jobs(spark, sf, folder):
 
 
 def test_fingerprint_jobs(spark, sf, folder):
-    from checks.queries_grid import mdt_points
+    from gridscope_checks.queries_grid import mdt_points
 
     ground, upper = fingerprint.build(d.finger_raw(spark, sf), d.res_cell(spark, sf), folder("ground"), folder("upper"))
     assert ground.where("height != 0").isEmpty() and upper.where("height = 0").isEmpty()
