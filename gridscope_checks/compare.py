@@ -61,7 +61,8 @@ def compare(spark, con, name: str, sf: str) -> tuple[bool, str]:
     kind_gaps = {n: (spark_kinds[n], k) for n, k in zip(names, kinds) if spark_kinds[n] != KINDS.get(k, k)}
     a, b = _rows(df.columns, ours), _rows(names, theirs)
     if a != b:
-        only_a, only_b = [r for r in a if r not in set(b)][:2], [r for r in b if r not in set(a)][:2]
+        in_a, in_b = set(a), set(b)
+        only_a, only_b = [r for r in a if r not in in_b][:2], [r for r in b if r not in in_a][:2]
         return False, f"{note}\n   rows {len(a)} / {len(b)}\n   spark {only_a}\n   sql   {only_b}"
     if kind_gaps:
         return False, f"{note} types {kind_gaps}"
