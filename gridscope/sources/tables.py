@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,22 +12,15 @@ from pyspark.sql import types as T
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-@cache
-def _own_dir(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"gridscope-{application}-")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors can reach, as the cluster names it.
 
-    A local session without the setting gets a folder of its own.
+    Where the setting is missing it is a folder of the warehouse, which is shared as well.
     """
     named = spark.conf.get(CHECKPOINT_DIR, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
-    return _own_dir(spark.sparkContext.applicationId)
+    if not named:
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
