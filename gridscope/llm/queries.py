@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridscope.llm import bpe, decontam, langid, line_dedup, quality, secrets, token_store, url_filters
+from gridscope.llm import bpe, decontam, jaccard_join, langid, line_dedup, quality, secrets, token_store, url_filters
 from gridscope.llm.queries_sql import SQL
 from gridscope.sources.tables import scratch_path
 
@@ -112,3 +112,8 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     found = secrets.scan(table(spark, sf, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "n_entropy",
                         F.sha2(F.col("base_text").cast("binary"), 256).alias("base_sha256"), F.col("spans_text").alias("spans"))
+
+
+@query
+def op3_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.links(table(spark, sf, "documents"))
