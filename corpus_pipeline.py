@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridscope.llm import bpe, decontam, quality, secrets
+from gridscope.llm import bpe, decontam, jaccard_join, quality, secrets
 from gridscope.sources.tables import scratch_path
 
 
@@ -13,6 +13,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.keep(docs)
 
 
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one of least doc_id, of each group of near duplicates."""
+    return jaccard_join.keep_one(docs)
+
+
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return decontam.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -30,6 +35,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", good_quality),
+    ("ngram_jaccard_join", without_copies),
     ("benchmark_decontamination", without_benchmark),
     ("secret_scan", without_secrets),
     ("byte_bpe", token_ids),

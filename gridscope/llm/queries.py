@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridscope.llm import bpe, decontam, jaccard_join, langid, line_dedup, quality, secrets, token_store, url_filters
+from gridscope.llm import bpe, decontam, jaccard_join, langid, line_dedup, lm, quality, secrets, token_store, url_filters
 from gridscope.llm.queries_sql import SQL
 from gridscope.sources.tables import scratch_path
 
@@ -117,3 +117,12 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op3_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.links(table(spark, sf, "documents"))
+
+
+@query
+def op2_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    held = langid.held_out(F.col("doc_id"), 2, 7)
+    scored = lm.score(docs, ~held, bpe.default_path("byte_bpe_50k.tiktoken"))
+    return scored.select("doc_id", langid.held_out(F.col("doc_id"), 2, 7).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score", "n_ids")
