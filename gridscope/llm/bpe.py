@@ -194,6 +194,12 @@ class PieceCoder:
 
     def lookup(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the pieces, one after the other, and of each piece its place and count therein."""
+        held, at, codes, _ = self.distinct(data, starts, ends)
+        return held, self.places[at][codes], self.counts[at][codes]
+
+    def distinct(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray
+                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Held ids, the entry of each different piece, which of them each piece is, and their hashes."""
         codes, different = pd.factorize(ta.hash_spans(data, starts, ends))
         if len(self.known) + len(different) > self.limit and self.known:
             self._reset()
@@ -214,7 +220,7 @@ class PieceCoder:
             self.used += total
             at[new] = np.arange(base, base + len(new))
             self.known.update(zip(different[new].tolist(), range(base, base + len(new))))
-        return self.ids, self.places[at][codes], self.counts[at][codes]
+        return self.ids, at, codes, different
 
     def texts(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """First row, ids of a run of texts, and the ``n + 1`` cuts between the texts."""
