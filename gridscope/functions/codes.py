@@ -71,25 +71,27 @@ def difference_weight(difference) -> Column:
 
 
 def salt_key(key, *spread, buckets: int = SALT_BUCKETS) -> Column:
-    """Prefix ``key`` with a bucket drawn from ``spread``; a rerun gives the same bucket."""
+    """Prefix ``key`` with a bucket drawn from ``spread``; a rerun gives the same bucket, null stays null."""
     bucket = F.pmod(F.xxhash64(*[col(c) for c in spread]), F.lit(buckets))
-    return F.concat_ws("_", bucket.cast("string"), col(key).cast("string"))
+    return F.concat(bucket.cast("string"), F.lit("_"), col(key).cast("string"))
 
 
 def unsalt_key(salted) -> Column:
-    return F.substring_index(col(salted), "_", -1)
+    """What follows the first separator, so that keys may hold it themselves."""
+    text = col(salted)
+    return F.substring(text, F.instr(text, "_") + 1, F.length(text))
 
 
 def salted_sum(df: DataFrame, key: str, value: str, *spread: str,
                buckets: int = SALT_BUCKETS) -> DataFrame:
     """Sum and row count by ``key`` in two steps, so that a hot key is summed by many tasks."""
+    salt = F.pmod(F.xxhash64(*[col(c) for c in spread]), F.lit(buckets)).alias("_salt")
     by_salt = (
-        df.groupBy(salt_key(key, *spread, buckets=buckets).alias("_salted"))
+        df.groupBy(F.col(key), salt)
         .agg(F.sum(value).alias("_sum"), F.count(F.lit(1)).alias("_rows"))
     )
-    key_type = df.schema[key].dataType
     return (
-        by_salt.groupBy(unsalt_key("_salted").cast(key_type).alias(key))
+        by_salt.groupBy(key)
         .agg(F.sum("_sum").alias("total"), F.sum("_rows").alias("rows"))
     )
 

@@ -92,9 +92,12 @@ def _kpi_columns() -> list[str]:
             "height", "overlapd"]
 
 
-def empty_grids(kpi: DataFrame, ground: DataFrame) -> DataFrame:
-    """Ground grids without samples, with the fingerprint signal and missing marks."""
-    seen = kpi.where(F.col("height") == 0).select("gridid")
+def empty_grids(placed: DataFrame, ground: DataFrame) -> DataFrame:
+    """Ground grids without samples, with the fingerprint signal and missing marks.
+
+    ``placed`` has gridid and height: the grid measures, or cheaper the located samples themselves.
+    """
+    seen = placed.where(F.col("height") == 0).select("gridid")
     filler = ground.select("gridid", "objectid", F.col("rsrp").cast("double").alias("avgrsrp")) \
         .join(seen, "gridid", "left_anti").distinct()
     counts = [F.lit(0).cast("bigint").alias(c) for c in KPI_COUNTS]
@@ -115,7 +118,7 @@ def grid_kpi(located: DataFrame, overlaps: DataFrame, ground: DataFrame | None =
         .withColumn("overlapd", F.coalesce("overlapd", F.lit(0)))
         .select(*_kpi_columns())
     )
-    return kpi if ground is None else kpi.unionByName(empty_grids(kpi, ground))
+    return kpi if ground is None else kpi.unionByName(empty_grids(located, ground))
 
 
 LOSS_COLUMNS = ("ulqci1", "dlqci1", "ltescpuschprbnum", "ltescpdschprbnum", "ta")
@@ -123,8 +126,9 @@ LOSS_COLUMNS = ("ulqci1", "dlqci1", "ltescpuschprbnum", "ltescpdschprbnum", "ta"
 
 def sample_loss(located: DataFrame, mro: DataFrame) -> DataFrame:
     """Located samples with their distinct raw loss and load readings."""
-    raw = mro.select(*SAMPLE_KEY, *LOSS_COLUMNS).distinct()
-    return located.select(*SAMPLE_KEY, "gridid").join(raw, list(SAMPLE_KEY))
+    raw = mro.select(*SAMPLE_KEY, *LOSS_COLUMNS)
+    # the join has brought equal sample keys together already
+    return located.select(*SAMPLE_KEY, "gridid").join(raw, list(SAMPLE_KEY)).distinct()
 
 
 def _mean_loss(value: Column, valid: Column) -> Column:

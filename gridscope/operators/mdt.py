@@ -33,5 +33,7 @@ def grids_without_points(ground: DataFrame, means: DataFrame) -> DataFrame:
 
 def mdt_grid_stats(located: DataFrame, ground: DataFrame) -> DataFrame:
     """A row for every ground grid, zeros where no point fell."""
-    means = mdt_grid_means(located)
-    return means.unionByName(grids_without_points(ground, means))
+    means = mdt_grid_means(located).drop("height")
+    return grid_centres(ground).join(means, ["gridid", "longitude", "latitude"], "left").select(
+        "gridid", "longitude", "latitude", F.coalesce("avgrsrp", F.lit(0.0)).alias("avgrsrp"),
+        F.coalesce("mdtpoint", F.lit(0)).alias("mdtpoint"), F.lit(0).alias("height"))

@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 256
 # Rows of one key are numbered in up to 2**SLICE_BITS separate groups.
 SLICE_BITS = 16
 
 
-def global_row_number(df: DataFrame, key: str, name: str = "row_number", ranges: int = RANGES) -> DataFrame:
+def global_row_number(df: DataFrame, key: str, name: str = "row_number", ranges: int | None = None) -> DataFrame:
     """Number all rows by a numeric ``key`` without sorting them in one task.
 
+    There are as many ranges as the session has shuffle partitions unless told otherwise.
     Rows are counted per key and hash slice, the counts are summed up range by
     range, and each row adds its place inside its slice. Rows with equal keys
     follow a hash of the row.
     """
+    ranges = max(2, ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     hashed = df.withColumn("_hash", F.xxhash64(*[F.col(c) for c in df.columns])) \
         .withColumn("_slice", F.shiftright("_hash", 64 - SLICE_BITS))
     counts = hashed.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_rows"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridscope import schemas
 from gridscope.operators import kpi
-from gridscope.plans.hourly import LOCATED
+from gridscope.plans.hourly import PLACED
 from gridscope.sources.tables import by_columns, overwrite_partition, read_partition
 
 
@@ -33,7 +33,7 @@ def report_day(spark: SparkSession, located_path: str, mro_path: str, ground: Da
                grid_building: DataFrame | None = None) -> dict[str, DataFrame]:
     """All tables of a day, by name; every step reads what the step before has written."""
     tables = DayTables(root)
-    samples = read_partition(spark, located_path, day, schema=LOCATED).drop("day")
+    samples = read_partition(spark, located_path, day, schema=PLACED).drop("day")
     samples = tables.write(by_columns(samples, "hour"), "samples", day)
     mro = read_partition(spark, mro_path, day, schema=schemas.MRO)
     made = {"samples": samples}

@@ -8,10 +8,10 @@ from gridscope import schemas
 from gridscope.operators.fallback import with_fallback
 from gridscope.operators.locate import locate
 from gridscope.operators.neighbours import nearest_cell, reported_channels, resolve_neighbours
-from gridscope.sources.tables import by_columns, has_rows, overwrite_partitions, read_partition
+from gridscope.sources.tables import by_columns, has_rows, overwrite_partition, overwrite_partitions, read_partition
 
 PARTITION = ("day", "hour")
-LOCATED = "objectid bigint, mmeues1apid string, time_stamp string, ltescrsrp int, ltescrsrq int, " \
+PLACED = "objectid bigint, mmeues1apid string, time_stamp string, ltescrsrp int, ltescrsrq int, " \
           "ltescsinrul double, gridid string, height int"
 
 
@@ -26,16 +26,27 @@ def locate_hours(spark: SparkSession, mro_path: str, ground: DataFrame, upper: D
     mro = read_partition(spark, mro_path, day, hour, fmt, schemas.MRO)
     if not has_rows(mro):
         return False
-    _write(locate(mro, ground, upper, carry=PARTITION), floor_path, hour, fmt)
+    _write(locate(mro, ground, upper, carry=PARTITION), floor_path, mro, day, hour, fmt)
     located = read_partition(spark, floor_path, day, hour, fmt, schemas.LOCATED)
     placed = with_fallback(mro, located, sites, ground, jitter, carry=PARTITION)
-    _write(placed, result_path, hour, fmt)
+    _write(placed, result_path, mro, day, hour, fmt)
     return True
 
 
-def _write(rows: DataFrame, path: str, hour: str | None, fmt: str) -> None:
-    """Many hours at once are brought together first, or every task would write a file into each."""
-    overwrite_partitions(rows if hour else by_columns(rows, *PARTITION), path, PARTITION, fmt)
+def _write(rows: DataFrame, path: str, source: DataFrame, day: str | None, hour: str | None, fmt: str) -> None:
+    """Replace the hours of ``source``; an hour without a result becomes empty.
+
+    Many hours at once are brought together first, or every task would write a file into each.
+    """
+    if day and hour:
+        overwrite_partition(rows, path, fmt, day=day, hour=hour)
+        return
+    overwrite_partitions(by_columns(rows, *PARTITION), path, PARTITION, fmt)
+    # hours are few; those that the result lacks are emptied one by one
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name not in PARTITION)
+    done = read_partition(rows.sparkSession, path, day, None, fmt, schema).select(*PARTITION).distinct()
+    for left in source.select(*PARTITION).distinct().exceptAll(done).collect():
+        overwrite_partition(rows.limit(0), path, fmt, day=left.day, hour=left.hour)
 
 
 def build_mro(mro_wide: DataFrame, cells: DataFrame, mro_path: str, mode: str = "serving",
@@ -43,4 +54,4 @@ def build_mro(mro_wide: DataFrame, cells: DataFrame, mro_path: str, mode: str =
     """Wide reports (with day and hour columns) to the sample table, neighbours resolved."""
     nearest = nearest_cell(reported_channels(mro_wide, cells, mode), cells)
     rows = resolve_neighbours(mro_wide, nearest, mode, carry=PARTITION)
-    _write(rows, mro_path, None, fmt)
+    _write(rows, mro_path, mro_wide, None, None, fmt)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Connections that a write opens unless told otherwise.
+CONNECTIONS = 8
+
 # Fixed value: rows per insert batch.
 BATCH_ROWS = 500
 
@@ -33,7 +36,7 @@ def read_table(spark: SparkSession, url: str, table: str, **options) -> DataFram
 
 
 def write_options(url: str, table: str, batch_rows: int = BATCH_ROWS,
-                  connections: int | None = None, **options: str) -> dict[str, str]:
+                  connections: int | None = CONNECTIONS, **options: str) -> dict[str, str]:
     chosen = {"url": url, "dbtable": table, "batchsize": str(batch_rows), **options}
     if connections is not None:
         chosen["numPartitions"] = str(connections)

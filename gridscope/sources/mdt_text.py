@@ -26,14 +26,19 @@ def _field(fields: Column, name: str, at: int) -> Column:
 
 
 def in_area(df: DataFrame, longitudes=LONGITUDES, latitudes=LATITUDES) -> DataFrame:
-    """P1."""
+    """P1; None leaves a side open."""
+    if longitudes is None or latitudes is None:
+        longitudes, latitudes = longitudes or (float("-inf"), float("inf")), latitudes or (float("-inf"), float("inf"))
     lon, lat = F.col("longitude"), F.col("latitude")
     return df.where((lon > longitudes[0]) & (lon < longitudes[1])
                     & (lat > latitudes[0]) & (lat < latitudes[1]))
 
 
 def parse_mdt(lines: DataFrame, layout: int, longitudes=LONGITUDES, latitudes=LATITUDES) -> DataFrame:
-    """S3: text lines (column ``value``) to points; empty text is null, a bad number is 0."""
+    """S3: text lines (column ``value``) to points; empty text is null, a bad number is 0.
+
+    With None for both sides of the area all points are kept.
+    """
     fields = F.split("value", ",")
     points = lines.select(*[_field(fields, name, at) for name, at in LAYOUTS[layout].items()])
     return in_area(points, longitudes, latitudes).withColumn("height", F.lit(0))

@@ -121,12 +121,12 @@ def export_csv(df: DataFrame, path: str, limit: int | None = None,
                order_by: Sequence[str] = (), single_file: bool = False) -> None:
     """Delimited export with header; ``limit`` keeps the first rows.
 
-    ``single_file`` sends all rows through one task and is meant for small reports.
+    ``single_file`` writes with one task and is meant for small reports; what comes before stays spread.
     """
     if order_by and limit is not None:
         df = df.orderBy(*order_by)
     if limit is not None:
         df = df.limit(limit)
     if single_file:
-        df = df.coalesce(1)
+        df = df.repartition(1)
     df.write.mode("overwrite").option("header", True).csv(path)

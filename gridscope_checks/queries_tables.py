@@ -174,4 +174,4 @@ def locate_all_hours(spark, sf):
     floor_path, result_path = tables.scratch_path(spark, "floor"), tables.scratch_path(spark, "result")
     hourly_plan.locate_hours(spark, _written(spark, sf, "mro"), d.finger_ground(spark, sf), d.finger_upper(spark, sf),
                              d.sites(spark, sf), floor_path, result_path)
-    return tables.read_partition(spark, result_path, schema=hourly_plan.LOCATED)
+    return tables.read_partition(spark, result_path, schema=hourly_plan.PLACED)

@@ -280,7 +280,7 @@ PARSED = "select " + ", ".join(
     f"coalesce({_values(n)}[2:], ['0']) {n}" if features.is_list(n) else f"coalesce({_values(n)}[2], '0') {n}"
     for n in features.FEATURES) + " from lines"
 WIDE = "select " + ", ".join(
-    ", ".join(f"{n}[{i}] as {n}_{i}" for i in range(1, 21)) if features.is_list(n) else n
+    ", ".join(f"{n}[{i}] as {n}_{i}" for i in range(1, 21)) + f", {n}[21:] as {n}_rest" if features.is_list(n) else n
     for n in features.FEATURES) + " from parsed"
 
 
@@ -296,3 +296,15 @@ def feature_table(spark, sf):
 @query("c15_t3_user_features_wide", f"with lines as ({_line_sql()}), parsed as ({PARSED}) {WIDE}")
 def user_features_wide(spark, sf):
     return features.user_features_wide(feature_lines(spark, sf))
+
+
+@query("c15_feature_values", f"""
+with lines as ({_line_sql()}),
+items as (select line, unnest(list_filter(string_split(line, '|'), lambda i: contains(i, ' '))) as item,
+                 unnest(range(1, len(list_filter(string_split(line, '|'), lambda i: contains(i, ' '))) + 1)) as n from lines),
+parts as (select string_split(list_filter(string_split(line, '|'), lambda i: lower(i) like 'uid %')[1], ' ')[2] as uid,
+                 lower(string_split(item, ' ')[1]) as feature, n, string_split(item, ' ')[2:] as found from items)
+select uid, feature, n::int as item, unnest(range(1, len(found) + 1))::int as position, unnest(found) as value from parts
+""")
+def feature_values(spark, sf):
+    return features.feature_values(feature_lines(spark, sf))

@@ -65,3 +65,11 @@ def test_salt_spreads_and_comes_off(spark):
     rows = spark.range(500).select(codes.salt_key(F.lit(9), "id").alias("s"))
     assert rows.distinct().count() == codes.SALT_BUCKETS
     assert [r.k for r in rows.select(codes.unsalt_key("s").alias("k")).distinct().collect()] == ["9"]
+
+
+def test_salted_sum_with_text_and_null_keys(table):
+    rows = table("k string, v bigint, id bigint", ("1_7", 1, 1), ("2_7", 2, 2), (None, 4, 3), ("7", 8, 4), ("1_7", 16, 5))
+    got = {r.k: (r.total, r.rows) for r in codes.salted_sum(rows, "k", "v", "id").collect()}
+    assert got == {"1_7": (17, 2), "2_7": (2, 1), None: (4, 1), "7": (8, 1)}
+    back = rows.select("k", codes.salt_key("k", "id").alias("s")).select("k", codes.unsalt_key("s").alias("b")).collect()
+    assert all(r.k == r.b for r in back)

@@ -1,7 +1,6 @@
 """Partition writes, reruns, compaction, exports, JDBC options and whole jobs."""
 
 import glob
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -93,10 +92,8 @@ def test_drop_partition_rejects_other_text(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        assert tables.shared_dir(spark) == named.rstrip("/")
-    else:
-        assert os.path.isdir(tables.shared_dir(spark))
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    assert tables.shared_dir(spark) == (named.rstrip("/") if named else f"{warehouse}/_scratch")
 
 
 def test_jdbc_options():
@@ -125,11 +122,22 @@ def test_hourly_and_daily_jobs(spark, sf, folder):
     inputs = (d.finger_ground(spark, sf), d.finger_upper(spark, sf), d.sites(spark, sf))
     assert not hourly_plan.locate_hours(spark, mro_path, *inputs, floor, result, day="20300101")
     assert hourly_plan.locate_hours(spark, mro_path, *inputs, floor, result)
-    whole = tables.cut_lineage(tables.read_partition(spark, result, schema=hourly_plan.LOCATED))
+    whole = tables.cut_lineage(tables.read_partition(spark, result, schema=hourly_plan.PLACED))
     day, hour = whole.select("day", "hour").first()
     # A single hour again: the same table comes out.
     assert hourly_plan.locate_hours(spark, mro_path, *inputs, floor, result, day=day, hour=hour)
-    assert same(whole, tables.read_partition(spark, result, schema=hourly_plan.LOCATED))
+    assert same(whole, tables.read_partition(spark, result, schema=hourly_plan.PLACED))
+    # An hour whose input no longer matches anything leaves no old rows, done alone or with the others.
+    for chosen in ({"day": day, "hour": hour}, {}):
+        other, floors, kept = folder("other"), folder("other-floor"), folder("other-result")
+        tables.write_table(hourly(spark, sf), other, ("day", "hour"))
+        hourly_plan.locate_hours(spark, other, *inputs, floors, kept)
+        lost = tables.cut_lineage(tables.read_partition(spark, other, day, hour, schema=schemas.MRO)
+                                  .withColumn("objectid", F.lit(-1).cast("bigint")))
+        tables.overwrite_partition(lost, other, day=day, hour=hour)
+        assert hourly_plan.locate_hours(spark, other, *inputs, floors, kept, **chosen)
+        assert tables.read_partition(spark, floors, day, hour, schema=hourly_plan.PLACED).isEmpty()
+        assert tables.read_partition(spark, kept, day, hour, schema=hourly_plan.PLACED).isEmpty()
 
     made = daily.report_day(spark, result, mro_path, inputs[0], folder("reports"), day, d.grid_building(spark, sf))
     samples = whole.where(F.col("day") == day)

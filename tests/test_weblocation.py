@@ -90,9 +90,19 @@ def test_answer_comes_before_request(spark):
 def test_feature_lines(spark):
     line = "uid 7|age 3 9|LBS 11|interest1 5 6 7|kw2 1|house 1|gender"
     wide = features.user_features_wide(spark.createDataFrame([(line,), ("",)], "value string"))
-    assert len(wide.columns) == 232
+    assert len(wide.columns) == 232 + 11  # each list feature has a column for the rest
     first, empty = wide.collect()
     assert (first.uid, first.age, first.lbs, first.gender, first.carrier, first.house) == ("7", "3", "11", "0", "0", "1")
     assert [first[f"interest1_{i}"] for i in (1, 2, 3, 4, 20)] == ["5", "6", "7", None, None]
     assert (first.kw2_1, first.kw2_2, first.kw1_1, first.topic3_1, first.topic3_2) == ("1", None, "0", "0", None)
     assert (empty.uid, empty.kw1_1, empty.kw1_2) == ("0", "0", None)
+
+
+def test_no_feature_value_is_lost(spark):
+    values = [str(i) for i in range(30)]
+    lines = spark.createDataFrame([("uid u1|kw1 " + " ".join(values) + "|age 3 4",)], "value string")
+    wide = features.user_features_wide(lines, slots=4).first()
+    assert [wide.kw1_1, wide.kw1_4, wide.kw1_rest] == ["0", "3", values[4:]]
+    long = features.feature_values(lines).orderBy("item", "position").collect()
+    assert [r.value for r in long if r.feature == "kw1"] == values
+    assert [r.value for r in long if r.feature == "age"] == ["3", "4"] and {r.uid for r in long} == {"u1"}
