@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from gridscope import schemas
 from gridscope.operators.fallback import with_fallback
@@ -41,12 +42,15 @@ def _write(rows: DataFrame, path: str, source: DataFrame, day: str | None, hour:
     if day and hour:
         overwrite_partition(rows, path, fmt, day=day, hour=hour)
         return
-    overwrite_partitions(by_columns(rows, *PARTITION), path, PARTITION, fmt)
+    # which hours the result has is noted while it is written
+    seen = Observation()
+    noted = rows.observe(seen, F.collect_set(F.struct(*PARTITION)).alias("hours"))
+    overwrite_partitions(by_columns(noted, *PARTITION), path, PARTITION, fmt)
+    done = {(h["day"], h["hour"]) for h in seen.get["hours"]}
     # hours are few; those that the result lacks are emptied one by one
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name not in PARTITION)
-    done = read_partition(rows.sparkSession, path, day, None, fmt, schema).select(*PARTITION).distinct()
-    for left in source.select(*PARTITION).distinct().exceptAll(done).collect():
-        overwrite_partition(rows.limit(0), path, fmt, day=left.day, hour=left.hour)
+    for left in source.select(*PARTITION).distinct().collect():
+        if (left.day, left.hour) not in done:
+            overwrite_partition(rows.limit(0), path, fmt, day=left.day, hour=left.hour)
 
 
 def build_mro(mro_wide: DataFrame, cells: DataFrame, mro_path: str, mode: str = "serving",
