@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from gridscope.llm import textarrays as ta
 
@@ -262,7 +263,7 @@ def decode_column(ids: pa.Array, path: str) -> pa.Array:
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: its key and ``ids array<int>``."""
-    schema = docs.select(key).schema.add("ids", "array<int>")
+    schema = docs.select(key).schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -291,7 +292,7 @@ def round_trips(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
     """
     schema = docs.select(key).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     if keep_ids:
-        schema = schema.add("ids", "array<int>")
+        schema = schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [str(i).encode() for i in range(merges(path).size)]
