@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridscope.llm import bpe, decontam, jaccard_join, quality, secrets
 from gridscope.sources.tables import scratch_path
@@ -24,8 +25,9 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets replaced by a mark."""
-    return secrets.redact(docs)
+    """All documents, secrets replaced by a mark; n_chars follows the text."""
+    length = F.coalesce(F.char_length("text").cast("long"), F.col("n_chars"))
+    return secrets.redact(docs).withColumn("n_chars", length)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

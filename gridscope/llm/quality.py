@@ -73,7 +73,8 @@ def _measures(docs: DataFrame, text: str) -> DataFrame:
     covered = F.aggregate(
         F.transform("_places", lambda p, i: F.least(F.lit(WINDOW), F.coalesce(F.get("_places", i + 1) - p, F.lit(WINDOW)))),
         F.lit(0), lambda total, x: total + x)
-    return places.withColumn("_m", F.struct(
+    # as a generated column, so that a filter on it is not unfolded into all the steps before
+    return places.withColumn("_m", F.explode(F.array(F.struct(
         F.col("_n").cast("long").alias("n_words"),
         F.char_length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         (F.octet_length("_t") - F.octet_length(F.regexp_replace("_t", SYMBOL, ""))).cast("long").alias("n_symbols"),
@@ -82,7 +83,7 @@ def _measures(docs: DataFrame, text: str) -> DataFrame:
         F.size(F.filter("_words", lambda w: F.lower(w).isin(*STOP_WORDS))).cast("long").alias("n_stop"),
         F.size("_lines").cast("long").alias("n_lines"),
         F.size(F.filter("_lines", lambda line: line.rlike(rf"(?:^{SPACE}*[-*•]|(?:\.\.\.|…){SPACE}*$)"))).cast("long").alias("n_marked"),
-    ))
+    ))))
 
 
 def _ratio(part: Column, whole: Column) -> Column:
