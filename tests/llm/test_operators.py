@@ -157,7 +157,7 @@ def test_secrets(spark, hard, empty):
     texts = [
         'my Password = "abc.def" and token:short then API_KEY=ABCDEFGH\x01tail', "AKIA" + "A" * 16 + " AKIAshort", "0123456789abcdef" * 2,
         "secret='" + "f" * 30, "password=token : abcdefgh", "key aB3dE5fG7hJ9kL1mN3pQ5xY7 here", "plain/words/and-more/words-here2",
-        "😀 token=" + "z9" * 10, "aaaaaaaaaaaaaaaaaaaaaaaaa1", "t0ken EXAMPLEaB3dE5fG7hJ9kL1mN3",
+        "😀 token=" + "z9" * 10, "zzzzzzzzzzzzzzzzzzzzzzzzz1", "t0ken EXAMPLEaB3dE5fG7hJ9kL1mN3",
     ]
     everything = hard.unionByName(spark.createDataFrame([(t, 100 + i, *[None] * 7) for i, t in enumerate(texts)], DOCS))
     rows = {r.doc_id: r for r in secrets.scan(everything).collect()}
