@@ -48,7 +48,8 @@ def _windows(tokens: Column, window: int, stride: int = 1) -> Column:
     """Hashes of the windows at every ``stride``-th place; one window where there are fewer tokens."""
     hashes = F.when(F.size(tokens) >= window, F.transform(
         F.sequence(F.lit(1), F.size(tokens) - (window - 1), F.lit(stride)), lambda i: F.xxhash64(F.slice(tokens, i, window))))
-    return F.coalesce(hashes, F.array(F.xxhash64(tokens)))
+    short = F.when(F.size(tokens) > 0, F.array(F.xxhash64(tokens))).otherwise(F.array().cast("array<bigint>"))
+    return F.coalesce(hashes, short)
 
 
 def _literals(tokens: Column) -> Column:
