@@ -5,7 +5,7 @@ re-parameterised question changes by typed placeholders: numbers, units after a
 names (a capitalised word inside a sentence). Windows of template tokens are hashed and joined
 with those of the benchmark. For the windows that meet, the replaced values are compared: within a document
 and item each slot value of the item must stand for one value of the document, and the other way round.
-A document is contaminated by an item if enough consistent windows meet and a run of them lies side by side.
+A document is contaminated by an item if enough consistent windows meet, wherever in the document they lie.
 
 Only DataFrame functions are used. Defined results: null or empty texts, and texts with fewer tokens than a window,
 are clean, save that a benchmark item shorter than a window is one window of its whole
@@ -44,10 +44,10 @@ def _template(text: Column) -> Column:
     return F.regexp_replace(measured, "[0-9]+", NUMBER)
 
 
-def _windows(tokens: Column, window: int, stride: int = 1) -> Column:
-    """Hashes of the windows at every ``stride``-th place; one window where there are fewer tokens."""
+def _windows(tokens: Column, window: int) -> Column:
+    """Hashes of the windows at all places; one window where there are fewer tokens."""
     hashes = F.when(F.size(tokens) >= window, F.transform(
-        F.sequence(F.lit(1), F.size(tokens) - (window - 1), F.lit(stride)), lambda i: F.xxhash64(F.slice(tokens, i, window))))
+        F.sequence(F.lit(1), F.size(tokens) - (window - 1)), lambda i: F.xxhash64(F.slice(tokens, i, window))))
     short = F.when(F.size(tokens) > 0, F.array(F.xxhash64(tokens))).otherwise(F.array().cast("array<bigint>"))
     return F.coalesce(hashes, short)
 
@@ -69,13 +69,10 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", t
     # written first, so that Spark knows its size when it chooses the join
     known = cut_lineage(spread.select("_item", "_hash", "_form", "_slots").distinct(), "benchmark-windows")
     wanted = cut_lineage(known.select("_hash").distinct(), "benchmark-hashes")
-    # a run of n windows holds one at each n-th place, so documents are probed at wider steps first
-    fewest = known.groupBy("_item").agg(F.count_distinct("_hash").alias("n")).agg(F.min("n")).first()[0]
-    stride = max(1, min(matches, fewest or 1))
 
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).where("_key is not null and _text is not null")
     hashed = texts.select("_key", _tokens(_template(F.col("_text"))).alias("_template"))
-    found = hashed.select("_key", F.explode(_windows(F.col("_template"), window, stride)).alias("_hash")) \
+    found = hashed.select("_key", F.explode(_windows(F.col("_template"), window)).alias("_hash")) \
         .join(wanted, "_hash", "left_semi").select("_key").distinct()
     # few documents are left; all their windows are compared value by value
     suspects = cut_lineage(found, "suspects")
