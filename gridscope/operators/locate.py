@@ -2,7 +2,8 @@
 
 A sample is one (objectid, mmeues1apid, time_stamp); its rows are the neighbour
 readings. A grid matches by the mean squared gap between the sample's
-serving-minus-neighbour difference and the grid's own difference.
+serving-minus-neighbour difference and the grid's own difference. Distances are rounded to
+9 decimals before the threshold and the choice, so that sums taken in another order agree.
 
 Two plans give the same rows. ``locate_by_join`` states the work as join,
 aggregate and top-1; its shuffles carry one row per sample and candidate grid.
@@ -32,6 +33,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SAMPLE_ROWS_PER_BLOCK = 100_000
 FINGER_ROWS_PER_BLOCK = 100_000
 
+#: Decimals of a distance.
+DECIMALS = 9
+
 
 def _reported(mro: DataFrame) -> DataFrame:
     return mro.where(F.col("ltescrsrp").isNotNull() & F.col("ltencrsrp").isNotNull())
@@ -68,7 +72,7 @@ def grid_distances(pairs: DataFrame, min_matches: int = 2, max_distance: float |
     gap = F.col("seen_gap") - F.col("grid_gap")
     scored = (
         pairs.groupBy(*SAMPLE_KEY, *SERVING, *carry, "gridid", "height")
-        .agg(F.avg(gap * gap).alias("distance"), F.count(F.lit(1)).alias("matches"))
+        .agg(F.round(F.avg(gap * gap), DECIMALS).alias("distance"), F.count(F.lit(1)).alias("matches"))
         .where(F.col("matches") >= min_matches)
         .drop("matches")
     )
@@ -194,7 +198,9 @@ def _block_matcher(described, min_matches, max_distance, cells_per_chunk=1_000_0
 
     With count n, sum s and sum of squares q per neighbour on either side, the
     squared gaps of all row pairs add up to q_r*n_g - 2*s_r*s_g + n_r*q_g, which
-    is three matrix products over the shared neighbours.
+    is three matrix products over the shared neighbours. The products cancel, so unless
+    all their terms are exact, every grid that comes close to a sample's minimum is
+    scored again by its gaps.
     """
 
     def match(readings: pa.Table, finger: pa.Table) -> pa.Table:
@@ -210,6 +216,8 @@ def _block_matcher(described, min_matches, max_distance, cells_per_chunk=1_000_0
         r = [a[r_keep] for a in (sample, *(_numbers(readings, c) for c in ("n", "gap", "gap2")))]
         g = [a[g_keep] for a in (grid, *(_numbers(finger, c) for c in ("n", "gap", "gap2")))]
         n_samples, n_grids = len(sample_first), len(grid_first)
+        exact = _exact(r) and _exact(g)
+        margin = _margin(r, g)
         best = np.full(n_samples, np.inf)
         best_at = np.full(n_samples, -1, dtype=np.int64)
         for g_lo in range(0, n_grids, grids_per_chunk):
@@ -228,6 +236,13 @@ def _block_matcher(described, min_matches, max_distance, cells_per_chunk=1_000_0
                 scored = pairs >= max(min_matches, 1)
                 distance = np.full_like(total, np.inf)
                 np.divide(np.maximum(total, 0.0), pairs, out=distance, where=scored)
+                i, j = np.nonzero((distance <= distance.min(axis=1, keepdims=True) + margin) & scored)
+                if exact:
+                    close = distance[i, j]
+                else:
+                    close = _direct(r, r_nb, (s_lo, s_hi), i, g, g_nb, (g_lo, g_hi), j,
+                                    shared, neighbours_per_chunk) / pairs[i, j]
+                distance[i, j] = np.round(close, DECIMALS)
                 at = distance.argmin(axis=1)
                 value = distance[np.arange(len(at)), at]
                 better = value < best[s_lo:s_hi]
@@ -244,6 +259,41 @@ def _block_matcher(described, min_matches, max_distance, cells_per_chunk=1_000_0
     return match
 
 
+def _exact(side) -> bool:
+    """Whether all sums are multiples of 1/1024 so small that their products lose nothing."""
+    return all(np.array_equal(v * 1024, np.rint(v * 1024)) and (not len(v) or np.abs(v).max() < 1e6) for v in side[1:])
+
+
+def _margin(r, g) -> float:
+    """More than the products can be wrong by, as a mean over the row pairs."""
+    largest = sum(float((side[3] / side[1]).max()) if len(side[1]) else 0.0 for side in (r, g))
+    return 4 * 10.0 ** -DECIMALS + 1e-11 * largest
+
+
+def _direct(r, r_nb, r_rows, i, g, g_nb, g_rows, j, shared, columns, pairs_at_once=4096) -> np.ndarray:
+    """Sum of the squared gaps of samples ``i`` and grids ``j``, places in the two row ranges.
+
+    Per neighbour it is n_r*n_g times the squared gap of the means, and what the rows of each
+    side differ from their mean.
+    """
+
+    def centred(side):
+        owner, n, gap, gap2 = side
+        return owner, n, gap / n, np.where(n > 1, np.maximum(gap2 - gap * gap / n, 0.0), 0.0)
+
+    r, g = centred(r), centred(g)
+    total = np.zeros(len(i))
+    for k in range(0, shared, columns):
+        span = (k, min(k + columns, shared))
+        rn, rm, rv = _dense(r, r_nb, r_rows, span)
+        gn, gm, gv = _dense(g, g_nb, g_rows, span)
+        for at in range(0, len(i), pairs_at_once):
+            a, b = i[at: at + pairs_at_once], j[at: at + pairs_at_once]
+            gaps = rn[a] * gn[b] * (rm[a] - gm[b]) ** 2 + gn[b] * rv[a] + rn[a] * gv[b]
+            total[at: at + pairs_at_once] += gaps.sum(axis=1)
+    return total
+
+
 def _codes_in_order(table: pa.Table, columns: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """Group numbers of a table already sorted by the columns, counted in that order."""
     new = np.zeros(table.num_rows, dtype=bool)

@@ -73,9 +73,9 @@ def finger(spark: SparkSession, sf: str) -> DataFrame:
         "objectid",
         grid_text("google_gci", "google_gri").alias("gridid"),
         centre["lon"].alias("longitude"), centre["lat"].alias("latitude"),
-        (-(60 + F.col("p_size"))).cast("double").alias("rsrp"),
+        (-(60 + F.col("p_size")) - F.col("p_partkey") % 4 / F.lit(10.0)).alias("rsrp"),
         ((F.col("objectid") + F.col("k")) % CELLS).cast("bigint").alias("n_objectid"),
-        (-(60 + (F.col("p_size") * 7 + F.col("k") * 13) % 60)).cast("double").alias("n_rsrp"),
+        (-(60 + (F.col("p_size") * 7 + F.col("k") * 13) % 60) + F.col("k") % 3 / F.lit(10.0)).alias("n_rsrp"),
         F.col("grid_height").alias("height"),
     )
 

@@ -32,8 +32,8 @@ join lineitem on o_orderkey = l_orderkey
     "finger": f"""
 select objectid, google_gci || '_' || google_gri gridid,
  {GRID_LON.format(gci='google_gci')} longitude, {GRID_LAT.format(gri='google_gri')} latitude,
- cast(-(60 + p_size) as double) rsrp, (objectid + k) % 200 n_objectid,
- cast(-(60 + (p_size * 7 + k * 13) % 60) as double) n_rsrp, grid_height height
+ -(60 + p_size) - p_partkey % 4 / 10.0::double rsrp, (objectid + k) % 200 n_objectid,
+ -(60 + (p_size * 7 + k * 13) % 60) + k % 3 / 10.0::double n_rsrp, grid_height height
 from (select *, p_partkey % 200 objectid from grids) g, unnest(range(1, 22)) e(k)
 where k <= case when objectid % 10 = 0 then 21 else 7 end
 """,

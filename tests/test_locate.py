@@ -2,6 +2,7 @@
 
 import random
 from collections import defaultdict
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +76,29 @@ def test_locate_equals_brute_force(table, seed, method):
         assert got[key][0] == pytest.approx(distance, abs=1e-9) and got[key][1:] == (height, gridid)
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_near_ties_of_fractional_signals(table, seed):
+    """Gaps in tenths and thirds: exact distances, rounded, decide; both plans agree with them."""
+    rng = random.Random(seed)
+    tenth, third = Fraction(1, 10), Fraction(1, 3)
+    grids = [(g, n, rng.choice([-7, -3, -1, 0, 1, 3, 7]) * rng.choice([tenth, third]) - rng.choice([5, 6]))
+             for g in range(120) for n in range(4)]
+    seen = {u: [rng.randrange(4, 8) for _ in range(4)] for u in range(60)}
+    mro = [(0, f"u{u}", "t", 60, 1, 3.0, n, 60 - gaps[n]) for u, gaps in seen.items() for n in range(4)]
+    finger = [(0, f"{g:03d}_0", 117.0, 32.0, -60.0, n, float(-60 - gap), 0) for g, n, gap in grids]
+    by_grid = defaultdict(list)
+    for g, n, gap in grids:
+        by_grid[f"{g:03d}_0"].append((n, gap))
+    expected = {}
+    for u, gaps in seen.items():
+        distance, gridid = min((round(sum((gaps[n] - gap) ** 2 for n, gap in known) / 4, L.DECIMALS), gridid)
+                               for gridid, known in by_grid.items())
+        expected[0, f"u{u}", "t"] = (float(distance), 0, gridid)
+    samples, known = table(MRO, *mro, *mro[:40]), table(schemas.FINGER, *finger)
+    assert found(L.locate(samples, known, sample_rows=50, finger_rows=100)) == expected
+    assert found(L.locate_by_join(samples, known)) == expected
+
+
 @pytest.mark.parametrize("method", [L.locate_by_join, L.locate])
 def test_limits(table, method):
     mro_rows, finger_rows = make_data(9)
