@@ -12,30 +12,31 @@ from gridscope.sources import tables
 
 CARRY = ("day", "hour")
 
+# A reading meets a grid where both know the same pair of cells.
 CANDIDATES = """
-select c1.objectid, c1.mmeues1apid, c1.time_stamp, c1.ltescrsrp, c1.ltescrsrq, c1.ltescsinrul, c1.day, c1.hour,
- c2.gridid, c2.height, (c1.ltescrsrp - c1.ltencrsrp) - (c2.rsrp - c2.n_rsrp) gap
-from mro c1 join finger c2 on c1.objectid = c2.objectid and c1.ncellobjectid = c2.n_objectid
+from (select *, ltescrsrp - ltencrsrp as seen from mro where ltescrsrp is not null and ltencrsrp is not null)
+join (select objectid, n_objectid as ncellobjectid, gridid, height, rsrp - n_rsrp as kept from finger)
+using (objectid, ncellobjectid)
+select objectid, mmeues1apid, time_stamp, ltescrsrp, ltescrsrq, ltescsinrul, day, hour, gridid, height, seen - kept as gap
 """
+# The mean of the squares over two readings or more, to nine decimals.
 DISTANCES = """
-select objectid, mmeues1apid, time_stamp, ltescrsrp, ltescrsrq, ltescsinrul, day, hour, gridid, height,
- sum(gap * gap) / count(*) distance, count(*) matches
-from candidates group by all having count(*) > 1
+select * exclude (gap), round(avg(gap ** 2), 9) as distance, count(gap) as matches from candidates
+group by all having matches >= 2
 """
+# The least (distance, floor, grid) of each sample; the other fields follow to keep the row together.
 LOCATED = """
-select * exclude (rn, matches) from (
- select *, row_number() over (partition by objectid, mmeues1apid, time_stamp order by distance, height, gridid) rn
- from distances) r where rn = 1
+select objectid, mmeues1apid, time_stamp, unnest(best) from (
+ select objectid, mmeues1apid, time_stamp, min(struct_pack(distance := distance, height := height, gridid := gridid,
+  ltescrsrp := ltescrsrp, ltescrsrq := ltescrsrq, ltescsinrul := ltescsinrul, day := day, hour := hour)) as best
+ from distances group by all)
 """
 SERVING = """
 select objectid, mmeues1apid, time_stamp, ltescrsrp, ltescrsrq, ltescsinrul, ta, aoa, day, hour from (
  select *, row_number() over (partition by objectid, mmeues1apid, time_stamp
   order by ltescrsrp desc, ltescrsrq, ltescsinrul, ta, aoa) rn from mro) r where rn = 1
 """
-UNLOCATED = """
-select s.* from serving s where not exists (select 1 from located l where l.objectid = s.objectid
- and l.mmeues1apid = s.mmeues1apid and l.time_stamp = s.time_stamp)
-"""
+UNLOCATED = "from serving anti join located using (objectid, mmeues1apid, time_stamp)"
 POINTS = """
 select u.*, x / 20037508.34::double * 180 longitude,
  180 / pi() * (2 * atan(exp(y / 20037508.34::double * 180 * pi() / 180)) - pi() / 2) latitude
@@ -47,13 +48,15 @@ from (
  from (select *, 300000.0::double * greatest(ta * 16, 6) / 30720 / 2 reach from {samples}) {samples}
  join sites using (objectid)) u
 """
+# Each quantised place stands for its least (floor, grid) on the ground.
 SNAPPED = """
-select * exclude (rk) from (
- select p.objectid, mmeues1apid, time_stamp, ltescrsrp, ltescrsrq, ltescsinrul, day, hour, g.gridid, g.height,
-  row_number() over (partition by p.objectid, mmeues1apid, time_stamp order by ltescrsrp desc, g.height, g.gridid) rk
- from points p join (select distinct gridid, longitude, latitude, height from finger where height = 0) g
- on cast(p.longitude as decimal(18,4)) = cast(g.longitude as decimal(18,4))
- and cast(p.latitude as decimal(18,4)) = cast(g.latitude as decimal(18,4))) r where rk = 1
+with places as (
+ select longitude::decimal(18,4) as qlon, latitude::decimal(18,4) as qlat,
+  min(struct_pack(height := height, gridid := gridid)) as spot
+ from finger where height = 0 group by all),
+reached as (select *, longitude::decimal(18,4) as qlon, latitude::decimal(18,4) as qlat from points)
+select objectid, mmeues1apid, time_stamp, ltescrsrp, ltescrsrq, ltescsinrul, day, hour, unnest(spot)
+from reached join places using (qlon, qlat)
 """
 ALL_LOCATED = """
 select * exclude (distance) from located
@@ -85,12 +88,12 @@ def all_located(spark, sf):
 
 
 @query("j1_candidate_join", with_tables("mro finger", """
-select objectid, gridid, height, count(*) as pairs, sum(gap) as gap_sum from candidates group by 1, 2, 3
+select objectid, gridid, height, count(*) as pairs, round(sum(gap), 6) as gap_sum from candidates group by 1, 2, 3
 """, candidates=CANDIDATES))
 def candidate_join(spark, sf):
     pairs = locate.candidate_pairs(d.mro(spark, sf), locate.all_layers(d.finger(spark, sf)))
     return pairs.groupBy("objectid", "gridid", "height").agg(
-        F.count(F.lit(1)).alias("pairs"), F.sum(F.col("seen_gap") - F.col("grid_gap")).alias("gap_sum"))
+        F.count(F.lit(1)).alias("pairs"), F.round(F.sum(F.col("seen_gap") - F.col("grid_gap")), 6).alias("gap_sum"))
 
 
 @query("a1_grid_distances", with_tables("mro finger", """
@@ -183,9 +186,8 @@ def located_with_fallback(spark, sf):
 
 
 PAIR_COUNTS = """
-select c1.objectid, count(*) objectcount from (select distinct objectid, ncellobjectid from mro) c1
-join (select distinct objectid, n_objectid from finger) c2
-on c1.objectid = c2.objectid and c1.ncellobjectid = c2.n_objectid group by c1.objectid
+select objectid, count(*) as objectcount from (
+ select objectid, ncellobjectid from mro intersect select objectid, n_objectid from finger) group by objectid
 """
 HEAVY = """
 select objectid from counts where objectcount >= 2.3 * (select avg(objectcount) from counts)
