@@ -12,8 +12,7 @@ from gridscope.functions.codes import antenna_to_objectid
 from gridscope.functions.geo import grid_centre, grid_text
 from gridscope.schemas import FINGER_COLUMNS
 
-# Antenna slots of a raw fingerprint row, floors of the layered library.
-ANTENNA_SLOTS = 7
+# Floors of the layered library.
 MAX_HEIGHT = 200
 HEIGHT_STEP = 5
 
@@ -23,6 +22,12 @@ INDOOR_SPREAD = 20.0
 INDOOR_SITE_TYPE = 0
 
 
+def _slots(raw: DataFrame) -> list[int]:
+    """The numbers of the columns ``antenna_0``, ``antenna_1`` and so on, as many as there are."""
+    numbered = (c.lower().removeprefix("antenna_") for c in raw.columns if c.lower().startswith("antenna_"))
+    return sorted(int(k) for k in numbered if k.isdecimal())
+
+
 def _slot(k: int) -> Column:
     return F.struct(
         antenna_to_objectid(f"antenna_{k}").cast("bigint").alias("n_objectid"),
@@ -44,7 +49,7 @@ def _grid_columns(raw: DataFrame) -> DataFrame:
 def antenna_readings(raw: DataFrame) -> DataFrame:
     """One row per filled antenna slot of a grid."""
     filled = F.filter(
-        F.array(*[_slot(k) for k in range(ANTENNA_SLOTS)]),
+        F.array(*[_slot(k) for k in _slots(raw)]),
         lambda slot: slot["n_objectid"].isNotNull() & slot["n_rsrp"].isNotNull(),
     )
     return (
@@ -61,7 +66,7 @@ def antenna_readings_by_union(raw: DataFrame) -> DataFrame:
         grids.select("gridid", "longitude", "latitude", "height", _slot(k).alias("_slot"))
         .select("gridid", "longitude", "latitude", "height", "_slot.n_objectid", "_slot.n_rsrp")
         .where(F.col("n_objectid").isNotNull() & F.col("n_rsrp").isNotNull())
-        for k in range(ANTENNA_SLOTS)
+        for k in _slots(raw)
     ]
     return reduce(DataFrame.unionByName, slots)
 

@@ -13,7 +13,6 @@ from gridscope.functions.geo import HAVERSINE_RADIUS_KM, haversine_metres
 from gridscope.operators.ranking import global_row_number, rank_slice
 from gridscope.sources.tables import cut_lineage
 
-NEIGHBOUR_SLOTS = 8
 CHANNEL = ["earfcn", "pci"]
 LIST_BUCKETS = 32
 # A tile with more cells than this is split before distances are taken.
@@ -160,7 +159,7 @@ def reported_channels(mro_wide: DataFrame, cells: DataFrame, mode: str = "servin
     if mode == "serving":
         asked = mro_wide.select("eci", F.col("ltescearfcn").alias("earfcn"), F.col("ltescpci").alias("pci"))
     else:
-        slots = F.explode(_readings("ltencrsrp", "ltencearfcn", "ltencpci")).alias("_slot")
+        slots = F.explode(_readings(mro_wide, "ltencrsrp", "ltencearfcn", "ltencpci")).alias("_slot")
         asked = mro_wide.select("eci", slots).select(
             "eci", F.col("_slot.ltencearfcn").alias("earfcn"), F.col("_slot.ltencpci").alias("pci"))
     return asked.distinct().join(cells.select("eci", "longitude", "latitude"), "eci")
@@ -174,20 +173,33 @@ SAMPLE_COLUMNS = {
 }
 
 
-def _readings(*fields: str) -> Column:
-    """Filled neighbour slots as an array of structs, from the numbered columns of each field."""
+def _slots(columns: Sequence[str], field: str) -> list[int]:
+    """The numbers of the columns ``field_1``, ``field_2`` and so on, as many as there are."""
+    numbered = (c.lower().removeprefix(f"{field}_") for c in columns if c.lower().startswith(f"{field}_"))
+    return sorted(int(n) for n in numbered if n.isdecimal())
+
+
+def _readings(wide: DataFrame, *fields: str) -> Column:
+    """Filled neighbour slots as an array of structs, from the numbered columns of each field.
+
+    A slot counts if the first field has its column; a further field without that column is null there.
+    """
+    known = {field: set(_slots(wide.columns, field)) for field in fields}
+    kinds = {c.lower(): kind for c, kind in wide.dtypes}
+    types = {field: kinds[f"{field}_{min(known[field])}"] for field in fields}
     slots = F.array(*[
-        F.struct(*[F.col(f"{field}_{i}").alias(field) for field in fields])
-        for i in range(1, NEIGHBOUR_SLOTS + 1)
+        F.struct(*[(F.col(f"{field}_{i}") if i in known[field] else F.lit(None)).cast(types[field]).alias(field)
+                   for field in fields])
+        for i in sorted(known[fields[0]])
     ])
     return F.filter(slots, lambda slot: slot[fields[0]].isNotNull())
 
 
 def unpivot_neighbours(mro_wide: DataFrame) -> DataFrame:
     """One row per filled neighbour slot."""
-    slots = {f"ltencrsrp_{i}" for i in range(1, NEIGHBOUR_SLOTS + 1)}
+    slots = {f"ltencrsrp_{i}" for i in _slots(mro_wide.columns, "ltencrsrp")}
     kept = [c for c in mro_wide.columns if c.lower() not in slots]
-    return mro_wide.select(*kept, F.explode(_readings("ltencrsrp")).alias("_slot")) \
+    return mro_wide.select(*kept, F.explode(_readings(mro_wide, "ltencrsrp")).alias("_slot")) \
         .select(*kept, "_slot.ltencrsrp")
 
 
@@ -206,11 +218,11 @@ def resolve_neighbours(mro_wide: DataFrame, nearest: DataFrame, mode: str = "ser
         return (
             mro_wide.withColumnsRenamed({"ltescearfcn": "earfcn", "ltescpci": "pci"})
             .join(known, ["eci", *CHANNEL])
-            .select(*sample, "ncellobjectid", F.explode(_readings("ltencrsrp")).alias("_slot"))
+            .select(*sample, "ncellobjectid", F.explode(_readings(mro_wide, "ltencrsrp")).alias("_slot"))
             .select("*", "_slot.ltencrsrp").drop("_slot")
         )
     if mode == "paired":
-        slots = F.explode(_readings("ltencrsrp", "ltencearfcn", "ltencpci")).alias("_slot")
+        slots = F.explode(_readings(mro_wide, "ltencrsrp", "ltencearfcn", "ltencpci")).alias("_slot")
         return (
             mro_wide.select("*", slots)
             .select(*mro_wide.columns, "_slot.ltencrsrp", F.col("_slot.ltencearfcn").alias("earfcn"),

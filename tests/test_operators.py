@@ -156,3 +156,17 @@ def test_mdt_points_with_missing_keys_do_not_count(table):
     ground = table("gridid string, longitude double, latitude double", ("g", 1.0, 2.0), ("h", 3.0, 4.0), ("h", 3.0, 4.0))
     rows = {r.gridid: (r.avgrsrp, r.mdtpoint) for r in mdt.mdt_grid_stats(located, ground).collect()}
     assert rows == {"g": (-75.0, 1), "h": (0.0, 0)}
+
+
+def test_slots_follow_the_columns(table, spark):
+    wide = spark.sql("""select 1L eci, -70 ltencrsrp_1, cast(null as int) ltencrsrp_2, -71 ltencrsrp_9, -72 ltencrsrp_12,
+                        5 ltencearfcn_1, 6 ltencearfcn_9, 7 ltencpci_1, 8 ltencpci_9""")
+    rows = neighbours.unpivot_neighbours(wide.select("eci", "ltencrsrp_1", "ltencrsrp_2", "ltencrsrp_9", "ltencrsrp_12"))
+    assert rows.columns == ["eci", "ltencrsrp"] and sorted(r.ltencrsrp for r in rows.collect()) == [-72, -71, -70]
+    cells = spark.sql("select 1L eci, 117.0D longitude, 32.0D latitude")
+    asked = neighbours.reported_channels(wide, cells, "paired")
+    assert {(r.earfcn, r.pci) for r in asked.collect()} == {(5, 7), (6, 8), (None, None)}
+    raw = spark.sql("""select 100L google_gci, 200L google_gri, 0 grid_height, '1_1' antenna_0, -60D rsrp_0,
+                       '1_2' antenna_9, -61D rsrp_9""")
+    assert {r.n_objectid for r in fingerprint.antenna_readings(raw).collect()} == {257, 258}
+    assert fingerprint.antenna_readings_by_union(raw).count() == 2
