@@ -150,9 +150,14 @@ def build_fingerprint_layers(service: Mapping[int, DataFrame],
     return ground_layer(finger), upper_layers(finger)
 
 
+def measured_grids(mdt_grids: DataFrame) -> DataFrame:
+    """The grids that have a measured mean signal; 0 stands for none."""
+    return mdt_grids.where(F.col("avgrsrp") != 0.0)
+
+
 def calibrate_fingerprint(finger: DataFrame, mdt_grids: DataFrame) -> DataFrame:
     """Fingerprint with the measured mean signal where there is one."""
-    measured = mdt_grids.where(F.col("avgrsrp") != 0.0).select(
+    measured = measured_grids(mdt_grids).select(
         "gridid", F.col("longitude").alias("_lon"), F.col("latitude").alias("_lat"), "avgrsrp")
     return finger.join(measured, "gridid", "left").select(
         "objectid", "gridid",

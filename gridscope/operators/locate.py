@@ -53,6 +53,11 @@ def all_layers(*fingers: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, needed)
 
 
+def sample_rows(mro: DataFrame) -> DataFrame:
+    """The sample columns of reports, with the interference ratio as a double."""
+    return mro.select(*SAMPLE_KEY, *SERVING, "ta", "aoa").withColumn("ltescsinrul", F.col("ltescsinrul").cast("double"))
+
+
 def candidate_pairs(mro: DataFrame, finger: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Every neighbour reading beside every grid that knows the same cell pair."""
     readings = _reported(mro).select(

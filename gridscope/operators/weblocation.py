@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from itertools import groupby
 
@@ -283,16 +284,26 @@ class _Request:
         return F.get(F.filter(tried, lambda points: points.isNotNull()), F.lit(0))
 
 
+def _any_key(rules) -> str:
+    """A pattern that every request with a point has somewhere in lower case."""
+    keys = {(rule.lat if isinstance(rule, (TwoKeys, PathParts)) else rule.key).lower() for rule in rules}
+    return "|".join(re.sub(r"([^a-z0-9])", r"\\\1", key) for key in sorted(keys))
+
+
 def with_uri_points(logs: DataFrame, uri: str = "uri", name: str = "points", strict: bool = False,
-                    rules=URI_RULES) -> DataFrame:
+                    rules=URI_RULES, wanted: Column | None = None) -> DataFrame:
     """Adds the points of a request as an array, by the first rule that yields any.
 
-    Keys count anywhere in an item; ``strict`` wants them at its start.
+    Keys count anywhere in an item; ``strict`` wants them at its start. A request without any key, or one that is
+    not ``wanted``, is not taken apart.
     """
-    prepared = logs.withColumn("_low", F.lower(F.col(uri))).withColumn("_items", _cut(F.col(uri), ITEM_CUT))
+    low = F.lower(F.col(uri))
+    asked = low.rlike(_any_key(rules)) if wanted is None else wanted & low.rlike(_any_key(rules))
+    prepared = logs.withColumn("_low", F.when(asked, low)) \
+        .withColumn("_items", F.when(F.col("_low").isNotNull(), _cut(F.col(uri), ITEM_CUT)))
     request = _Request(F.col(uri), F.col("_low"), F.col("_items"), strict)
     runs = [request.first_points(kind, list(run)) for kind, run in groupby(rules, type)]
-    return prepared.withColumn(name, F.coalesce(*runs)).drop("_low", "_items")
+    return prepared.withColumn(name, F.when(F.col("_low").isNotNull(), F.coalesce(*runs))).drop("_low", "_items")
 
 
 def uri_locations(logs: DataFrame, strict: bool = False) -> DataFrame:
@@ -374,7 +385,8 @@ def content_locations(logs: DataFrame) -> DataFrame:
 
 def extract_locations(logs: DataFrame, strict: bool = False) -> DataFrame:
     """The location of each log row, from the answer or else from the request."""
-    rows = with_uri_points(logs, strict=strict).withColumn("_found", content_location("host", "content"))
+    answered = logs.withColumn("_found", content_location("host", "content"))
+    rows = with_uri_points(answered, strict=strict, wanted=F.col("_found").isNull())
     point = F.get("points", F.lit(0))
     located = F.col("_found").isNotNull()
     return rows.select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from gridscope import schemas
@@ -20,6 +22,18 @@ def build(raw: DataFrame, cells: DataFrame, ground_path: str, upper_path: str) -
     return _replace(ground, ground_path), _replace(upper, upper_path)
 
 
+def build_layers(spark: SparkSession, serving: str, neighbour: str, ground_path: str, upper_path: str,
+                 heights: Iterable[int] = fingerprint.floors()) -> tuple[DataFrame, DataFrame]:
+    """Ground and upper fingerprint tables from one serving and one neighbour table per floor.
+
+    ``serving`` and ``neighbour`` are paths in which ``{height}`` stands for the floor.
+    """
+    heights = list(heights)
+    ground, upper = fingerprint.build_fingerprint_layers(
+        *({h: spark.read.parquet(path.format(height=h)) for h in heights} for path in (serving, neighbour)))
+    return _replace(ground, ground_path), _replace(upper, upper_path)
+
+
 def calibrate(spark: SparkSession, points: DataFrame, ground_path: str, stats_path: str,
               calibrated_path: str) -> DataFrame:
     """Drive-test statistics per grid, and the ground fingerprint corrected with them."""

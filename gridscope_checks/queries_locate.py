@@ -246,13 +246,11 @@ def rank_slice(spark, sf):
 
 
 @query("p2_sample_projection", with_tables("mro", """
-select cast(objectid as integer) as objectid, mmeues1apid, time_stamp, ltescrsrp, ltescrsrq, ltescsinrul, ta, aoa
+select objectid, mmeues1apid, time_stamp, ltescrsrp, ltescrsrq, cast(ltescsinrul as double) as ltescsinrul, ta, aoa
 from mro
 """))
 def sample_projection(spark, sf):
-    kinds = {"objectid": "int", "ltescsinrul": "double"}
-    names = ["objectid", "mmeues1apid", "time_stamp", "ltescrsrp", "ltescrsrq", "ltescsinrul", "ta", "aoa"]
-    return d.mro(spark, sf).select(*[F.col(n).cast(kinds[n]).alias(n) if n in kinds else F.col(n) for n in names])
+    return locate.sample_rows(d.mro(spark, sf))
 
 
 @query("p8_quantised_points", with_tables("finger", """
