@@ -368,3 +368,17 @@ def test_hash_spans_tell_words_apart():
     starts, ends, _ = textarrays.words(data, np.array([0, len(data)]))
     hashes = textarrays.hash_spans(data, starts, ends)
     assert hashes[0] == hashes[2] and len(set(hashes.tolist())) == 4
+
+
+def test_decontamination_of_windows_that_lie_apart(spark):
+    """Four windows of an item, each between other words, whatever their places in the document."""
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
+    item = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+
+    def apart(windows, gap):
+        return " ".join(" ".join(f"other{chr(97 + i)}{chr(97 + k)}" for k in range(gap)) + " " + " ".join(words[i * 11: i * 11 + 8])
+                        for i in range(windows))
+
+    rows = [(gap * 10 + windows, apart(windows, gap)) for gap in (1, 2, 3, 5) for windows in (3, 4)]
+    judged = decontam.judge(spark.createDataFrame(rows, "doc_id long, text string"), item).collect()
+    assert {r.doc_id: r.contaminated for r in judged} == {key: key % 10 == 4 for key, _ in rows}
