@@ -3,8 +3,9 @@
 Tokens are longest runs of letters and digits, in lower case. A template replaces the parts that a
 re-parameterised question changes by typed placeholders: numbers, units after a number, and
 names (a capitalised word inside a sentence). Windows of template tokens are hashed and joined
-with those of the benchmark. For the windows that meet, the replaced values are compared: within a document
-and item each slot value of the item must stand for one value of the document, and the other way round.
+with those of the benchmark. For the windows that meet, the replaced values are compared: within an occurrence
+(windows of a text and an item at one distance of their places) each slot value of the item must stand for one value
+of the document, and the other way round; a window with the item's own values counts in any case.
 A document is contaminated by an item if enough consistent windows meet, wherever in the document they lie.
 
 Only DataFrame functions are used. Defined results: null or empty texts, and texts with fewer tokens than a window,
@@ -52,6 +53,11 @@ def _windows(tokens: Column, window: int) -> Column:
     return F.coalesce(hashes, short)
 
 
+def _place(form: str, at: str) -> Column:
+    """The place of a window that has slots; others need none, as nothing in them can differ."""
+    return F.when(F.exists(form, lambda t: t.rlike(f"[{NUMBER}{NAME}{UNIT}]")), F.col(at))
+
+
 def _literals(tokens: Column) -> Column:
     return F.size(F.filter(tokens, lambda t: ~t.rlike(f"[{NUMBER}{NAME}{UNIT}]")))
 
@@ -67,7 +73,8 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", t
         .withColumn("_form", F.slice("_template", F.col("_at") + 1, window)) \
         .where(_literals(F.col("_form")) >= F.least(F.lit(literals), F.size("_form")))
     # written first, so that Spark knows its size when it chooses the join
-    known = cut_lineage(spread.select("_item", "_hash", "_form", "_slots").distinct(), "benchmark-windows")
+    known = cut_lineage(spread.select("_item", "_hash", "_form", "_slots", _place("_form", "_at").alias("_item_at")).distinct(),
+                        "benchmark-windows")
     wanted = cut_lineage(known.select("_hash").distinct(), "benchmark-hashes")
 
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).where("_key is not null and _text is not null")
@@ -78,25 +85,29 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", t
     suspects = cut_lineage(found, "suspects")
     again = texts.join(suspects, "_key", "left_semi") \
         .withColumn("_template", _tokens(_template(F.col("_text")))).withColumn("_values", _tokens(F.col("_text"))) \
-        .select("_key", "_template", "_values", F.posexplode(_windows(F.col("_template"), window)).alias("_at", "_hash")) \
-        .select("_key", "_hash", F.slice("_template", F.col("_at") + 1, window).alias("_doc_form"),
-                F.slice("_values", F.col("_at") + 1, window).alias("_doc_slots"))
-    met = again.join(wanted, "_hash", "left_semi").distinct().join(known, "_hash").where(F.col("_doc_form") == F.col("_form"))
+        .select("_key", F.xxhash64("_text").alias("_which"), "_template", "_values",
+                F.posexplode(_windows(F.col("_template"), window)).alias("_at", "_hash")) \
+        .select("_key", "_which", "_hash", "_at", F.slice("_template", F.col("_at") + 1, window).alias("_doc_form"),
+                F.slice("_values", F.col("_at") + 1, window).alias("_doc_slots")) \
+        .withColumn("_at", _place("_doc_form", "_at"))
+    met = again.join(wanted, "_hash", "left_semi").distinct().join(known, "_hash").where(F.col("_doc_form") == F.col("_form")) \
+        .withColumn("_shift", F.col("_at") - F.col("_item_at"))
     pairs = met.withColumn("_pairs", F.filter(
         F.transform("_form", lambda t, i: F.when(
             t.rlike(f"[{NUMBER}{NAME}{UNIT}]"),
             F.struct(F.get("_slots", i).alias("item"), F.get("_doc_slots", i).alias("doc")))), lambda p: p.isNotNull()))
-    # a slot value that stands for several values is inconsistent, as are the windows that hold it
-    slots = pairs.select("_key", "_item", F.explode(F.array_distinct("_pairs")).alias("p")) \
-        .select("_key", "_item", "p.item", "p.doc").distinct()
-    forth = slots.groupBy("_key", "_item", "item").agg(F.count(F.lit(1)).alias("n")).where("n > 1") \
-        .groupBy("_key", "_item").agg(F.collect_set("item").alias("_bad_items"))
-    back = slots.groupBy("_key", "_item", "doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1") \
-        .groupBy("_key", "_item").agg(F.collect_set("doc").alias("_bad_docs"))
+    # a slot value that stands for several values of one occurrence is inconsistent, as are the windows that hold it
+    whose = ["_key", "_which", "_item", "_shift"]
+    slots = pairs.select(*whose, F.explode(F.array_distinct("_pairs")).alias("p")).select(*whose, "p.item", "p.doc").distinct()
+    forth = slots.groupBy(*whose, "item").agg(F.count(F.lit(1)).alias("n")).where("n > 1") \
+        .groupBy(*whose).agg(F.collect_set("item").alias("_bad_items"))
+    back = slots.groupBy(*whose, "doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1") \
+        .groupBy(*whose).agg(F.collect_set("doc").alias("_bad_docs"))
     nothing = F.array().cast("array<string>")
-    judged = pairs.join(forth, ["_key", "_item"], "left").join(back, ["_key", "_item"], "left").where(
-        ~F.exists("_pairs", lambda p: F.array_contains(F.coalesce("_bad_items", nothing), p["item"])
-                  | F.array_contains(F.coalesce("_bad_docs", nothing), p["doc"])))
+    judged = pairs.join(forth, whose, "left").join(back, whose, "left").where(
+        (F.col("_slots") == F.col("_doc_slots"))
+        | ~F.exists("_pairs", lambda p: F.array_contains(F.coalesce("_bad_items", nothing), p["item"])
+                    | F.array_contains(F.coalesce("_bad_docs", nothing), p["doc"])))
     counts = judged.groupBy("_key", "_item").agg(F.count_distinct("_hash").alias("_n"))
     sizes = known.groupBy("_item").agg(F.count_distinct("_hash").alias("_of"))
     return counts.join(sizes, "_item").where(F.col("_n") >= F.least(F.lit(matches), "_of")) \
