@@ -8,9 +8,13 @@ with those of the benchmark. For the windows that meet, the replaced values are
 of the document, and the other way round; a window with the item's own values counts in any case.
 A document is contaminated by an item if enough consistent windows meet, wherever in the document they lie.
 
-Only DataFrame functions are used. Defined results: null or empty texts, and texts with fewer tokens than a window,
-are clean, save that a benchmark item shorter than a window is one window of its whole
-length and is looked for in documents of that length; repeated rows are judged alike; null keys never match.
+An item shorter than a window is one window of its whole length, and documents are cut at the lengths of such items
+too, so that it is found inside longer texts. Whether a first word is a name depends on what stands before it, and windows
+dense in numbers or names have too few plain tokens; an item with fewer than the wanted windows without these has
+windows of its plain values besides, and is also found where those stand as they are.
+
+Only DataFrame functions are used. Defined results: null texts and texts without tokens are clean, and items without
+tokens are not found; repeated rows are judged alike; null keys never match.
 """
 
 from __future__ import annotations
@@ -45,12 +49,20 @@ def _template(text: Column) -> Column:
     return F.regexp_replace(measured, "[0-9]+", NUMBER)
 
 
-def _windows(tokens: Column, window: int) -> Column:
-    """Hashes of the windows at all places; one window where there are fewer tokens."""
-    hashes = F.when(F.size(tokens) >= window, F.transform(
-        F.sequence(F.lit(1), F.size(tokens) - (window - 1)), lambda i: F.xxhash64(F.slice(tokens, i, window))))
-    short = F.when(F.size(tokens) > 0, F.array(F.xxhash64(tokens))).otherwise(F.array().cast("array<bigint>"))
-    return F.coalesce(hashes, short)
+def _windows(tokens: Column, window: Column) -> Column:
+    """Hashes of the windows at all places; none where there are fewer tokens."""
+    return F.when((window > 0) & (F.size(tokens) >= window), F.transform(
+        F.sequence(F.lit(1), F.size(tokens) - (window - 1)), lambda i: F.xxhash64(F.slice(tokens, i, window)))) \
+        .otherwise(F.array().cast("array<bigint>"))
+
+
+def _cut(cuts: list[tuple[bool, int]]) -> Column:
+    """The windows of a text of each kind (of templates, or of plain values) and length: hash, place, length, kind."""
+    def kind(plain: bool, size: int) -> Column:
+        return F.transform(_windows(F.col("_values" if plain else "_template"), F.lit(size)), lambda h, i: F.struct(
+            h.alias("hash"), i.alias("at"), F.lit(size).alias("size"), F.lit(plain).alias("plain")))
+
+    return F.concat(*[kind(plain, size) for plain, size in cuts])
 
 
 def _place(form: str, at: str) -> Column:
@@ -68,27 +80,40 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", t
     """One row per document and item that contaminates it: key, item and number of consistent windows."""
     items = benchmark.select(F.col(item).alias("_item"), F.col(item_text).alias("_text")).where("_text is not null") \
         .withColumn("_template", _tokens(_template(F.col("_text")))).withColumn("_values", _tokens(F.col("_text")))
-    spread = items.select("_item", "_template", "_values", F.posexplode(_windows(F.col("_template"), window)).alias("_at", "_hash"))
-    spread = spread.withColumn("_slots", F.slice("_values", F.col("_at") + 1, window)) \
-        .withColumn("_form", F.slice("_template", F.col("_at") + 1, window)) \
-        .where(_literals(F.col("_form")) >= F.least(F.lit(literals), F.size("_form")))
+    items = items.withColumn("_size", F.least(F.lit(window), F.size("_template")))
+    spread = items.select("_item", "_template", "_values", "_size", F.posexplode(_windows(F.col("_template"), F.col("_size"))).alias("_at", "_hash")) \
+        .withColumn("_slots", F.slice("_values", F.col("_at") + 1, F.col("_size"))) \
+        .withColumn("_form", F.slice("_template", F.col("_at") + 1, F.col("_size"))) \
+        .where(_literals(F.col("_form")) >= F.least(F.lit(literals), F.size("_form"))) \
+        .select("_item", "_hash", "_form", "_slots", "_at", F.lit(False).alias("_plain"))
+    places = F.sequence(F.lit(1), F.size("_template") - F.col("_size"))
+    steady = F.when(F.size("_template") > F.col("_size"), F.size(F.array_distinct(F.filter(
+        F.transform(places, lambda i: F.slice("_template", i + 1, F.col("_size"))), lambda w: _literals(w) >= F.least(F.lit(literals), F.size(w))))))
+    poor = items.where(F.coalesce(steady, F.lit(0)) < matches) \
+        .select("_item", "_values", "_size", F.posexplode(_windows(F.col("_values"), F.col("_size"))).alias("_at", "_hash")) \
+        .withColumn("_slots", F.slice("_values", F.col("_at") + 1, F.col("_size"))) \
+        .select("_item", "_hash", F.col("_slots").alias("_form"), "_slots", "_at", F.lit(True).alias("_plain"))
+    spread = spread.unionByName(poor)
     # written first, so that Spark knows its size when it chooses the join
-    known = cut_lineage(spread.select("_item", "_hash", "_form", "_slots", _place("_form", "_at").alias("_item_at")).distinct(),
+    known = cut_lineage(spread.select("_item", "_hash", "_form", "_slots", _place("_form", "_at").alias("_item_at"), "_plain").distinct(),
                         "benchmark-windows")
     wanted = cut_lineage(known.select("_hash").distinct(), "benchmark-hashes")
 
-    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).where("_key is not null and _text is not null")
-    hashed = texts.select("_key", _tokens(_template(F.col("_text"))).alias("_template"))
-    found = hashed.select("_key", F.explode(_windows(F.col("_template"), window)).alias("_hash")) \
+    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).where("_key is not null and _text is not null") \
+        .withColumn("_template", _tokens(_template(F.col("_text")))).withColumn("_values", _tokens(F.col("_text")))
+    # at most two kinds of each length up to a window
+    lengths = known.select("_plain", F.size("_form").alias("n")).distinct().collect()
+    cuts = sorted((r["_plain"], r["n"]) for r in lengths) or [(False, window)]
+    found = texts.select("_key", F.explode(F.concat(*[
+        _windows(F.col("_values" if plain else "_template"), F.lit(size)) for plain, size in cuts])).alias("_hash")) \
         .join(wanted, "_hash", "left_semi").select("_key").distinct()
     # few documents are left; all their windows are compared value by value
     suspects = cut_lineage(found, "suspects")
+    form = F.slice(F.when(F.col("w.plain"), F.col("_values")).otherwise(F.col("_template")), F.col("w.at") + 1, F.col("w.size"))
     again = texts.join(suspects, "_key", "left_semi") \
-        .withColumn("_template", _tokens(_template(F.col("_text")))).withColumn("_values", _tokens(F.col("_text"))) \
-        .select("_key", F.xxhash64("_text").alias("_which"), "_template", "_values",
-                F.posexplode(_windows(F.col("_template"), window)).alias("_at", "_hash")) \
-        .select("_key", "_which", "_hash", "_at", F.slice("_template", F.col("_at") + 1, window).alias("_doc_form"),
-                F.slice("_values", F.col("_at") + 1, window).alias("_doc_slots")) \
+        .select("_key", F.xxhash64("_text").alias("_which"), "_template", "_values", F.explode(_cut(cuts)).alias("w")) \
+        .select("_key", "_which", F.col("w.hash").alias("_hash"), F.col("w.at").alias("_at"), form.alias("_doc_form"),
+                F.slice("_values", F.col("w.at") + 1, F.col("w.size")).alias("_doc_slots")) \
         .withColumn("_at", _place("_doc_form", "_at"))
     met = again.join(wanted, "_hash", "left_semi").distinct().join(known, "_hash").where(F.col("_doc_form") == F.col("_form")) \
         .withColumn("_shift", F.col("_at") - F.col("_item_at"))
@@ -108,11 +133,12 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", t
         (F.col("_slots") == F.col("_doc_slots"))
         | ~F.exists("_pairs", lambda p: F.array_contains(F.coalesce("_bad_items", nothing), p["item"])
                     | F.array_contains(F.coalesce("_bad_docs", nothing), p["doc"])))
-    counts = judged.groupBy("_key", "_item").agg(F.count_distinct("_hash").alias("_n"))
-    sizes = known.groupBy("_item").agg(F.count_distinct("_hash").alias("_of"))
-    return counts.join(sizes, "_item").where(F.col("_n") >= F.least(F.lit(matches), "_of")) \
-        .select(F.col("_key").alias(key), F.col("_item").alias(item), F.col("_n").cast("long").alias("n_windows"),
-                F.col("_of").cast("long").alias("item_windows"))
+    counts = judged.groupBy("_key", "_item", "_plain").agg(F.count_distinct("_hash").alias("_n"))
+    sizes = known.groupBy("_item", "_plain").agg(F.count_distinct("_hash").alias("_of"))
+    return counts.join(sizes, ["_item", "_plain"]).where(F.col("_n") >= F.least(F.lit(matches), "_of")) \
+        .groupBy("_key", "_item").agg(F.max(F.struct("_n", "_of")).alias("_most")) \
+        .select(F.col("_key").alias(key), F.col("_item").alias(item), F.col("_most._n").cast("long").alias("n_windows"),
+                F.col("_most._of").cast("long").alias("item_windows"))
 
 
 def judge(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -18,3 +18,16 @@ def test_decontamination_judges_each_occurrence_by_itself(spark):
     found = {r.doc_id: (r.n_windows, r.item_windows) for r in decontam.contaminations(docs, item, matches=1).collect()}
     assert all(found[i][0] == found[i][1] for i in (1, 2, 3, 4, 6))
     assert found[5][0] < found[4][0]
+
+
+def test_decontamination_finds_short_and_dense_items_inside_texts(spark):
+    texts = ["What is 12 * 7 + 3?", "Compute 3 + 4 * 5 - 6 / 7 and 8.", "tiny item here", "Paris", "Sum 4 and 5 and 6 and 7 and 8 and 9 now",
+             "How many legs have 12 cats", "How many legs have all 12 cats of Anna together"]
+    items = spark.createDataFrame([*enumerate(texts), (90, ""), (91, "?!")], "item_id int, text string")
+    inside = [(i, f"Some words that stand before it: {t} And some more words that stand behind it.") for i, t in enumerate(texts)]
+    other = [(20, "what is 12 times 8 and 3 more"), (21, "a tiny item is here"), (22, "Sum 4 and 5 and 6 and 8 and 8 and 9 now"), (23, ""), (24, None)]
+    alone = [(30 + i, t) for i, t in enumerate(texts)]
+    varied = [(40, "He asked how many legs have 15 cats and went"), (41, "so how many legs have all 15 cats of Berta together")]
+    docs = spark.createDataFrame(inside + other + alone + varied, "doc_id int, text string")
+    found = {r.doc_id: r["items"] for r in decontam.judge(docs, items).collect() if r.contaminated}
+    assert found == {**{i: [i] for i in range(len(texts))}, **{30 + i: [i] for i in range(len(texts))}, 40: [5], 41: [6]}
