@@ -4,7 +4,7 @@ Three base kinds are regular expressions: ``assign`` (a name, a sign, a value),
 A fourth, ``entropy``, looks at long runs of key characters: a window slides over the run, the counts of
 its characters are kept up to date by one that enters and one that leaves, and with them the
 Shannon entropy; a run with a window above the threshold of its character class is a secret, unless
-an allow-list pattern matches it or a base span overlaps it.
+an allow-list pattern matches it. Characters of base spans end a run: what stands outside them is a run of its own.
 
 Offsets are code points, end exclusive. Defined results: a null or empty text has no spans; repeated rows are scanned each
 for itself; matches of one kind never overlap, those of different base kinds may. Texts are scanned whole.
@@ -30,10 +30,11 @@ WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/_-]{%d,}" % WINDOW
 #: Character classes of a run, the first that fits, and the least entropy in bits of one of its windows.
 CLASSES = (("hex", r"^[0-9A-Fa-f]+$", 3.0), ("letters and digits", r"^[A-Za-z0-9]+$", 3.7), ("base64", r"", 3.9))
-#: Runs that are no secrets: without a digit or without a letter, paths and slugs of plain words, samples.
-ALLOWED = (r"^[^0-9]*$", r"^[^A-Za-z]*$", r"^[/_-]*(?:[a-z]+[/_-]|[A-Z]?[a-z]+[/_-])+[a-z0-9]*$", r"(?i)example|sample|placeholder")
+#: Runs that are no secrets: without a digit or without a letter, paths and slugs of plain words (the last may have a short number), samples.
+#: Nothing in them is tried twice, so that no run takes longer than its length.
+ALLOWED = (r"^[^0-9]*$", r"^[^A-Za-z]*$", r"^[/_-]*+(?:[A-Z]?[a-z]++[/_-])++[a-z]*+[0-9]{0,4}$", r"(?i)example|sample|placeholder")
 
-_OPEN, _CLOSE = "\x01", "\x02"
+_OPEN, _CLOSE, _HIDDEN = "\x01", "\x02", "\x03"
 _SPAN = "struct<start:int,kind:int,end:int>"
 
 
@@ -89,19 +90,32 @@ def _is_secret(allowed: Sequence[str]):
     return good
 
 
+def _without(text: Column, spans: Column) -> Column:
+    """The text with each character of the spans (in order) replaced by one that no pattern takes."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+
+    def step(s: Column, span: Column) -> Column:
+        gap = F.substring(text, s["at"] + 1, F.greatest(span["start"] - s["at"], F.lit(0)))
+        hidden = F.repeat(F.lit(_HIDDEN), F.greatest(span["end"] - F.greatest(s["at"], span["start"]), F.lit(0)))
+        return F.struct(F.greatest(s["at"], span["end"]).alias("at"), F.concat(s["parts"], F.array(gap, hidden)).alias("parts"))
+
+    return F.aggregate(spans, start, step, lambda s: F.concat(
+        F.array_join(s["parts"], ""), F.substring(text, s["at"] + 1, F.char_length(text))))
+
+
 def _with_spans(docs: DataFrame, text: str, allowed: Sequence[str]) -> DataFrame:
     """The frame with ``_base`` and ``_spans``, arrays of (start, kind, end) in order."""
     # the two marks become a third control character: no pattern tells them apart
-    rows = docs.withColumn("_t", F.translate(F.coalesce(F.col(text), F.lit("")), _OPEN + _CLOSE, "\x03\x03"))
+    rows = docs.withColumn("_t", F.translate(F.coalesce(F.col(text), F.lit("")), _OPEN + _CLOSE, _HIDDEN * 2))
     t = F.col("_t")
     rows = rows.withColumn("_base", F.sort_array(F.concat(
         _matches(t, ASSIGN, 0, lambda part: F.char_length(F.regexp_extract(part, ASSIGN, 1)) >= 6),
         _matches(t, ACCESS, 1, lambda part: F.lit(True)),
         _matches(t, HEX, 2, lambda part: F.lit(True)),
-    ))).withColumn("_runs", _matches(t, CANDIDATE, 3, _is_secret(allowed)))
-    fresh = F.filter("_runs", lambda r: ~F.exists("_base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
+    ))).withColumn("_rest", F.when((F.size("_base") > 0) & t.rlike(CANDIDATE), _without(t, F.col("_base"))).otherwise(t)) \
+        .withColumn("_runs", _matches(F.col("_rest"), CANDIDATE, 3, _is_secret(allowed)))
     return rows.withColumn("_spans", F.when(F.size("_runs") == 0, F.col("_base"))
-                           .otherwise(F.sort_array(F.concat(F.col("_base"), fresh))))
+                           .otherwise(F.sort_array(F.concat("_base", "_runs"))))
 
 
 def _written(spans: str) -> Column:
