@@ -18,8 +18,8 @@ Result per document: ``class_id`` (the least key of its connected component) and
 number of other documents whose similarity is at least the threshold, copies included.
 
 Defined results: a null or blank text links with nothing and is its own class; texts of equal sets have
-similarity 1; a similarity of exactly 0.8 is a link; rows with a null key keep a null class of their own
-unless they are linked; repeated rows count as documents; an empty table gives an empty result.
+similarity 1; a similarity of exactly 0.8 is a link; a class without any key has a null ``class_id``, though
+its rows are linked like others; repeated rows count as documents; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -101,8 +101,8 @@ def _long(values) -> pa.Array:
 
 
 def _sets(docs: DataFrame, key: str, text: str, whole: bool) -> DataFrame:
-    """Key, ``node`` (which set it is), ``n``, and the signature or the ``whole`` set."""
-    schema = T.StructType([T.StructField("_key", docs.schema[key].dataType), T.StructField("node", T.LongType()),
+    """Key, ``which`` (hash of the text), ``node`` (which set it is), ``n``, and the signature or the ``whole`` set."""
+    schema = T.StructType([T.StructField("_key", docs.schema[key].dataType), T.StructField("which", T.LongType()), T.StructField("node", T.LongType()),
                            T.StructField("n", T.LongType()), T.StructField("held", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,14 +110,14 @@ def _sets(docs: DataFrame, key: str, text: str, whole: bool) -> DataFrame:
             for row in range(0, batch.num_rows, 256):
                 part = batch.slice(row, 256)
                 nodes, sizes, held = [], [], []
-                for shingles in shingle_sets(part.column(1)):
+                for shingles in shingle_sets(part.column(2)):
                     nodes.append(_identity(shingles))
                     sizes.append(len(shingles))
                     held.append((shingles if whole else signature(shingles)).tobytes())
-                yield pa.RecordBatch.from_arrays([part.column(0), _long(nodes), _long(sizes), pa.array(held, pa.binary())],
-                                                 ["_key", "node", "n", "held"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), _long(nodes), _long(sizes), pa.array(held, pa.binary())],
+                                                 ["_key", "which", "node", "n", "held"])
 
-    return docs.select(F.col(key).alias("_key"), F.col(text)).mapInArrow(run, schema)
+    return docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("which"), F.col(text)).mapInArrow(run, schema)
 
 
 def _matrix(column: pa.Array, dtype) -> np.ndarray:
@@ -281,11 +281,11 @@ def _grouped(rows: DataFrame) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys, "node")
 
 
-def links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: its key, ``class_id`` and ``n_links``."""
+def _classes(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The signatures of all rows, and ``root`` and links of each node."""
     sets = cut_lineage(_sets(docs, key, text, whole=False), "signatures")
     classes = cut_lineage(sets.where("n > 0").groupBy("node", "n").agg(
-        F.min("_key").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("held").alias("held")), "classes")
+        F.min("_key").alias("least"), F.min(F.struct("which", "_key")).alias("one"), F.count(F.lit(1)).alias("copies"), F.first("held").alias("held")), "classes")
     found = cut_lineage(leaves(classes.select("node", "held")), "leaves")
     lists = found.groupBy("node").agg(F.sort_array(F.collect_set("bucket")).alias("buckets"))
     # one byte of each minhash value is enough to find candidates
@@ -293,15 +293,23 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     near = cut_lineage(_grouped(_blocks(found).join(sketched, "node")).mapInArrow(
         _with_partner, "bucket long, one int, two int, own int, node long, n long, sketch binary, buckets array<long>, copies long"),
         "candidates")
-    # the whole sets of classes that have candidates, from one document of each
-    wanted = near.select("node").distinct().join(classes, "node").select(F.col("least").alias("_key"), "node")
-    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(wanted.select("_key").distinct(), "_key", "left_semi")
+    # the whole sets of classes that have candidates, from one text under one key of each, which may be null
+    wanted = near.select("node").distinct().join(classes, "node") \
+        .select(F.col("one.which").alias("_which"), F.col("one._key").alias("_of")).distinct()
+    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.xxhash64(text).alias("_hash")) \
+        .join(wanted, (F.col("_hash") == F.col("_which")) & F.col("_key").eqNullSafe(F.col("_of")), "left_semi")
     whole = _sets(texts, "_key", "_text", whole=True).select("node", F.col("held").alias("shingles")).dropDuplicates(["node"])
     compared = cut_lineage(_grouped(near.join(whole, "node")).mapInArrow(_compare, "node long, links long, root long"), "links")
     counts = compared.groupBy("node").agg(F.sum("links").alias("links"))
     roots = connected_components(compared.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a <> b"))
-    known = cut_lineage(classes.drop("held").join(counts, "node", "left").join(roots, "node", "left")
+    known = cut_lineage(classes.drop("held", "one").join(counts, "node", "left").join(roots, "node", "left")
                         .withColumn("root", F.coalesce("root", "node")), "class-links")
+    return sets, known
+
+
+def links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: its key, ``class_id`` and ``n_links``."""
+    sets, known = _classes(docs, key, text)
     least = known.groupBy("root").agg(F.min("least").alias("class_id"))
     classed = known.join(least, "root").select(
         F.col("node").alias("_node"), "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
@@ -321,9 +329,19 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents of least key of each class, with all their columns; rows of one key count as one document."""
-    classes = links(docs, key, text).where(F.col(key) == F.col("class_id"))
-    counted = cut_lineage(classes.groupBy(F.col(key).alias("_kept")).agg(F.count(F.lit(1)).alias("_rows")), "kept")
-    single = docs.join(counted.where("_rows = 1"), F.col(key) == F.col("_kept"), "left_semi")
-    several = docs.join(counted.where("_rows > 1"), F.col(key) == F.col("_kept"), "left_semi").dropDuplicates([key])
+    """One document of each class, with all its columns: the one of least key, a row without a key where no row has one.
+
+    Rows of one key and text count as one document, blank ones too; blank rows without a key all stay.
+    """
+    sets, known = _classes(docs, key, text)
+    rows = sets.groupBy("_key", "which", F.when(F.col("n") > 0, F.col("node")).alias("node")).agg(F.count(F.lit(1)).alias("_rows"))
+    own = F.struct(F.col("_key").isNull().alias("bare"), F.col("_key"), F.col("which"), F.col("_rows"))
+    best = rows.where("node is not null").groupBy("node").agg(F.min(own).alias("best")) \
+        .join(known.select("node", "root"), "node").groupBy("root").agg(F.min("best").alias("best")).select("best.*")
+    blank = rows.where("node is null").select("_key", "which", F.when(F.col("_key").isNull(), 1).otherwise(F.col("_rows")).alias("_rows"))
+    counted = cut_lineage(best.drop("bare").unionByName(blank).select(
+        F.col("_key").alias("_kept"), F.col("which").alias("_kept_text"), "_rows"), "kept")
+    same = F.col(key).eqNullSafe(F.col("_kept")) & (F.xxhash64(text) == F.col("_kept_text"))
+    single = docs.join(counted.where("_rows = 1"), same, "left_semi")
+    several = docs.join(counted.where("_rows > 1"), same, "left_semi").dropDuplicates([key, text])
     return single.unionByName(several)

@@ -3,7 +3,7 @@
 import random
 import string
 
-from gridscope.llm import decontam, secrets
+from gridscope.llm import decontam, jaccard_join, secrets
 
 ASKED = "If Maria buys 12 apples for 30 dollars and sells 12 apples again, how much does Maria pay for each of them?"
 
@@ -48,3 +48,18 @@ def test_secrets_with_prefixes_beside_base_spans_and_in_long_slugs(spark):
     assert got[4] == "" and got[5] == "" and got[6] == ""
     assert got[7] == "access:2:22,entropy:22:63"
     assert {r.doc_id: r.text for r in secrets.redact(docs).collect()}[2] == "[secret][secret]"
+
+
+def test_near_copies_of_rows_without_or_with_repeated_keys(spark):
+    base = [f"w{i}" for i in range(80)]
+    near = " ".join(base[:-1] + ["x"])
+    far = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcd"]
+    rows = [(None, " ".join(base)), (None, near), (None, far[0]), (1, far[1]), (1, far[2]), (2, far[1]), (0, far[3]), (0, far[3]),
+            (None, far[3]), (None, None), (None, ""), (3, None), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    links = [(r.doc_id, r.class_id, r.n_links) for r in jaccard_join.links(docs.where("doc_id is null and length(text) > 0")).collect()]
+    assert sorted(n for _, _, n in links) == [0, 0, 1, 1] and {c for _, c, _ in links} == {None}
+    kept = [(r.doc_id, r.text) for r in jaccard_join.keep_one(docs).collect()]
+    one = [r for r in kept if r in ((None, " ".join(base)), (None, near))]
+    rest = [(None, far[0]), (1, far[1]), (1, far[2]), (0, far[3]), (None, None), (None, ""), (3, None)]
+    assert len(one) == 1 and sorted(map(str, kept)) == sorted(map(str, one + rest))
