@@ -184,16 +184,20 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     some = counts[counts.place >= 0]
     frequency[some.place.to_numpy()] = some.n.to_numpy()
     idf = np.log((1 + documents) / (1 + frequency)) + 1
+    # a rank is of a text under its key, so that rows of one key, or of none, are ranked each for itself; repeats are one.
     # ranks are spread evenly, so twice the wanted share of a language holds its least ranks: a frequent language
     # sends few rows to the window, from any number of tasks
-    sizes = labelled.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = labelled.select("_key", "_lang").withColumn("_rank", F.shiftrightunsigned(F.xxhash64(F.col("_key").cast("string")), 1)) \
-        .join(sizes, "_lang").where(F.col("_rank") <= F.lit(2.0 * per_language * 2**63) / F.col("_n")) \
-        .withColumn("_at", F.row_number().over(Window.partitionBy("_lang").orderBy("_rank", "_key"))).where(F.col("_at") <= per_language)
+    labelled = labelled.withColumn("_rank", F.shiftrightunsigned(F.xxhash64(F.col("_key").cast("string"), "_text"), 1))
+    # the counts are written first, so that no row is dealt out by its language before that choice
+    sizes = cut_lineage(labelled.groupBy("_lang").agg(F.approx_count_distinct("_rank").alias("_n")), "language-sizes")
+    ranked = labelled.select("_lang", "_rank").join(sizes, "_lang").where(F.col("_rank") <= F.lit(2.0 * per_language * 2**63) / F.col("_n")) \
+        .select("_lang", "_rank").distinct() \
+        .withColumn("_at", F.row_number().over(Window.partitionBy("_lang").orderBy("_rank"))).where(F.col("_at") <= per_language)
     # written, so that Spark knows that it is small and the texts need no shuffle
-    ranked = cut_lineage(ranked.select(F.col("_key").alias("_chosen"), "_rank").distinct(), "language-sample")
-    chosen = labelled.join(ranked, F.col("_key").eqNullSafe(F.col("_chosen"))) \
-        .select("_rank", "_lang", "_text").mapInArrow(_features, "rank long, lang string, places binary, shares binary")
+    ranked = cut_lineage(ranked.select("_rank", "_lang"), "language-sample")
+    chosen = labelled.join(ranked, ["_rank", "_lang"]) \
+        .select("_rank", "_lang", "_text").mapInArrow(_features, "rank long, lang string, places binary, shares binary") \
+        .dropDuplicates(["rank", "lang"])
     rows = sorted(chosen.toPandas().itertuples(index=False), key=lambda r: (r.rank, r.lang))
     return fit([(r.lang, np.frombuffer(r.places, "<i4"), np.frombuffer(r.shares, "<f8")) for r in rows], idf)
 

@@ -3,7 +3,7 @@
 import random
 import string
 
-from gridscope.llm import decontam, jaccard_join, secrets
+from gridscope.llm import decontam, jaccard_join, langid, secrets
 
 ASKED = "If Maria buys 12 apples for 30 dollars and sells 12 apples again, how much does Maria pay for each of them?"
 
@@ -63,3 +63,16 @@ def test_near_copies_of_rows_without_or_with_repeated_keys(spark):
     one = [r for r in kept if r in ((None, " ".join(base)), (None, near))]
     rest = [(None, far[0]), (1, far[1]), (1, far[2]), (0, far[3]), (None, None), (None, ""), (3, None)]
     assert len(one) == 1 and sorted(map(str, kept)) == sorted(map(str, one + rest))
+
+
+def test_language_sample_is_bounded_for_null_and_repeated_keys(spark, monkeypatch):
+    words = ["".join(random.Random(i).choices(string.ascii_lowercase, k=12)) for i in range(340)]
+    rows = [(None if i % 3 else 7, words[i], "en") for i in range(300)] + [(i, words[i], "de") for i in range(300, 340)]
+    rows += [(1000, "the same again", "en")] * 200
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    seen = []
+    monkeypatch.setattr(langid, "fit", lambda sample, idf: seen.append(sample))
+    langid.train(docs, per_language=20)
+    assert sorted(lang for lang, _, _ in seen[0]) == ["de"] * 20 + ["en"] * 20
+    texts = {(lang, places.tobytes(), shares.tobytes()) for lang, places, shares in seen[0]}
+    assert len(texts) == 40
