@@ -7,9 +7,12 @@ original text, end exclusive.
 
 Units of fewer than ``min_words`` words are too short to tell a copy from chance and stay.
 
-Defined results: a null or empty text has no units and stays as it is; rows of one key are one document and fare
-alike; rows without a key lose their inner repeats only; kept units are joined as they stood, without
-the removed ones; an empty table gives an empty result. Texts are whole, no unit is skipped for its size.
+Spans belong to a text under its key (told by two 64-bit hashes of the text), so that rows of one key with different
+texts, or rows without a key, lose only what was measured on themselves.
+
+Defined results: a null or empty text has no units and stays as it is; rows of one key and text fare alike; a unit that
+rows of one key share is no later copy among them; rows without a key lose their inner repeats only; kept units are
+joined as they stood, without the removed ones; an empty table gives an empty result. Texts are whole, no unit is skipped for its size.
 """
 
 from __future__ import annotations
@@ -29,6 +32,9 @@ MIN_WORDS = 5
 #: What separates units.
 SEPARATORS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r]*\n\s*")}
 
+#: Columns that tell a text under its key.
+ROW = ["_key", "_one", "_two"]
+
 UNIT_SCHEMA = "start int, end int, high long, low long, again boolean"
 
 
@@ -40,17 +46,24 @@ def _spans(text: str, separator: re.Pattern) -> Iterator[tuple[int, int]]:
     yield at, len(text)
 
 
+def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Key, two hashes of the text, and the text."""
+    return docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_one"), F.xxhash64(F.lit(1), F.col(text)).alias("_two"),
+                       F.col(text).alias("_text"))
+
+
 def units(docs: DataFrame, key: str, text: str, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per unit of enough words: key, offsets, digest, and whether it came earlier in the text."""
+    """One row per unit of enough words: key and text hashes, offsets, digest, and whether it came earlier in the text."""
     import xxhash
 
     separator = SEPARATORS[unit]
-    schema = T.StructType(docs.select(F.col(key).alias("_key")).schema.fields + T.StructType.fromDDL(UNIT_SCHEMA).fields)
+    texts = _rows(docs, key, text)
+    schema = T.StructType(texts.select(*ROW).schema.fields + T.StructType.fromDDL(UNIT_SCHEMA).fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, starts, ends, highs, lows, agains = [], [], [], [], [], []
-            for row, whole in enumerate(batch.column(1).to_pylist()):
+            for row, whole in enumerate(batch.column(3).to_pylist()):
                 seen = set()
                 for start, end in _spans(whole or "", separator):
                     found = whole[start:end].lower().split() if whole else ()
@@ -64,21 +77,22 @@ def units(docs: DataFrame, key: str, text: str, unit: str = "line", min_words: i
                     lows.append((digest & ((1 << 64) - 1)) - (1 << 63))
                     agains.append(digest in seen)
                     seen.add(digest)
+            at = pa.array(rows, pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows, pa.int32())), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()),
+                [*[batch.column(k).take(at) for k in range(3)], pa.array(starts, pa.int32()), pa.array(ends, pa.int32()),
                  pa.array(highs, pa.int64()), pa.array(lows, pa.int64()), pa.array(agains, pa.bool_())], schema.names)
 
-    return docs.select(F.col(key).alias("_key"), F.col(text)).mapInArrow(run, schema)
+    return texts.mapInArrow(run, schema)
 
 
 def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", unit: str = "line",
              min_words: int = MIN_WORDS) -> DataFrame:
-    """Per document with anything to remove: key, number of units, and ``removed``, the sorted spans that go."""
+    """Per text with anything to remove: key, text hashes, and ``removed``, the sorted spans that go."""
     found = cut_lineage(units(docs, key, text, unit, min_words), "units")
     firsts = found.groupBy("high", "low").agg(F.min("_key").alias("_first"), F.count(F.lit(1)).alias("_n")) \
         .where("_n > 1").drop("_n")
     later = found.join(firsts, ["high", "low"]).where(F.col("again") | (F.col("_key") > F.col("_first")))
-    return later.groupBy("_key").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("removed"))
+    return later.groupBy(*ROW).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("removed"))
 
 
 def _kept_text(text: str, removed: list[dict], separator: re.Pattern) -> str:
@@ -91,8 +105,9 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", unit:
     """One row per document: key, text without later copies of units, and the removed spans of the original."""
     gone = removals(docs, key, text, unit, min_words)
     separator = SEPARATORS[unit]
-    joined = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(
-        gone.withColumnRenamed("_key", "_other"), F.col("_key").eqNullSafe(F.col("_other")), "left") \
+    joined = _rows(docs, key, text).join(
+        gone.withColumnsRenamed({"_key": "_other", "_one": "_first", "_two": "_second"}),
+        F.col("_key").eqNullSafe(F.col("_other")) & (F.col("_one") == F.col("_first")) & (F.col("_two") == F.col("_second")), "left") \
         .select("_key", "_text", F.coalesce("removed", F.array().cast("array<struct<start:int,end:int>>")).alias("removed"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,7 +3,7 @@
 import random
 import string
 
-from gridscope.llm import decontam, jaccard_join, langid, secrets
+from gridscope.llm import decontam, jaccard_join, langid, line_dedup, secrets
 
 ASKED = "If Maria buys 12 apples for 30 dollars and sells 12 apples again, how much does Maria pay for each of them?"
 
@@ -76,3 +76,12 @@ def test_language_sample_is_bounded_for_null_and_repeated_keys(spark, monkeypatc
     assert sorted(lang for lang, _, _ in seen[0]) == ["de"] * 20 + ["en"] * 20
     texts = {(lang, places.tobytes(), shares.tobytes()) for lang, places, shares in seen[0]}
     assert len(texts) == 40
+
+
+def test_line_dedup_lays_spans_on_their_own_text_only(spark):
+    inner = "new line of many words\nnew line of many words"
+    unique = "old line of many words\nand line of other words"
+    rows = [(None, inner), (None, unique), (5, inner.replace("new", "red")), (5, unique.replace("old", "blue"))]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    got = sorted((r.text, [tuple(s) for s in r.removed]) for r in line_dedup.deduplicate(docs).collect())
+    assert got == sorted([("new line of many words", [(23, 45)]), (unique, []), ("red line of many words", [(23, 45)]), (rows[3][1], [])])
