@@ -183,7 +183,7 @@ class PieceCoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[int, int] = {}
+        self.hashes, self.entries = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(1 << 16, dtype=np.int32)
         self.counts = np.zeros(1 << 14, dtype=np.int64)
         self.places = np.zeros(1 << 14, dtype=np.int64)
@@ -202,16 +202,19 @@ class PieceCoder:
                  ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Held ids, the entry of each different piece, which of them each piece is, and their hashes."""
         codes, different = pd.factorize(ta.hash_spans(data, starts, ends))
-        if len(self.known) + len(different) > self.limit and self.known:
+        if len(self.hashes) + len(different) > self.limit and len(self.hashes):
             self._reset()
-        found = [self.known.get(h, -1) for h in different.tolist()]
-        at = np.array(found, dtype=np.int64)
+        place = np.searchsorted(self.hashes, different)
+        at = np.full(len(different), -1, dtype=np.int64)
+        if len(self.hashes):
+            near = np.minimum(place, len(self.hashes) - 1)
+            at = np.where(self.hashes[near] == different, self.entries[near], -1)
         new = np.flatnonzero(at < 0)
         if len(new):
             sample = np.zeros(len(different), dtype=np.int64)
             sample[codes] = np.arange(len(codes))
             ids, counts = self.encode(data, starts[sample[new]], ends[sample[new]])
-            base, total = len(self.known), len(ids)
+            base, total = len(self.hashes), len(ids)
             self.ids = self._fit(self.ids, self.used + total)
             self.counts = self._fit(self.counts, base + len(new))
             self.places = self._fit(self.places, base + len(new))
@@ -220,7 +223,9 @@ class PieceCoder:
             self.places[base: base + len(new)] = self.used + np.cumsum(counts) - counts
             self.used += total
             at[new] = np.arange(base, base + len(new))
-            self.known.update(zip(different[new].tolist(), range(base, base + len(new))))
+            order = new[np.argsort(different[new])]
+            self.hashes = np.insert(self.hashes, place[order], different[order])
+            self.entries = np.insert(self.entries, place[order], at[order])
         return self.ids, at, codes, different
 
     def texts(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridscope.llm import bpe, decontam, jaccard_join, langid, line_dedup, lm, quality, secrets, token_store, url_filters
+from gridscope.llm import alignment, bpe, decontam, jaccard_join, langid, line_dedup, lm, quality, secrets, token_store, url_filters
 from gridscope.llm.queries_sql import SQL
 from gridscope.sources.tables import scratch_path
 
@@ -126,3 +126,8 @@ def op2_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     scored = lm.score(docs, ~held, bpe.default_path("byte_bpe_50k.tiktoken"))
     return scored.select("doc_id", langid.held_out(F.col("doc_id"), 2, 7).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                          "base_score", "score", "n_ids")
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.measure(table(spark, sf, "documents"), bpe.default_path("byte_bpe_50k.json"), bpe.default_path("piece_bpe_32k.model"))

@@ -22,7 +22,7 @@ def test_query_equals_sql(spark, con, sf, name, monkeypatch):
 
 
 def test_each_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_entry_registers_everything():
