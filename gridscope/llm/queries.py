@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridscope.llm import alignment, bpe, decontam, jaccard_join, langid, line_dedup, lm, quality, secrets, token_store, url_filters
+from gridscope.llm import alignment, bpe, decontam, jaccard_join, langid, line_dedup, lm, quality, secrets, token_store, url_filters, warc
 from gridscope.llm.queries_sql import SQL
 from gridscope.sources.tables import scratch_path
 
@@ -131,3 +131,8 @@ def op2_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return alignment.measure(table(spark, sf, "documents"), bpe.default_path("byte_bpe_50k.json"), bpe.default_path("piece_bpe_32k.model"))
+
+
+@query
+def op12_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf, "pages"), scratch_path(spark, "warc"))
