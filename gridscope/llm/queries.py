@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridscope.llm import alignment, bpe, decontam, jaccard_join, langid, line_dedup, lm, quality, secrets, token_store, url_filters, warc
+from gridscope.llm import alignment, bpe, decontam, jaccard_join, langid, lexical, line_dedup, lm, quality, secrets, token_store, url_filters, warc
 from gridscope.llm.queries_sql import SQL
 from gridscope.sources.tables import scratch_path
 
@@ -136,3 +136,8 @@ def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op12_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf, "pages"), scratch_path(spark, "warc"))
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))

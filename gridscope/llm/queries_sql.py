@@ -86,3 +86,41 @@ select doc_id, n_words::bigint as n_words, coalesce(chars, 0)::bigint as word_ch
        and (n_words < 50 or (n_stop / n_words >= 0.02::double and n_dup / n_lines <= 0.5::double and n_marked / n_lines <= 0.9::double)) as kept
 from judged
 """
+
+SQL["op12_warc"] = r"""
+with held as (
+  select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as hex, max(page_id) over (partition by coalesce(html, '')) as of
+  from pages),
+fives as (
+  select *, list_transform(range(8), lambda i: ('0x' || substr(hex, i * 5 + 1, 5))::int) as parts,
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' as signs from held)
+select page_id, octet_length(encode(payload))::bigint as payload_bytes,
+       array_to_string(list_transform(parts, lambda p: substr(signs, (p >> 15) % 32 + 1, 1) || substr(signs, (p >> 10) % 32 + 1, 1)
+                                              || substr(signs, (p >> 5) % 32 + 1, 1) || substr(signs, p % 32 + 1, 1)), '') as payload_digest,
+       case when of <> page_id then 'revisit' else 'response' end as record_type, case when of <> page_id then of end as refers_to
+from fives
+"""
+
+SQL["op13_lexical_search"] = r"""
+with docs as (
+  select doc_id, row_number() over () as row,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents),
+items as (
+  select distinct item_id, text, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms from benchmark),
+whole as (select count(*) as n, sum(len(terms))::bigint as l from docs where len(terms) > 0),
+asked as (select item_id, text, term, count(*) as again from (select item_id, text, unnest(terms) as term from items) group by all),
+tf as (
+  select row, doc_id, term, count(*) as tf, any_value(n) as n
+  from (select row, doc_id, len(terms) as n, unnest(terms) as term from docs) where term in (select term from asked) group by all),
+df as (select term, count(*) as df from tf group by term),
+scored as (
+  select a.item_id, a.text, t.row, t.doc_id,
+         sum(a.again * floor(1000 * ln((2 * w.n + 2) / (2 * d.df + 1)))::bigint
+             * ((1000000000 * t.tf) // (1000 * t.tf + 12 * (75 + (25 * t.n * w.n) // w.l))))::bigint as score
+  from asked a join tf t on a.term = t.term join df d on a.term = d.term cross join whole w group by all)
+select item_id, rank::int as rank, doc_id, score
+from (select *, row_number() over (partition by item_id, text order by score desc, doc_id nulls last) as rank from scored where score > 0)
+where rank <= 20
+"""
