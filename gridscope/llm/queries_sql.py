@@ -47,20 +47,31 @@ from urls u left join best on u.page_id is not distinct from best.page_id and u.
 """
 
 SQL["op4_substring_dedup"] = r"""
-with lines as (
-  select doc_id, text, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as place from documents),
+with pieces as (
+  select doc_id, text, unnest(string_split(regexp_replace(text, '([.!?…])[ \t\r]', '\1' || chr(10), 'g'), chr(10))) as piece,
+         unnest(range(len(string_split(regexp_replace(text, '([.!?…])[ \t\r]', '\1' || chr(10), 'g'), chr(10))))) as number
+  from documents),
 placed as (
-  select *, coalesce(sum(length(line) + 1) over (partition by doc_id order by place rows between unbounded preceding and 1 preceding), 0)::int as start,
-         regexp_extract_all(lower(line), '[^\s]+') as found from lines),
-keyed as (select *, case when len(found) >= 5 then list_aggregate(found, 'string_agg', ' ') end as unit from placed),
-ranked as (select *, unit is not null and row_number() over (partition by unit order by doc_id, place) > 1 as gone from keyed),
-done as (
-  select doc_id, count(*) filter (gone) as n_removed,
-         coalesce(string_agg(start || ':' || (start + length(line)), ',' order by place) filter (gone), '') as removed,
-         coalesce(string_agg(line, chr(10) order by place) filter (not gone), '') as text
-  from ranked group by doc_id)
-select d.doc_id, coalesce(n_removed, 0) as n_removed, coalesce(removed, '') as removed, case when d.text is null then null else done.text end as text
-from documents d left join done using (doc_id)
+  select *, coalesce(sum(length(piece) + 1) over (partition by doc_id order by number rows between unbounded preceding and 1 preceding), 0)::int as start,
+         regexp_extract_all(lower(piece), '[^\s]+') as found from pieces),
+units as (
+  select doc_id, number, start, length(piece) as size, len(found) as words, list_aggregate(found, 'string_agg', ' ') as unit,
+         row_number() over (partition by doc_id order by number) as place
+  from placed where len(found) > 0),
+ranked as (select *, row_number() over (partition by unit order by doc_id, place) > 1 as later from units),
+runs as (
+  select *, place - row_number() over (partition by doc_id order by place) as run from ranked where later),
+gone as (
+  select doc_id, number, start, size from (select *, sum(words) over (partition by doc_id, run) as held from runs) where held >= 20),
+kept as (
+  select p.doc_id, p.number, p.start, p.piece, substr(p.text, p.start + length(p.piece) + 1, 1) as after,
+         lead(p.number) over (partition by p.doc_id order by p.number) is null as last
+  from placed p left join gone g on p.doc_id = g.doc_id and p.number = g.number where g.number is null),
+texts as (select doc_id, string_agg(piece || case when last then '' else after end, '' order by number) as text from kept group by doc_id),
+spans as (select doc_id, count(*) as n, string_agg(start || ':' || (start + size), ',' order by start) as removed from gone group by doc_id)
+select d.doc_id, coalesce(s.n, 0) as n_removed, coalesce(s.removed, '') as removed,
+       case when d.text is null then null else coalesce(t.text, '') end as text
+from documents d left join texts t on d.doc_id = t.doc_id left join spans s on d.doc_id = s.doc_id
 """
 
 SQL["op6_quality_rules"] = rf"""

@@ -120,6 +120,17 @@ def test_token_files(spark, hard, docs, texts, segment_ids):
     assert len(token_store.read_tokens(spark, folder, part, segment, [0, 1])) == 2
 
 
+def test_token_files_with_a_hot_or_odd_key(spark):
+    rows = [(None, f"text {i}") for i in range(300)] + [("no number", "x"), ("7", "y"), ("-3", None)]
+    folder = scratch_path(spark, "tokens")
+    token_store.write(spark.createDataFrame(rows, "doc_id string, text string").repartition(3), folder, bpe.default_path("byte_bpe_50k.json"))
+    got = sorted(token_store.read_documents(spark, folder).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None] * 301 + [-3, 7] and got[-2].n_tokens == 1
+    assert [r.start for r in got[1:]] == np.cumsum([r.n_tokens for r in got])[:-1].tolist()
+    # the null keys lie in more than one range
+    assert spark.read.parquet(folder).select("part").distinct().count() > 1
+
+
 def brute_quality(text):
     words = WORD.findall(text or "")
     windows = Counter(tuple(words[i:i + 5]) for i in range(len(words) - 4))
@@ -237,18 +248,42 @@ def test_connected_components(spark):
 
 
 def test_line_dedup(spark, hard, empty):
-    rows = [("keep this first long line\nshort\nunique line number one here", 1), ("Keep  this FIRST long line\nshort\nother words come along now", 2),
-            ("new line of many words\nnew line of many words", 3), ("", 4), (None, 5)]
+    rows = [("keep this first long line\nshort\nunique line number one here", 1), ("Keep  this FIRST long line\n\nshort\nother words come along now", 2),
+            ("new line of many words\nnew line of many words", 3), ("", 4), (None, 5), ("short\nand more\nshort", 6)]
     frame = spark.createDataFrame(rows, "text string, doc_id bigint")
-    got = {r.doc_id: (r.text, [tuple(s) for s in r.removed]) for r in line_dedup.deduplicate(frame).collect()}
+    got = {r.doc_id: (r.text, [tuple(s) for s in r.removed]) for r in line_dedup.deduplicate(frame, unit="line", min_words=5).collect()}
     assert got[1] == (rows[0][0], [])
-    assert got[2] == ("short\nother words come along now", [(0, 26)])
-    assert got[3] == ("new line of many words", [(23, 45)]) and got[4] == ("", []) and got[5] == (None, [])
-    hard_rows = {r.doc_id: r.text for r in line_dedup.deduplicate(hard).collect()}
+    # a short repeat goes with the long one beside it, and stays where it stands alone
+    assert got[2] == ("\nother words come along now", [(0, 26), (28, 33)])
+    assert got[3] == ("new line of many words", [(23, 45)]) and got[4] == ("", []) and got[5] == (None, []) and got[6] == (rows[5][0], [])
+    hard_rows = {r.doc_id: r.text for r in line_dedup.deduplicate(hard, min_words=5).collect()}
     assert hard_rows[4] == "a b c d e f" and hard_rows[5] == "" and hard_rows[7] == LONG and hard_rows[0] is None
     assert line_dedup.deduplicate(empty).count() == 0
-    paragraphs = spark.createDataFrame([("one two three four five\nsix\n\nrest of it", 1), ("One two three four five six\n\nmore", 2)], "text string, doc_id bigint")
-    assert [r.text for r in line_dedup.deduplicate(paragraphs, unit="paragraph").orderBy("doc_id").collect()][1] == "more"
+    paragraphs = spark.createDataFrame([("one two three four five\nsix\n\nrest of it", 1),
+                                        ("two kept\n\nOne two three four five six\n \nmore\n\nlast", 2)], "text string, doc_id bigint")
+    kept = line_dedup.deduplicate(paragraphs, unit="paragraph", min_words=5).orderBy("doc_id").collect()
+    assert kept[1].text == "two kept\n\nmore\n\nlast" and kept[0].text == "one two three four five\nsix\n\nrest of it"
+
+
+def test_passages_go_however_lines_are_cut(spark):
+    draw = random.Random(8)
+    sentences = [" ".join(f"w{draw.randrange(10**6)}" for _ in range(draw.randint(4, 12))) + "." for _ in range(60)]
+    boiler = "All rights reserved."
+    source = f"{' '.join(sentences[:30])}\n{boiler}"
+    copy = f"{sentences[40]} {' '.join(sentences[5:12])} {sentences[41]}\n{boiler}\n{sentences[42]}"
+    other = f"{sentences[50]}\n{boiler}"
+    frame = spark.createDataFrame([(1, source), (2, copy), (3, other), (None, copy)], "doc_id long, text string")
+    got = {r.doc_id: r for r in line_dedup.deduplicate(frame).collect()}
+    assert got[1].text == source and got[3].text == other and got[None].text == copy
+    assert got[2].text == f"{sentences[40]} {sentences[41]}\n{boiler}\n{sentences[42]}"
+    assert "".join(copy[a:b] + " " for a, b in got[2].removed[:7]) == " ".join(sentences[5:12]) + " "
+
+
+def test_heavy_digests_go_with_the_tasks(spark, docs, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HEAVY", 0)
+    joined = line_dedup.repeats(docs).collect()
+    monkeypatch.setattr(line_dedup, "HEAVY", 1 << 40)
+    assert len(joined) > 10 and sorted(map(repr, joined)) == sorted(map(repr, line_dedup.repeats(docs).collect()))
 
 
 def test_language_id(spark, docs, hard, empty):

@@ -83,5 +83,5 @@ def test_line_dedup_lays_spans_on_their_own_text_only(spark):
     unique = "old line of many words\nand line of other words"
     rows = [(None, inner), (None, unique), (5, inner.replace("new", "red")), (5, unique.replace("old", "blue"))]
     docs = spark.createDataFrame(rows, "doc_id int, text string")
-    got = sorted((r.text, [tuple(s) for s in r.removed]) for r in line_dedup.deduplicate(docs).collect())
+    got = sorted((r.text, [tuple(s) for s in r.removed]) for r in line_dedup.deduplicate(docs, unit="line", min_words=5).collect())
     assert got == sorted([("new line of many words", [(23, 45)]), (unique, []), ("red line of many words", [(23, 45)]), (rows[3][1], [])])
