@@ -11,8 +11,9 @@ Segments are the binary cells of a Parquet table, so that any store Spark can wr
 and a lost task's attempt leaves nothing behind. The place of a document among all ids
 follows from the ids per segment, summed per range and then over the ranges.
 
-Defined results: a null or empty text has the end id alone; null keys come first; equal keys are ordered by
-text; an empty table gives an empty table of segments.
+Defined results: a null or empty text has the end id alone; null keys come first, keys that are no whole number count
+as null; rows of one key are ordered by the hash of their text, so that a hot key is dealt over many ranges; an empty table
+gives an empty table of segments.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridscope.llm import textarrays as ta
-from gridscope.llm.bpe import PieceCoder
+from gridscope.llm.byte_level import coder
 
 MAGIC = b"DAC1"
 CHUNK_BITS = 8
@@ -111,22 +110,6 @@ class Segment:
         return values
 
 
-@lru_cache(maxsize=2)
-def _coder(path: str) -> PieceCoder:
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-
-    def encode(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        texts = [data[a:b].tobytes().decode("utf-8") for a, b in zip(starts.tolist(), ends.tolist())]
-        found = [held.ids for held in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        counts = np.array([len(ids) for ids in found], dtype=np.int64)
-        return np.array([i for ids in found for i in ids], dtype=np.int64), counts
-
-    return PieceCoder(encode)
-
-
 def _segments(batches: Iterator[pa.RecordBatch], path: str, limit: int) -> Iterator[pa.RecordBatch]:
     part, number = TaskContext.get().partitionId(), 0
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
@@ -144,7 +127,7 @@ def _segments(batches: Iterator[pa.RecordBatch], path: str, limit: int) -> Itera
     for batch in batches:
         known = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
         keys = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        for row, ids, cuts in _coder(path).texts(batch.column(1)):
+        for row, ids, cuts in coder(path).texts(batch.column(1)):
             counts = np.diff(cuts)
             rows = slice(row, row + len(counts))
             ended = np.insert(ids, cuts[1:], END_ID)
@@ -168,10 +151,10 @@ def _segments(batches: Iterator[pa.RecordBatch], path: str, limit: int) -> Itera
 def write(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", text: str = "text",
           segment_ids: int = SEGMENT_IDS) -> None:
     """Encode all texts with the ``tokenizers`` file and write their ids in ascending key order."""
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    ranged = rows.repartitionByRange(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key") \
-        .sortWithinPartitions("key", "text")
-    ranged.mapInArrow(lambda batches: _segments(batches, tokenizer, segment_ids), SEGMENT_SCHEMA) \
+    rows = docs.select(F.expr(f"try_cast(`{key}` as long)").alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
+    ranged = rows.repartitionByRange(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "hash") \
+        .sortWithinPartitions("key", "hash", "text")
+    ranged.select("key", "text").mapInArrow(lambda batches: _segments(batches, tokenizer, segment_ids), SEGMENT_SCHEMA) \
         .write.mode("error").parquet(folder)
 
 
