@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 import uuid
 import zlib
@@ -38,7 +39,7 @@ from gridscope.sources.tables import cut_lineage
 #: A new archive is begun after so many bytes of records.
 ARCHIVE_BYTES = 256 << 20
 #: Bytes of an archive that one task reads by the index.
-READ_BYTES = 64 << 20
+READ_BYTES = 16 << 20
 #: Bytes read, inflated or written at once.
 PIECE_BYTES = 1 << 20
 #: Digests of at least one part in so many of all rows are sent to the tasks.
@@ -304,7 +305,9 @@ def read(index: DataFrame, folder: str, key_type: str = "bigint") -> DataFrame:
     kinds = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
     schema = "key string, url string, record_type string, refers_to string, payload_bytes long, payload_digest string, payload binary"
     ranges = index.select("archive", "offset", "length", F.floor(F.col("offset") / READ_BYTES).alias("_range"))
-    dealt = ranges.repartition("archive", "_range").sortWithinPartitions("archive", "offset").drop("_range")
+    # index rows are small and what they name is not: as many parts as there are ranges
+    n = max(1, math.ceil((index.agg(F.sum("length")).first()[0] or 0) / READ_BYTES))
+    dealt = ranges.repartition(n, "archive", "_range").sortWithinPartitions("archive", "offset").drop("_range")
     found = dealt.mapInArrow(run, schema)
     return found.withColumns({"key": F.col("key").cast(key_type), "refers_to": F.col("refers_to").cast(key_type)})
 
