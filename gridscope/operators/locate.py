@@ -8,7 +8,8 @@ serving-minus-neighbour difference and the grid's own difference. Distances are
 Two plans give the same rows. ``locate_by_join`` states the work as join,
 aggregate and top-1; its shuffles carry one row per sample and candidate grid.
 ``locate`` cuts both sides into blocks of bounded size per serving cell and
-scores block against block with matrix products inside the task, so only the
+scores block against block with matrix products inside the task, leaving out tiles of grids whose bound
+shows that they cannot hold a sample's nearest; only the
 inputs and one row per sample and block are shuffled.
 """
 
@@ -32,6 +33,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SAMPLE_ROWS_PER_BLOCK = 100_000
 FINGER_ROWS_PER_BLOCK = 100_000
+#: Grids that share one bound.
+GRIDS_PER_TILE = 64
+
+BLOCK = ("objectid", "sample_block", "finger_block")
 
 #: Decimals of a distance.
 DECIMALS = 9
@@ -103,22 +108,30 @@ def locate_by_join(mro: DataFrame, *fingers: DataFrame, min_matches: int = 2,
     return best_grid(grid_distances(pairs, min_matches, max_distance, carry))
 
 
-def _blocks(keys: Sequence[str], rows_per_block: int) -> Column:
-    """Blocks for the distinct rows by ``keys``; repeated rows are folded and need no room."""
-    rows = F.approx_count_distinct(F.xxhash64(*keys))
-    return F.greatest(F.ceil(rows / rows_per_block), F.lit(1)).cast("int")
+def block_counts(readings: DataFrame, finger: DataFrame, sample_rows: int, finger_rows: int) -> DataFrame:
+    """How many sample and fingerprint blocks each serving cell is cut into, from the folded rows of both sides."""
+
+    def blocks(rows: int) -> Column:
+        return F.ceil(F.count(F.lit(1)) / rows).cast("int")
+
+    return readings.groupBy("objectid").agg(blocks(sample_rows).alias("sample_blocks")).join(
+        finger.groupBy("objectid").agg(blocks(finger_rows).alias("finger_blocks")), "objectid")
 
 
-def block_counts(mro: DataFrame, finger: DataFrame, sample_rows: int, finger_rows: int) -> DataFrame:
-    """How many sample and fingerprint blocks each serving cell is cut into.
+def folded(mro: DataFrame, finger: DataFrame, carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Count, sum and sum of squares of the gaps per sample and neighbour, and per grid and neighbour.
 
-    An estimate is enough: it sets the size of the blocks, not their content.
+    Both are written: the blocks are sized from them before they are dealt out, and the reports are scanned once.
     """
-    samples = mro.groupBy("objectid").agg(
-        _blocks([*SAMPLE_KEY[1:], *SERVING, "ncellobjectid"], sample_rows).alias("sample_blocks"))
-    grids = finger.groupBy("objectid").agg(
-        _blocks(["gridid", "height", "n_objectid"], finger_rows).alias("finger_blocks"))
-    return samples.join(grids, "objectid")
+    seen = (F.col("ltescrsrp") - F.col("ltencrsrp")).cast("double")
+    kept = (F.col("rsrp") - F.col("n_rsrp")).cast("double")
+
+    def measures(gap: Column) -> list[Column]:
+        return [F.count(F.lit(1)).cast("double").alias("n"), F.sum(gap).alias("gap"), F.sum(gap * gap).alias("gap2")]
+
+    readings = _reported(mro).groupBy(*SAMPLE_KEY, *SERVING, *carry, "ncellobjectid").agg(*measures(seen))
+    grids = _signed(finger).groupBy("objectid", "gridid", "height", "n_objectid").agg(*measures(kept))
+    return cut_lineage(readings, "readings"), cut_lineage(grids, "grids")
 
 
 def locate(mro: DataFrame, *fingers: DataFrame, min_matches: int = 2,
@@ -131,19 +144,35 @@ def locate(mro: DataFrame, *fingers: DataFrame, min_matches: int = 2,
     fingerprint row costs nothing later. ``carry`` names further columns that
     belong to the sample (such as day and hour).
     """
-    readings, finger = _reported(mro), _signed(all_layers(*fingers))
-    seen = (F.col("ltescrsrp") - F.col("ltencrsrp")).cast("double")
-    kept = (F.col("rsrp") - F.col("n_rsrp")).cast("double")
-    folded_readings = readings.groupBy(*SAMPLE_KEY, *SERVING, *carry, "ncellobjectid").agg(
-        F.count(F.lit(1)).cast("double").alias("n"),
-        F.sum(seen).alias("gap"),
-        F.sum(seen * seen).alias("gap2"),
-    )
-    folded_finger = finger.groupBy("objectid", "gridid", "height", "n_objectid").agg(
-        F.count(F.lit(1)).cast("double").alias("n"),
-        F.sum(kept).alias("gap"),
-        F.sum(kept * kept).alias("gap2"),
+    sample_side, finger_side = _dealt(mro, fingers, carry, sample_rows, finger_rows)
+    described = [*SAMPLE_KEY, *SERVING, *carry]
+    types = dict(sample_side.select(*described).dtypes)
+    schema = ", ".join(f"`{c}` {types[c]}" for c in described)
+    by_block = (
+        sample_side.groupBy(*BLOCK)
+        .cogroup(finger_side.groupBy(*BLOCK))
+        .applyInArrow(
+            _block_matcher(described, min_matches, max_distance),
+            f"{schema}, gridid string, height int, distance double",
+        )
     )
+    return best_grid(by_block)
+
+
+def scoring_shares(mro: DataFrame, *fingers: DataFrame, min_matches: int = 2, max_distance: float | None = None,
+                   sample_rows: int = SAMPLE_ROWS_PER_BLOCK, finger_rows: int = FINGER_ROWS_PER_BLOCK) -> DataFrame:
+    """What ``locate`` has to score: per cell all pairs of samples and grids, and those whose tile could hold a minimum."""
+    sample_side, finger_side = _dealt(mro, fingers, (), sample_rows, finger_rows)
+    counted = sample_side.groupBy(*BLOCK).cogroup(finger_side.groupBy(*BLOCK)).applyInArrow(
+        _block_matcher([*SAMPLE_KEY, *SERVING], min_matches, max_distance, report=True),
+        "objectid long, pairs long, scored long")
+    return counted.groupBy("objectid").agg(F.sum("pairs").alias("pairs"), F.sum("scored").alias("scored"))
+
+
+def _dealt(mro: DataFrame, fingers: Sequence[DataFrame], carry: Sequence[str], sample_rows: int,
+           finger_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both folded sides with their blocks: each sample block beside each fingerprint block of its cell."""
+    readings, finger = folded(mro, all_layers(*fingers), carry)
     # One row per cell. Written, so that its size is known when the joins are planned.
     counts = cut_lineage(block_counts(readings, finger, sample_rows, finger_rows), "blocks")
 
@@ -154,30 +183,18 @@ def locate(mro: DataFrame, *fingers: DataFrame, min_matches: int = 2,
         return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
 
     sample_side = (
-        folded_readings.join(counts, "objectid")
+        readings.join(counts, "objectid")
         .withColumn("sample_block", block_of(SAMPLE_KEY[1:], "sample_blocks").cast("int"))
         .withColumn("finger_block", every("finger_blocks"))
         .drop("sample_blocks", "finger_blocks")
     )
     finger_side = (
-        folded_finger.join(counts, "objectid")
+        finger.join(counts, "objectid")
         .withColumn("finger_block", block_of(("gridid", "height"), "finger_blocks").cast("int"))
         .withColumn("sample_block", every("sample_blocks"))
         .drop("sample_blocks", "finger_blocks")
     )
-    described = [*SAMPLE_KEY, *SERVING, *carry]
-    types = dict(readings.select(*described).dtypes)
-    schema = ", ".join(f"`{c}` {types[c]}" for c in described)
-    keys = ["objectid", "sample_block", "finger_block"]
-    by_block = (
-        sample_side.groupBy(*keys)
-        .cogroup(finger_side.groupBy(*keys))
-        .applyInArrow(
-            _block_matcher(described, min_matches, max_distance),
-            f"{schema}, gridid string, height int, distance double",
-        )
-    )
-    return best_grid(by_block)
+    return sample_side, finger_side
 
 
 def _codes(table: pa.Table, columns: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -197,10 +214,13 @@ def _numbers(table: pa.Table, name: str) -> np.ndarray:
     return table[name].to_numpy()
 
 
-def _block_matcher(described, min_matches, max_distance, cells_per_chunk=1_000_000,
-                   grids_per_chunk=2048, neighbours_per_chunk=256):
+def _block_matcher(described, min_matches, max_distance, cells_per_chunk=2_000_000, grids_per_tile=GRIDS_PER_TILE, report=False):
     """Task-side scorer of one sample block against one fingerprint block.
 
+    Grids alike lie together in tiles. The least and largest gap of a tile per neighbour bound the distance of a sample to
+    all its grids from below; each sample is scored against the tile of its least bound first and then only against
+    tiles whose bound does not exceed what was found. No grid that can be nearest is left out.
+
     With count n, sum s and sum of squares q per neighbour on either side, the
     squared gaps of all row pairs add up to q_r*n_g - 2*s_r*s_g + n_r*q_g, which
     is three matrix products over the shared neighbours. The products cancel, so unless
@@ -211,8 +231,8 @@ def _block_matcher(described, min_matches, max_distance, cells_per_chunk=1_000_0
     def match(readings: pa.Table, finger: pa.Table) -> pa.Table:
         described_part = readings.select(described)
         if not readings.num_rows or not finger.num_rows:
-            return _result(described_part.slice(0, 0), [], [], [])
-        # Grids in (height, gridid) order, so that the first minimum is the wanted tie.
+            return _counted([], [], []) if report else _result(described_part.slice(0, 0), [], [], [])
+        # Grids are numbered in (height, gridid) order, so that the least number is the wanted tie.
         finger = finger.sort_by([("height", "ascending"), ("gridid", "ascending")])
         grid, grid_first = _codes_in_order(finger, ("height", "gridid"))
         sample, sample_first = _codes(described_part, described)
@@ -221,40 +241,54 @@ def _block_matcher(described, min_matches, max_distance, cells_per_chunk=1_000_0
         r = [a[r_keep] for a in (sample, *(_numbers(readings, c) for c in ("n", "gap", "gap2")))]
         g = [a[g_keep] for a in (grid, *(_numbers(finger, c) for c in ("n", "gap", "gap2")))]
         n_samples, n_grids = len(sample_first), len(grid_first)
+        by_sample = np.argsort(r[0], kind="stable")
+        r, r_nb = [a[by_sample] for a in r], r_nb[by_sample]
+        tiles = _Tiles(g, g_nb, n_grids, shared, grids_per_tile)
         exact = _exact(r) and _exact(g)
         margin = _margin(r, g)
-        best = np.full(n_samples, np.inf)
-        best_at = np.full(n_samples, -1, dtype=np.int64)
-        for g_lo in range(0, n_grids, grids_per_chunk):
-            g_hi = min(g_lo + grids_per_chunk, n_grids)
-            step = max(1, cells_per_chunk // (g_hi - g_lo))
-            for s_lo in range(0, n_samples, step):
-                s_hi = min(s_lo + step, n_samples)
-                total = np.zeros((s_hi - s_lo, g_hi - g_lo))
-                pairs = np.zeros_like(total)
-                for k_lo in range(0, shared, neighbours_per_chunk):
-                    k_hi = min(k_lo + neighbours_per_chunk, shared)
-                    rn, rs, rq = _dense(r, r_nb, (s_lo, s_hi), (k_lo, k_hi))
-                    gn, gs, gq = _dense(g, g_nb, (g_lo, g_hi), (k_lo, k_hi))
-                    total += np.hstack([rq, -2.0 * rs, rn]) @ np.hstack([gn, gs, gq]).T
-                    pairs += rn @ gn.T
-                scored = pairs >= max(min_matches, 1)
-                distance = np.full_like(total, np.inf)
-                np.divide(np.maximum(total, 0.0), pairs, out=distance, where=scored)
-                i, j = np.nonzero((distance <= distance.min(axis=1, keepdims=True) + margin) & scored)
-                if exact:
-                    close = distance[i, j]
-                else:
-                    close = _direct(r, r_nb, (s_lo, s_hi), i, g, g_nb, (g_lo, g_hi), j,
-                                    shared, neighbours_per_chunk) / pairs[i, j]
-                distance[i, j] = np.round(close, DECIMALS)
-                at = distance.argmin(axis=1)
-                value = distance[np.arange(len(at)), at]
-                better = value < best[s_lo:s_hi]
-                best[s_lo:s_hi][better] = value[better]
-                best_at[s_lo:s_hi][better] = at[better] + g_lo
         limit = np.inf if max_distance is None else max_distance
-        found = np.flatnonzero((best_at >= 0) & (best <= limit))
+        best = np.full(n_samples, np.inf)
+        best_at = np.full(n_samples, n_grids, dtype=np.int64)
+        step = max(1, cells_per_chunk // max(3 * shared, len(tiles.grids), 1))
+        scored = 0
+
+        def score(number: int, rows: np.ndarray, first: int, side) -> None:
+            grids, columns, known = tiles.grids[number], tiles.columns[number], tiles.sides[number]
+            at = np.ix_(rows, columns)
+            (rn, rs, rq), (gn, gs, gq) = (part[at] for part in side), known
+            total = np.hstack([rq, -2.0 * rs, rn]) @ np.hstack([gn, gs, gq]).T
+            pairs = rn @ gn.T
+            allowed = pairs >= max(min_matches, 1)
+            distance = np.full_like(total, np.inf)
+            np.divide(np.maximum(total, 0.0), pairs, out=distance, where=allowed)
+            i, j = np.nonzero((distance <= distance.min(axis=1, keepdims=True) + margin) & allowed)
+            close = distance[i, j] if exact else _direct((rn, rs, rq), i, (gn, gs, gq), j) / pairs[i, j]
+            distance[i, j] = np.round(close, DECIMALS)
+            near = distance.argmin(axis=1)
+            value, found = distance[np.arange(len(near)), near], grids[near]
+            rows = rows + first
+            better = (value < best[rows]) | ((value == best[rows]) & (found < best_at[rows]) & (value < np.inf))
+            best[rows[better]], best_at[rows[better]] = value[better], found[better]
+
+        for first in range(0, n_samples, step):
+            last = min(first + step, n_samples)
+            side = _dense(r, r_nb, (first, last), (0, shared))
+            bound = tiles.bounds(r, r_nb, (first, last), max(min_matches, 1))
+            nearest = bound.argmin(axis=1)
+            for number in np.unique(nearest).tolist():
+                rows = np.flatnonzero((nearest == number) & (bound[:, number] <= limit + margin) & (bound[:, number] < np.inf))
+                if len(rows):
+                    score(number, rows, first, side)
+                    scored += len(rows) * len(tiles.grids[number])
+            for number in range(len(tiles.grids)):
+                reach = np.minimum(best[first:last], limit) + margin
+                rows = np.flatnonzero((bound[:, number] <= reach) & (bound[:, number] < np.inf) & (nearest != number))
+                if len(rows):
+                    score(number, rows, first, side)
+                    scored += len(rows) * len(tiles.grids[number])
+        if report:
+            return _counted([readings["objectid"][0].as_py()], [n_samples * n_grids], [scored])
+        found = np.flatnonzero((best_at < n_grids) & (best <= limit))
         rows = grid_first[best_at[found]]
         return _result(
             described_part.take(sample_first[found]),
@@ -264,6 +298,86 @@ def _block_matcher(described, min_matches, max_distance, cells_per_chunk=1_000_0
     return match
 
 
+class _Tiles:
+    """Grids in tiles of those alike, each with its readings per neighbour and the least and largest of them."""
+
+    def __init__(self, g, neighbour, n_grids, shared, size, dimensions=16):
+        self.grids = _halved(_profile(g, neighbour, n_grids, shared, dimensions), size)
+        tile, place = np.zeros(n_grids, dtype=np.int64), np.zeros(n_grids, dtype=np.int64)
+        for number, grids in enumerate(self.grids):
+            tile[grids], place[grids] = number, np.arange(len(grids))
+        shape = (shared, len(self.grids))
+        owner, n, gap, _ = g
+        cell = neighbour * shape[1] + tile[owner]
+        self.low, self.high = np.full(shape, np.inf), np.full(shape, -np.inf)
+        self.least, self.most = np.full(shape, np.inf), np.zeros(shape)
+        for bound, take, values in ((self.low, np.minimum, gap / n), (self.high, np.maximum, gap / n),
+                                    (self.least, np.minimum, n), (self.most, np.maximum, n)):
+            take.at(bound.reshape(-1), cell, values)
+        held = np.bincount(cell, minlength=shape[0] * shape[1]).reshape(shape)
+        # a neighbour that some grid of the tile lacks bounds nothing
+        self.least[held < np.array([len(grids) for grids in self.grids])] = 0.0
+        self.low[held == 0], self.high[held == 0] = -np.inf, np.inf
+        self.columns, self.sides = [], []
+        order = np.argsort(tile[owner], kind="stable")
+        cuts = np.searchsorted(tile[owner][order], np.arange(len(self.grids) + 1))
+        for number, grids in enumerate(self.grids):
+            rows = order[cuts[number]: cuts[number + 1]]
+            columns, column = np.unique(neighbour[rows], return_inverse=True)
+            part = [place[owner[rows]], *(values[rows] for values in g[1:])]
+            self.columns.append(columns)
+            self.sides.append(_dense(part, column, (0, len(grids)), (0, len(columns))))
+
+    def bounds(self, r, neighbour, samples, min_matches) -> np.ndarray:
+        """No more than the distance of each sample to any grid of each tile; infinite where none can match."""
+        rows = slice(*np.searchsorted(r[0], samples))
+        owner, n, gap = (values[rows] for values in r[:3])
+        seen, k = (gap / n)[:, None], neighbour[rows]
+        shape = (samples[1] - samples[0], self.low.shape[1])
+        total, pairs = np.zeros(shape), np.zeros(shape)
+        if len(owner):
+            out = np.maximum(np.maximum(self.low[k] - seen, seen - self.high[k]), 0.0)
+            starts = np.flatnonzero(np.diff(owner, prepend=-1))
+            present = owner[starts] - samples[0]
+            total[present] = np.add.reduceat(n[:, None] * self.least[k] * out * out, starts, axis=0)
+            pairs[present] = np.add.reduceat(n[:, None] * self.most[k], starts, axis=0)
+        bound = np.full(shape, np.inf)
+        np.divide(total, pairs, out=bound, where=pairs >= min_matches)
+        return bound
+
+
+def _profile(g, neighbour, n_grids, shared, dimensions) -> np.ndarray:
+    """Mean gap of each grid for the neighbours that most grids know; one far below all others where it is unknown."""
+    owner, n, gap, _ = g
+    common = np.argsort(-np.bincount(neighbour, minlength=shared), kind="stable")[:dimensions]
+    column = np.full(shared, -1)
+    column[common] = np.arange(len(common))
+    value = gap / n
+    profile = np.full((n_grids, len(common)), (value.min() if len(value) else 0.0) - 1000.0)
+    kept = column[neighbour] >= 0
+    profile[owner[kept], column[neighbour[kept]]] = value[kept]
+    return profile
+
+
+def _halved(profile: np.ndarray, size: int) -> list[np.ndarray]:
+    """Row numbers in parts of at most ``size``, cut again and again where the values of a part spread most."""
+    done, todo = [], [np.arange(len(profile))]
+    while todo:
+        part = todo.pop()
+        if len(part) <= size:
+            done.append(np.sort(part))
+            continue
+        held = profile[part]
+        widest = int(np.ptp(held, axis=0).argmax()) if held.shape[1] else 0
+        order = part[np.argsort(held[:, widest], kind="stable")] if held.shape[1] else part
+        todo += [order[: len(order) // 2], order[len(order) // 2:]]
+    return done
+
+
+def _counted(objectid, pairs, scored) -> pa.Table:
+    return pa.table([pa.array(values, pa.int64()) for values in (objectid, pairs, scored)], ["objectid", "pairs", "scored"])
+
+
 def _exact(side) -> bool:
     """Whether all sums are multiples of 1/1024 so small that their products lose nothing."""
     return all(np.array_equal(v * 1024, np.rint(v * 1024)) and (not len(v) or np.abs(v).max() < 1e6) for v in side[1:])
@@ -275,27 +389,24 @@ def _margin(r, g) -> float:
     return 4 * 10.0 ** -DECIMALS + 1e-11 * largest
 
 
-def _direct(r, r_nb, r_rows, i, g, g_nb, g_rows, j, shared, columns, pairs_at_once=4096) -> np.ndarray:
-    """Sum of the squared gaps of samples ``i`` and grids ``j``, places in the two row ranges.
+def _direct(seen, i, known, j, pairs_at_once=4096) -> np.ndarray:
+    """Sum of the squared gaps of samples ``i`` and grids ``j``, rows of the dense sides.
 
     Per neighbour it is n_r*n_g times the squared gap of the means, and what the rows of each
     side differ from their mean.
     """
 
     def centred(side):
-        owner, n, gap, gap2 = side
-        return owner, n, gap / n, np.where(n > 1, np.maximum(gap2 - gap * gap / n, 0.0), 0.0)
+        n, gap, gap2 = side
+        mean = np.divide(gap, n, out=np.zeros_like(gap), where=n > 0)
+        return n, mean, np.where(n > 1, np.maximum(gap2 - gap * mean, 0.0), 0.0)
 
-    r, g = centred(r), centred(g)
+    (rn, rm, rv), (gn, gm, gv) = centred(seen), centred(known)
     total = np.zeros(len(i))
-    for k in range(0, shared, columns):
-        span = (k, min(k + columns, shared))
-        rn, rm, rv = _dense(r, r_nb, r_rows, span)
-        gn, gm, gv = _dense(g, g_nb, g_rows, span)
-        for at in range(0, len(i), pairs_at_once):
-            a, b = i[at: at + pairs_at_once], j[at: at + pairs_at_once]
-            gaps = rn[a] * gn[b] * (rm[a] - gm[b]) ** 2 + gn[b] * rv[a] + rn[a] * gv[b]
-            total[at: at + pairs_at_once] += gaps.sum(axis=1)
+    for at in range(0, len(i), pairs_at_once):
+        a, b = i[at: at + pairs_at_once], j[at: at + pairs_at_once]
+        gaps = rn[a] * gn[b] * (rm[a] - gm[b]) ** 2 + gn[b] * rv[a] + rn[a] * gv[b]
+        total[at: at + pairs_at_once] = gaps.sum(axis=1)
     return total
 
 

@@ -150,8 +150,7 @@ def test_many_neighbours_and_grids_go_through_chunks():
     })
     described = ["objectid", "mmeues1apid", "time_stamp", "ltescrsrp", "ltescrsrq", "ltescsinrul"]
     whole = L._block_matcher(described, 2, None)(readings, finger)
-    cut = L._block_matcher(described, 2, None, cells_per_chunk=50, grids_per_chunk=7,
-                           neighbours_per_chunk=11)(readings, finger)
+    cut = L._block_matcher(described, 2, None, cells_per_chunk=50, grids_per_tile=7)(readings, finger)
     assert whole.num_rows and whole.equals(cut)
 
 
@@ -166,3 +165,45 @@ def test_plan_shapes(table, spark):
         # Once before the shuffle, once after it.
         assert plan.count("WindowGroupLimit") == 2
         assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def _field(spark, seed):
+    """Grids whose signals follow their place, so that tiles of near grids are alike; samples seen somewhere among them."""
+    draw = random.Random(seed)
+    sites = {n: (draw.uniform(0, 40), draw.uniform(0, 40)) for n in range(12)}
+
+    def level(n, x, y):
+        return -60.0 - 2.5 * ((x - sites[n][0]) ** 2 + (y - sites[n][1]) ** 2) ** 0.5
+
+    grids, rows = [], []
+    for x in range(40):
+        for y in range(40):
+            known = [n for n in range(1, 12) if (x // 10 + y // 20 + n) % 4]
+            grids += [(1, f"{x}_{y}", round(level(0, x, y), 1), n, round(level(n, x, y), 1), 0) for n in known]
+    for k in range(150):
+        x, y = draw.uniform(0, 40), draw.uniform(0, 40)
+        for n in draw.sample(range(1, 14), 5):
+            far = level(n, x, y) if n in sites else -90.0
+            rows.append((1, f"u{k}", "t", int(level(0, x, y)) + 141, 10, 12.0, n, int(far) + 141 + draw.randint(-2, 2)))
+        rows += rows[-1:] * draw.randint(0, 2)
+    finger = spark.createDataFrame(grids, "objectid long, gridid string, rsrp double, n_objectid long, n_rsrp double, height int")
+    mro = spark.createDataFrame(rows, "objectid long, mmeues1apid string, time_stamp string, ltescrsrp int, ltescrsrq int, "
+                                      "ltescsinrul double, ncellobjectid long, ltencrsrp int")
+    return mro, finger
+
+
+@pytest.mark.parametrize("min_matches,max_distance", [(2, None), (4, 30.0)])
+def test_pruned_tiles_lose_no_minimum(spark, min_matches, max_distance):
+    mro, finger = _field(spark, 11)
+    options = {"min_matches": min_matches, "max_distance": max_distance}
+    want = sorted(map(tuple, L.locate_by_join(mro, finger, **options).select("mmeues1apid", "gridid", "height", "distance").collect()))
+    got = sorted(map(tuple, L.locate(mro, finger, **options).select("mmeues1apid", "gridid", "height", "distance").collect()))
+    assert got == want and len(want) > 20
+    blocks = L.locate(mro, finger, sample_rows=200, finger_rows=3000, **options)
+    assert sorted(map(tuple, blocks.select("mmeues1apid", "gridid", "height", "distance").collect())) == want
+
+
+def test_most_grids_are_not_scored(spark):
+    mro, finger = _field(spark, 12)
+    row = L.scoring_shares(mro, finger).first()
+    assert row.pairs == 150 * 1600 and 0 < row.scored < row.pairs / 3
