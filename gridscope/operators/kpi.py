@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridscope.functions.codes import MISSING, rsrp_dbm, rsrq_db, sinr_db
@@ -125,10 +125,35 @@ LOSS_COLUMNS = ("ulqci1", "dlqci1", "ltescpuschprbnum", "ltescpdschprbnum", "ta"
 
 
 def sample_loss(located: DataFrame, mro: DataFrame) -> DataFrame:
-    """Located samples with their distinct raw loss and load readings."""
-    raw = mro.select(*SAMPLE_KEY, *LOSS_COLUMNS)
-    # the join has brought equal sample keys together already
-    return located.select(*SAMPLE_KEY, "gridid").join(raw, list(SAMPLE_KEY)).distinct()
+    """Located samples with their distinct raw loss and load readings, folded before they are joined."""
+    raw = mro.select(*SAMPLE_KEY, *LOSS_COLUMNS).distinct()
+    return located.select(*SAMPLE_KEY, "gridid").join(raw, list(SAMPLE_KEY))
+
+
+def sample_facts(located: DataFrame, mro: DataFrame, gap: int = CO_STRENGTH_GAP, min_rows: int = CO_STRENGTH_ROWS) -> DataFrame:
+    """J3 and J15 together: located samples with their distinct loss readings, and whether they overlap.
+
+    The reports are folded once, by sample and reading, and joined once. ``overlap`` is set in one row of each
+    sample, ``reported`` where the sample has a reading. Overlap and loss tables are sums of this one.
+    """
+    gap_rows = F.coalesce(F.abs(F.col("ltescrsrp") - F.col("ltencrsrp")) <= gap, F.lit(False))
+    folded = mro.groupBy(*SAMPLE_KEY, *LOSS_COLUMNS).agg(_ones(gap_rows, "bigint").alias("_rows")).withColumn("reported", F.lit(True))
+    joined = located.select(*SAMPLE_KEY, "gridid").join(folded, list(SAMPLE_KEY), "left")
+    sample = Window.partitionBy(*SAMPLE_KEY)
+    is_first = F.row_number().over(sample.orderBy(*LOSS_COLUMNS)) == 1
+    overlap = F.coalesce(F.sum("_rows").over(sample) >= min_rows, F.lit(False))
+    return joined.select(*SAMPLE_KEY, "gridid", *LOSS_COLUMNS, F.coalesce("reported", F.lit(False)).alias("reported"),
+                         F.when(is_first, overlap).alias("overlap"))
+
+
+def overlap_of(facts: DataFrame) -> DataFrame:
+    """C8 / A3 from ``sample_facts``."""
+    return facts.groupBy("gridid").agg(_ones(F.col("overlap")).alias("overlapd"))
+
+
+def loss_of(facts: DataFrame) -> DataFrame:
+    """C10 / A4 from ``sample_facts``."""
+    return grid_loss(facts.where("reported"))
 
 
 def _mean_loss(value: Column, valid: Column) -> Column:

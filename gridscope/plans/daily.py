@@ -37,9 +37,11 @@ def report_day(spark: SparkSession, located_path: str, mro_path: str, ground: Da
     samples = tables.write(by_columns(samples, "hour"), "samples", day)
     mro = read_partition(spark, mro_path, day, schema=schemas.MRO)
     made = {"samples": samples}
-    made["overlaps"] = tables.write(kpi.overlap_by_grid(samples, mro), "overlaps", day)
+    facts = tables.write(kpi.sample_facts(samples, mro), "sample_facts", day)
+    made["sample_facts"] = facts
+    made["overlaps"] = tables.write(kpi.overlap_of(facts), "overlaps", day)
     made["grid_kpi"] = tables.write(kpi.grid_kpi(samples, made["overlaps"], ground), "grid_kpi", day)
-    made["grid_loss"] = tables.write(kpi.packet_loss(samples, mro), "grid_loss", day)
+    made["grid_loss"] = tables.write(kpi.loss_of(facts), "grid_loss", day)
     made["grid_result"] = tables.write(
         kpi.grid_result(made["grid_kpi"], made["grid_loss"], ground), "grid_result", day)
     made["sample_positions"] = tables.write(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +55,16 @@ def read_partition(spark: SparkSession, path: str, day: str | None = None, hour:
     return df
 
 
+def partition_folders(df: DataFrame, columns: Sequence[str]) -> list[dict[str, str]]:
+    """Values of the partition columns in the folders that a scan reads, from the names of its files; nothing is read."""
+    found = set()
+    for file in df.inputFiles():
+        parts = dict(part.split("=", 1) for part in file.split("/") if "=" in part)
+        if all(column in parts for column in columns):
+            found.add(tuple(unquote(unquote(parts[column])) for column in columns))
+    return [dict(zip(columns, values)) for values in sorted(found)]
+
+
 def has_rows(df: DataFrame) -> bool:
     """Whether there is anything to work on."""
     return not df.isEmpty()

@@ -75,6 +75,29 @@ def test_overlap_needs_three_co_strength_rows(table):
     assert counts == {"g": 1, "h": 0}
 
 
+def test_facts_of_samples_give_overlap_and_loss(spark, sf):
+    mro = d.mro(spark, sf)
+    repeated = mro.unionByName(mro.limit(200))
+    located = mro.select("objectid", "mmeues1apid", "time_stamp").distinct() \
+        .withColumn("gridid", F.concat(F.lit("g"), F.pmod(F.xxhash64("mmeues1apid"), F.lit(40))))
+    facts = kpi.sample_facts(located, repeated)
+    for got, want in ((kpi.overlap_of(facts), kpi.overlap_by_grid(located, repeated)), (kpi.loss_of(facts), kpi.packet_loss(located, repeated)),
+                      (facts.where("reported").drop("reported", "overlap"), kpi.sample_loss(located, repeated))):
+        want = want.select(*got.columns)
+        assert got.count() > 10 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    lone = located.limit(1).withColumn("mmeues1apid", F.lit("unknown"))
+    row, = kpi.sample_facts(lone, repeated).collect()
+    assert not row.reported and row.overlap is False
+
+
+def test_reports_are_exchanged_once(spark, sf, tmp_path):
+    d.mro(spark, sf).write.parquet(str(tmp_path / "mro"))
+    mro = spark.read.parquet(str(tmp_path / "mro"))
+    located = spark.createDataFrame([(1, "a", "t", "g")], "objectid bigint, mmeues1apid string, time_stamp string, gridid string")
+    plan = kpi.sample_facts(located, mro)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1
+
+
 def test_empty_grids_fill_ground_only(table):
     located = table(LOCATED, ("g", 1, 0, 50, 1, 1.0), ("h", 1, 5, 50, 1, 1.0))
     ground = table("gridid string, objectid bigint, rsrp double", ("g", 1, -70.0), ("h", 2, -71.0), ("h", 2, -71.0))
