@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from itertools import groupby
 
@@ -186,25 +185,53 @@ def _last(items: Column, test) -> Column:
     return F.try_element_at(F.filter(items, test), F.lit(-1))
 
 
-def _two_items(items: Column, is_first, is_second) -> Column:
-    """Struct of the two items a reader holds once both kinds were seen, else null.
+def _both(firsts: Column, seconds: Column) -> Column:
+    """The two values a reader holds once both kinds of entries were seen, else null; entries are in order of their place.
 
-    Later items replace earlier ones until then. Of one item that is of both
+    Later entries replace earlier ones until then. Of one item that is of both
     kinds, the first kind is read first.
     """
-    def pick(at: Column) -> Column:
-        first_end = F.greatest(at["first"], at["second"])
-        second_end = F.when(at["first"] > at["second"], at["first"] - 1).otherwise(at["second"])
-        return F.when((at["first"] > 0) & (at["second"] > 0), F.struct(
-            _last(F.slice(items, F.lit(1), first_end), is_first).alias("first"),
-            _last(F.slice(items, F.lit(1), second_end), is_second).alias("second"),
+    def pick(held: Column) -> Column:
+        one, two = (F.get(held[kind], F.lit(0))["place"] for kind in ("firsts", "seconds"))
+        first_end = F.greatest(one, two)
+        second_end = F.when(one > two, one - 1).otherwise(two)
+        return F.when(one.isNotNull() & two.isNotNull(), F.struct(
+            _last(held["firsts"], lambda e: e["place"] <= first_end)["value"].alias("first"),
+            _last(held["seconds"], lambda e: e["place"] <= second_end)["value"].alias("second"),
         ))
 
-    places = F.struct(
-        F.array_position(F.transform(items, is_first), True).cast("int").alias("first"),
-        F.array_position(F.transform(items, is_second), True).cast("int").alias("second"),
-    )
-    return _let(places, pick)
+    return _let(F.struct(firsts.alias("firsts"), seconds.alias("seconds")), pick)
+
+
+def key_pattern(keys) -> str:
+    """A pattern of all the keys that tries each common beginning once.
+
+    No key may be the beginning of another, so that one key at most stands at each place.
+    """
+    tails: dict[str, list[str]] = {}
+    for key in sorted(set(keys)):
+        tails.setdefault(key[0], []).append(key[1:])
+    parts = []
+    for first, rest in tails.items():
+        if "" in rest and len(rest) > 1:
+            raise ValueError(f"a key is the beginning of another: {first}")
+        sign = first if first.isascii() and first.isalnum() else f"\\{first}"
+        parts.append(sign + (key_pattern(rest) if rest != [""] else ""))
+    return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+
+
+def _cut_pattern(cut: str) -> str:
+    """The same cuts, each common beginning tried once; for lists of plain signs."""
+    return key_pattern(cut.replace("\\?", "?").split("|"))
+
+
+def _entries(items: Column, keys) -> Column:
+    """Each key in each item: ``key``, ``place`` of the item (from 1), ``value`` after the key, whether it is ``leading``."""
+    anywhere = F.lit(f"(?=({key_pattern(keys)}))")
+    return F.flatten(F.transform(items, lambda item, i: F.transform(
+        F.regexp_extract_all(item["low"], anywhere, F.lit(1)),
+        lambda key: F.struct(key.alias("key"), (i + 1).alias("place"), _after(item, key).alias("value"),
+                             item["low"].startswith(key).alias("leading")))))
 
 
 def _single(point: Column) -> Column:
@@ -225,46 +252,48 @@ def _rule_column(rule) -> Column:
 
 
 class _Request:
-    """Columns of one request that the rules look at."""
+    """Columns of one request that the rules look at: as it is, in lower case, and its entries by key."""
 
-    def __init__(self, uri: Column, low: Column, items: Column, strict: bool):
-        self.uri, self.low, self.items = uri, low, items
+    def __init__(self, uri: Column, low: Column, entries: Column, strict: bool):
+        self.uri, self.low, self.entries = uri, low, entries
         self.strict = strict
 
     def _named(self, item: Column, key: Column) -> Column:
         return item["low"].startswith(key) if self.strict else item["low"].contains(key)
 
+    def _of(self, key: Column, leading: Column | None = None) -> Column:
+        """Entries of a key, in order; only those that lead an item where that is wanted."""
+        wanted = F.lit(True) if self.strict else F.lit(False) if leading is None else leading
+        return F.filter(self.entries, lambda e: (e["key"] == key) & (e["leading"] | ~wanted))
+
     def _host(self, rule: Column) -> Column:
         return (rule["host"] == "") | self.low.contains(rule["host"])
 
     def applies(self, kind, rule: Column) -> Column:
-        """A cheap test before the request is taken apart."""
+        """A cheap test before values are read."""
         if kind is PathParts:
             return self.uri.contains(rule["lat"]) & self.uri.contains(rule["lng"])
         if kind is TwoKeys:
-            return self.low.contains(rule["lng"]) & self.low.contains(rule["lat"])
+            return F.exists(self.entries, lambda e: e["key"] == rule["lng"]) & F.exists(self.entries, lambda e: e["key"] == rule["lat"])
+        if kind is OnePair:
+            return F.exists(self.entries, lambda e: e["key"] == rule["key"]) & self._host(rule)
         named = self.low.contains(rule["key"])
         return named if kind is PairList else named & self._host(rule)
 
     def points(self, kind, rule: Column) -> Column:
         """Array of points by a rule that applies; null if it finds none."""
         if kind is TwoKeys:
-            both = _two_items(self.items, lambda i: self._named(i, rule["lng"]),
-                              lambda i: self._named(i, rule["lat"]))
-            return _let(both, lambda item: F.when(item.isNotNull(), F.array(_point(
-                _after(item["second"], rule["lat"]), _after(item["first"], rule["lng"])))))
+            both = _both(self._of(rule["lng"]), self._of(rule["lat"]))
+            return _let(both, lambda found: F.when(found.isNotNull(), F.array(_point(found["second"], found["first"]))))
         if kind is PathParts:
             lat_word, lng_word = F.substring(rule["lat"], 2, 9), F.substring(rule["lng"], 2, 9)
-            both = _two_items(F.split(self.uri, "-"), lambda i: i.contains(lat_word),
-                              lambda i: i.contains(lng_word))
-            return _let(both, lambda item: F.when(item.isNotNull(), F.array(_point(
-                F.replace(item["first"], lat_word, F.lit("")),
-                F.replace(item["second"], lng_word, F.lit(""))))))
+            parts = F.transform(F.split(self.uri, "-"), lambda part, i: F.struct((i + 1).alias("place"), part.alias("value")))
+            both = _both(F.filter(parts, lambda e: e["value"].contains(lat_word)),
+                         F.filter(parts, lambda e: e["value"].contains(lng_word)))
+            return _let(both, lambda found: F.when(found.isNotNull(), F.array(_point(
+                F.replace(found["first"], lat_word, F.lit("")), F.replace(found["second"], lng_word, F.lit(""))))))
         if kind is OnePair:
-            item = F.get(F.filter(self.items, lambda i: F.when(
-                rule["at_start"], i["low"].startswith(rule["key"])).otherwise(
-                self._named(i, rule["key"]))), F.lit(0))
-            value = _let(item, lambda i: _after(i, rule["key"]))
+            value = F.get(self._of(rule["key"], rule["at_start"]), F.lit(0))["value"]
             least = F.when(rule["at_start"], 2)
             return _single(_pair(value, F.lit(COMMA), rule["lat_first"], least))
         named = F.filter(_cut(self.uri, rule["item_cut"]), lambda i: self._named(i, rule["key"]))
@@ -281,29 +310,36 @@ class _Request:
         listed = F.array(*[_rule_column(rule) for rule in rules])
         tried = F.transform(F.filter(listed, lambda rule: self.applies(kind, rule)),
                             lambda rule: self.points(kind, rule))
-        return F.get(F.filter(tried, lambda points: points.isNotNull()), F.lit(0))
+        first = F.get(F.filter(tried, lambda points: points.isNotNull()), F.lit(0))
+        return F.when(F.size(self.entries) > 0, first) if kind in (TwoKeys, OnePair) else first
+
+
+def _looked_up(rules) -> list[str]:
+    """Keys that are looked up among the entries of a request, in lower case."""
+    keys = [key for rule in rules if isinstance(rule, TwoKeys) for key in (rule.lng, rule.lat)]
+    return [key.lower() for key in keys + [rule.key for rule in rules if isinstance(rule, OnePair)]]
 
 
 def _any_key(rules) -> str:
     """A pattern that every request with a point has somewhere in lower case."""
-    keys = {(rule.lat if isinstance(rule, (TwoKeys, PathParts)) else rule.key).lower() for rule in rules}
-    return "|".join(re.sub(r"([^a-z0-9])", r"\\\1", key) for key in sorted(keys))
+    return key_pattern((rule.lat if isinstance(rule, (TwoKeys, PathParts)) else rule.key).lower() for rule in rules)
 
 
 def with_uri_points(logs: DataFrame, uri: str = "uri", name: str = "points", strict: bool = False,
                     rules=URI_RULES, wanted: Column | None = None) -> DataFrame:
     """Adds the points of a request as an array, by the first rule that yields any.
 
-    Keys count anywhere in an item; ``strict`` wants them at its start. A request without any key, or one that is
+    Keys count anywhere in an item; ``strict`` wants them at its start. A request is cut once and all keys in its
+    items are found by one pattern; the rules look them up. A request without any key, or one that is
     not ``wanted``, is not taken apart.
     """
     low = F.lower(F.col(uri))
     asked = low.rlike(_any_key(rules)) if wanted is None else wanted & low.rlike(_any_key(rules))
     prepared = logs.withColumn("_low", F.when(asked, low)) \
-        .withColumn("_items", F.when(F.col("_low").isNotNull(), _cut(F.col(uri), ITEM_CUT)))
-    request = _Request(F.col(uri), F.col("_low"), F.col("_items"), strict)
+        .withColumn("_entries", F.when(F.col("_low").isNotNull(), _entries(_cut(F.col(uri), _cut_pattern(ITEM_CUT)), _looked_up(rules))))
+    request = _Request(F.col(uri), F.col("_low"), F.col("_entries"), strict)
     runs = [request.first_points(kind, list(run)) for kind, run in groupby(rules, type)]
-    return prepared.withColumn(name, F.when(F.col("_low").isNotNull(), F.coalesce(*runs))).drop("_low", "_items")
+    return prepared.withColumn(name, F.when(F.col("_low").isNotNull(), F.coalesce(*runs))).drop("_low", "_entries")
 
 
 def uri_locations(logs: DataFrame, strict: bool = False) -> DataFrame:

@@ -30,6 +30,43 @@ URIS = {
     "http://a/shop-lat30.5-lng120.5-x": [("30.5", "120.5")],
     "http://a/nothing": [],
     "": [],
+    # every further rule once, numbers as the rule gives them: (latitude, longitude)
+    "http://b/1?x=120.01&y=30.01": [("30.01", "120.01")],
+    "http://b/2?u=lng%3d120.02&v=lat%3d30.02": [("30.02", "120.02")],
+    "http://b/3?u=lng%3A120.03&v=lat%3A30.03": [("30.03", "120.03")],
+    "http://b/4?lon=120.04&lat=30.04": [("30.04", "120.04")],
+    "http://b/5?u=lon%3D120.05&v=lat%3D30.05": [("30.05", "120.05")],
+    "http://b/6?don=120.06&lat=30.06": [("30.06", "120.06")],
+    "http://b/7?lgt=120.07&lat=30.07": [("30.07", "120.07")],
+    "http://b/8?v=longitude%22%3a%22120.08%22%2c%22latitude%22%3a%2230.08": [("30.08", "120.08")],
+    "http://b/9?longitude=120.09&latitude=30.09": [("30.09", "120.09")],
+    "http://b/10?long=120.10&lat=30.10": [("30.10", "120.10")],
+    "http://b/11?MyPosx=120.11&MyPosy=30.11": [("30.11", "120.11")],
+    "http://b/12?pointx=120.12&pointy=30.12": [("30.12", "120.12")],
+    "http://b/13?a=lou%22%20:%20%22120.13&b=lau%22%20:%20%2230.13": [("30.13", "120.13")],
+    "http://b/14?logi=120.14&lati=30.14": [("30.14", "120.14")],
+    "http://b/15?v=xy%22%3A%2230.15,120.15": [("30.15", "120.15")],
+    "http://b/16?action_gps=30.16,120.16": [("30.16", "120.16")],
+    "http://b/17?cur_pt=30.17,120.17": [("30.17", "120.17")],
+    "http://b/18?cll=30.18,120.18": [("30.18", "120.18")],
+    "http://b/19?geoinfo=30.19,120.19": [("30.19", "120.19")],
+    "http://b/20?loc=30.20,120.20": [("30.20", "120.20")],
+    "http://b/21?latlng=30.21,120.21": [("30.21", "120.21")],
+    "http://b/22?mypos=30.22,120.22": [("30.22", "120.22")],
+    "http://b/23?origin=30.23,120.23": [("30.23", "120.23")],
+    "http://b/24?points=30.24,120.24": [("30.24", "120.24")],
+    "http://b/25?point=30.25,120.25": [("30.25", "120.25")],
+    "http://b/26?position=30.26,120.26": [("30.26", "120.26")],
+    "http://b/27?q=30.27,120.27": [("30.27", "120.27")],
+    "http://b/28?xyr=30.28,120.28": [("30.28", "120.28")],
+    "http://b/29?u=coords%3D30.29_120.29,coords%3D31.29_121.29": [("30.29", "120.29"), ("31.29", "121.29")],
+    "http://b/30?start=120.30,30.30": [("30.30", "120.30")],
+    "http://b/31/JW%3A120.31_30.31,JW%3Abad_30": [("30.31", "120.31")],
+    "http://b/32?v=lt%22%3A%22120.32%22%2c%22ltt%22%3A%2230.32": [("30.32", "120.32")],
+    "http://b/33?lo=120.33&la=30.33": [("30.33", "120.33")],
+    "http://b/34?d=120.34&l=30.34": [("30.34", "120.34")],
+    "http://b/35?l=120.35&x=30.35": [("30.35", "120.35")],
+    "http://b/36?px=120.36&py=30.36": [("30.36", "120.36")],
 }
 
 
@@ -40,6 +77,17 @@ def test_requests(spark):
     assert not wrong and got[None] == []
 
 
+def test_key_pattern_finds_every_key_also_where_keys_overlap():
+    import re
+
+    keys = web._looked_up(web.URI_RULES)
+    found = re.compile(f"(?=({web.key_pattern(keys)}))")
+    text = "s_x=lng%3d=latlng=mypos=pointx=llgt=lo=%22%20:%20%22lou%22%20:%20%22" + "".join(keys)
+    assert {k for k in found.findall(text)} == {k for k in keys if k in text}
+    with pytest.raises(ValueError):
+        web.key_pattern(["lo", "lon"])
+
+
 def test_strict_keys_start_an_item(spark):
     logs = spark.createDataFrame([("http://a/p?from_lat=1&from_lng=2&lat=30&lng=120",), ("http://a/p?max=1&day=2",)], "uri string")
     points = {r.uri[11:16]: r.points and tuple(r.points[0]) for r in web.with_uri_points(logs, strict=True).collect()}
