@@ -365,6 +365,47 @@ def test_attention_learns_and_adds_up_to_one():
     assert model.score(ids, cuts).sum() > before / 4
 
 
+def test_scores_equal_a_plain_forward_pass():
+    draw = np.random.default_rng(3)
+    counts = draw.integers(1, 50, size=900)
+    model = attention.Attention(counts, end=899)
+    model.w = {name: (value + draw.normal(0, 0.3, value.shape)).astype(np.float32) for name, value in model.w.items()}
+    texts = [np.append(draw.integers(0, 899, size=n), 899) for n in (0, 1, 15, 16, 40, 70)]
+    w, context, stride = {k: v.astype(np.float64) for k, v in model.w.items()}, attention.CONTEXT, attention.STRIDE
+
+    def plain(ids):
+        slots, total = [model.start, *model.slot_of[ids]], 0.0
+        for n, target in enumerate(ids):
+            # the window in which the id is a target, and the inputs it can see there
+            low = max(0, n // stride * stride - (context - stride))
+            seen = slots[low: n + 1]
+            q = w["embed"][seen[-1]] @ w["q"] / attention.WIDTH ** 0.5
+            logits = [q @ (w["embed"][s] @ w["k"]) + w["near"][len(seen) - 1 - i] for i, s in enumerate(seen)]
+            share = np.exp(np.array(logits) - max(logits))
+            share /= share.sum()
+            c = sum(a * (w["embed"][s] @ w["v"]) for a, s in zip(share, seen))
+            before = seen[-2] if len(seen) > 1 else 0
+            h = np.tanh(c @ w["join"] + w["join_b"] + w["last"][seen[-1]] + w["before"][before])
+            slot = model.slot_of[target]
+            for scores, at in ((h @ w["group"] + w["group_b"], slot // attention.MEMBERS),
+                               (h @ w["member"][slot // attention.MEMBERS] + w["member_b"][slot // attention.MEMBERS], slot % attention.MEMBERS)):
+                total += scores[at] - max(scores) - np.log(np.exp(scores - max(scores)).sum())
+            total += model.log_share[target]
+        return total
+
+    for factor in (1, 40):
+        model.w["group"] *= factor
+        w["group"] = model.w["group"].astype(np.float64)
+        ids, cuts = np.concatenate(texts), np.cumsum([0] + [len(t) for t in texts])
+        assert model.score(ids, cuts) == pytest.approx([plain(t) for t in texts], rel=2e-4)
+
+
+def test_scores_do_not_follow_the_partitions(short_training, docs, monkeypatch):
+    monkeypatch.setattr(lm, "SAMPLED_WINDOWS", 300)
+    one, many = ({r.doc_id: r.score for r in lm.score(docs.repartition(n), F.lit(True), RANKS).collect()} for n in (1, 7))
+    assert len(one) > 100 and all(many[k] == pytest.approx(v, rel=1e-6) for k, v in one.items())
+
+
 @pytest.fixture
 def short_training(monkeypatch):
     whole = attention.Attention.train
