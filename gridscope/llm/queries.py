@@ -110,8 +110,8 @@ def op9_token_output(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     found = secrets.scan(table(spark, sf, "documents"))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", "n_entropy",
-                        F.sha2(F.col("base_text").cast("binary"), 256).alias("base_sha256"), F.col("spans_text").alias("spans"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex",
+                        F.sha2(F.col("base_text").cast("binary"), 256).alias("base_sha256"), F.col("spans_text").alias("spans"), "n_entropy")
 
 
 @query
