@@ -331,8 +331,12 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each class, with all its columns: the one of least key, a row without a key where no row has one.
 
-    Rows of one key and text count as one document, blank ones too; blank rows without a key all stay.
+    Rows of one key and text count as one document, blank ones too; blank rows without a key all stay. Extra columns may
+    have any names.
     """
+    names = docs.columns
+    places = [f"_c{i}" for i in range(len(names))]
+    docs, key, text = docs.toDF(*places), places[names.index(key)], places[names.index(text)]
     sets, known = _classes(docs, key, text)
     rows = sets.groupBy("_key", "which", F.when(F.col("n") > 0, F.col("node")).alias("node")).agg(F.count(F.lit(1)).alias("_rows"))
     own = F.struct(F.col("_key").isNull().alias("bare"), F.col("_key"), F.col("which"), F.col("_rows"))
@@ -344,4 +348,4 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     same = F.col(key).eqNullSafe(F.col("_kept")) & (F.xxhash64(text) == F.col("_kept_text"))
     single = docs.join(counted.where("_rows = 1"), same, "left_semi")
     several = docs.join(counted.where("_rows > 1"), same, "left_semi").dropDuplicates([key, text])
-    return single.unionByName(several)
+    return single.unionByName(several).toDF(*names)
