@@ -29,10 +29,18 @@ HEX = r"[0-9a-f]{24,}"
 WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/_-]{%d,}" % WINDOW
 #: Character classes of a run, the first that fits, and the least entropy in bits of one of its windows.
-CLASSES = (("hex", r"^[0-9A-Fa-f]+$", 3.0), ("letters and digits", r"^[A-Za-z0-9]+$", 3.7), ("base64", r"", 3.9))
-#: Runs that are no secrets: without a digit or without a letter, paths and slugs of plain words (the last may have a short number), samples.
-#: Nothing in them is tried twice, so that no run takes longer than its length.
-ALLOWED = (r"^[^0-9]*$", r"^[^A-Za-z]*$", r"^[/_-]*+(?:[A-Z]?[a-z]++[/_-])++[a-z]*+[0-9]{0,4}$", r"(?i)example|sample|placeholder")
+CLASSES = (("hex", r"^[0-9A-Fa-f]+$", 3.0), ("letters of one case and digits", r"^(?:[a-z0-9]+|[A-Z0-9]+)$", 3.5),
+           ("letters and digits", r"^[A-Za-z0-9]+$", 3.7), ("base64", r"", 3.75))
+#: What a word looks like inside a run: capitals before small letters, small letters, two letters as in "Is" or "to", an acronym,
+#: a "V" before a number.
+WORD = r"(?:[A-Z]{1,7}[a-z]{2,}+|[a-z]{3,}+|[A-Za-z][sftnoyrdpk](?![a-z])|[A-Z]{3,6}+(?![a-z])|V(?=[0-9]))"
+#: Runs that are no secrets: letters of one case without a digit, runs without a letter, paths, slugs and names made of words (with short
+#: numbers after them, or standing alone between signs), samples. Nothing in them is tried twice, so that no run takes longer than
+#: its length.
+ALLOWED = (r"^[^0-9A-Z]*$", r"^[^0-9a-z]*$", r"^[^A-Za-z]*$",
+           rf"^[/_-]*+(?:{WORD}|(?<=[a-zA-Z])[0-9]{{1,4}}+(?=$|[A-Z/_-])|(?<![A-Za-z0-9])[a-z]{{1,2}}+(?=$|[/_-])"
+           r"|[/_-][0-9]{0,4}+(?![0-9a-z])|[/_-])++$",
+           r"(?i)example|sample|placeholder")
 
 _OPEN, _CLOSE, _HIDDEN = "\x01", "\x02", "\x03"
 _SPAN = "struct<start:int,kind:int,end:int>"

@@ -1,7 +1,10 @@
 """Cases in which an operator did less than its whole job."""
 
+import math
 import random
+import re
 import string
+from collections import Counter
 
 from gridscope.llm import decontam, jaccard_join, langid, line_dedup, secrets
 
@@ -36,6 +39,35 @@ def test_decontamination_finds_short_and_dense_items_inside_texts(spark):
     assert found == {**{i: [i] for i in range(len(texts))}, **{30 + i: [i] for i in range(len(texts))}, 40: [5], 41: [6]}
 
 
+def test_which_runs_become_secrets(spark):
+    draw = random.Random(7)
+    words = ("abstract singleton proxy factory bean test user service manager request response handler get set is on http url parser json "
+             "value index row column data file path option window update version server client session list map key node").split()
+    low, up, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    kinds = {"hex": "0123456789abcdef", "low": low + digits, "up": up + digits, "base62": low + up + digits, "letters": low + up,
+             "base64": low + up + digits + "+/", "urlsafe": low + up + digits + "-_"}
+    keys = {(kind, n): ["".join(draw.choices(signs, k=n)) for _ in range(150)] for kind, signs in kinds.items() for n in (20, 24, 32)}
+    plain = ["".join(w.title() for w in draw.choices(words, k=5)) + draw.choice(["", "2", "V2", "Test"]) for _ in range(300)]
+    plain += [sign.join(w + draw.choice(["", "", str(draw.randint(0, 99))]) for w in draw.choices(words, k=6)) for sign in "_-/" for _ in range(150)]
+    plain += ["AbstractSingletonProxyFactoryBean2Test", "some/path/to-a/file_name-2024", "getHTTPResponseFromURLParser2"]
+    runs = [r for held in keys.values() for r in held] + [p for p in plain if len(p) >= secrets.WINDOW]
+
+    def expected(run):
+        if any(re.search(p, run) for p in secrets.ALLOWED):
+            return False
+        best = max(-sum(c / 20 * math.log2(c / 20) for c in Counter(run[i: i + 20]).values()) for i in range(len(run) - 19))
+        return best >= next(least for _, p, least in secrets.CLASSES if re.search(p, run)) - 1e-12
+
+    found = secrets.scan(spark.createDataFrame(list(enumerate(runs)), "doc_id int, text string")).collect()
+    # base kinds take hex runs of 24 characters and more
+    got = {runs[r.doc_id]: r.n_entropy > 0 for r in found if not r.n_hex + r.n_access + r.n_assign}
+    assert got == {run: expected(run) for run in got}
+    for (kind, n), held in keys.items():
+        caught = [got.get(run, True) for run in held]
+        assert sum(caught) >= (0.95 if n >= 24 else 0.85) * len(caught) - 3, (kind, n, sum(caught))
+    assert not any(got[p] for p in plain if len(p) >= secrets.WINDOW)
+
+
 def test_decontamination_by_key_and_text_with_clashing_columns_and_items_without_id(spark):
     first = "The quick teacher asks every pupil for one long and careful answer about rivers"
     second = "Nobody in this town remembers which bridge was built before the great fire came"
