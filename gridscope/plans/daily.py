@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridscope import schemas
 from gridscope.operators import kpi
 from gridscope.plans.hourly import PLACED
-from gridscope.sources.tables import by_columns, overwrite_partition, read_partition
+from gridscope.sources.tables import by_columns, export_csv, overwrite_partition, read_partition
 
 
 @dataclass(frozen=True)
@@ -30,8 +30,11 @@ class DayTables:
 
 
 def report_day(spark: SparkSession, located_path: str, mro_path: str, ground: DataFrame, root: str, day: str,
-               grid_building: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All tables of a day, by name; every step reads what the step before has written."""
+               grid_building: DataFrame | None = None, csv_root: str | None = None) -> dict[str, DataFrame]:
+    """All tables of a day, by name; every step reads what the step before has written.
+
+    With ``csv_root`` the grid result and the sample positions are delivered as CSV too (S14).
+    """
     tables = DayTables(root)
     samples = read_partition(spark, located_path, day, schema=PLACED).drop("day")
     samples = tables.write(by_columns(samples, "hour"), "samples", day)
@@ -48,4 +51,7 @@ def report_day(spark: SparkSession, located_path: str, mro_path: str, ground: Da
         by_columns(kpi.sample_positions(samples, ground), "hour"), "sample_positions", day)
     if grid_building is not None:
         made["floor_rsrp"] = tables.write(kpi.floor_rsrp(made["grid_kpi"], grid_building), "floor_rsrp", day)
+    if csv_root is not None:
+        for name in ("grid_result", "sample_positions"):
+            export_csv(made[name], f"{csv_root}/{name}/{day}")
     return {name: df.withColumn("day", F.lit(day)) for name, df in made.items()}

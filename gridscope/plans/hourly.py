@@ -18,12 +18,16 @@ PLACED = "objectid bigint, mmeues1apid string, time_stamp string, ltescrsrp int,
 
 def locate_hours(spark: SparkSession, mro_path: str, ground: DataFrame, upper: DataFrame, sites: DataFrame,
                  floor_path: str, result_path: str, day: str | None = None, hour: str | None = None,
-                 jitter: Column | None = None, fmt: str = "parquet") -> bool:
+                 jitter: Column | None = None, fmt: str = "parquet", at: str | None = None) -> bool:
     """Fingerprint result to ``floor_path``, all placed samples to ``result_path``.
 
-    Without day and hour all partitions of the input are done. Returns whether
+    Without day and hour all partitions of the input are done; ``at`` names both as ``yyyyMMddHH``. Returns whether
     there was anything to do.
     """
+    if at is not None:
+        if len(at) != 10 or not at.isdigit():
+            raise ValueError(f"not an hour as yyyyMMddHH: {at}")
+        day, hour = at[:8], at[8:]
     mro = read_partition(spark, mro_path, day, hour, fmt, schemas.MRO)
     if not has_rows(mro):
         return False

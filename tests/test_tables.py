@@ -139,7 +139,10 @@ def test_hourly_and_daily_jobs(spark, sf, folder):
         assert tables.read_partition(spark, floors, day, hour, schema=hourly_plan.PLACED).isEmpty()
         assert tables.read_partition(spark, kept, day, hour, schema=hourly_plan.PLACED).isEmpty()
 
-    made = daily.report_day(spark, result, mro_path, inputs[0], folder("reports"), day, d.grid_building(spark, sf))
+    csv = folder("csv")
+    made = daily.report_day(spark, result, mro_path, inputs[0], folder("reports"), day, d.grid_building(spark, sf), csv)
+    delivered = spark.read.option("header", True).csv(f"{csv}/grid_result/{day}")
+    assert delivered.count() == made["grid_result"].count() and delivered.columns == made["grid_result"].drop("day").columns
     samples = whole.where(F.col("day") == day)
     assert same(made["samples"].select(*samples.columns), samples)
     assert made["grid_kpi"].agg(F.sum("mrpointnum")).first()[0] == samples.count()
