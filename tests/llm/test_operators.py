@@ -432,6 +432,42 @@ def test_lm_scores(short_training, spark, docs, texts, hard, empty):
     assert untrained.base_score == 0 and untrained.n_known == 0
 
 
+def test_phrase_probabilities_add_up_and_follow_the_counts(spark, monkeypatch):
+    """The score beside a plain restatement of the mixture, with the attention's own window scores."""
+    made = []
+    whole = lm._fit
+    monkeypatch.setattr(lm, "_fit", lambda *a: made.append(whole(*a)) or made[-1])
+    monkeypatch.setattr(attention.Attention, "train", lambda self, *windows: None)
+    draw = random.Random(4)
+    texts = [" ".join(draw.choice(["sun", "moon", "rain", "wind", "tree", "stone"]) for _ in range(n)) for n in (5, 40, 80, 150, 200)]
+    texts = [*texts, texts[3], texts[3] + " star", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ids = list(lm._texts(pa.array([t or "" for t in texts]), RANKS))[0][4:]
+    per_text = [ids[0][a:b].tolist() for a, b in zip(ids[1][:-1], ids[1][1:])]
+    runs = [[tuple(t[i: i + lm.PHRASE]) for i in range(0, len(t), lm.PHRASE)] for t in per_text]
+    for training in (F.col("doc_id") < 7, F.lit(True), F.lit(False)):
+        for frequent in (1 << 20, 1):
+            monkeypatch.setattr(lm, "FREQUENT", frequent)
+            got = {r.doc_id: r.score for r in lm.score(docs, training, RANKS).collect()}
+            learned = {r.doc_id for r in docs.where(training).collect()}
+            seen = Counter(p for i in learned for p in runs[i])
+            n, different = max(sum(seen.values()), 1), len(seen) or 1
+            for i, phrases in enumerate(runs):
+                by_window = made[-1].window_scores(np.array(per_text[i]), np.array([0, len(per_text[i])]))
+                wanted = sum(math.log10(max(seen[p] - 1, 0) / n + different / n * math.exp(by_window[2 * k: 2 * k + 2].sum()))
+                             for k, p in enumerate(phrases))
+                assert got[i] == pytest.approx(wanted, rel=1e-5)
+
+
+def test_texts_that_occur_twice_score_apart(short_training, spark):
+    draw = random.Random(5)
+    words = ["".join(draw.choices("abcdefghij", k=4)) for _ in range(300)]
+    texts = [" ".join(draw.choices(words, k=120)) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts + texts[:6])), "doc_id long, text string")
+    rows = {r.doc_id: r.score / r.n_ids for r in lm.score(docs, F.lit(True), RANKS).collect()}
+    assert min(rows[i] for i in [*range(6), *range(60, 66)]) > max(rows[i] for i in range(6, 60)) + 0.5
+
+
 def test_rare_words_meet_their_counts_in_the_join(short_training, docs, monkeypatch):
     plain = {r.doc_id: r for r in lm.score(docs, F.lit(True), RANKS).collect()}
     monkeypatch.setattr(lm, "FREQUENT", 50)
