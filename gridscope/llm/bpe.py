@@ -35,6 +35,8 @@ LOOKUP_BYTES = 4 << 20
 TREE_CELLS = 1 << 21
 
 _NONE = np.iinfo(np.int64).max
+#: With no more trees than this alive, each is merged by itself.
+FEW_TREES = 32
 
 
 def default_path(name: str) -> str:
@@ -64,6 +66,7 @@ class Merges:
                 if left is not None and right is not None:
                     pairs[left * size + right] = rank
         self.size = size
+        self.pair_rank = pairs
         self.pairs = np.array(sorted(pairs), dtype=np.int64)
         self.pair_ranks = np.array([pairs[p] for p in self.pairs.tolist()], dtype=np.int64)
 
@@ -118,7 +121,7 @@ def _merge_trees(table: Merges, ids: np.ndarray, lengths: np.ndarray) -> tuple[n
         return np.where(there & (rank >= 0), rank << shift | left, _NONE)
 
     row = np.flatnonzero(tree[:, 1] != _NONE)
-    while len(row):
+    while len(row) > FEW_TREES:
         best = cells[row * 2 * leaves + 1]
         left = best & ((1 << shift) - 1)
         own = row * leaves
@@ -136,6 +139,45 @@ def _merge_trees(table: Merges, ids: np.ndarray, lengths: np.ndarray) -> tuple[n
         if some.any():
             put(row[some] * 2 * leaves, earlier[some], pair_at(row[some], earlier[some]))
         row = row[cells[row * 2 * leaves + 1] != _NONE]
+    for r in row.tolist():
+        ids[r], live[r] = _merge_tree(table, tree[r].tolist(), ids[r].tolist(), live[r].tolist(), after[r].tolist(), before[r].tolist(),
+                                      int(lengths[r]), shift)
+    return ids, live
+
+
+def _merge_tree(table: Merges, cells: list[int], ids: list[int], live: list[bool], after: list[int], before: list[int],
+                length: int, shift: int) -> tuple[list[int], list[bool]]:
+    """The same merges in one tree by itself, where too few are left for steps side by side to pay."""
+    leaves, none, rank_of, size = len(ids), int(_NONE), table.pair_rank, table.size
+
+    def put(leaf: int, value: int) -> None:
+        at = leaf + leaves
+        cells[at] = value
+        while at > 1:
+            at >>= 1
+            left, right = cells[2 * at], cells[2 * at + 1]
+            least = left if left < right else right
+            if cells[at] == least:
+                return
+            cells[at] = least
+
+    def pair_at(left: int) -> int:
+        right = after[left]
+        rank = rank_of.get(ids[left] * size + ids[right]) if right < length else None
+        return none if rank is None else rank << shift | left
+
+    while cells[1] != none:
+        left = cells[1] & ((1 << shift) - 1)
+        right = after[left]
+        ids[left] = cells[1] >> shift
+        live[right] = False
+        after[left] = after[right]
+        if after[left] < length:
+            before[after[left]] = left
+        put(right, none)
+        put(left, pair_at(left))
+        if before[left] >= 0:
+            put(before[left], pair_at(before[left]))
     return ids, live
 
 
