@@ -111,9 +111,7 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     for batch in batches:
         for _, data, cuts in ta.chunks(batch.column(0), 1 << 18):
             places, owners, _ = grams(data, cuts)
-            seen = np.zeros((len(cuts) - 1, BUCKETS), dtype=bool)
-            seen[owners, places] = True
-            total += seen.sum(axis=0)
+            total += np.bincount(np.unique(owners * BUCKETS + places) % BUCKETS, minlength=BUCKETS)
             documents += len(cuts) - 1
     some = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(total[some], documents))], ["place", "n"])

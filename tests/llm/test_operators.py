@@ -494,3 +494,80 @@ def test_decontamination_of_windows_that_lie_apart(spark):
     rows = [(gap * 10 + windows, apart(windows, gap)) for gap in (1, 2, 3, 5) for windows in (3, 4)]
     judged = decontam.judge(spark.createDataFrame(rows, "doc_id long, text string"), item).collect()
     assert {r.doc_id: r.contaminated for r in judged} == {key: key % 10 == 4 for key, _ in rows}
+
+
+def test_long_unbroken_pieces_equal_the_library():
+    import public_tokenizers
+    import tiktoken
+
+    table = bpe.merges(RANKS)
+    plain = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table.ranks, special_tokens={})
+    draw = random.Random(6)
+    for few in (0, bpe.FEW_TREES):  # all trees side by side, or the last ones each by itself
+        for n in (40_000, 3_000) if few else (3_000,):
+            texts = ["".join(draw.choices(alphabet, k=n)) for alphabet in ("abcdefghij", "aeiounrst", "x", "é中")]
+            data = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
+            ends = np.cumsum([len(t.encode()) for t in texts])
+            with pytest.MonkeyPatch.context() as patch:
+                patch.setattr(bpe, "FEW_TREES", few)
+                ids, counts = bpe.merge_pieces(table, data, np.append(0, ends[:-1]), ends)
+            wanted = [plain.encode_ordinary(t) for t in texts]
+            assert counts.tolist() == [len(w) for w in wanted] and ids.tolist() == [i for w in wanted for i in w]
+
+
+def test_language_statistics_and_training_equal_a_plain_restatement():
+    draw = random.Random(7)
+    texts = ["".join(draw.choices("abc dé中 ", k=n)) for n in (0, 1, 3, 30, 200)] + ["aaaa", "aaaa", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    got = {r["place"]: r["n"] for part in langid._document_frequencies(iter([batch, batch])) for r in part.to_pylist()}
+    per_text = [langid.grams(*textarrays.flat(pa.array([t], pa.string())))[0].tolist() for t in texts]
+    wanted = Counter(p for found in per_text for p in set(found))
+    assert got == {-1: 2 * len(texts)} | {p: 2 * n for p, n in wanted.items()}
+
+    idf = np.linspace(0.5, 2, langid.BUCKETS)
+    sample = []
+    for i in range(12):
+        held = sorted(draw.sample(range(40), k=6))
+        sample.append(("ab"[i % 2], np.array(held), np.array([draw.random() for _ in held])))
+    model = langid.fit(sample, idf)
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(place, k):
+        if abs(z[place, k]) <= langid.L1:
+            return 0.0
+        sign = 1 if z[place, k] > 0 else -1
+        return -(z[place, k] - sign * langid.L1) / ((langid.BETA + math.sqrt(n[place, k])) / langid.ALPHA + langid.L2)
+
+    def shares(logits):
+        top = [math.exp(x - max(logits)) for x in logits]
+        return [x / sum(top) for x in top]
+
+    rows = [("ab".index(lang), [*zip(map(int, at), (v * idf[at] * langid.SCALE).tolist()), (langid.BUCKETS, 1.0)]) for lang, at, v in sample]
+    train, aside = [r for i, r in enumerate(rows) if i % 5], [r for i, r in enumerate(rows) if i % 5 == 0]
+    for epoch in range(langid.EPOCHS):
+        for i in np.random.default_rng(epoch).permutation(len(train)):
+            truth, values = train[i]
+            before = {(place, k): weight(place, k) for place, _ in values for k in (0, 1)}
+            error = shares([sum(v * before[place, k] for place, v in values) for k in (0, 1)])
+            error[truth] -= 1
+            for place, v in values:
+                for k in (0, 1):
+                    g = v * error[k]
+                    sigma = (math.sqrt(n[place, k] + g * g) - math.sqrt(n[place, k])) / langid.ALPHA
+                    z[place, k] += g - sigma * before[place, k]
+                    n[place, k] += g * g
+    for place in range(40):
+        assert model.weights[place] == pytest.approx([weight(place, k) * idf[place] * langid.SCALE for k in (0, 1)], abs=1e-9)
+    assert model.bias == pytest.approx([weight(langid.BUCKETS, k) for k in (0, 1)], abs=1e-9)
+
+    def loss(temperature):
+        found = [shares([sum(v * weight(place, k) for place, v in values) / temperature for k in (0, 1)])[truth] for truth, values in aside]
+        return -sum(math.log(p + 1e-300) for p in found) / len(found)
+
+    assert loss(model.temperature) == pytest.approx(min(map(loss, np.geomspace(0.05, 20, 121))), rel=1e-9)
+
+
+def test_equal_language_scores_go_to_the_first_language(spark):
+    model = langid.Model(["aa", "bb"], np.zeros((langid.BUCKETS, 2)), np.zeros(2), 1.0)
+    rows = langid.predict(spark.createDataFrame([(1, "any text")], "doc_id long, text string"), model).collect()
+    assert (rows[0].lang_pred, rows[0].score) == ("aa", 0.5)
