@@ -146,7 +146,12 @@ def join_layers(service: DataFrame, neighbour: DataFrame) -> DataFrame:
 def build_fingerprint_layers(service: Mapping[int, DataFrame],
                              neighbour: Mapping[int, DataFrame]) -> tuple[DataFrame, DataFrame]:
     """Ground and upper fingerprint from one serving and one neighbour table per floor."""
-    finger = join_layers(stack_layers(service), stack_layers(neighbour))
+    return split_layers(stack_layers(service), stack_layers(neighbour))
+
+
+def split_layers(service: DataFrame, neighbour: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """C2 from tables of all floors; with floors as folders each result reads its own folders."""
+    finger = join_layers(service, neighbour)
     return ground_layer(finger), upper_layers(finger)
 
 

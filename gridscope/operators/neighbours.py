@@ -141,12 +141,14 @@ def nearest_cell_by_pci(cells: DataFrame, pci_list: DataFrame,
     """Nearest other cell for every cell and listed (earfcn, pci).
 
     ``rank_range`` restricts the possible neighbours to a slice of the cells in
-    id order.
+    id order. Listed channels that no possible neighbour has are left out before cells meet the list:
+    what is expanded has a result row each, but where a cell is alone on its channel.
     """
     targets = cells
     if rank_range is not None:
         targets = rank_slice(global_row_number(cells, "eci", "ecinum"), "ecinum", *rank_range)
-    return nearest_cell(expand_channels(cells, pci_list), targets, cells_per_tile) \
+    wanted = pci_list.join(targets.select(*CHANNEL).distinct(), CHANNEL, "left_semi")
+    return nearest_cell(expand_channels(cells, wanted), targets, cells_per_tile) \
         .select("eci", *CHANNEL, "reci")
 
 

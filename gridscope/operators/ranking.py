@@ -5,50 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows of one key are numbered in up to 2**SLICE_BITS separate groups.
-SLICE_BITS = 16
+from gridscope.sources.tables import cut_lineage
+
+# ``monotonically_increasing_id`` keeps the place inside a partition in its lower bits.
+PLACE_BITS = 33
 
 
 def global_row_number(df: DataFrame, key: str, name: str = "row_number", ranges: int | None = None) -> DataFrame:
     """Number all rows by a numeric ``key`` without sorting them in one task.
 
+    Rows are dealt once by ranges of the key and a hash of the row, so that a hot key spreads over several
+    ranges, sorted inside them and written with their range and place. How many rows
+    the ranges before hold is read from that column alone: as many numbers as there are ranges.
     There are as many ranges as the session has shuffle partitions unless told otherwise.
-    Rows are counted per key and hash slice, the counts are summed up range by
-    range, and each row adds its place inside its slice. Rows with equal keys
-    follow a hash of the row.
+    Null keys come first; rows with equal keys follow a hash of the row.
     """
     ranges = max(2, ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    hashed = df.withColumn("_hash", F.xxhash64(*[F.col(c) for c in df.columns])) \
-        .withColumn("_slice", F.shiftright("_hash", 64 - SLICE_BITS))
-    counts = hashed.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
-    # At most ``ranges`` range totals: small enough for one window.
-    cuts = counts.agg(F.percentile_approx(key, [i / ranges for i in range(1, ranges)]).alias("cuts"))
-    ranged = (
-        counts.withColumn("_cuts", cuts.select("cuts").scalar())
-        .withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut < F.col(key))))
-        .drop("_cuts")
-    )
-    totals = ranged.groupBy("_range").agg(F.sum("_rows").alias("_total"))
-    before = totals.select(
-        "_range",
-        F.coalesce(
-            F.sum("_total").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_before"),
-    )
-    inside = Window.partitionBy("_range").orderBy(key, "_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.withColumn("_inside", F.coalesce(F.sum("_rows").over(inside), F.lit(0)))
-        .join(before, "_range")
-        .select(F.col(key).alias("_key"), F.col("_slice").alias("_key_slice"),
-                (F.col("_before") + F.col("_inside")).alias("_offset"))
-    )
-    place = Window.partitionBy(key, "_slice").orderBy("_hash", *df.columns)
-    return (
-        hashed.join(offsets, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_key_slice")))
-        .withColumn(name, (F.col("_offset") + F.row_number().over(place)).cast("bigint"))
-        .select(*df.columns, name)
-    )
+    placed = cut_lineage(
+        df.withColumn("_hash", F.xxhash64(*df.columns))
+        .repartitionByRange(ranges, key, "_hash")
+        .sortWithinPartitions(key, "_hash", *df.columns)
+        .withColumn("_place", F.monotonically_increasing_id())
+        .drop("_hash"), "ranges")
+    of_range = F.shiftright("_place", PLACE_BITS)
+    totals = placed.groupBy(of_range.alias("_range")).agg(F.count(F.lit(1)).alias("_total"))
+    before = totals.select("_range", F.coalesce(
+        F.sum("_total").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    inside = F.col("_place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    # one row per range: its size is known by the argument
+    return placed.join(F.broadcast(before), of_range == F.col("_range")) \
+        .select(*df.columns, (F.col("_before") + inside + 1).cast("bigint").alias(name))
 
 
 def rank_slice(df: DataFrame, rank: str, low: int, high: int) -> DataFrame:

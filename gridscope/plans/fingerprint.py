@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridscope import schemas
 from gridscope.operators import fingerprint, mdt
@@ -26,11 +27,16 @@ def build_layers(spark: SparkSession, serving: str, neighbour: str, ground_path:
                  heights: Iterable[int] = fingerprint.floors()) -> tuple[DataFrame, DataFrame]:
     """Ground and upper fingerprint tables from one serving and one neighbour table per floor.
 
-    ``serving`` and ``neighbour`` are paths in which ``{height}`` stands for the floor.
+    ``serving`` and ``neighbour`` are paths in which ``{height}`` stands for the floor, or, where it doesn't occur, tables
+    with a folder ``height=...`` per floor, read in one scan a side.
     """
     heights = list(heights)
-    ground, upper = fingerprint.build_fingerprint_layers(
-        *({h: spark.read.parquet(path.format(height=h)) for h in heights} for path in (serving, neighbour)))
+    if "{height}" in serving and "{height}" in neighbour:
+        ground, upper = fingerprint.build_fingerprint_layers(
+            *({h: spark.read.parquet(path.format(height=h)) for h in heights} for path in (serving, neighbour)))
+    else:
+        ground, upper = fingerprint.split_layers(
+            *(spark.read.parquet(path).where(F.col("height").isin(heights)) for path in (serving, neighbour)))
     return _replace(ground, ground_path), _replace(upper, upper_path)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -128,6 +129,36 @@ def compact(df: DataFrame, path: str, partition_by: Sequence[str] = ("day", "hou
     overwrite_partitions(by_columns(df, *partition_by), path, partition_by, fmt)
 
 
+def folder_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """Number of files and bytes of each folder of a table, from the file listing; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+    return files.groupBy(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+def compact_small_files(spark: SparkSession, path: str, partition_by: Sequence[str] = ("day", "hour"),
+                        file_bytes: int = 128 << 20, fmt: str = "parquet") -> list[dict[str, str | None]]:
+    """S12 in place: write again only partitions with more files than their bytes ask for; all other files stay as they are.
+
+    Returns the values of the partitions written, one row per folder. A large partition is written by several tasks
+    (:func:`by_columns`), so ``file_bytes`` should not be below the session's advisory partition size.
+    """
+    loose = folder_sizes(spark, path).where(F.col("files") > F.greatest(F.lit(1), F.ceil(F.col("bytes") / file_bytes)))
+    some = []
+    for row in loose.select("folder").collect():
+        parts = dict(part.split("=", 1) for part in row.folder.split("/") if "=" in part)
+        values = {name: unquote(parts[name]) for name in partition_by}
+        some.append({name: None if value == "__HIVE_DEFAULT_PARTITION__" else value for name, value in values.items()})
+    if some:
+        fields = spark.read.format(fmt).load(path).drop(*partition_by).schema.fields
+        typed = T.StructType(fields + [T.StructField(name, T.StringType()) for name in partition_by])
+        chosen = reduce(lambda a, b: a | b, (
+            reduce(lambda a, b: a & b, (F.col(name).eqNullSafe(F.lit(value)) for name, value in row.items())) for row in some))
+        table = spark.read.format(fmt).schema(typed).load(path).where(chosen)
+        overwrite_partitions(by_columns(table, *partition_by), path, partition_by, fmt)
+    return some
+
+
 def export_csv(df: DataFrame, path: str, limit: int | None = None,
                order_by: Sequence[str] = (), single_file: bool = False) -> None:
     """Delimited export with header; ``limit`` keeps the first rows.

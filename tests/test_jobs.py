@@ -33,6 +33,23 @@ def test_layers_by_floor(spark, tmp_path):
     assert [(r.objectid, r.n_objectid, r.height) for r in upper.collect()] == [(9, 6, 5)]
 
 
+def test_layers_by_folder_are_one_scan_a_side(spark, tmp_path):
+    from gridscope.operators import fingerprint
+
+    for height in (0, 5, 8, 10):
+        spark.sql("select '1_2' gridid, 117.0D longitude, 32.0D latitude, 9L objectid, -60D rsrp") \
+            .write.parquet(str(tmp_path / "service" / f"height={height}"))
+        spark.sql(f"select '1_2' servicegridid, {height + 1}L objectid, -70D rsrp") \
+            .write.parquet(str(tmp_path / "neighbour" / f"height={height}"))
+    ground, upper = fingerprint_job.build_layers(
+        spark, str(tmp_path / "service"), str(tmp_path / "neighbour"), str(tmp_path / "ground"), str(tmp_path / "upper"), heights=(0, 5, 10))
+    assert [(r.objectid, r.n_objectid, r.height) for r in ground.collect()] == [(9, 1, 0)]
+    assert sorted((r.objectid, r.n_objectid, r.height) for r in upper.collect()) == [(9, 6, 5), (9, 11, 10)]
+    for layer in fingerprint.split_layers(*(spark.read.parquet(str(tmp_path / side)) for side in ("service", "neighbour"))):
+        plan = layer._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 2 and plan.count("PartitionFilters: []") == 0
+
+
 def test_drive_test_loads_add_up_in_any_order(spark, sf, tmp_path):
     from gridscope.operators import mdt
     from gridscope.sources.mdt_text import read_mdt

@@ -95,6 +95,18 @@ def test_nearest_cell_equals_brute_force(table, seed, per_tile):
     assert got == expected
 
 
+def test_channels_without_a_target_are_not_expanded(table, monkeypatch):
+    cells = table("eci bigint, longitude double, latitude double, pci int, earfcn int",
+                  (1, 117.0, 32.0, 1, 100), (2, 117.1, 32.0, 1, 100), (3, 117.2, 32.0, 2, 100))
+    pairs = table("pci int, earfcn int", *[(p, 100) for p in range(1, 50)], (None, 100))
+    met = []
+    whole = neighbours.expand_channels
+    monkeypatch.setattr(neighbours, "expand_channels", lambda *a: met.append(whole(*a)) or met[-1])
+    got = sorted((r.eci, r.pci, r.reci) for r in neighbours.nearest_cell_by_pci(cells, pairs).collect())
+    assert got == [(1, 1, 2), (1, 2, 3), (2, 1, 1), (2, 2, 3), (3, 1, 2)]
+    assert met[0].count() == 6  # three cells, two channels that cells have
+
+
 def test_expanding_is_whole(table):
     cells = table("eci bigint, longitude double, latitude double", *[(i, 1.0, 2.0) for i in range(7)])
     pairs = table("pci int, earfcn int", *[(p, e) for p in range(20) for e in (100, 200)], (0, 100))
@@ -130,6 +142,16 @@ def test_global_row_number_with_a_hot_key(table):
     assert by_rank == sorted(k for k, _ in rows)
 
 
+def test_global_row_number_spreads_a_hot_key_and_takes_nulls_and_repeats(table, spark):
+    rows = [(1, i // 2) for i in range(600)] + [(None, i) for i in range(5)] + [(2, None), (0, None), (0, None)]
+    ranked = ranking.global_row_number(table("k bigint, v int", *rows), "k", ranges=6)
+    got = sorted(ranked.collect(), key=lambda r: r.row_number)
+    assert [r.row_number for r in got] == list(range(1, len(rows) + 1))
+    assert [r.k for r in got] == [None] * 5 + [0, 0] + [1] * 600 + [2]
+    assert sorted(map(str, ((r.k, r.v) for r in got))) == sorted(map(str, rows))
+    assert ranking.global_row_number(table("k bigint, v int"), "k").count() == 0
+
+
 def test_heavy_cells(table):
     counts = table("objectid bigint, objectcount bigint", *[(i, 2) for i in range(20)], (100, 30), (101, 30), (102, 12), (103, 10))
     heavy = {r.objectid for r in skew.skew_report(counts).where("heavy").collect()}

@@ -69,6 +69,24 @@ def test_compaction_leaves_few_files_and_all_rows(spark, folder):
     assert same(tables.read_partition(spark, path), tables.read_partition(spark, source))
 
 
+def test_only_partitions_of_small_files_are_written_again(spark, folder):
+    path = folder("mixed")
+    loose = spark.range(900).select(F.col("id").alias("v"), F.lit("2024 05").alias("day"),
+                                    F.format_string("%02d", F.col("id") % 3).alias("hour"))
+    tables.write_table(loose.where("hour <> '01'").repartition(6), path, ("day", "hour"))
+    tables.write_table(loose.where("hour = '01'").coalesce(1), path, ("day", "hour"), mode="append")
+    tables.write_table(spark.sql("select 5L v, '2024 05' day, cast(null as string) hour").union(
+        spark.sql("select 6L v, '2024 05' day, cast(null as string) hour")).repartition(2, "v"), path, ("day", "hour"), mode="append")
+    kept = glob.glob(f"{path}/day=*/hour=01/*.parquet")
+    before = sorted(map(tuple, tables.read_partition(spark, path).collect()), key=str)
+    written = tables.compact_small_files(spark, path)
+    assert {(r["day"], r["hour"]) for r in written} - {("2024 05", None)} == {("2024 05", "00"), ("2024 05", "02")}
+    assert glob.glob(f"{path}/day=*/hour=01/*.parquet") == kept
+    assert all(len(glob.glob(f"{f}/*.parquet")) == 1 for f in glob.glob(f"{path}/day=*/hour=*"))
+    assert sorted(map(tuple, tables.read_partition(spark, path).collect()), key=str) == before
+    assert tables.compact_small_files(spark, path) == []
+
+
 def test_redistribution_keeps_rows(spark):
     df = spark.range(500).select((F.col("id") % 3).alias("k"), "id")
     assert same(tables.by_columns(df, "k"), df)
