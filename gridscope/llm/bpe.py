@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -30,7 +32,7 @@ from gridscope.llm import textarrays as ta
 #: Pieces that a Python worker keeps with their ids; beyond it the cache starts anew.
 CACHED_PIECES = 400_000
 #: Bytes of text whose pieces are looked up together.
-LOOKUP_BYTES = 4 << 20
+LOOKUP_BYTES = 1 << 20
 #: Tree cells that are merged side by side.
 TREE_CELLS = 1 << 21
 
@@ -59,16 +61,17 @@ class Merges:
         self.lengths = np.array([len(t) for t in self.tokens], dtype=np.int64)
         self.places = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(self.tokens), dtype=np.uint8)
-        pairs = {}
+        pairs, ranks = array("q"), array("q")
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
                 left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if left is not None and right is not None:
-                    pairs[left * size + right] = rank
+                    pairs.append(left * size + right)
+                    ranks.append(rank)
         self.size = size
-        self.pair_rank = pairs
-        self.pairs = np.array(sorted(pairs), dtype=np.int64)
-        self.pair_ranks = np.array([pairs[p] for p in self.pairs.tolist()], dtype=np.int64)
+        order = np.argsort(np.frombuffer(pairs, dtype=np.int64))
+        self.pairs = np.frombuffer(pairs, dtype=np.int64)[order]
+        self.pair_ranks = np.frombuffer(ranks, dtype=np.int64)[order]
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, -1 where it doesn't merge."""
@@ -148,7 +151,9 @@ def _merge_trees(table: Merges, ids: np.ndarray, lengths: np.ndarray) -> tuple[n
 def _merge_tree(table: Merges, cells: list[int], ids: list[int], live: list[bool], after: list[int], before: list[int],
                 length: int, shift: int) -> tuple[list[int], list[bool]]:
     """The same merges in one tree by itself, where too few are left for steps side by side to pay."""
-    leaves, none, rank_of, size = len(ids), int(_NONE), table.pair_rank, table.size
+    leaves, none, size = len(ids), int(_NONE), table.size
+    # views, so that no second table of Python numbers is held
+    pairs, ranks = memoryview(table.pairs), memoryview(table.pair_ranks)
 
     def put(leaf: int, value: int) -> None:
         at = leaf + leaves
@@ -163,8 +168,11 @@ def _merge_tree(table: Merges, cells: list[int], ids: list[int], live: list[bool
 
     def pair_at(left: int) -> int:
         right = after[left]
-        rank = rank_of.get(ids[left] * size + ids[right]) if right < length else None
-        return none if rank is None else rank << shift | left
+        if right >= length:
+            return none
+        pair = ids[left] * size + ids[right]
+        at = bisect_left(pairs, pair)
+        return ranks[at] << shift | left if at < len(pairs) and pairs[at] == pair else none
 
     while cells[1] != none:
         left = cells[1] & ((1 << shift) - 1)
