@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridscope.sources.tables import cut_lineage
+
 # Fixed value: a cell is heavy from this multiple of the mean.
 HEAVY_FACTOR = 2.3
 
@@ -32,7 +34,9 @@ def skew_report(counts: DataFrame, factor: float = HEAVY_FACTOR) -> DataFrame:
 
 
 def heavy_cells(mro: DataFrame, finger: DataFrame, factor: float = HEAVY_FACTOR) -> DataFrame:
-    return skew_report(pair_counts(mro, finger), factor).where("heavy").select("objectid")
+    """One row per heavy cell. Written, so that rows meet a list of known size and are not brought together by cell for it."""
+    counts = cut_lineage(pair_counts(mro, finger), "pair_counts")
+    return cut_lineage(skew_report(counts, factor).where("heavy").select("objectid"), "heavy_cells")
 
 
 def rows_in(df: DataFrame, keys: DataFrame, key: str = "objectid") -> DataFrame:
