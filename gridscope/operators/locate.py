@@ -8,9 +8,9 @@ serving-minus-neighbour difference and the grid's own difference. Distances are
 Two plans give the same rows. ``locate_by_join`` states the work as join,
 aggregate and top-1; its shuffles carry one row per sample and candidate grid.
 ``locate`` cuts both sides into blocks of bounded size per serving cell and
-scores block against block with matrix products inside the task, leaving out tiles of grids whose bound
-shows that they cannot hold a sample's nearest; only the
-inputs and one row per sample and block are shuffled.
+scores block against block with matrix products inside the task. Each sample goes down a tree over tiles of
+grids and leaves out the branches whose bound shows that they cannot hold its nearest; only the
+inputs, a bounded number of copies of them and one row per sample and block are shuffled.
 """
 
 from __future__ import annotations
@@ -33,8 +33,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SAMPLE_ROWS_PER_BLOCK = 100_000
 FINGER_ROWS_PER_BLOCK = 100_000
-#: Grids that share one bound.
+#: Rows that one side of a block may grow to before its cell is cut further, whatever the other side has to be copied.
+MOST_ROWS_PER_BLOCK = 1_000_000
+#: Grids that share one bound, and nodes that share one above them.
 GRIDS_PER_TILE = 64
+TILES_PER_NODE = 8
 
 BLOCK = ("objectid", "sample_block", "finger_block")
 
@@ -109,13 +112,21 @@ def locate_by_join(mro: DataFrame, *fingers: DataFrame, min_matches: int = 2,
 
 
 def block_counts(readings: DataFrame, finger: DataFrame, sample_rows: int, finger_rows: int) -> DataFrame:
-    """How many sample and fingerprint blocks each serving cell is cut into, from the folded rows of both sides."""
+    """How many sample and fingerprint blocks each serving cell is cut into, from the folded rows of both sides.
 
-    def blocks(rows: int) -> Column:
-        return F.ceil(F.count(F.lit(1)) / rows).cast("int")
+    Each block of one side is sent to each block of the other. A cell is cut as asked as long as the copies of a side are no
+    more than both sides together; beyond that its blocks grow, up to ``MOST_ROWS_PER_BLOCK``.
+    """
+    both = F.col("_samples") + F.col("_grids")
+
+    def blocks(own: str, other: str, rows: int) -> Column:
+        asked, least = F.ceil(F.col(own) / rows), F.ceil(F.col(own) / MOST_ROWS_PER_BLOCK)
+        return F.least(asked, F.greatest(least, 1 + F.floor(both / F.col(other)))).cast("int")
 
-    return readings.groupBy("objectid").agg(blocks(sample_rows).alias("sample_blocks")).join(
-        finger.groupBy("objectid").agg(blocks(finger_rows).alias("finger_blocks")), "objectid")
+    return readings.groupBy("objectid").agg(F.count(F.lit(1)).alias("_samples")).join(
+        finger.groupBy("objectid").agg(F.count(F.lit(1)).alias("_grids")), "objectid").select(
+        "objectid", blocks("_samples", "_grids", sample_rows).alias("sample_blocks"),
+        blocks("_grids", "_samples", finger_rows).alias("finger_blocks"))
 
 
 def folded(mro: DataFrame, finger: DataFrame, carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
@@ -217,9 +228,10 @@ def _numbers(table: pa.Table, name: str) -> np.ndarray:
 def _block_matcher(described, min_matches, max_distance, cells_per_chunk=2_000_000, grids_per_tile=GRIDS_PER_TILE, report=False):
     """Task-side scorer of one sample block against one fingerprint block.
 
-    Grids alike lie together in tiles. The least and largest gap of a tile per neighbour bound the distance of a sample to
-    all its grids from below; each sample is scored against the tile of its least bound first and then only against
-    tiles whose bound does not exceed what was found. No grid that can be nearest is left out.
+    Grids alike lie together in tiles, tiles alike in nodes. The least and largest gap of a node per neighbour bound the
+    distance of a sample to all its grids from below; each sample is scored against the tile at the end of its least bounds
+    first and then goes down only into nodes whose bound does not exceed what was found. No grid that can be nearest is
+    left out. Of grids with equal readings only the first in the order of ties can be chosen.
 
     With count n, sum s and sum of squares q per neighbour on either side, the
     squared gaps of all row pairs add up to q_r*n_g - 2*s_r*s_g + n_r*q_g, which
@@ -243,9 +255,11 @@ def _block_matcher(described, min_matches, max_distance, cells_per_chunk=2_000_0
         n_samples, n_grids = len(sample_first), len(grid_first)
         by_sample = np.argsort(r[0], kind="stable")
         r, r_nb = [a[by_sample] for a in r], r_nb[by_sample]
-        tiles = _Tiles(g, g_nb, n_grids, shared, grids_per_tile)
+        starts = np.searchsorted(r[0], np.arange(n_samples + 1))
         exact = _exact(r) and _exact(g)
         margin = _margin(r, g)
+        g, g_nb, kept = _first_of_alike(g, g_nb)
+        tiles = _Tiles(g, g_nb, len(kept), shared, grids_per_tile)
         limit = np.inf if max_distance is None else max_distance
         best = np.full(n_samples, np.inf)
         best_at = np.full(n_samples, n_grids, dtype=np.int64)
@@ -265,24 +279,50 @@ def _block_matcher(described, min_matches, max_distance, cells_per_chunk=2_000_0
             close = distance[i, j] if exact else _direct((rn, rs, rq), i, (gn, gs, gq), j) / pairs[i, j]
             distance[i, j] = np.round(close, DECIMALS)
             near = distance.argmin(axis=1)
-            value, found = distance[np.arange(len(near)), near], grids[near]
+            value, found = distance[np.arange(len(near)), near], kept[grids[near]]
             rows = rows + first
             better = (value < best[rows]) | ((value == best[rows]) & (found < best_at[rows]) & (value < np.inf))
             best[rows[better]], best_at[rows[better]] = value[better], found[better]
 
         for first in range(0, n_samples, step):
             last = min(first + step, n_samples)
-            side = _dense(r, r_nb, (first, last), (0, shared))
-            bound = tiles.bounds(r, r_nb, (first, last), max(min_matches, 1))
-            nearest = bound.argmin(axis=1)
-            for number in np.unique(nearest).tolist():
-                rows = np.flatnonzero((nearest == number) & (bound[:, number] <= limit + margin) & (bound[:, number] < np.inf))
-                if len(rows):
-                    score(number, rows, first, side)
-                    scored += len(rows) * len(tiles.grids[number])
-            for number in range(len(tiles.grids)):
+            part = slice(starts[first], starts[last])
+            side = _dense([a[part] for a in r], r_nb[part], (first, last), (0, shared))
+
+            def bounds(owner, level, node):
+                return tiles.bounds(level, node, r, r_nb, starts, owner + first, max(min_matches, 1))
+
+            # Down to the tile at the end of each sample's least bounds.
+            all_rows = np.arange(last - first)
+            owner, node = np.repeat(all_rows, tiles.size(0)), np.tile(np.arange(tiles.size(0)), last - first)
+            top = bound = bounds(owner, 0, node)
+            for level in range(tiles.levels):
+                if level:
+                    owner, node = tiles.children(level, owner, node)
+                    bound = bounds(owner, level, node)
+                order = np.lexsort((bound, owner))
+                lead = order[np.flatnonzero(np.diff(owner[order], prepend=-1))]
+                owner, node, bound = owner[lead], node[lead], bound[lead]
+            nearest = np.full(last - first, -1)
+            go = (bound <= limit + margin) & (bound < np.inf)
+            nearest[owner[go]] = node[go]
+            for number, rows in _by_number(node[go], owner[go]):
+                score(number, rows, first, side)
+                scored += len(rows) * len(tiles.grids[number])
+            # Down into every other node that can hold something as near.
+            owner, node = np.repeat(all_rows, tiles.size(0)), np.tile(np.arange(tiles.size(0)), last - first)
+            bound = top
+            for level in range(tiles.levels):
+                if level:
+                    owner, node = tiles.children(level, owner, node)
+                    bound = bounds(owner, level, node)
                 reach = np.minimum(best[first:last], limit) + margin
-                rows = np.flatnonzero((bound[:, number] <= reach) & (bound[:, number] < np.inf) & (nearest != number))
+                go = np.flatnonzero((bound <= reach[owner]) & (bound < np.inf))
+                owner, node, bound = owner[go], node[go], bound[go]
+            go = np.flatnonzero(node != nearest[owner])
+            for number, at in _by_number(node[go], go):
+                rows = owner[at]
+                rows = rows[bound[at] <= np.minimum(best[rows + first], limit) + margin]
                 if len(rows):
                     score(number, rows, first, side)
                     scored += len(rows) * len(tiles.grids[number])
@@ -298,8 +338,44 @@ def _block_matcher(described, min_matches, max_distance, cells_per_chunk=2_000_0
     return match
 
 
+def _by_number(numbers: np.ndarray, values: np.ndarray):
+    """The values of each number, least number first."""
+    order = np.argsort(numbers, kind="stable")
+    found, starts = np.unique(numbers[order], return_index=True)
+    return zip(found.tolist(), np.split(values[order], starts[1:]))
+
+
+def _first_of_alike(g, neighbour):
+    """The readings of the first grid of each set of grids with equal readings, numbered anew, and their old numbers."""
+    order = np.lexsort((neighbour, g[0]))
+    owner, *values = (a[order] for a in g)
+    neighbour = neighbour[order]
+    readings = np.column_stack([neighbour.astype(np.float64), *values])
+    starts = np.flatnonzero(np.diff(owner, prepend=-1))
+    ends = np.append(starts[1:], len(owner))
+    seen, take = set(), []
+    for at, (start, end) in enumerate(zip(starts.tolist(), ends.tolist())):
+        key = readings[start:end].tobytes()
+        if key not in seen:
+            seen.add(key)
+            take.append(at)
+    take = np.array(take, dtype=np.int64)
+    sizes = (ends - starts)[take]
+    rows = _ranges(starts[take], sizes)
+    return [np.repeat(np.arange(len(take)), sizes), *(v[rows] for v in values)], neighbour[rows], owner[starts[take]]
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size, one range after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum())) + np.repeat(starts - before, sizes)
+
+
 class _Tiles:
-    """Grids in tiles of those alike, each with its readings per neighbour and the least and largest of them."""
+    """Grids in tiles of those alike, each with its readings, under levels of nodes with the least and largest of them.
+
+    Level 0 has at most ``TILES_PER_NODE`` nodes, the last level is the tiles.
+    """
 
     def __init__(self, g, neighbour, n_grids, shared, size, dimensions=16):
         self.grids = _halved(_profile(g, neighbour, n_grids, shared, dimensions), size)
@@ -309,15 +385,21 @@ class _Tiles:
         shape = (shared, len(self.grids))
         owner, n, gap, _ = g
         cell = neighbour * shape[1] + tile[owner]
-        self.low, self.high = np.full(shape, np.inf), np.full(shape, -np.inf)
-        self.least, self.most = np.full(shape, np.inf), np.zeros(shape)
-        for bound, take, values in ((self.low, np.minimum, gap / n), (self.high, np.maximum, gap / n),
-                                    (self.least, np.minimum, n), (self.most, np.maximum, n)):
+        low, high = np.full(shape, np.inf), np.full(shape, -np.inf)
+        least, most = np.full(shape, np.inf), np.zeros(shape)
+        for bound, take, values in ((low, np.minimum, gap / n), (high, np.maximum, gap / n),
+                                    (least, np.minimum, n), (most, np.maximum, n)):
             take.at(bound.reshape(-1), cell, values)
         held = np.bincount(cell, minlength=shape[0] * shape[1]).reshape(shape)
         # a neighbour that some grid of the tile lacks bounds nothing
-        self.least[held < np.array([len(grids) for grids in self.grids])] = 0.0
-        self.low[held == 0], self.high[held == 0] = -np.inf, np.inf
+        least[held < np.array([len(grids) for grids in self.grids])] = 0.0
+        low[held == 0], high[held == 0] = -np.inf, np.inf
+        self.nodes = [(low, high, least, most)]
+        while self.nodes[0][0].shape[1] > TILES_PER_NODE:
+            cuts = np.arange(0, self.nodes[0][0].shape[1], TILES_PER_NODE)
+            merge = (np.minimum, np.maximum, np.minimum, np.maximum)
+            self.nodes.insert(0, tuple(take.reduceat(part, cuts, axis=1) for take, part in zip(merge, self.nodes[0])))
+        self.levels = len(self.nodes)
         self.columns, self.sides = [], []
         order = np.argsort(tile[owner], kind="stable")
         cuts = np.searchsorted(tile[owner][order], np.arange(len(self.grids) + 1))
@@ -328,21 +410,36 @@ class _Tiles:
             self.columns.append(columns)
             self.sides.append(_dense(part, column, (0, len(grids)), (0, len(columns))))
 
-    def bounds(self, r, neighbour, samples, min_matches) -> np.ndarray:
-        """No more than the distance of each sample to any grid of each tile; infinite where none can match."""
-        rows = slice(*np.searchsorted(r[0], samples))
-        owner, n, gap = (values[rows] for values in r[:3])
-        seen, k = (gap / n)[:, None], neighbour[rows]
-        shape = (samples[1] - samples[0], self.low.shape[1])
-        total, pairs = np.zeros(shape), np.zeros(shape)
-        if len(owner):
-            out = np.maximum(np.maximum(self.low[k] - seen, seen - self.high[k]), 0.0)
-            starts = np.flatnonzero(np.diff(owner, prepend=-1))
-            present = owner[starts] - samples[0]
-            total[present] = np.add.reduceat(n[:, None] * self.least[k] * out * out, starts, axis=0)
-            pairs[present] = np.add.reduceat(n[:, None] * self.most[k], starts, axis=0)
-        bound = np.full(shape, np.inf)
-        np.divide(total, pairs, out=bound, where=pairs >= min_matches)
+    def size(self, level: int) -> int:
+        return self.nodes[level][0].shape[1]
+
+    def children(self, level: int, owner: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The nodes of a level under those of the level above, each with its owner."""
+        start = node * TILES_PER_NODE
+        sizes = np.minimum(TILES_PER_NODE, self.size(level) - start)
+        return np.repeat(owner, sizes), _ranges(start, sizes)
+
+    def bounds(self, level, node, r, neighbour, starts, sample, min_matches, rows_at_once=1_000_000) -> np.ndarray:
+        """No more than the distance of each sample to any grid of the node beside it; infinite where none can match."""
+        low, high, least, most = self.nodes[level]
+        bound = np.full(len(sample), np.inf)
+        sizes = starts[sample + 1] - starts[sample]
+        ends = np.cumsum(sizes)
+        first = 0
+        while first < len(sample):
+            before = ends[first] - sizes[first]
+            last = max(first + 1, int(np.searchsorted(ends, before + rows_at_once, side="right")))
+            some = first + np.flatnonzero(sizes[first:last])
+            if len(some):
+                rows = _ranges(starts[sample[some]], sizes[some])
+                at = neighbour[rows], np.repeat(node[some], sizes[some])
+                n, seen = r[1][rows], r[2][rows] / r[1][rows]
+                out = np.maximum(np.maximum(low[at] - seen, seen - high[at]), 0.0)
+                cuts = np.cumsum(sizes[some]) - sizes[some]
+                total = np.add.reduceat(n * least[at] * out * out, cuts)
+                pairs = np.add.reduceat(n * most[at], cuts)
+                bound[some] = np.divide(total, pairs, out=np.full(len(some), np.inf), where=pairs >= min_matches)
+            first = last
         return bound
 
 
