@@ -255,7 +255,9 @@ def feature_lines(spark, sf):
         else:
             parts.append(F.when((cust + i) % 7 != 0, F.concat(
                 F.lit(f"{shown} "), (cust * (i + 1) % 1009).cast("string"), F.when(cust % 2 == 0, F.lit(" 77")).otherwise(F.lit("")))))
-    return d.table(spark, sf, "customer").select(F.concat_ws("|", *parts).alias("value"))
+    # Each line is much work, and the keys of many may lie in one small file: they are dealt to all cores first.
+    keys = d.table(spark, sf, "customer").select("c_custkey").repartition(4 * spark.sparkContext.defaultParallelism)
+    return keys.select(F.concat_ws("|", *parts).alias("value"))
 
 
 def _line_sql() -> str:
