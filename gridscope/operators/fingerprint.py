@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gridscope.functions.codes import antenna_to_objectid
 from gridscope.functions.geo import grid_centre, grid_text
 from gridscope.schemas import FINGER_COLUMNS
+from gridscope.sources.tables import cut_lineage
 
 # Floors of the layered library.
 MAX_HEIGHT = 200
@@ -21,6 +22,9 @@ INDOOR_RSRP = -90.0
 INDOOR_SPREAD = 20.0
 INDOOR_SITE_TYPE = 0
 
+#: Tasks that a step with a large result is dealt to.
+TASKS_PER_CORE = 4
+
 
 def _slots(raw: DataFrame) -> list[int]:
     """The numbers of the columns ``antenna_0``, ``antenna_1`` and so on, as many as there are."""
@@ -77,12 +81,15 @@ def cell_channels(cells: DataFrame) -> DataFrame:
 
 
 def strongest_cells(readings: DataFrame, cells: DataFrame) -> DataFrame:
-    """Strongest cell per (grid, floor, channel); ties go to the smaller cell id."""
+    """Strongest cell per (grid, floor, channel); ties go to the smaller cell id.
+
+    Readings come from wide rows and are many more than Spark expects, so they are not sent whole to every task.
+    """
     channels = cell_channels(cells).withColumnRenamed("objectid", "n_objectid")
     order = Window.partitionBy("gridid", "height", "earfcn").orderBy(
         F.col("n_rsrp").desc(), "n_objectid")
     return (
-        readings.join(channels, "n_objectid")
+        readings.hint("merge").join(channels, "n_objectid")
         .withColumn("_rank", F.row_number().over(order))
         .where(F.col("_rank") == 1)
         .select(F.col("n_objectid").alias("objectid"), "gridid", "longitude", "latitude",
@@ -93,7 +100,7 @@ def strongest_cells(readings: DataFrame, cells: DataFrame) -> DataFrame:
 def cell_pairs(serving: DataFrame, readings: DataFrame) -> DataFrame:
     """Serving cells beside the other cells heard on the same grid and floor."""
     return (
-        serving.join(readings.select("gridid", "height", "n_objectid", "n_rsrp"), ["gridid", "height"])
+        serving.join(readings.select("gridid", "height", "n_objectid", "n_rsrp").hint("merge"), ["gridid", "height"])
         .where(F.col("objectid") != F.col("n_objectid"))
         .select(*FINGER_COLUMNS)
     )
@@ -140,7 +147,7 @@ def join_layers(service: DataFrame, neighbour: DataFrame) -> DataFrame:
         F.col("servicegridid").alias("gridid"), "height",
         F.col("objectid").alias("n_objectid"), F.col("rsrp").alias("n_rsrp"),
     )
-    return service.join(heard, ["gridid", "height"]).select(*FINGER_COLUMNS)
+    return service.join(heard.hint("merge"), ["gridid", "height"]).select(*FINGER_COLUMNS)
 
 
 def build_fingerprint_layers(service: Mapping[int, DataFrame],
@@ -182,19 +189,30 @@ def hashed_noise(*keys: str) -> Column:
 def indoor_fingerprint(sites: DataFrame, cells: DataFrame, cell_building: DataFrame,
                        grid_building: DataFrame, serving: DataFrame,
                        noise: Column | None = None) -> DataFrame:
-    """C17: serving rows of indoor cells on every grid of the buildings they cover."""
+    """C17: serving rows of indoor cells on every grid of the buildings they cover.
+
+    A cell and a grid that share several buildings meet in the least of them, so what a building's cells and grids give,
+    which is as large as the result, is neither shuffled nor made distinct. Grids are dealt out one by one, whatever
+    their building.
+    """
     served = (
         sites.where(F.col("sitetype") == INDOOR_SITE_TYPE).select(F.col("oid").alias("siteoid"))
         .join(cells.select("siteoid", "objectid"), "siteoid")
         .join(cell_building.select("objectid", "buildingid"), "objectid")
-        .select("objectid", "buildingid").distinct()
+        .groupBy("objectid").agg(F.collect_set("buildingid").alias("_covers"))
     )
+    # One row per cell and building. Written, so that its size is known when the join is planned.
+    served = cut_lineage(served.select("objectid", "_covers", F.explode("_covers").alias("buildingid")), "served")
+    places = serving.select("gridid", "longitude", "latitude", "height").distinct()
+    buildings = grid_building.groupBy("gridid").agg(F.collect_set("buildingid").alias("_stands_in"))
+    spark = serving.sparkSession
     grids = (
-        serving.select("gridid", "longitude", "latitude", "height").distinct()
-        .join(grid_building.select("gridid", "buildingid"), "gridid")
+        places.join(buildings, "gridid").repartition(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, "gridid", "height")
+        .withColumn("buildingid", F.explode("_stands_in"))
     )
-    covered = served.join(grids, "buildingid") \
-        .select("objectid", "gridid", "longitude", "latitude", "height").distinct()
+    least = F.array_min(F.array_intersect("_covers", "_stands_in"))
+    alone = (F.size("_covers") == 1) | (F.size("_stands_in") == 1)
+    covered = grids.join(served, "buildingid").where(alone | (F.col("buildingid") == least))
     noise = hashed_noise("objectid", "gridid", "height") if noise is None else noise
     return covered.select("objectid", "gridid", "longitude", "latitude",
                           (noise * INDOOR_SPREAD + INDOOR_RSRP).cast("double").alias("rsrp"), "height")
