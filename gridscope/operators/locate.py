@@ -6,7 +6,8 @@ serving-minus-neighbour difference and the grid's own difference. Distances are
 9 decimals before the threshold and the choice, so that sums taken in another order agree.
 
 Two plans give the same rows. ``locate_by_join`` states the work as join,
-aggregate and top-1; its shuffles carry one row per sample and candidate grid.
+aggregate and top-1; it scores all pairs of samples and grids of a cell where they meet and shuffles
+one row per sample and tile of grids.
 ``locate`` cuts both sides into blocks of bounded size per serving cell and
 scores block against block with matrix products inside the task. Each sample goes down a tree over tiles of
 grids and leaves out the branches whose bound shows that they cannot hold its nearest; only the
@@ -38,6 +39,9 @@ MOST_ROWS_PER_BLOCK = 1_000_000
 #: Grids that share one bound, and nodes that share one above them.
 GRIDS_PER_TILE = 64
 TILES_PER_NODE = 8
+#: Pairs of samples and grids that one part of a cell gets where all of them are scored.
+PAIRS_PER_PART = 4_000_000
+TASKS_PER_CORE = 4
 
 BLOCK = ("objectid", "sample_block", "finger_block")
 
@@ -66,25 +70,104 @@ def sample_rows(mro: DataFrame) -> DataFrame:
     return mro.select(*SAMPLE_KEY, *SERVING, "ta", "aoa").withColumn("ltescsinrul", F.col("ltescsinrul").cast("double"))
 
 
-def candidate_pairs(mro: DataFrame, finger: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """Every neighbour reading beside every grid that knows the same cell pair."""
-    readings = _reported(mro).select(
-        *SAMPLE_KEY, *SERVING, *carry, "ncellobjectid",
-        (F.col("ltescrsrp") - F.col("ltencrsrp")).cast("double").alias("seen_gap"),
-    )
-    grids = _signed(finger).select(
-        "objectid", F.col("n_objectid").alias("ncellobjectid"), "gridid", "height",
-        (F.col("rsrp") - F.col("n_rsrp")).cast("double").alias("grid_gap"),
+def candidate_pairs(mro: DataFrame, finger: DataFrame, carry: Sequence[str] = (), per: str = "reading") -> DataFrame:
+    """Every neighbour reading beside every grid that knows the same cell pair.
+
+    ``per`` says what a row stands for. ``reading``: one reading beside one row of a grid. ``sample``: one sample with its
+    readings (``seen``) beside some grids of its cell with theirs (``grids``), so that nothing has to be brought together by
+    sample again. ``cell``: all readings of a cell pair beside a grid; ``pairs`` counts them and ``gap_sum`` adds their gaps.
+    The size of a fingerprint is often guessed too low, so no side is sent whole to every task.
+    """
+    if per == "sample":
+        return _samples_by_grids(mro, finger, carry)
+    seen, kept = _gaps()
+    heard, known = _reported(mro), _signed(finger).withColumn("ncellobjectid", F.col("n_objectid"))
+    pair = ["objectid", "ncellobjectid"]
+    if per == "reading":
+        readings = heard.select(*SAMPLE_KEY, *SERVING, *carry, "ncellobjectid", seen.alias("seen_gap"))
+        grids = known.select(*pair, "gridid", "height", kept.alias("grid_gap"))
+        return readings.join(grids.hint("merge"), pair)
+    readings = heard.groupBy(*pair).agg(F.count(F.lit(1)).alias("_readings"), F.sum(seen).alias("_seen"))
+    grids = known.groupBy(*pair, "gridid", "height").agg(F.count(F.lit(1)).alias("_rows"), F.sum(kept).alias("_kept"))
+    return readings.join(grids.hint("merge"), pair).select(
+        *pair, "gridid", "height", (F.col("_readings") * F.col("_rows")).alias("pairs"),
+        (F.col("_seen") * F.col("_rows") - F.col("_kept") * F.col("_readings")).alias("gap_sum"))
+
+
+def _gaps() -> tuple[Column, Column]:
+    """Serving minus neighbour, as a sample has seen it and as a grid knows it."""
+    return ((F.col("ltescrsrp") - F.col("ltencrsrp")).cast("double"), (F.col("rsrp") - F.col("n_rsrp")).cast("double"))
+
+
+def _samples_by_grids(mro: DataFrame, finger: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """Whole samples beside whole grids of their cell, ``GRIDS_PER_TILE`` grids or so in a row.
+
+    The samples of a cell are dealt to as many parts as its pairs ask for; its grids go to each part. Equal readings of a
+    sample or grid are one with a count. Both sides are written: the parts are sized from them.
+    """
+    described = [*SAMPLE_KEY, *SERVING, *carry]
+
+    def whole(rows: DataFrame, keys: Sequence[str], neighbour: str, gap: Column, name: str) -> DataFrame:
+        counted = rows.groupBy(*keys, neighbour, gap.alias("_gap")).agg(F.count(F.lit(1)).cast("double").alias("_n"))
+        reading = F.struct(F.col(neighbour).alias("cell"), F.col("_gap").alias("gap"), F.col("_n").alias("n"))
+        return cut_lineage(counted.groupBy(*keys).agg(F.collect_list(reading).alias(name)), name)
+
+    seen, kept = _gaps()
+    samples = whole(_reported(mro), described, "ncellobjectid", seen, "seen")
+    grids = whole(_signed(finger), ("objectid", "gridid", "height"), "n_objectid", kept, "known")
+    counts = cut_lineage(
+        samples.groupBy("objectid").agg(F.count(F.lit(1)).alias("_samples"))
+        .join(grids.groupBy("objectid").agg(F.count(F.lit(1)).alias("_grids")), "objectid")
+        .select("objectid", F.ceil(F.col("_samples") * F.col("_grids") / PAIRS_PER_PART).alias("_parts"),
+                F.ceil(F.col("_grids") / GRIDS_PER_TILE).alias("_tiles")), "parts")
+    tiles = (
+        grids.join(counts, "objectid")
+        .groupBy("objectid", "_parts", F.pmod(F.xxhash64("gridid", "height"), "_tiles").alias("_tile"))
+        .agg(F.collect_list(F.struct("height", "gridid", "known")).alias("grids"))
+        .select("objectid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("_part"), "grids")
     )
-    return readings.join(grids, ["objectid", "ncellobjectid"])
+    dealt = samples.join(counts, "objectid").withColumn("_part", F.pmod(F.xxhash64(*SAMPLE_KEY[1:]), "_parts"))
+    # The result is far larger than both sides, so their size must not decide how many tasks there are.
+    tasks = TASKS_PER_CORE * mro.sparkSession.sparkContext.defaultParallelism
+    left, right = (side.repartition(tasks, "objectid", "_part") for side in (dealt, tiles))
+    return left.join(right.hint("merge"), ["objectid", "_part"]).select(*described, "seen", "grids")
+
+
+def _scored_grids(min_matches: int, max_distance: float | None) -> Column:
+    """The (distance, height, gridid) of the ``grids`` of a row that match its ``seen`` readings."""
+
+    def gaps(grid: Column) -> Column:
+        start = F.struct(F.lit(0.0).alias("total"), F.lit(0.0).alias("matches"))
+
+        def add(so_far: Column, reading: Column) -> Column:
+            same = F.filter(grid["known"], lambda k: k["cell"] == reading["cell"])
+            return F.aggregate(same, so_far, lambda a, k: F.struct(
+                (a["total"] + reading["n"] * k["n"] * (reading["gap"] - k["gap"]) * (reading["gap"] - k["gap"])).alias("total"),
+                (a["matches"] + reading["n"] * k["n"]).alias("matches")))
+
+        return F.aggregate("seen", start, add)
+
+    summed = F.transform("grids", lambda g: F.struct(gaps(g).alias("sums"), g["height"].alias("height"), g["gridid"].alias("gridid")))
+    matched = F.filter(summed, lambda g: g["sums"]["matches"] >= max(min_matches, 1))
+    scored = F.transform(matched, lambda g: F.struct(
+        F.round(g["sums"]["total"] / g["sums"]["matches"], DECIMALS).alias("distance"), g["height"].alias("height"),
+        g["gridid"].alias("gridid")))
+    return scored if max_distance is None else F.filter(scored, lambda g: g["distance"] <= max_distance)
 
 
 def grid_distances(pairs: DataFrame, min_matches: int = 2, max_distance: float | None = None,
                    carry: Sequence[str] = ()) -> DataFrame:
-    """A1: mean squared gap per sample and grid, over at least ``min_matches`` rows."""
+    """A1: mean squared gap per sample and grid, over at least ``min_matches`` rows.
+
+    Pairs per reading are brought together by sample and grid; pairs per sample are scored where they are.
+    """
+    described = [*SAMPLE_KEY, *SERVING, *carry]
+    if "seen" in pairs.columns:
+        return pairs.select(*described, F.explode(_scored_grids(min_matches, max_distance)).alias("_grid")) \
+            .select(*described, "_grid.gridid", "_grid.height", "_grid.distance")
     gap = F.col("seen_gap") - F.col("grid_gap")
     scored = (
-        pairs.groupBy(*SAMPLE_KEY, *SERVING, *carry, "gridid", "height")
+        pairs.groupBy(*described, "gridid", "height")
         .agg(F.round(F.avg(gap * gap), DECIMALS).alias("distance"), F.count(F.lit(1)).alias("matches"))
         .where(F.col("matches") >= min_matches)
         .drop("matches")
@@ -92,6 +175,14 @@ def grid_distances(pairs: DataFrame, min_matches: int = 2, max_distance: float |
     return scored if max_distance is None else scored.where(F.col("distance") <= max_distance)
 
 
+def nearest_of_row(pairs: DataFrame, min_matches: int = 2, max_distance: float | None = None,
+                   carry: Sequence[str] = ()) -> DataFrame:
+    """A1 of pairs per sample, reduced to the nearest grid of each row before anything is shuffled."""
+    described = [*SAMPLE_KEY, *SERVING, *carry]
+    return pairs.select(*described, F.array_min(_scored_grids(min_matches, max_distance)).alias("_grid")) \
+        .where(F.col("_grid").isNotNull()).select(*described, "_grid.gridid", "_grid.height", "_grid.distance")
+
+
 def best_grid(distances: DataFrame) -> DataFrame:
     """Nearest grid of each sample; ties go to the lower floor, then the smaller grid id."""
     order = Window.partitionBy(*SAMPLE_KEY).orderBy(
@@ -106,9 +197,9 @@ def best_grid(distances: DataFrame) -> DataFrame:
 
 def locate_by_join(mro: DataFrame, *fingers: DataFrame, min_matches: int = 2,
                    max_distance: float | None = None, carry: Sequence[str] = ()) -> DataFrame:
-    """C6 as join, aggregate and top-1."""
-    pairs = candidate_pairs(mro, all_layers(*fingers), carry)
-    return best_grid(grid_distances(pairs, min_matches, max_distance, carry))
+    """C6 as join, aggregate and top-1: all pairs of samples and grids of a cell are scored."""
+    pairs = candidate_pairs(mro, all_layers(*fingers), carry, per="sample")
+    return best_grid(nearest_of_row(pairs, min_matches, max_distance, carry))
 
 
 def block_counts(readings: DataFrame, finger: DataFrame, sample_rows: int, finger_rows: int) -> DataFrame:

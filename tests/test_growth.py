@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from gridscope import schemas
 from gridscope.operators import locate as L
-from gridscope.operators import skew
-from test_locate import MRO, _field
+from gridscope.operators import fingerprint, skew
+from test_locate import MRO, _field, make_data
 
 
 def test_copies_of_a_side_stay_within_both_sides(spark):
@@ -70,3 +70,68 @@ def test_heavy_cells_are_no_shuffle_of_the_reports(table):
     for split in (skew.rows_in, skew.rows_not_in):
         plan = split(mro, heavy)._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def _pairs_data(table):
+    mro_rows, finger_rows = make_data(21)
+    return mro_rows, finger_rows, table(MRO, *mro_rows), table(schemas.FINGER, *finger_rows)
+
+
+def test_pairs_per_cell_add_up_and_are_folded_before_they_meet(table):
+    mro_rows, finger_rows, mro, finger = _pairs_data(table)
+    want = {}
+    for cell, _, _, rsrp, _, _, neighbour, heard in mro_rows:
+        for f_cell, gridid, _, _, f_rsrp, f_neighbour, f_heard, height in finger_rows:
+            if heard is not None and (cell, neighbour) == (f_cell, f_neighbour):
+                n, total = want.get((cell, gridid, height), (0, 0.0))
+                want[cell, gridid, height] = n + 1, total + rsrp - heard - (f_rsrp - f_heard)
+    found = L.candidate_pairs(mro, finger, per="cell")
+    assert found.count() <= finger.select("objectid", "n_objectid", "gridid", "height").distinct().count()
+    got = {tuple(r[:3]): tuple(r[3:]) for r in found.groupBy("objectid", "gridid", "height")
+           .agg(F.sum("pairs"), F.round(F.sum("gap_sum"), 6)).collect()}
+    assert got == {key: (n, round(total, 6)) for key, (n, total) in want.items()}
+
+
+@pytest.mark.parametrize("options", [{}, {"min_matches": 3, "max_distance": 60.0}, {"min_matches": 1}])
+def test_distances_of_pairs_per_sample_equal_those_per_reading(table, monkeypatch, options):
+    monkeypatch.setattr(L, "PAIRS_PER_PART", 50)
+    monkeypatch.setattr(L, "GRIDS_PER_TILE", 3)
+    _, _, mro, finger = _pairs_data(table)
+    columns = ["objectid", "mmeues1apid", "time_stamp", "ltescrsrq", "gridid", "height", "distance"]
+    by_sample = L.grid_distances(L.candidate_pairs(mro, finger, per="sample"), **options).select(*columns)
+    by_reading = L.grid_distances(L.candidate_pairs(mro, finger), **options).select(*columns)
+    got, want = (sorted(map(str, map(tuple, df.collect()))) for df in (by_sample, by_reading))
+    assert got == want and len(want) > 20
+    # nothing is brought together by sample after the sides have met
+    plan = by_sample._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan[:plan.index("SortMergeJoin")]
+
+
+@pytest.mark.parametrize("step", ["pairs", "strongest", "cell pairs"])
+def test_a_fingerprint_is_not_sent_whole_to_every_task(table, step):
+    """Spark guesses the size of exploded rows from the narrow table they come from."""
+    _, _, mro, finger = _pairs_data(table)
+    readings = finger.select("gridid", "longitude", "latitude", "height", "n_objectid", "n_rsrp")
+    cells = table("objectid bigint, earfcn int", (1, 100), (2, 100))
+    df = {"pairs": lambda: L.candidate_pairs(mro, finger), "strongest": lambda: fingerprint.strongest_cells(readings, cells),
+          "cell pairs": lambda: fingerprint.cell_pairs(finger.select("objectid", "gridid", "longitude", "latitude", "rsrp", "height"), readings)}[step]()
+    assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_indoor_cells_and_grids_of_several_buildings_meet_once(table):
+    sites = table("oid bigint, sitetype int", (1, 0), (2, 1))
+    cells = table("siteoid bigint, objectid bigint", (1, 10), (1, 11), (2, 12))
+    covers = table("objectid bigint, buildingid int", (10, 5), (10, 6), (10, None), (11, 6), (12, 5), (10, 5))
+    stands = table("gridid string, buildingid int", ("a", 5), ("a", 6), ("b", 6), ("b", 6), ("c", 7), ("d", None), (None, 5))
+    serving = table("gridid string, longitude double, latitude double, height int",
+                    ("a", 1.0, 2.0, 0), ("a", 1.0, 2.0, 0), ("a", 1.0, 2.0, 5), ("b", None, 2.0, 0), ("c", 1.0, 2.0, 0), ("d", 1.0, 2.0, 0))
+    df = fingerprint.indoor_fingerprint(sites, cells, covers, stands, serving, noise=F.lit(0.0))
+    assert sorted((r.objectid, r.gridid, r.height) for r in df.collect()) == [
+        (10, "a", 0), (10, "a", 5), (10, "b", 0), (11, "a", 0), (11, "a", 5), (11, "b", 0)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan[:plan.index("Join")] and "Exchange" not in plan[:plan.index("Join")]
+
+
+def test_feature_lines_are_dealt_to_all_cores(spark, sf):
+    from gridscope_checks.queries_text import feature_lines
+    assert feature_lines(spark, sf).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
