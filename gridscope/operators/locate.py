@@ -107,14 +107,18 @@ def _samples_by_grids(mro: DataFrame, finger: DataFrame, carry: Sequence[str]) -
     """
     described = [*SAMPLE_KEY, *SERVING, *carry]
 
-    def whole(rows: DataFrame, keys: Sequence[str], neighbour: str, gap: Column, name: str) -> DataFrame:
-        counted = rows.groupBy(*keys, neighbour, gap.alias("_gap")).agg(F.count(F.lit(1)).cast("double").alias("_n"))
-        reading = F.struct(F.col(neighbour).alias("cell"), F.col("_gap").alias("gap"), F.col("_n").alias("n"))
-        return cut_lineage(counted.groupBy(*keys).agg(F.collect_list(reading).alias(name)), name)
+    def counted(rows: DataFrame, keys: Sequence[str], gap: Column) -> DataFrame:
+        return rows.groupBy(*keys, gap.alias("gap")).agg(F.count(F.lit(1)).cast("double").alias("n"))
 
     seen, kept = _gaps()
-    samples = whole(_reported(mro), described, "ncellobjectid", seen, "seen")
-    grids = whole(_signed(finger), ("objectid", "gridid", "height"), "n_objectid", kept, "known")
+    readings = counted(_reported(mro), [*described, "ncellobjectid"], seen)
+    samples = cut_lineage(readings.groupBy(*described).agg(
+        F.collect_list(F.struct(F.col("ncellobjectid").alias("cell"), "gap", "n")).alias("seen")), "seen")
+    grid = ("objectid", "gridid", "height")
+    by_cell = counted(_signed(finger).where(F.col("n_objectid").isNotNull()), [*grid, "n_objectid"], kept) \
+        .groupBy(*grid, "n_objectid").agg(F.collect_list(F.struct("gap", "n")).alias("_readings"))
+    grids = cut_lineage(by_cell.groupBy(*grid).agg(
+        F.map_from_entries(F.collect_list(F.struct("n_objectid", "_readings"))).alias("known")), "known")
     counts = cut_lineage(
         samples.groupBy("objectid").agg(F.count(F.lit(1)).alias("_samples"))
         .join(grids.groupBy("objectid").agg(F.count(F.lit(1)).alias("_grids")), "objectid")
@@ -140,10 +144,10 @@ def _scored_grids(min_matches: int, max_distance: float | None) -> Column:
         start = F.struct(F.lit(0.0).alias("total"), F.lit(0.0).alias("matches"))
 
         def add(so_far: Column, reading: Column) -> Column:
-            same = F.filter(grid["known"], lambda k: k["cell"] == reading["cell"])
-            return F.aggregate(same, so_far, lambda a, k: F.struct(
+            same = F.try_element_at(grid["known"], reading["cell"])
+            return F.when(same.isNull(), so_far).otherwise(F.aggregate(same, so_far, lambda a, k: F.struct(
                 (a["total"] + reading["n"] * k["n"] * (reading["gap"] - k["gap"]) * (reading["gap"] - k["gap"])).alias("total"),
-                (a["matches"] + reading["n"] * k["n"]).alias("matches")))
+                (a["matches"] + reading["n"] * k["n"]).alias("matches"))))
 
         return F.aggregate("seen", start, add)
 

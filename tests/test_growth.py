@@ -135,3 +135,11 @@ def test_indoor_cells_and_grids_of_several_buildings_meet_once(table):
 def test_feature_lines_are_dealt_to_all_cores(spark, sf):
     from gridscope_checks.queries_text import feature_lines
     assert feature_lines(spark, sf).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_pairs_per_sample_leave_out_unknown_cells(table):
+    mro = table(MRO, *[(1, "u", "t", 50, 1, 1.0, n, 40) for n in (2, 3, None)], (1, "v", "t", 50, 1, 1.0, None, 40))
+    finger = table(schemas.FINGER, *[(1, g, 0.0, 0.0, -70.0, n, -80.0, 0) for g, n in (("a", 2), ("a", 3), ("a", None), ("b", None))])
+    rows = L.grid_distances(L.candidate_pairs(mro, finger, per="sample"), min_matches=1).collect()
+    assert [(r.mmeues1apid, r.gridid, r.distance) for r in rows] == [("u", "a", 0.0)]
+    assert [r.gridid for r in L.locate_by_join(mro, finger).collect()] == ["a"]
