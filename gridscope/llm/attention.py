@@ -20,8 +20,10 @@ WIDTH, HIDDEN = 16, 48
 GROUPS, MEMBERS = 25, 25
 SLOTS = GROUPS * MEMBERS
 STEPS, BATCH, RATE = 1200, 128, 1e-2
-#: Windows that are scored side by side.
-SCORED = 512
+#: Windows that are scored side by side, and those whose gradients are summed at once.
+SCORED, SUMMED = 512, 256
+#: Rows of one slot that are summed as a product.
+LONG_RUN = 64
 
 #: Logits up to this size need no shift.
 SAFE = 60.0
@@ -179,20 +181,25 @@ class Attention:
     def _gradients(self, inputs: np.ndarray, slots: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of the mean loss; ``slots`` has the targets, -1 where there is none."""
         w, t = self.w, self._tables()
-        s = self._hidden(inputs, t)
+        safe = self._bounds(t)
+        s = self._hidden(inputs, t, safe["attention"])
         g = {name: np.zeros_like(value) for name, value in w.items()}
-        rows = np.flatnonzero(slots.reshape(-1) >= 0)
-        slot, h = slots.reshape(-1)[rows], s["h"][rows]
+        flat = slots.reshape(-1)
+        # by group, so that the rows of a group lie side by side
+        rows = np.argsort(np.where(flat >= 0, flat // MEMBERS, GROUPS).astype(np.int16), kind="stable")
+        rows = rows[: np.count_nonzero(flat >= 0)]
+        slot, h = flat[rows], np.take(s["h"], rows, axis=0)
         group, member, n = slot // MEMBERS, slot % MEMBERS, np.float32(len(rows))
-        off = _softmax(h @ w["group"] + w["group_b"])
+        off = _softmax(h @ w["group"] + w["group_b"], not safe["group"])
         off[np.arange(len(rows)), group] -= 1
         off /= n
         g["group"], g["group_b"] = h.T @ off, off.sum(axis=0)
         dh = off @ w["group"].T
-        for k in np.unique(group).tolist():
-            some = np.flatnonzero(group == k)
-            inner = _softmax(h[some] @ w["member"][k] + w["member_b"][k])
-            inner[np.arange(len(some)), member[some]] -= 1
+        bounds = np.searchsorted(group, np.arange(GROUPS + 1))
+        for k in np.flatnonzero(np.diff(bounds)).tolist():
+            some = slice(bounds[k], bounds[k + 1])
+            inner = _softmax(h[some] @ w["member"][k] + w["member_b"][k], not safe["member"])
+            inner[np.arange(len(inner)), member[some]] -= 1
             inner /= n
             g["member"][k], g["member_b"][k] = h[some].T @ inner, inner.sum(axis=0)
             dh[some] += inner @ w["member"][k].T
@@ -202,39 +209,82 @@ class Attention:
         dc, a = (du @ w["join"].T).reshape(len(inputs), STRIDE, WIDTH), s["a"]
         da = dc @ s["v"].transpose(0, 2, 1)
         dv = a.transpose(0, 2, 1) @ dc
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True))
+        da -= (da * a).sum(axis=2, keepdims=True)
+        ds = np.multiply(a, da, out=da)
         g["near"] = np.bincount(np.abs(_DISTANCE).reshape(-1), weights=np.where(_CAUSAL, ds.sum(axis=0), 0).reshape(-1),
                                 minlength=CONTEXT).astype(np.float32)
         dq, dk = ds @ s["k"], ds.transpose(0, 2, 1) @ s["q"]
         there = np.maximum(inputs, 0)
         last = there[:, CONTEXT - STRIDE:].reshape(-1)
-        g["last"], g["before"] = _by_slot(last, du), _by_slot(there[:, CONTEXT - STRIDE - 1: -1].reshape(-1), du)
-        dq = _by_slot(last, dq.reshape(-1, WIDTH)) * np.float32(WIDTH ** -0.5)
-        dk, dv = _by_slot(there.reshape(-1), dk.reshape(-1, WIDTH)), _by_slot(there.reshape(-1), dv.reshape(-1, WIDTH))
+        of_last = _by_slot(last, np.concatenate([du, dq.reshape(-1, WIDTH)], axis=1))
+        g["last"], dq = of_last[:, :HIDDEN], of_last[:, HIDDEN:] * np.float32(WIDTH ** -0.5)
+        g["before"] = _by_slot(there[:, CONTEXT - STRIDE - 1: -1].reshape(-1), du)
+        of_seen = _by_slot(there.reshape(-1), np.concatenate([dk.reshape(-1, WIDTH), dv.reshape(-1, WIDTH)], axis=1))
+        dk, dv = of_seen[:, :WIDTH], of_seen[:, WIDTH:]
         g["q"], g["k"], g["v"] = w["embed"].T @ dq, w["embed"].T @ dk, w["embed"].T @ dv
         g["embed"] = dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
         return g
 
+    def gradient_sum(self, inputs: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """Gradients of the summed loss, all weights one after the other, and the number of targets as the last value."""
+        total = np.zeros(sum(value.size for value in self.w.values()) + 1)
+        for at in range(0, len(inputs), SUMMED):
+            part = slots[at: at + SUMMED]
+            n = np.count_nonzero(part >= 0)
+            if n:
+                g = self._gradients(inputs[at: at + SUMMED], part)
+                total += np.append(np.concatenate([g[name].reshape(-1) for name in self.w]).astype(np.float64) * n, n)
+        return total
+
+    def by_name(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        """The values of ``gradient_sum`` as they lie in the weights."""
+        ends = np.cumsum([value.size for value in self.w.values()])
+        return {name: flat[end - value.size: end].reshape(value.shape) for (name, value), end in zip(self.w.items(), ends.tolist())}
+
     def train(self, inputs: np.ndarray, slots: np.ndarray, steps: int = STEPS, seed: int = 2) -> None:
         """Adam over random batches of windows."""
         if not len(inputs):
             return
         random = np.random.default_rng(seed)
-        mean = {name: np.zeros_like(value) for name, value in self.w.items()}
-        square = {name: np.zeros_like(value) for name, value in self.w.items()}
+        adam = Adam(self)
         for step in range(1, steps + 1):
             batch = random.integers(0, len(inputs), size=min(BATCH, len(inputs)))
-            rate = RATE * min(1.0, step / 20) * (1 - step / (steps + 1)) ** 0.7
-            for name, grad in self._gradients(inputs[batch], slots[batch]).items():
-                mean[name] = 0.9 * mean[name] + 0.1 * grad
-                square[name] = 0.98 * square[name] + 0.02 * grad * grad
-                move = mean[name] / (1 - 0.9 ** step) / (np.sqrt(square[name] / (1 - 0.98 ** step)) + 1e-8)
-                self.w[name] = (self.w[name] - rate * move).astype(np.float32)
+            adam.move(self._gradients(inputs[batch], slots[batch]), RATE * min(1.0, step / 20) * (1 - step / (steps + 1)) ** 0.7)
+
+
+class Adam:
+    """Steps of the weights by running means of their gradients and squares."""
+
+    def __init__(self, model: Attention) -> None:
+        self.model, self.steps = model, 0
+        self.mean = {name: np.zeros_like(value) for name, value in model.w.items()}
+        self.square = {name: np.zeros_like(value) for name, value in model.w.items()}
+
+    def move(self, gradients: dict[str, np.ndarray], rate: float) -> None:
+        self.steps += 1
+        w, mean, square = self.model.w, self.mean, self.square
+        for name, grad in gradients.items():
+            mean[name] = 0.9 * mean[name] + 0.1 * grad
+            square[name] = 0.98 * square[name] + 0.02 * grad * grad
+            move = mean[name] / (1 - 0.9 ** self.steps) / (np.sqrt(square[name] / (1 - 0.98 ** self.steps)) + 1e-8)
+            w[name] = (w[name] - rate * move).astype(np.float32)
 
 
 def _by_slot(slots: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Sums of rows by slot."""
-    return np.stack([np.bincount(slots, weights=rows[:, d], minlength=SLOTS) for d in range(rows.shape[1])], axis=1).astype(np.float32)
+    """Sums of rows by slot; long runs of a slot are summed as products, the others side by side."""
+    order = np.argsort(slots.astype(np.int16), kind="stable")
+    bounds = np.append(0, np.cumsum(np.bincount(slots, minlength=SLOTS)))
+    sizes = np.diff(bounds)
+    rows = np.take(rows, order, axis=0)
+    sums = np.zeros((SLOTS, rows.shape[1]), np.float32)
+    long = sizes >= LONG_RUN
+    for slot in np.flatnonzero(long).tolist():
+        sums[slot] = np.ones(sizes[slot], np.float32) @ rows[bounds[slot]: bounds[slot + 1]]
+    short = np.flatnonzero(~long & (sizes > 0))
+    if len(short):
+        some = rows[np.repeat(~long, sizes)]
+        sums[short] = np.add.reduceat(some, np.cumsum(sizes[short]) - sizes[short], axis=0)
+    return sums
 
 
 def _log_sum(logits: np.ndarray, ones: np.ndarray, safe: bool) -> np.ndarray:

@@ -1,10 +1,11 @@
 """Operator 2: language-model scores, a causal attention model beside a word unigram base.
 
 One pass over the training texts counts all words, all subword ids and all phrases (runs of ``PHRASE`` ids, from the first
-of a text on; the last of a text may be shorter) and draws a sample of windows;
-the attention model is trained on that sample (the ``SAMPLED_WINDOWS`` of least hash of text and place, however the texts
-lie in partitions), its vocabulary and the shares of rarer ids come from the counts of the whole corpus. A second pass scores
-every text: windows overlap, each id is scored once.
+of a text on; the last of a text may be shorter) and writes the ids. The attention's vocabulary and the shares of rarer ids come from
+these counts; its weights begin with steps on the ``SAMPLED_WINDOWS`` windows of least hash of text and place and then learn from all
+windows of all training texts: texts are dealt by their hash to ``ROUNDS`` rounds, in each the tasks sum the gradients of all windows of
+its texts, and the weights move once by the sum. So every window counts once, however texts lie in partitions; where there are no more
+than ``SAMPLED_WINDOWS`` windows the first steps have them all. A last pass scores every text: windows overlap, each id is scored once.
 
 The model is a mixture over phrases by absolute discounting. Of N training phrases, T of them different, a phrase seen c times has
 the probability max(c - 1, 0) / N + T / N * attention(phrase, given what is before it); over all phrases this adds up to one.
@@ -33,11 +34,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridscope.llm import textarrays as ta
-from gridscope.llm.attention import CONTEXT, STRIDE, Attention, places, windows
+from gridscope.llm.attention import CONTEXT, STRIDE, Adam, Attention, places, windows
 from gridscope.llm.bpe import PieceCoder
-from gridscope.sources.tables import cut_lineage
+from gridscope.sources.tables import cut_lineage, scratch_path
 
+#: Windows of the first steps; all others follow in the rounds.
 SAMPLED_WINDOWS = 49_152
+ROUNDS, ROUND_RATE = 24, 1e-2
+#: Windows of stored texts that lie in memory at once, and the parts in which gradients are summed over tasks.
+HELD_WINDOWS, PARTS = 4_096, 16
 #: Ids of a phrase: whole windows, so that a phrase's probability is the product of theirs.
 PHRASE = 2 * STRIDE
 FREQUENT = 1 << 20
@@ -46,7 +51,7 @@ HELD_WORDS = 1 << 20
 #: The end of a text as a word; no word hashes to it but by a chance of 2**-64.
 END_WORD = 0
 
-_WORDS, _IDS, _WINDOWS, _PHRASES = 0, 1, 2, 3
+_WORDS, _IDS, _WINDOWS, _PHRASES, _TEXTS = 0, 1, 2, 3, 4
 
 
 @lru_cache(maxsize=2)
@@ -112,7 +117,7 @@ def _least(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray,
 
 
 def _count(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Counts of words and ids of the task, and its windows of least hash."""
+    """Counts of words, ids and phrases of the task, the ids of its texts, and its windows of least hash."""
     end = _coder(path)[1]
     id_counts = np.zeros(end + 1, dtype=np.int64)
     words: list[tuple[np.ndarray, np.ndarray]] = []
@@ -124,8 +129,9 @@ def _count(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBa
             part = slice(at, at + 100_000)
             size = len(keys[part])
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(size, kind), pa.int32()), pa.array(keys[part].view(np.int64)), pa.array(n[part], pa.int64()),
-                pa.nulls(size, pa.binary()) if held is None else held.slice(at, 100_000)], ["kind", "key", "n", "held"])
+                pa.array(keys[part].view(np.int64)), pa.array(n[part], pa.int64()),
+                pa.nulls(size, pa.binary()) if held is None else held.slice(at, 100_000),
+                pa.array(np.full(size, kind), pa.int32())], ["key", "n", "held", "kind"])
 
     limit = np.uint64(np.iinfo(np.uint64).max)
     for batch in batches:
@@ -139,8 +145,10 @@ def _count(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBa
                     yield from rows(_WORDS, *words[0])
                     words = []
             yield from rows(_PHRASES, *np.unique(phrases(ids, cuts)[1], return_counts=True))
+            hashes = _text_hash(names, codes, first)
+            yield from rows(_TEXTS, ta.mix(hashes), np.diff(cuts), _packed(ids, cuts, end))
             text, place = places(cuts)
-            order = ta.mix(_text_hash(names, codes, first)[text] + place.astype(np.uint64) * ta.seeds(1, salt=9)[0])
+            order = ta.mix(hashes[text] + place.astype(np.uint64) * ta.seeds(1, salt=9)[0])
             chosen = np.flatnonzero(order <= limit)
             inputs, targets, _ = windows(ids, cuts, end, chosen)
             wanted = np.where(targets >= 0, ids[np.maximum(targets, 0)], -1)
@@ -156,6 +164,65 @@ def _count(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBa
         yield from rows(_WINDOWS, order, np.ones(len(order), np.int64), pa.array([h.tobytes() for h in held], pa.binary()))
 
 
+def _stored(end: int) -> type:
+    """The least type that holds all ids."""
+    return np.uint16 if end <= np.iinfo(np.uint16).max else np.int32
+
+
+def _packed(ids: np.ndarray, cuts: np.ndarray, end: int) -> pa.Array:
+    """The ids of each text as bytes."""
+    held = ids.astype(_stored(end))
+    return pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [
+        None, pa.py_buffer((cuts * held.itemsize).astype(np.int64)), pa.py_buffer(held)]).cast(pa.binary())
+
+
+def _gradients(batches: Iterator[pa.RecordBatch], model: Attention, end: int) -> Iterator[pa.RecordBatch]:
+    """The summed gradients of all windows of the task's texts, in parts."""
+    total = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        held = batch.column(0).cast(pa.large_binary())
+        _, offsets, data = held.buffers()
+        cuts = np.frombuffer(offsets, np.int64)[held.offset: held.offset + len(held) + 1] // np.dtype(_stored(end)).itemsize
+        ids = np.frombuffer(data, _stored(end), count=int(cuts[-1]))[cuts[0]:]
+        cuts = cuts - cuts[0]
+        slots, ends = model.slot_of[ids], np.cumsum(-(-np.diff(cuts) // STRIDE))
+        row = 0
+        while row < len(ends):
+            stop = max(int(np.searchsorted(ends, (ends[row - 1] if row else 0) + HELD_WINDOWS, side="right")), row + 1)
+            own, some = slots[cuts[row]: cuts[stop]], cuts[row: stop + 1] - cuts[row]
+            n = len(places(some)[0])
+            for at in range(0, n, HELD_WINDOWS):
+                inputs, targets, _ = windows(own, some, model.start, np.arange(at, min(at + HELD_WINDOWS, n)))
+                found = model.gradient_sum(inputs, np.where(targets >= 0, own[np.maximum(targets, 0)], -1))
+                total = found if total is None else total + found
+            row = stop
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.arange(PARTS), pa.int32()), pa.array([p.tobytes() for p in np.array_split(total, PARTS)], pa.binary())], ["part", "held"])
+
+
+def _summed(parts: pa.Table) -> pa.Table:
+    """One part of the gradients of all tasks."""
+    total = np.sum([np.frombuffer(p.as_py(), np.float64) for p in parts.column("held")], axis=0)
+    return pa.table({"part": parts.column("part")[:1], "held": pa.array([total.tobytes()], pa.binary())})
+
+
+def _learn(texts: DataFrame, model: Attention, end: int) -> None:
+    """Move the weights by the gradients of all windows of the texts, each text in the round that its hash names."""
+    spark, adam = texts.sparkSession, Adam(model)
+    for number in range(ROUNDS):
+        sent = spark.sparkContext.broadcast(model)
+        parts = texts.where(F.pmod("key", F.lit(ROUNDS)) == number).select("held").mapInArrow(
+            lambda batches: _gradients(batches, sent.value, end), "part int, held binary")
+        found = parts.groupBy("part").applyInArrow(_summed, "part int, held binary").collect()
+        sent.unpersist()
+        if found:
+            total = np.concatenate([np.frombuffer(r.held, np.float64) for r in sorted(found, key=lambda r: r.part)])
+            adam.move(model.by_name(total[:-1] / total[-1]), ROUND_RATE * (1 - number / (ROUNDS + 1)) ** 0.7)
+
+
 def _fit(windows_seen: list[bytes], id_counts: np.ndarray, end: int) -> Attention:
     model = Attention(id_counts, end)
     held = np.frombuffer(b"".join(windows_seen), dtype=np.int32).reshape(-1, CONTEXT + STRIDE)
@@ -170,8 +237,11 @@ def score(docs: DataFrame, training, path: str, key: str = "doc_id", text: str =
     ``training`` is a condition on the documents. Scores are log10 probabilities.
     """
     spark = docs.sparkSession
-    seen = docs.where(training).select(text).mapInArrow(lambda batches: _count(batches, path), "kind int, key long, n long, held binary")
-    seen = cut_lineage(seen, "counted")
+    seen = docs.where(training).select(text).mapInArrow(lambda batches: _count(batches, path), "key long, n long, held binary, kind int")
+    # a folder per kind: the rounds read the texts alone
+    place = scratch_path(spark, "counted")
+    seen.write.partitionBy("kind").parquet(place)
+    seen = spark.read.schema(seen.schema).parquet(place)
     counts = cut_lineage(seen.where(F.col("kind") == _WORDS).groupBy("key").agg(F.sum("n").alias("c")), "word-counts")
     tokens, vocabulary = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     counted = seen.where(F.col("kind") == _PHRASES)
@@ -192,8 +262,11 @@ def score(docs: DataFrame, training, path: str, key: str = "doc_id", text: str =
         cut = offered.agg(F.percentile_approx("key", SAMPLED_WINDOWS / n_offered)).first()[0]
         offered = offered.where(F.col("key") <= cut)
     drawn = offered.toPandas().sort_values(["key", "held"])[:SAMPLED_WINDOWS]
-    sent = spark.sparkContext.broadcast(
-        (common, known, n_phrases, weight, _fit([bytes(h) for h in drawn.held], id_counts, end)))
+    model = _fit([bytes(h) for h in drawn.held], id_counts, end)
+    texts = seen.where(F.col("kind") == _TEXTS)
+    if (texts.agg(F.sum(F.ceil(F.col("n") / STRIDE))).first()[0] or 0) > SAMPLED_WINDOWS:
+        _learn(texts, model, end)
+    sent = spark.sparkContext.broadcast((common, known, n_phrases, weight, model))
 
     rows = docs.select(F.col(key).alias("_key"), F.col(text)).mapInArrow(
         lambda batches: _score(batches, path, *sent.value),

@@ -475,6 +475,58 @@ def test_rare_words_meet_their_counts_in_the_join(short_training, docs, monkeypa
         assert r.n_known == plain[r.doc_id].n_known and r.base_score == pytest.approx(plain[r.doc_id].base_score, rel=1e-9)
 
 
+def test_every_window_of_the_training_texts_moves_the_weights(short_training, docs, texts, monkeypatch):
+    """Beyond the first steps: each round's gradient is that of all windows of its texts, and each id is a target once."""
+    monkeypatch.setattr(lm, "SAMPLED_WINDOWS", 300)
+    made, whole = [], lm._learn
+    held = langid.held_out(F.col("doc_id"), 2, 7)
+    monkeypatch.setattr(lm, "_learn", lambda found, model, end: (made.append({k: v.copy() for k, v in model.w.items()}),
+                                                                 whole(found, model, end), made.append(model)))
+    assert lm.score(docs, ~held, RANKS).count() == len(texts)
+    start, model = made
+    assert any(np.abs(start[name] - model.w[name]).max() > 1e-3 for name in start)
+    learned = [texts[i] or "" for i in sorted(texts) if zlib.crc32(str(i).encode()) % 7 != 2]
+    seen = list(lm._texts(pa.array(learned), RANKS))
+    keys = np.concatenate([textarrays.mix(lm._text_hash(names, codes, first)) for _, names, codes, first, _, _ in seen]).view(np.int64)
+    ids = np.concatenate([s[4] for s in seen])
+    sizes = np.concatenate([np.diff(s[5]) for s in seen])
+    cuts = np.append(0, np.cumsum(sizes))
+    slots = model.slot_of[ids]
+    inputs, targets, text = attention.windows(slots, cuts, model.start)
+    wanted = np.where(targets >= 0, slots[np.maximum(targets, 0)], -1)
+    again = attention.Attention(np.bincount(ids, minlength=lm._coder(RANKS)[1] + 1), lm._coder(RANKS)[1])
+    again.w = dict(start)
+    adam, n_targets = attention.Adam(again), 0
+    for number in range(lm.ROUNDS):
+        some = (keys % lm.ROUNDS == number)[text]
+        total = again.gradient_sum(inputs[some], wanted[some])
+        n_targets += total[-1]
+        if total[-1]:
+            adam.move(again.by_name(total[:-1] / total[-1]), lm.ROUND_RATE * (1 - number / (lm.ROUNDS + 1)) ** 0.7)
+    assert n_targets == len(ids)
+    assert again.score(ids, cuts) == pytest.approx(model.score(ids, cuts), rel=1e-4)
+
+
+def test_gradients_of_stored_texts_in_pieces(monkeypatch):
+    monkeypatch.setattr(lm, "HELD_WINDOWS", 7)
+    draw = np.random.default_rng(6)
+    for end in (900, 70_000):
+        sizes = np.array([1, 400, 16, 17, 3, 90])
+        cuts = np.append(0, np.cumsum(sizes))
+        ids = draw.integers(0, end, size=cuts[-1])
+        model = attention.Attention(np.bincount(ids, minlength=end + 1), end)
+        stored = pa.RecordBatch.from_arrays([lm._packed(ids, cuts, end)], ["held"])
+        for low, high in ((0, 6), (1, 4)):
+            some = slice(cuts[low], cuts[high])
+            slots = model.slot_of[ids[some]]
+            inputs, targets, _ = attention.windows(slots, cuts[low: high + 1] - cuts[low], model.start)
+            wanted = model.gradient_sum(inputs, np.where(targets >= 0, slots[np.maximum(targets, 0)], -1))
+            batches = [stored.slice(low, high - low), stored.slice(0, 0)]
+            parts = pa.Table.from_batches(list(lm._gradients(iter(batches), model, end)))
+            found = np.concatenate([np.frombuffer(p, np.float64) for p in parts.column("held").to_pylist()])
+            assert found[-1] == sizes[low:high].sum() and found == pytest.approx(wanted, rel=1e-4, abs=1e-4)
+
+
 def test_hash_spans_tell_words_apart():
     data = np.frombuffer(b"abc abd abc \0\0 \0", dtype=np.uint8)
     starts, ends, _ = textarrays.words(data, np.array([0, len(data)]))
