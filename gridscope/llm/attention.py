@@ -138,9 +138,12 @@ class Attention:
         slots = self.slot_of[ids]
         inputs, targets, text = windows(slots, cuts, self.start)
         wanted = np.where(targets >= 0, slots[np.maximum(targets, 0)], -1) if len(targets) else targets
-        both = np.concatenate([inputs, wanted], axis=1).astype(np.uint64)
-        _, first, which = np.unique(mix((both * seeds(both.shape[1], salt=11)).sum(axis=1, dtype=np.uint64)),
-                                    return_index=True, return_inverse=True)
+        # place by place: the ids of all windows side by side would fill much memory
+        total = np.zeros(len(inputs), dtype=np.uint64)
+        columns = [*inputs.T, *wanted.T]
+        for column, seed in zip(columns, seeds(len(columns), salt=11)):
+            total += column.astype(np.uint64) * seed
+        _, first, which = np.unique(mix(total), return_index=True, return_inverse=True)
         sums = np.append(0.0, np.cumsum(self.log_share[ids], dtype=np.float64))
         begin = cuts[text] + places(cuts)[1]
         return self._window_sums(inputs[first], wanted[first])[which] + sums[np.append(begin[1:], cuts[-1:])[:len(begin)]] - sums[begin]

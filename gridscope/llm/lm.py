@@ -64,10 +64,30 @@ def _coder(path: str) -> tuple[PieceCoder, int]:
         ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
     encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    lengths = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
+    lengths[list(ranks.values())] = [len(token) for token in ranks]
+
     def encode(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        found = [encoding.encode_ordinary(" " + data[a:b].tobytes().decode("utf-8")) for a, b in zip(starts.tolist(), ends.tolist())]
-        counts = np.array([len(ids) for ids in found], dtype=np.int64)
-        return np.array([i for ids in found for i in ids], dtype=np.int64), counts
+        words = [data[a:b].tobytes().decode("utf-8") for a, b in zip(starts.tolist(), ends.tolist())]
+        joined = " ".join(words)
+        # no piece goes past the end of a word without white space of its own: such words are encoded in one text
+        alone = np.zeros(len(words), dtype=bool)
+        if joined.split() != words:
+            alone = np.array([w.split() != [w] for w in words], dtype=bool)
+            joined = " ".join(w for w, single in zip(words, alone.tolist()) if not single)
+        ids = np.array(encoding.encode_ordinary(" " + joined) if not alone.all() else [], dtype=np.int64)
+        counts = np.zeros(len(words), dtype=np.int64)
+        word_ends = np.cumsum((ends - starts + 1)[~alone])
+        counts[~alone] = np.diff(np.searchsorted(np.cumsum(lengths[ids]), word_ends, side="right"), prepend=0)
+        if not alone.any():
+            return ids, counts
+        found = [encoding.encode_ordinary(" " + words[at]) for at in np.flatnonzero(alone).tolist()]
+        counts[alone] = [len(f) for f in found]
+        ids = np.append(ids, np.array([i for f in found for i in f], dtype=np.int64))
+        order = np.argsort(alone, kind="stable")
+        places = np.empty(len(words), dtype=np.int64)
+        places[order] = np.cumsum(counts[order]) - counts[order]
+        return ids[np.repeat(places, counts) + ta.ramp(counts)], counts
 
     return PieceCoder(encode), max(ranks.values()) + 1
 
@@ -75,7 +95,7 @@ def _coder(path: str) -> tuple[PieceCoder, int]:
 def _texts(column: pa.Array, path: str) -> Iterator[tuple]:
     """First row, different word hashes, which of them each word is, first word of each text, ids with ends, and their cuts."""
     coder, end = _coder(path)
-    for row, data, cuts in ta.chunks(column, 2 << 20):
+    for row, data, cuts in ta.chunks(column):
         data = ta.lowered(data)
         starts, ends, first = ta.words(data, cuts)
         held, at, codes, different = coder.distinct(data, starts, ends)

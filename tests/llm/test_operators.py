@@ -527,6 +527,18 @@ def test_gradients_of_stored_texts_in_pieces(monkeypatch):
             assert found[-1] == sizes[low:high].sum() and found == pytest.approx(wanted, rel=1e-4, abs=1e-4)
 
 
+def test_words_encoded_in_one_text_have_their_own_ids():
+    draw = random.Random(8)
+    parts = ["'s", "re", "a", "é", "12", "²", "!", "\xa0", "\x1c", "\u3000", "\x85", "中", "ing", "<|endoftext|>", "😀"]
+    words = ["".join(draw.choices(parts, k=draw.randint(1, 6))) for _ in range(2000)] + ["\xa0", "\u3000\u3000", "a\xa0"]
+    library = tiktoken_encoding()
+    for some in (words, [w for w in words if w.split() == [w]], ["\xa0"], []):
+        data = np.frombuffer("".join(some).encode(), dtype=np.uint8)
+        ends = np.cumsum([len(w.encode()) for w in some]).astype(np.int64)
+        ids, counts = lm._coder(RANKS)[0].encode(data, np.append(0, ends)[:-1], ends)
+        assert [p.tolist() for p in np.split(ids, np.cumsum(counts))[:-1]] == [library.encode_ordinary(" " + w) for w in some]
+
+
 def test_hash_spans_tell_words_apart():
     data = np.frombuffer(b"abc abd abc \0\0 \0", dtype=np.uint8)
     starts, ends, _ = textarrays.words(data, np.array([0, len(data)]))
