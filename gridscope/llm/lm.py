@@ -42,7 +42,7 @@ from gridscope.sources.tables import cut_lineage, scratch_path
 SAMPLED_WINDOWS = 49_152
 ROUNDS, ROUND_RATE = 24, 1e-2
 #: Windows of stored texts that lie in memory at once, and the parts in which gradients are summed over tasks.
-HELD_WINDOWS, PARTS = 4_096, 16
+HELD_WINDOWS, PARTS = 4_096, 64
 #: Ids of a phrase: whole windows, so that a phrase's probability is the product of theirs.
 PHRASE = 2 * STRIDE
 FREQUENT = 1 << 20
@@ -225,7 +225,9 @@ def _gradients(batches: Iterator[pa.RecordBatch], model: Attention, end: int) ->
 
 def _summed(parts: pa.Table) -> pa.Table:
     """One part of the gradients of all tasks."""
-    total = np.sum([np.frombuffer(p.as_py(), np.float64) for p in parts.column("held")], axis=0)
+    total = np.frombuffer(parts.column("held")[0].as_py(), np.float64).copy()
+    for held in parts.column("held")[1:]:
+        total += np.frombuffer(held.as_py(), np.float64)
     return pa.table({"part": parts.column("part")[:1], "held": pa.array([total.tobytes()], pa.binary())})
 
 
