@@ -20,10 +20,12 @@ WIDTH, HIDDEN = 16, 48
 GROUPS, MEMBERS = 25, 25
 SLOTS = GROUPS * MEMBERS
 STEPS, BATCH, RATE = 1200, 128, 1e-2
-#: Windows that are scored side by side, and those whose gradients are summed at once.
-SCORED, SUMMED = 512, 256
-#: Rows of one slot that are summed as a product.
-LONG_RUN = 64
+#: Windows that are scored side by side, those whose gradients are found at once, and those whose gradients are summed by slot at once.
+SCORED, SUMMED, LAID = 256, 256, 1024
+#: Mean length of a slot's run from which runs are summed as products.
+LONG_RUN = 16
+#: In single precision the hyperbolic tangent of it is 1.
+ONE = 20.0
 
 #: Logits up to this size need no shift.
 SAFE = 60.0
@@ -106,29 +108,52 @@ class Attention:
         }
 
     def _tables(self) -> dict[str, np.ndarray]:
-        """Queries, keys and values by slot: they depend on nothing else."""
-        w = self.w
-        return {"q": w["embed"] @ w["q"] * np.float32(WIDTH ** -0.5), "k": w["embed"] @ w["k"], "v": w["embed"] @ w["v"],
-                "bias": np.where(_CAUSAL, w["near"][np.abs(_DISTANCE)], np.float32(-1e9))}
+        """Queries, keys and values by slot, as they depend on nothing else, and the output weights of each group.
 
-    def _hidden(self, inputs: np.ndarray, tables: dict[str, np.ndarray], safe: bool = False) -> dict[str, np.ndarray]:
-        w, there = self.w, np.maximum(inputs, 0)
-        q, k, v = (np.take(tables[name], of, axis=0) for name, of in (("q", there[:, CONTEXT - STRIDE:]), ("k", there), ("v", there)))
+        Hidden rows have a last place that is always 1 (its input is ``ONE``), so that biases are weights of it.
+        """
+        w = self.w
+        out = np.empty((GROUPS, HIDDEN + 1, GROUPS + MEMBERS), np.float32)
+        out[:, :HIDDEN, :GROUPS], out[:, HIDDEN, :GROUPS] = w["group"], w["group_b"]
+        out[:, :HIDDEN, GROUPS:], out[:, HIDDEN, GROUPS:] = w["member"], w["member_b"]
+        return {"q": w["embed"] @ w["q"] * np.float32(WIDTH ** -0.5), "kv": w["embed"] @ np.concatenate([w["k"], w["v"]], axis=1),
+                "bias": np.where(_CAUSAL, w["near"][np.abs(_DISTANCE)], np.float32(-1e9)),
+                "last": np.pad(w["last"] + w["join_b"], ((0, 0), (0, 1)), constant_values=ONE),
+                "before": np.pad(w["before"], ((0, 0), (0, 1))), "join": np.pad(w["join"], ((0, 0), (0, 1))), "out": out}
+
+    def _hidden(self, inputs: np.ndarray, t: dict[str, np.ndarray], safe: bool = False) -> dict[str, np.ndarray]:
+        there = np.maximum(inputs, 0)
+        q, kv = np.take(t["q"], there[:, CONTEXT - STRIDE:], axis=0), np.take(t["kv"], there, axis=0)
+        k, v = kv[:, :, :WIDTH], kv[:, :, WIDTH:]
         logits = q @ k.transpose(0, 2, 1)
         wide = not safe and _wide(logits)
-        logits += tables["bias"]
+        logits += t["bias"]
         # places before a text's start; a place without any input looks at itself, its target is absent
         short = np.flatnonzero(inputs.min(axis=1) < 0)
-        absent = (inputs[short] < 0)[:, None, :] & (_DISTANCE != 0)
-        logits[short] = np.where(absent, np.float32(-1e9), logits[short])
+        if len(short):
+            absent = (inputs[short] < 0)[:, None, :] & (_DISTANCE != 0)
+            logits[short] = np.where(absent, np.float32(-1e9), logits[short])
         a = _softmax(logits, wide)
         c = (a @ v).reshape(-1, WIDTH)
-        u = c @ w["join"]
-        u += w["join_b"]
-        u += np.take(w["last"], there[:, CONTEXT - STRIDE:].reshape(-1), axis=0)
-        u += np.take(w["before"], there[:, CONTEXT - STRIDE - 1: -1].reshape(-1), axis=0)
+        u = c @ t["join"]
+        u += np.take(t["last"], there[:, CONTEXT - STRIDE:].reshape(-1), axis=0)
+        u += np.take(t["before"], there[:, CONTEXT - STRIDE - 1: -1].reshape(-1), axis=0)
         return {"q": q, "k": k, "v": v, "a": a, "c": c, "h": np.tanh(u, out=u)}
 
+    def _by_group(self, inputs: np.ndarray, flat: np.ndarray, t: dict[str, np.ndarray], safe: dict[str, bool]) -> tuple:
+        """What ``_hidden`` finds, the rows with a target, by group so that those of a group lie side by side, where
+        the groups begin, the rows' hidden values, and their powers: of the groups and of the members."""
+        s = self._hidden(inputs, t, safe["attention"])
+        rows = np.argsort(np.where(flat >= 0, flat // MEMBERS, GROUPS).astype(np.int16), kind="stable")
+        rows = rows[: np.count_nonzero(flat >= 0)]
+        h = np.take(s["h"], rows, axis=0)
+        bounds = np.searchsorted(flat[rows] // MEMBERS, np.arange(GROUPS + 1)).tolist()
+        logits = np.empty((len(rows), GROUPS + MEMBERS), np.float32)
+        for k, (low, high) in enumerate(zip(bounds, bounds[1:])):
+            if low < high:
+                np.matmul(h[low:high], t["out"][k], out=logits[low:high])
+        return s, rows, bounds, h, logits
+
     def score(self, ids: np.ndarray, cuts: np.ndarray) -> np.ndarray:
         """Natural log of the probability of each text's ids."""
         return np.bincount(places(cuts)[0], weights=self.window_scores(ids, cuts), minlength=len(cuts) - 1)
@@ -150,93 +175,82 @@ class Attention:
 
     def _window_sums(self, inputs: np.ndarray, slots: np.ndarray) -> np.ndarray:
         """Log probability of each window's targets, given as slots; -1 where there is none."""
-        w, tables = self.w, self._tables()
-        safe = self._bounds(tables)
-        ones = np.ones(MEMBERS, np.float32)
+        t = self._tables()
+        safe = self._bounds(t)
         out = np.zeros(len(inputs))
         for at in range(0, len(inputs), SCORED):
-            slot = slots[at: at + SCORED].reshape(-1)
-            # by group, so that the rows of a group lie side by side
-            order = np.argsort(np.where(slot >= 0, slot // MEMBERS, GROUPS).astype(np.int16), kind="stable")
-            order = order[: np.count_nonzero(slot >= 0)]
-            h = self._hidden(inputs[at: at + SCORED], tables, safe["attention"])["h"]
-            h = np.take(h, order, axis=0)
-            group, member = slot[order] // MEMBERS, slot[order] % MEMBERS
-            logits = h @ w["group"]
-            logits += w["group_b"]
-            got = logits[np.arange(len(h)), group] - _log_sum(logits, np.ones(GROUPS, np.float32), safe["group"])
-            bounds = np.searchsorted(group, np.arange(GROUPS + 1))
-            for g in np.unique(group).tolist():
-                rows = slice(bounds[g], bounds[g + 1])
-                inner = h[rows] @ w["member"][g]
-                inner += w["member_b"][g]
-                got[rows] += inner[np.arange(len(inner)), member[rows]] - _log_sum(inner, ones, safe["member"])
-            out += np.bincount(at + order // STRIDE, weights=got, minlength=len(out))
+            flat = slots[at: at + SCORED].reshape(-1)
+            _, rows, _, _, logits = self._by_group(inputs[at: at + SCORED], flat, t, safe)
+            slot, each = flat[rows], np.arange(len(rows))
+            got = logits[each, slot // MEMBERS] + logits[each, GROUPS + slot % MEMBERS]
+            got -= _log_sums(logits, safe["out"])
+            out += np.bincount(at + rows // STRIDE, weights=got, minlength=len(out))
         return out
 
-    def _bounds(self, tables: dict[str, np.ndarray]) -> dict[str, bool]:
+    def _bounds(self, t: dict[str, np.ndarray]) -> dict[str, bool]:
         """Which logits can never be too large for their powers, whatever the input: hidden values are at most 1."""
-        w = self.w
-        return {"group": bool((np.abs(w["group"]).sum(axis=0) + np.abs(w["group_b"])).max() <= SAFE),
-                "member": bool((np.abs(w["member"]).sum(axis=1) + np.abs(w["member_b"])).max() <= SAFE),
-                "attention": bool(np.sqrt((tables["q"] ** 2).sum(axis=1).max() * (tables["k"] ** 2).sum(axis=1).max()) <= SAFE)}
+        return {"out": bool(np.abs(t["out"]).sum(axis=1).max() <= SAFE),
+                "attention": bool(np.sqrt((t["q"] ** 2).sum(axis=1).max() * (t["kv"][:, :WIDTH] ** 2).sum(axis=1).max()) <= SAFE)}
 
-    def _gradients(self, inputs: np.ndarray, slots: np.ndarray) -> dict[str, np.ndarray]:
-        """Gradients of the mean loss; ``slots`` has the targets, -1 where there is none."""
+    def _gradients(self, inputs: np.ndarray, slots: np.ndarray) -> tuple[dict[str, np.ndarray], int]:
+        """Gradients of the summed loss, and the number of targets; ``slots`` has the targets, -1 where there is none."""
         w, t = self.w, self._tables()
         safe = self._bounds(t)
-        s = self._hidden(inputs, t, safe["attention"])
-        g = {name: np.zeros_like(value) for name, value in w.items()}
-        flat = slots.reshape(-1)
-        # by group, so that the rows of a group lie side by side
-        rows = np.argsort(np.where(flat >= 0, flat // MEMBERS, GROUPS).astype(np.int16), kind="stable")
-        rows = rows[: np.count_nonzero(flat >= 0)]
-        slot, h = flat[rows], np.take(s["h"], rows, axis=0)
-        group, member, n = slot // MEMBERS, slot % MEMBERS, np.float32(len(rows))
-        off = _softmax(h @ w["group"] + w["group_b"], not safe["group"])
-        off[np.arange(len(rows)), group] -= 1
-        off /= n
-        g["group"], g["group_b"] = h.T @ off, off.sum(axis=0)
-        dh = off @ w["group"].T
-        bounds = np.searchsorted(group, np.arange(GROUPS + 1))
-        for k in np.flatnonzero(np.diff(bounds)).tolist():
-            some = slice(bounds[k], bounds[k + 1])
-            inner = _softmax(h[some] @ w["member"][k] + w["member_b"][k], not safe["member"])
-            inner[np.arange(len(inner)), member[some]] -= 1
-            inner /= n
-            g["member"][k], g["member_b"][k] = h[some].T @ inner, inner.sum(axis=0)
-            dh[some] += inner @ w["member"][k].T
-        du = np.zeros_like(s["h"])
-        du[rows] = dh * (1 - h * h)
-        g["join"], g["join_b"] = s["c"].T @ du, du.sum(axis=0)
-        dc, a = (du @ w["join"].T).reshape(len(inputs), STRIDE, WIDTH), s["a"]
-        da = dc @ s["v"].transpose(0, 2, 1)
-        dv = a.transpose(0, 2, 1) @ dc
-        da -= (da * a).sum(axis=2, keepdims=True)
-        ds = np.multiply(a, da, out=da)
-        g["near"] = np.bincount(np.abs(_DISTANCE).reshape(-1), weights=np.where(_CAUSAL, ds.sum(axis=0), 0).reshape(-1),
-                                minlength=CONTEXT).astype(np.float32)
-        dq, dk = ds @ s["k"], ds.transpose(0, 2, 1) @ s["q"]
+        g_out, g_join, ds_near = np.zeros_like(t["out"]), np.zeros_like(t["join"]), np.zeros((STRIDE, CONTEXT), np.float32)
+        # what the inputs' slots get lies side by side until all windows are done: long runs of a slot are summed faster
+        d_last = np.empty((len(inputs) * STRIDE, HIDDEN + 1 + WIDTH), np.float32)
+        d_seen = np.empty((len(inputs), CONTEXT, 2 * WIDTH), np.float32)
+        n = 0
+        for at in range(0, len(inputs), SUMMED):
+            flat = slots[at: at + SUMMED].reshape(-1)
+            s, rows, bounds, h, off = self._by_group(inputs[at: at + SUMMED], flat, t, safe)
+            size, slot, each = len(flat) // STRIDE, flat[rows], np.arange(len(rows))
+            n += len(rows)
+            _softmax(off.reshape(-1, MEMBERS), not safe["out"])
+            off[each, slot // MEMBERS] -= 1
+            off[each, GROUPS + slot % MEMBERS] -= 1
+            dh = np.empty_like(h)
+            for k, (low, high) in enumerate(zip(bounds, bounds[1:])):
+                if low < high:
+                    g_out[k] += h[low:high].T @ off[low:high]
+                    np.matmul(off[low:high], t["out"][k].T, out=dh[low:high])
+            np.multiply(h, h, out=h)
+            dh *= np.subtract(1, h, out=h)
+            last = d_last[at * STRIDE: (at + size) * STRIDE]
+            du = last[:, : HIDDEN + 1]
+            if len(rows) < len(flat):
+                du[:] = 0
+            du[rows] = dh
+            g_join += s["c"].T @ du
+            dc, a = (du @ t["join"].T).reshape(size, STRIDE, WIDTH), s["a"]
+            ds = dc @ s["v"].transpose(0, 2, 1)
+            seen = d_seen[at: at + size]
+            seen[:, :, WIDTH:] = a.transpose(0, 2, 1) @ dc
+            ds *= a
+            ds -= a * (ds.reshape(-1, CONTEXT) @ np.ones(CONTEXT, np.float32)).reshape(size, STRIDE, 1)
+            ds_near += ds.sum(axis=0)
+            seen[:, :, :WIDTH] = ds.transpose(0, 2, 1) @ s["q"]
+            last[:, HIDDEN + 1:] = (ds @ s["k"]).reshape(-1, WIDTH)
         there = np.maximum(inputs, 0)
-        last = there[:, CONTEXT - STRIDE:].reshape(-1)
-        of_last = _by_slot(last, np.concatenate([du, dq.reshape(-1, WIDTH)], axis=1))
-        g["last"], dq = of_last[:, :HIDDEN], of_last[:, HIDDEN:] * np.float32(WIDTH ** -0.5)
-        g["before"] = _by_slot(there[:, CONTEXT - STRIDE - 1: -1].reshape(-1), du)
-        of_seen = _by_slot(there.reshape(-1), np.concatenate([dk.reshape(-1, WIDTH), dv.reshape(-1, WIDTH)], axis=1))
-        dk, dv = of_seen[:, :WIDTH], of_seen[:, WIDTH:]
-        g["q"], g["k"], g["v"] = w["embed"].T @ dq, w["embed"].T @ dk, w["embed"].T @ dv
-        g["embed"] = dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
-        return g
+        of_last = _by_slot(there[:, CONTEXT - STRIDE:].reshape(-1), d_last)
+        of_seen = _by_slot(there.reshape(-1), d_seen.reshape(-1, 2 * WIDTH))
+        dq, dk, dv = of_last[:, HIDDEN + 1:] * np.float32(WIDTH ** -0.5), of_seen[:, :WIDTH], of_seen[:, WIDTH:]
+        by_group = g_out[:, :, :GROUPS].sum(axis=0)
+        return {
+            "embed": dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T,
+            "q": w["embed"].T @ dq, "k": w["embed"].T @ dk, "v": w["embed"].T @ dv,
+            "near": np.bincount(np.abs(_DISTANCE).reshape(-1), weights=np.where(_CAUSAL, ds_near, 0).reshape(-1),
+                                minlength=CONTEXT).astype(np.float32),
+            "last": of_last[:, :HIDDEN], "before": _by_slot(there[:, CONTEXT - STRIDE - 1: -1].reshape(-1), d_last[:, :HIDDEN]),
+            "join": g_join[:, :HIDDEN], "join_b": of_last[:, :HIDDEN].sum(axis=0), "group": by_group[:HIDDEN], "group_b": by_group[HIDDEN],
+            "member": g_out[:, :HIDDEN, GROUPS:], "member_b": g_out[:, HIDDEN, GROUPS:]}, n
 
     def gradient_sum(self, inputs: np.ndarray, slots: np.ndarray) -> np.ndarray:
         """Gradients of the summed loss, all weights one after the other, and the number of targets as the last value."""
         total = np.zeros(sum(value.size for value in self.w.values()) + 1)
-        for at in range(0, len(inputs), SUMMED):
-            part = slots[at: at + SUMMED]
-            n = np.count_nonzero(part >= 0)
-            if n:
-                g = self._gradients(inputs[at: at + SUMMED], part)
-                total += np.append(np.concatenate([g[name].reshape(-1) for name in self.w]).astype(np.float64) * n, n)
+        for at in range(0, len(inputs), LAID):
+            g, n = self._gradients(inputs[at: at + LAID], slots[at: at + LAID])
+            total += np.append(np.concatenate([g[name].reshape(-1) for name in self.w]), n)
         return total
 
     def by_name(self, flat: np.ndarray) -> dict[str, np.ndarray]:
@@ -252,7 +266,9 @@ class Attention:
         adam = Adam(self)
         for step in range(1, steps + 1):
             batch = random.integers(0, len(inputs), size=min(BATCH, len(inputs)))
-            adam.move(self._gradients(inputs[batch], slots[batch]), RATE * min(1.0, step / 20) * (1 - step / (steps + 1)) ** 0.7)
+            g, n = self._gradients(inputs[batch], slots[batch])
+            adam.move({name: value / np.float32(max(n, 1)) for name, value in g.items()},
+                      RATE * min(1.0, step / 20) * (1 - step / (steps + 1)) ** 0.7)
 
 
 class Adam:
@@ -274,25 +290,27 @@ class Adam:
 
 
 def _by_slot(slots: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Sums of rows by slot; long runs of a slot are summed as products, the others side by side."""
+    """Sums of rows by slot; runs of a slot are summed as products, or side by side where they are short."""
     order = np.argsort(slots.astype(np.int16), kind="stable")
-    bounds = np.append(0, np.cumsum(np.bincount(slots, minlength=SLOTS)))
-    sizes = np.diff(bounds)
+    sizes = np.bincount(slots, minlength=SLOTS)
     rows = np.take(rows, order, axis=0)
     sums = np.zeros((SLOTS, rows.shape[1]), np.float32)
-    long = sizes >= LONG_RUN
-    for slot in np.flatnonzero(long).tolist():
-        sums[slot] = np.ones(sizes[slot], np.float32) @ rows[bounds[slot]: bounds[slot + 1]]
-    short = np.flatnonzero(~long & (sizes > 0))
-    if len(short):
-        some = rows[np.repeat(~long, sizes)]
-        sums[short] = np.add.reduceat(some, np.cumsum(sizes[short]) - sizes[short], axis=0)
+    ends, some = np.cumsum(sizes), np.flatnonzero(sizes)
+    if len(slots) < LONG_RUN * SLOTS:
+        sums[some] = np.add.reduceat(rows, (ends - sizes)[some], axis=0) if len(some) else 0
+        return sums
+    ones = np.ones(int(sizes.max()), np.float32)
+    for slot, low, high in zip(some.tolist(), (ends - sizes)[some].tolist(), ends[some].tolist()):
+        np.dot(ones[: high - low], rows[low:high], out=sums[slot])
     return sums
 
 
-def _log_sum(logits: np.ndarray, ones: np.ndarray, safe: bool) -> np.ndarray:
-    """Log of the summed powers of each row; ``safe`` where no power can overflow or vanish."""
-    if safe or not _wide(logits):
-        return np.log(np.exp(logits) @ ones)
-    top = logits.max(axis=1)
-    return top + np.log(np.exp(logits - top[:, None]) @ ones)
+def _log_sums(logits: np.ndarray, safe: bool) -> np.ndarray:
+    """Logs of the summed powers of each row's groups and members, added; ``safe`` where no power can overflow or vanish."""
+    both = logits.reshape(-1, MEMBERS)
+    top = None if safe or not _wide(both) else both.max(axis=1)
+    powers = np.exp(both) if top is None else np.exp(both - top[:, None])
+    logs = np.log(powers @ np.ones(MEMBERS, np.float32))
+    if top is not None:
+        logs += top
+    return logs[::2] + logs[1::2]

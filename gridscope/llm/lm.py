@@ -1,11 +1,12 @@
 """Operator 2: language-model scores, a causal attention model beside a word unigram base.
 
-One pass over the training texts counts all words, all subword ids and all phrases (runs of ``PHRASE`` ids, from the first
-of a text on; the last of a text may be shorter) and writes the ids. The attention's vocabulary and the shares of rarer ids come from
+One pass encodes all texts and writes their ids; of the training texts it counts all words, all subword ids and all phrases (runs of
+``PHRASE`` ids, from the first of a text on; the last of a text may be shorter). The attention's vocabulary and the shares of rarer ids come from
 these counts; its weights begin with steps on the ``SAMPLED_WINDOWS`` windows of least hash of text and place and then learn from all
 windows of all training texts: texts are dealt by their hash to ``ROUNDS`` rounds, in each the tasks sum the gradients of all windows of
 its texts, and the weights move once by the sum. So every window counts once, however texts lie in partitions; where there are no more
-than ``SAMPLED_WINDOWS`` windows the first steps have them all. A last pass scores every text: windows overlap, each id is scored once.
+than ``SAMPLED_WINDOWS`` windows the first steps have them all. The ids lie in a folder per round, so a round reads its own texts alone.
+A last pass scores the ids of every text, from which its words follow too: windows overlap, each id is scored once.
 
 The model is a mixture over phrases by absolute discounting. Of N training phrases, T of them different, a phrase seen c times has
 the probability max(c - 1, 0) / N + T / N * attention(phrase, given what is before it); over all phrases this adds up to one.
@@ -22,12 +23,14 @@ texts the base score is 0 and the model is the attention as it starts; repeated
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +46,10 @@ SAMPLED_WINDOWS = 49_152
 ROUNDS, ROUND_RATE = 24, 1e-2
 #: Windows of stored texts that lie in memory at once, and the parts in which gradients are summed over tasks.
 HELD_WINDOWS, PARTS = 4_096, 64
+#: Ids of stored texts that are scored at once; a longer text is scored alone.
+HELD_IDS = 1 << 18
+#: A freed block of this size lets the allocator keep smaller ones, which would otherwise go back and be cleared anew for each array.
+KEPT_BYTES = 31 << 20
 #: Ids of a phrase: whole windows, so that a phrase's probability is the product of theirs.
 PHRASE = 2 * STRIDE
 FREQUENT = 1 << 20
@@ -51,7 +58,25 @@ HELD_WORDS = 1 << 20
 #: The end of a text as a word; no word hashes to it but by a chance of 2**-64.
 END_WORD = 0
 
-_WORDS, _IDS, _WINDOWS, _PHRASES, _TEXTS = 0, 1, 2, 3, 4
+_WORDS, _IDS, _WINDOWS, _PHRASES, _TEXTS, _OTHERS = 0, 1, 2, 3, 4, 5
+#: White space that is no blank.
+_INNER = re.compile(r"[^\S ]")
+
+
+@lru_cache(maxsize=2)
+def _ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
+
+
+@lru_cache(maxsize=2)
+def _openers(path: str) -> np.ndarray:
+    """Which ids begin a word: those that begin with its blank, and the end."""
+    ranks = _ranks(path)
+    found = np.zeros(max(ranks.values()) + 2, dtype=bool)
+    found[[rank for token, rank in ranks.items() if token.startswith(b" ")]] = True
+    found[-1] = True
+    return found
 
 
 @lru_cache(maxsize=2)
@@ -60,24 +85,29 @@ def _coder(path: str) -> tuple[PieceCoder, int]:
     import public_tokenizers
     import tiktoken
 
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
+    ranks = _ranks(path)
     encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     lengths = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
     lengths[list(ranks.values())] = [len(token) for token in ranks]
 
     def encode(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        words = [data[a:b].tobytes().decode("utf-8") for a, b in zip(starts.tolist(), ends.tolist())]
-        joined = " ".join(words)
+        # a blank before each word
+        sizes = ends - starts + 1
+        at = np.repeat(starts - 1, sizes) + ta.ramp(sizes)
+        blanks = np.cumsum(sizes) - sizes
+        joined = np.take(data, at, mode="clip")
+        joined[blanks] = 0x20
+        joined = joined.tobytes().decode("utf-8")
         # no piece goes past the end of a word without white space of its own: such words are encoded in one text
-        alone = np.zeros(len(words), dtype=bool)
-        if joined.split() != words:
+        alone = np.zeros(len(starts), dtype=bool)
+        if _INNER.search(joined):
+            words = [data[a:b].tobytes().decode("utf-8") for a, b in zip(starts.tolist(), ends.tolist())]
             alone = np.array([w.split() != [w] for w in words], dtype=bool)
-            joined = " ".join(w for w, single in zip(words, alone.tolist()) if not single)
-        ids = np.array(encoding.encode_ordinary(" " + joined) if not alone.all() else [], dtype=np.int64)
-        counts = np.zeros(len(words), dtype=np.int64)
-        word_ends = np.cumsum((ends - starts + 1)[~alone])
+            joined = "".join(" " + w for w, single in zip(words, alone.tolist()) if not single)
+        ids = np.array(encoding.encode_ordinary(joined), dtype=np.int64)
+        counts = np.zeros(len(starts), dtype=np.int64)
+        word_ends = np.cumsum(sizes[~alone])
         counts[~alone] = np.diff(np.searchsorted(np.cumsum(lengths[ids]), word_ends, side="right"), prepend=0)
         if not alone.any():
             return ids, counts
@@ -85,7 +115,7 @@ def _coder(path: str) -> tuple[PieceCoder, int]:
         counts[alone] = [len(f) for f in found]
         ids = np.append(ids, np.array([i for f in found for i in f], dtype=np.int64))
         order = np.argsort(alone, kind="stable")
-        places = np.empty(len(words), dtype=np.int64)
+        places = np.empty(len(starts), dtype=np.int64)
         places[order] = np.cumsum(counts[order]) - counts[order]
         return ids[np.repeat(places, counts) + ta.ramp(counts)], counts
 
@@ -106,6 +136,22 @@ def _texts(column: pa.Array, path: str) -> Iterator[tuple]:
         yield row, different, codes, first, ids, bounds + np.arange(len(bounds))
 
 
+def _words_of(ids: np.ndarray, cuts: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word of the texts, and the ``n + 1`` places of each text's first word.
+
+    Words and their ids follow from each other, as blanks stand before words alone; the hash is of the ids.
+    """
+    starts = np.flatnonzero(_openers(path)[ids])
+    sizes = np.diff(np.append(starts, len(ids)))
+    spread = ta.ramp(sizes).astype(np.uint64)
+    spread *= np.uint64(0x9E3779B97F4A7C15)
+    spread += ids.astype(np.uint64)
+    found = ta.mix(np.add.reduceat(ta.mix(spread), starts)) if len(starts) else np.zeros(0, np.uint64)
+    # the last id of each text is the end
+    first = np.searchsorted(starts, cuts)
+    return np.delete(found, first[1:] - 1), first - np.arange(len(first))
+
+
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     codes, names = pd.factorize(np.concatenate([p[0] for p in parts]))
     return names, np.bincount(codes, weights=np.concatenate([p[1] for p in parts]), minlength=len(names)).astype(np.int64)
@@ -137,28 +183,44 @@ def _least(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray,
 
 
 def _count(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Counts of words, ids and phrases of the task, the ids of its texts, and its windows of least hash."""
+    """The ids of the task's texts; of its training texts the counts of words, ids and phrases, and the windows of least hash.
+
+    The batches have text, key and whether it is a training text.
+    """
+    np.empty(KEPT_BYTES, np.uint8)
     end = _coder(path)[1]
+    key_type = None
     id_counts = np.zeros(end + 1, dtype=np.int64)
     words: list[tuple[np.ndarray, np.ndarray]] = []
     drawn: list[tuple[np.ndarray, np.ndarray]] = []
     documents = 0
 
-    def rows(kind: int, keys: np.ndarray, n: np.ndarray, held: pa.Array | None = None) -> Iterator[pa.RecordBatch]:
+    def rows(kind: int, keys: np.ndarray, n: np.ndarray, held: pa.Array | None = None, own: pa.Array | None = None,
+             rounds: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
         for at in range(0, len(keys), 100_000):
             part = slice(at, at + 100_000)
             size = len(keys[part])
             yield pa.RecordBatch.from_arrays([
                 pa.array(keys[part].view(np.int64)), pa.array(n[part], pa.int64()),
                 pa.nulls(size, pa.binary()) if held is None else held.slice(at, 100_000),
-                pa.array(np.full(size, kind), pa.int32())], ["key", "n", "held", "kind"])
+                pa.nulls(size, key_type) if own is None else own.slice(at, 100_000),
+                pa.array(np.full(size, kind), pa.int32()),
+                pa.array(np.zeros(size) if rounds is None else rounds[part], pa.int32())], ["key", "n", "held", "own", "kind", "round"])
 
     limit = np.uint64(np.iinfo(np.uint64).max)
     for batch in batches:
-        for _, names, codes, first, ids, cuts in _texts(batch.column(0), path):
+        key_type, learnt = batch.column(1).type, batch.column(2)
+        others = batch.filter(pc.invert(learnt))
+        for row, names, codes, first, ids, cuts in _texts(others.column(0), path):
+            yield from rows(_OTHERS, ta.mix(_text_hash(names, codes, first)), np.diff(cuts), _packed(ids, cuts, end),
+                            others.column(1).slice(row, len(cuts) - 1))
+        batch = batch.filter(learnt)
+        for row, names, codes, first, ids, cuts in _texts(batch.column(0), path):
             documents += len(cuts) - 1
             id_counts += np.bincount(ids, minlength=end + 1)
-            words.append((names, np.bincount(codes, minlength=len(names))))
+            sample = np.zeros(len(names), dtype=np.int64)
+            sample[codes] = np.arange(len(codes))
+            words.append((_words_of(ids, cuts, path)[0][sample], np.bincount(codes, minlength=len(names))))
             if sum(len(p[0]) for p in words) > HELD_WORDS:
                 words = [_merged(words)]
                 if len(words[0][0]) > HELD_WORDS // 2:
@@ -166,7 +228,9 @@ def _count(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBa
                     words = []
             yield from rows(_PHRASES, *np.unique(phrases(ids, cuts)[1], return_counts=True))
             hashes = _text_hash(names, codes, first)
-            yield from rows(_TEXTS, ta.mix(hashes), np.diff(cuts), _packed(ids, cuts, end))
+            dealt = ta.mix(hashes)
+            yield from rows(_TEXTS, dealt, np.diff(cuts), _packed(ids, cuts, end), batch.column(1).slice(row, len(cuts) - 1),
+                            dealt.view(np.int64) % ROUNDS)
             text, place = places(cuts)
             order = ta.mix(hashes[text] + place.astype(np.uint64) * ta.seeds(1, salt=9)[0])
             chosen = np.flatnonzero(order <= limit)
@@ -196,17 +260,34 @@ def _packed(ids: np.ndarray, cuts: np.ndarray, end: int) -> pa.Array:
         None, pa.py_buffer((cuts * held.itemsize).astype(np.int64)), pa.py_buffer(held)]).cast(pa.binary())
 
 
+def _unpacked(column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of stored texts and their cuts."""
+    held = column.cast(pa.large_binary())
+    _, offsets, data = held.buffers()
+    cuts = np.frombuffer(offsets, np.int64)[held.offset: held.offset + len(held) + 1] // np.dtype(_stored(end)).itemsize
+    return np.frombuffer(data, _stored(end), count=int(cuts[-1]))[cuts[0]:], cuts - cuts[0]
+
+
+def _stored_texts(column: pa.Array, end: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First row, ids and cuts of runs of stored texts of about ``HELD_IDS`` ids."""
+    if not len(column):
+        return
+    held, ends = _unpacked(column, end)
+    row = 0
+    while row < len(column):
+        stop = max(int(np.searchsorted(ends, ends[row] + HELD_IDS, side="right")) - 1, row + 1)
+        yield row, held[ends[row]: ends[stop]].astype(np.int64), ends[row: stop + 1] - ends[row]
+        row = stop
+
+
 def _gradients(batches: Iterator[pa.RecordBatch], model: Attention, end: int) -> Iterator[pa.RecordBatch]:
     """The summed gradients of all windows of the task's texts, in parts."""
+    np.empty(KEPT_BYTES, np.uint8)
     total = None
     for batch in batches:
         if not len(batch):
             continue
-        held = batch.column(0).cast(pa.large_binary())
-        _, offsets, data = held.buffers()
-        cuts = np.frombuffer(offsets, np.int64)[held.offset: held.offset + len(held) + 1] // np.dtype(_stored(end)).itemsize
-        ids = np.frombuffer(data, _stored(end), count=int(cuts[-1]))[cuts[0]:]
-        cuts = cuts - cuts[0]
+        ids, cuts = _unpacked(batch.column(0), end)
         slots, ends = model.slot_of[ids], np.cumsum(-(-np.diff(cuts) // STRIDE))
         row = 0
         while row < len(ends):
@@ -236,7 +317,7 @@ def _learn(texts: DataFrame, model: Attention, end: int) -> None:
     spark, adam = texts.sparkSession, Adam(model)
     for number in range(ROUNDS):
         sent = spark.sparkContext.broadcast(model)
-        parts = texts.where(F.pmod("key", F.lit(ROUNDS)) == number).select("held").mapInArrow(
+        parts = texts.where(F.col("round") == number).select("held").mapInArrow(
             lambda batches: _gradients(batches, sent.value, end), "part int, held binary")
         found = parts.groupBy("part").applyInArrow(_summed, "part int, held binary").collect()
         sent.unpersist()
@@ -259,10 +340,13 @@ def score(docs: DataFrame, training, path: str, key: str = "doc_id", text: str =
     ``training`` is a condition on the documents. Scores are log10 probabilities.
     """
     spark = docs.sparkSession
-    seen = docs.where(training).select(text).mapInArrow(lambda batches: _count(batches, path), "key long, n long, held binary, kind int")
-    # a folder per kind: the rounds read the texts alone
+    own = T.StructField("own", docs.schema[key].dataType)
+    seen = docs.select(text, F.col(key).alias("_key"), F.coalesce(training, F.lit(False)).alias("_learnt")).mapInArrow(
+        lambda batches: _count(batches, path),
+        T.StructType([*T.StructType.fromDDL("key long, n long, held binary"), own, *T.StructType.fromDDL("kind int, round int")]))
+    # a folder per kind, and of the texts per round: a round reads its own texts alone
     place = scratch_path(spark, "counted")
-    seen.write.partitionBy("kind").parquet(place)
+    seen.write.partitionBy("kind", "round").parquet(place)
     seen = spark.read.schema(seen.schema).parquet(place)
     counts = cut_lineage(seen.where(F.col("kind") == _WORDS).groupBy("key").agg(F.sum("n").alias("c")), "word-counts")
     tokens, vocabulary = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
@@ -290,10 +374,10 @@ def score(docs: DataFrame, training, path: str, key: str = "doc_id", text: str =
         _learn(texts, model, end)
     sent = spark.sparkContext.broadcast((common, known, n_phrases, weight, model))
 
-    rows = docs.select(F.col(key).alias("_key"), F.col(text)).mapInArrow(
+    rows = seen.where(F.col("kind").isin(_TEXTS, _OTHERS)).select("own", "held").mapInArrow(
         lambda batches: _score(batches, path, *sent.value),
         T.StructType([T.StructField("row", T.LongType()), T.StructField("word", T.LongType()), T.StructField("times", T.LongType()),
-                      T.StructField("_key", docs.schema[key].dataType), T.StructField("n_tokens", T.LongType()),
+                      T.StructField("_key", own.dataType), T.StructField("n_tokens", T.LongType()),
                       T.StructField("n_known", T.LongType()), T.StructField("logs", T.DoubleType()),
                       T.StructField("score", T.DoubleType()), T.StructField("n_ids", T.LongType()),
                       T.StructField("phrase", T.DoubleType())]))
@@ -340,10 +424,12 @@ def _score(batches: Iterator[pa.RecordBatch], path: str, common: tuple[np.ndarra
     end_at = int(np.searchsorted(names, END_WORD))
     end_known = end_at < len(names) and names[end_at] == END_WORD
     number = TaskContext.get().partitionId() << 40
+    np.empty(KEPT_BYTES, np.uint8)
     for batch in batches:
-        for row, hashes, codes, first, ids, cuts in _texts(batch.column(1), path):
+        for row, ids, cuts in _stored_texts(batch.column(1), len(_openers(path)) - 1):
             n = len(cuts) - 1
-            different = hashes.view(np.int64)
+            words, first = _words_of(ids, cuts, path)
+            codes, different = pd.factorize(words.view(np.int64))
             text = np.repeat(np.arange(n), np.diff(first))
             known, gain = _look_up((names, logs), different)
             n_known = np.bincount(text, weights=known[codes], minlength=n).astype(np.int64)

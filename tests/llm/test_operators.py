@@ -507,6 +507,58 @@ def test_every_window_of_the_training_texts_moves_the_weights(short_training, do
     assert again.score(ids, cuts) == pytest.approx(model.score(ids, cuts), rel=1e-4)
 
 
+def test_gradients_follow_the_loss():
+    """Beside differences of the loss that the scores give, along a drawn direction of each weight."""
+    draw = np.random.default_rng(9)
+    counts = draw.integers(1, 50, size=900)
+    model = attention.Attention(counts, end=899)
+    sizes = np.array([3, 400, 17, 5000])
+    ids, cuts = draw.integers(0, 899, size=sizes.sum()), np.append(0, np.cumsum(sizes))
+    slots = model.slot_of[ids]
+    inputs, targets, _ = attention.windows(slots, cuts, model.start)
+    wanted = np.where(targets >= 0, slots[np.maximum(targets, 0)], -1)
+    for factor in (1, 40):
+        model.w = {name: (value * (factor if name == "group" else 1)).astype(np.float32) for name, value in model.w.items()}
+        start, total = dict(model.w), model.gradient_sum(inputs, wanted)
+        assert total[-1] == len(ids)
+        for name, gradient in model.by_name(total[:-1]).items():
+            way, losses = np.sign(gradient) * draw.uniform(0.5, 1.5, gradient.shape), []
+            for step in (1e-3, -1e-3):
+                model.w = {**start, name: (start[name] + step * way).astype(np.float32)}
+                losses.append(-model._window_sums(inputs, wanted).sum())
+            assert (losses[0] - losses[1]) / 2e-3 == pytest.approx((gradient * way).sum(), rel=2e-2), name
+        model.w = start
+
+
+def test_texts_are_encoded_once_and_rounds_read_their_own(short_training, docs, texts, monkeypatch):
+    monkeypatch.setattr(lm, "SAMPLED_WINDOWS", 300)
+    read = []
+
+    def plans(found, model, end):
+        for number in range(lm.ROUNDS):
+            some = found.where(F.col("round") == number)
+            plan = some._jdf.queryExecution().executedPlan().toString()
+            read.append((plan.split("PartitionFilters: [")[1].split("]")[0], some.count()))
+
+    monkeypatch.setattr(lm, "_learn", plans)
+    scored = lm.score(docs, ~langid.held_out(F.col("doc_id"), 2, 7), RANKS)
+    assert not set(docs.inputFiles()) & set(scored.inputFiles())  # the last pass reads ids, not texts
+    assert scored.count() == len(texts)
+    assert all("round" in filters for filters, _ in read)
+    assert sum(n for _, n in read) == sum(zlib.crc32(str(i).encode()) % 7 != 2 for i in texts)
+
+
+def test_words_follow_from_the_ids():
+    draw = random.Random(8)
+    parts = ["'s", "re", "a", "é", "12", "²", "!", "\xa0", "\x1c", "\u3000", "\x85", "中", "ing", "<|endoftext|>", "😀"]
+    held = ["", " ", "abba baab abab abba", *[" \n".join("".join(draw.choices(parts, k=draw.randint(1, 6))) for _ in range(n)) for n in (1, 3, 900)], ""]
+    _, names, codes, first, ids, cuts = next(iter(lm._texts(pa.array(held), RANKS)))
+    found, begin = lm._words_of(ids, cuts, RANKS)
+    assert begin.tolist() == first.tolist() and len(found) == len(codes)
+    # equal where the words are equal, and there alone
+    assert len(set(zip(names[codes].tolist(), found.tolist()))) == len(set(found.tolist())) == len(names)
+
+
 def test_gradients_of_stored_texts_in_pieces(monkeypatch):
     monkeypatch.setattr(lm, "HELD_WINDOWS", 7)
     draw = np.random.default_rng(6)
