@@ -20,10 +20,8 @@ WIDTH, HIDDEN = 16, 48
 GROUPS, MEMBERS = 25, 25
 SLOTS = GROUPS * MEMBERS
 STEPS, BATCH, RATE = 1200, 128, 1e-2
-#: Windows that are scored side by side, those whose gradients are found at once, and those whose gradients are summed by slot at once.
-SCORED, SUMMED, LAID = 256, 256, 1024
-#: Mean length of a slot's run from which runs are summed as products.
-LONG_RUN = 16
+#: Windows that are scored side by side, and those whose gradients are summed at once: what they need stays in a core's cache.
+SCORED, SUMMED = 256, 192
 #: In single precision the hyperbolic tangent of it is 1.
 ONE = 20.0
 
@@ -196,10 +194,8 @@ class Attention:
         """Gradients of the summed loss, and the number of targets; ``slots`` has the targets, -1 where there is none."""
         w, t = self.w, self._tables()
         safe = self._bounds(t)
-        g_out, g_join, ds_near = np.zeros_like(t["out"]), np.zeros_like(t["join"]), np.zeros((STRIDE, CONTEXT), np.float32)
-        # what the inputs' slots get lies side by side until all windows are done: long runs of a slot are summed faster
-        d_last = np.empty((len(inputs) * STRIDE, HIDDEN + 1 + WIDTH), np.float32)
-        d_seen = np.empty((len(inputs), CONTEXT, 2 * WIDTH), np.float32)
+        g_out, g_join, ds_near = np.zeros(t["out"].shape), np.zeros(t["join"].shape), np.zeros((STRIDE, CONTEXT))
+        of_last, of_before, of_seen = (np.zeros((SLOTS, size)) for size in (HIDDEN + 1 + WIDTH, HIDDEN + 1, 2 * WIDTH))
         n = 0
         for at in range(0, len(inputs), SUMMED):
             flat = slots[at: at + SUMMED].reshape(-1)
@@ -216,7 +212,7 @@ class Attention:
                     np.matmul(off[low:high], t["out"][k].T, out=dh[low:high])
             np.multiply(h, h, out=h)
             dh *= np.subtract(1, h, out=h)
-            last = d_last[at * STRIDE: (at + size) * STRIDE]
+            last, seen = np.empty((len(flat), HIDDEN + 1 + WIDTH), np.float32), np.empty((size, CONTEXT, 2 * WIDTH), np.float32)
             du = last[:, : HIDDEN + 1]
             if len(rows) < len(flat):
                 du[:] = 0
@@ -224,34 +220,31 @@ class Attention:
             g_join += s["c"].T @ du
             dc, a = (du @ t["join"].T).reshape(size, STRIDE, WIDTH), s["a"]
             ds = dc @ s["v"].transpose(0, 2, 1)
-            seen = d_seen[at: at + size]
             seen[:, :, WIDTH:] = a.transpose(0, 2, 1) @ dc
             ds *= a
             ds -= a * (ds.reshape(-1, CONTEXT) @ np.ones(CONTEXT, np.float32)).reshape(size, STRIDE, 1)
             ds_near += ds.sum(axis=0)
             seen[:, :, :WIDTH] = ds.transpose(0, 2, 1) @ s["q"]
             last[:, HIDDEN + 1:] = (ds @ s["k"]).reshape(-1, WIDTH)
-        there = np.maximum(inputs, 0)
-        of_last = _by_slot(there[:, CONTEXT - STRIDE:].reshape(-1), d_last)
-        of_seen = _by_slot(there.reshape(-1), d_seen.reshape(-1, 2 * WIDTH))
-        dq, dk, dv = of_last[:, HIDDEN + 1:] * np.float32(WIDTH ** -0.5), of_seen[:, :WIDTH], of_seen[:, WIDTH:]
+            there = np.maximum(inputs[at: at + SUMMED], 0)
+            _add_by_slot(of_last, there[:, CONTEXT - STRIDE:].reshape(-1), last)
+            _add_by_slot(of_before, there[:, CONTEXT - STRIDE - 1: -1].reshape(-1), du)
+            _add_by_slot(of_seen, there.reshape(-1), seen.reshape(-1, 2 * WIDTH))
+        dq, dk, dv = of_last[:, HIDDEN + 1:] * WIDTH ** -0.5, of_seen[:, :WIDTH], of_seen[:, WIDTH:]
         by_group = g_out[:, :, :GROUPS].sum(axis=0)
         return {
             "embed": dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T,
             "q": w["embed"].T @ dq, "k": w["embed"].T @ dk, "v": w["embed"].T @ dv,
             "near": np.bincount(np.abs(_DISTANCE).reshape(-1), weights=np.where(_CAUSAL, ds_near, 0).reshape(-1),
                                 minlength=CONTEXT).astype(np.float32),
-            "last": of_last[:, :HIDDEN], "before": _by_slot(there[:, CONTEXT - STRIDE - 1: -1].reshape(-1), d_last[:, :HIDDEN]),
+            "last": of_last[:, :HIDDEN], "before": of_before[:, :HIDDEN],
             "join": g_join[:, :HIDDEN], "join_b": of_last[:, :HIDDEN].sum(axis=0), "group": by_group[:HIDDEN], "group_b": by_group[HIDDEN],
             "member": g_out[:, :HIDDEN, GROUPS:], "member_b": g_out[:, HIDDEN, GROUPS:]}, n
 
     def gradient_sum(self, inputs: np.ndarray, slots: np.ndarray) -> np.ndarray:
         """Gradients of the summed loss, all weights one after the other, and the number of targets as the last value."""
-        total = np.zeros(sum(value.size for value in self.w.values()) + 1)
-        for at in range(0, len(inputs), LAID):
-            g, n = self._gradients(inputs[at: at + LAID], slots[at: at + LAID])
-            total += np.append(np.concatenate([g[name].reshape(-1) for name in self.w]), n)
-        return total
+        g, n = self._gradients(inputs, slots)
+        return np.append(np.concatenate([g[name].reshape(-1) for name in self.w]).astype(np.float64), n)
 
     def by_name(self, flat: np.ndarray) -> dict[str, np.ndarray]:
         """The values of ``gradient_sum`` as they lie in the weights."""
@@ -267,7 +260,7 @@ class Attention:
         for step in range(1, steps + 1):
             batch = random.integers(0, len(inputs), size=min(BATCH, len(inputs)))
             g, n = self._gradients(inputs[batch], slots[batch])
-            adam.move({name: value / np.float32(max(n, 1)) for name, value in g.items()},
+            adam.move({name: (value / max(n, 1)).astype(np.float32) for name, value in g.items()},
                       RATE * min(1.0, step / 20) * (1 - step / (steps + 1)) ** 0.7)
 
 
@@ -289,20 +282,12 @@ class Adam:
             w[name] = (w[name] - rate * move).astype(np.float32)
 
 
-def _by_slot(slots: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Sums of rows by slot; runs of a slot are summed as products, or side by side where they are short."""
+def _add_by_slot(sums: np.ndarray, slots: np.ndarray, rows: np.ndarray) -> None:
+    """Add the rows to the sums of their slots."""
     order = np.argsort(slots.astype(np.int16), kind="stable")
     sizes = np.bincount(slots, minlength=SLOTS)
-    rows = np.take(rows, order, axis=0)
-    sums = np.zeros((SLOTS, rows.shape[1]), np.float32)
-    ends, some = np.cumsum(sizes), np.flatnonzero(sizes)
-    if len(slots) < LONG_RUN * SLOTS:
-        sums[some] = np.add.reduceat(rows, (ends - sizes)[some], axis=0) if len(some) else 0
-        return sums
-    ones = np.ones(int(sizes.max()), np.float32)
-    for slot, low, high in zip(some.tolist(), (ends - sizes)[some].tolist(), ends[some].tolist()):
-        np.dot(ones[: high - low], rows[low:high], out=sums[slot])
-    return sums
+    some = np.flatnonzero(sizes)
+    sums[some] += np.add.reduceat(np.take(rows, order, axis=0), (np.cumsum(sizes) - sizes)[some], axis=0)
 
 
 def _log_sums(logits: np.ndarray, safe: bool) -> np.ndarray:
