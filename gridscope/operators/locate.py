@@ -6,8 +6,8 @@ serving-minus-neighbour difference and the grid's own difference. Distances are
 9 decimals before the threshold and the choice, so that sums taken in another order agree.
 
 Two plans give the same rows. ``locate_by_join`` states the work as join,
-aggregate and top-1; it scores all pairs of samples and grids of a cell where they meet and shuffles
-one row per sample and tile of grids.
+aggregate and top-1; it scores all pairs of samples and grids of a cell where they meet, in Spark's own
+expressions or block by block in numpy, and shuffles one row per sample and tile or block of grids.
 ``locate`` cuts both sides into blocks of bounded size per serving cell and
 scores block against block with matrix products inside the task. Each sample goes down a tree over tiles of
 grids and leaves out the branches whose bound shows that they cannot hold its nearest; only the
@@ -17,11 +17,12 @@ inputs, a bounded number of copies of them and one row per sample and block are
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,6 +42,8 @@ GRIDS_PER_TILE = 64
 TILES_PER_NODE = 8
 #: Pairs of samples and grids that one part of a cell gets where all of them are scored.
 PAIRS_PER_PART = 4_000_000
+#: Pairs of readings and grid rows that one block gets where all of them are scored in numpy.
+ROW_PAIRS_PER_BLOCK = 1 << 33
 TASKS_PER_CORE = 4
 
 BLOCK = ("objectid", "sample_block", "finger_block")
@@ -75,11 +78,15 @@ def candidate_pairs(mro: DataFrame, finger: DataFrame, carry: Sequence[str] = ()
 
     ``per`` says what a row stands for. ``reading``: one reading beside one row of a grid. ``sample``: one sample with its
     readings (``seen``) beside some grids of its cell with theirs (``grids``), so that nothing has to be brought together by
-    sample again. ``cell``: all readings of a cell pair beside a grid; ``pairs`` counts them and ``gap_sum`` adds their gaps.
+    sample again. ``block``: one sample with its readings (``seen``) or one grid with its rows (``known``); all samples and all
+    grids of a block meet, and each sample and grid of a cell meet in one block. ``cell``: all readings of a cell pair beside a
+    grid; ``pairs`` counts them and ``gap_sum`` adds their gaps.
     The size of a fingerprint is often guessed too low, so no side is sent whole to every task.
     """
     if per == "sample":
         return _samples_by_grids(mro, finger, carry)
+    if per == "block":
+        return _blocks_of_both(mro, finger, carry)
     seen, kept = _gaps()
     heard, known = _reported(mro), _signed(finger).withColumn("ncellobjectid", F.col("n_objectid"))
     pair = ["objectid", "ncellobjectid"]
@@ -99,6 +106,56 @@ def _gaps() -> tuple[Column, Column]:
     return ((F.col("ltescrsrp") - F.col("ltencrsrp")).cast("double"), (F.col("rsrp") - F.col("n_rsrp")).cast("double"))
 
 
+def _alike_once(rows: DataFrame, keys: Sequence[str], gap: Column) -> DataFrame:
+    return rows.groupBy(*keys, gap.alias("gap")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+
+
+def _whole_samples(mro: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """Each sample with its readings (``seen``); equal readings are one with a count. Written, as blocks are sized from it."""
+    described = [*SAMPLE_KEY, *SERVING, *carry]
+    readings = _alike_once(_reported(mro), [*described, "ncellobjectid"], _gaps()[0])
+    return cut_lineage(readings.groupBy(*described).agg(
+        F.collect_list(F.struct(F.col("ncellobjectid").alias("cell"), "gap", "n")).alias("seen")), "seen")
+
+
+def _known_rows(finger: DataFrame) -> DataFrame:
+    """The rows of the grids; equal ones are one with a count."""
+    return _alike_once(_signed(finger).where(F.col("n_objectid").isNotNull()), ["objectid", "gridid", "height", "n_objectid"], _gaps()[1])
+
+
+def _blocks_of_both(mro: DataFrame, finger: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """Samples and grids of a cell in blocks: each sample block has a copy for each grid block, and the other way round.
+
+    A block holds ``MOST_ROWS_PER_BLOCK`` rows of a side and ``ROW_PAIRS_PER_BLOCK`` pairs of rows or so. The copies grow with
+    the pairs, which is what all pairs cost.
+    """
+    samples = _whole_samples(mro, carry).withColumn("seen", F.filter("seen", lambda reading: reading["cell"].isNotNull()))
+    grids = cut_lineage(_known_rows(finger).groupBy("objectid", "gridid", "height").agg(
+        F.collect_list(F.struct(F.col("n_objectid").alias("cell"), "gap", "n")).alias("known")), "known")
+    rows, own = F.col("_rows").cast("double"), F.col("_own").cast("double")
+    counts = cut_lineage(
+        samples.groupBy("objectid").agg(F.sum(F.size("seen")).alias("_rows"))
+        .join(grids.groupBy("objectid").agg(F.sum(F.size("known")).alias("_own")), "objectid")
+        .withColumn("finger_blocks", F.ceil(own / MOST_ROWS_PER_BLOCK).cast("int"))
+        .select("objectid", "finger_blocks", F.greatest(
+            F.lit(1), F.ceil(rows / MOST_ROWS_PER_BLOCK),
+            F.ceil(rows * own / F.col("finger_blocks") / ROW_PAIRS_PER_BLOCK)).cast("int").alias("sample_blocks")), "blocks")
+    sample_side = _in_blocks(samples.join(counts, "objectid"), SAMPLE_KEY[1:], "sample", "finger")
+    grid_side = _in_blocks(grids.join(counts, "objectid"), ("gridid", "height"), "finger", "sample")
+    # Few rows stand for many pairs, so their size must not decide how many tasks there are.
+    tasks = TASKS_PER_CORE * mro.sparkSession.sparkContext.defaultParallelism
+    return sample_side.unionByName(grid_side, allowMissingColumns=True).repartition(tasks, *BLOCK)
+
+
+def _in_blocks(rows: DataFrame, key: Sequence[str], own: str, other: str) -> DataFrame:
+    """Rows in one block of their own side, by hash, once for each block of the other side."""
+    return (
+        rows.withColumn(f"{own}_block", F.pmod(F.xxhash64(*key), F.col(f"{own}_blocks")).cast("int"))
+        .withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)))
+        .drop("sample_blocks", "finger_blocks")
+    )
+
+
 def _samples_by_grids(mro: DataFrame, finger: DataFrame, carry: Sequence[str]) -> DataFrame:
     """Whole samples beside whole grids of their cell, ``GRIDS_PER_TILE`` grids or so in a row.
 
@@ -106,17 +163,9 @@ def _samples_by_grids(mro: DataFrame, finger: DataFrame, carry: Sequence[str]) -
     sample or grid are one with a count. Both sides are written: the parts are sized from them.
     """
     described = [*SAMPLE_KEY, *SERVING, *carry]
-
-    def counted(rows: DataFrame, keys: Sequence[str], gap: Column) -> DataFrame:
-        return rows.groupBy(*keys, gap.alias("gap")).agg(F.count(F.lit(1)).cast("double").alias("n"))
-
-    seen, kept = _gaps()
-    readings = counted(_reported(mro), [*described, "ncellobjectid"], seen)
-    samples = cut_lineage(readings.groupBy(*described).agg(
-        F.collect_list(F.struct(F.col("ncellobjectid").alias("cell"), "gap", "n")).alias("seen")), "seen")
+    samples = _whole_samples(mro, carry)
     grid = ("objectid", "gridid", "height")
-    by_cell = counted(_signed(finger).where(F.col("n_objectid").isNotNull()), [*grid, "n_objectid"], kept) \
-        .groupBy(*grid, "n_objectid").agg(F.collect_list(F.struct("gap", "n")).alias("_readings"))
+    by_cell = _known_rows(finger).groupBy(*grid, "n_objectid").agg(F.collect_list(F.struct("gap", "n")).alias("_readings"))
     grids = cut_lineage(by_cell.groupBy(*grid).agg(
         F.map_from_entries(F.collect_list(F.struct("n_objectid", "_readings"))).alias("known")), "known")
     counts = cut_lineage(
@@ -160,12 +209,18 @@ def _scored_grids(min_matches: int, max_distance: float | None) -> Column:
 
 
 def grid_distances(pairs: DataFrame, min_matches: int = 2, max_distance: float | None = None,
-                   carry: Sequence[str] = ()) -> DataFrame:
+                   carry: Sequence[str] = (), per: str = "pair") -> DataFrame:
     """A1: mean squared gap per sample and grid, over at least ``min_matches`` rows.
 
-    Pairs per reading are brought together by sample and grid; pairs per sample are scored where they are.
+    Pairs per reading are brought together by sample and grid; pairs per sample or block are scored where they are.
+    With ``per="grid"`` the distances of a block are summed per grid before they leave the task: how many ``samples``, the
+    ``nearest`` and the ``total`` of the distances; a grid has one row for each block that it meets.
     """
     described = [*SAMPLE_KEY, *SERVING, *carry]
+    if per == "grid":
+        return _scored_blocks(pairs, (), min_matches, max_distance, _PerGrid)
+    if "known" in pairs.columns:
+        return _scored_blocks(pairs, described, min_matches, max_distance, _PerPair)
     if "seen" in pairs.columns:
         return pairs.select(*described, F.explode(_scored_grids(min_matches, max_distance)).alias("_grid")) \
             .select(*described, "_grid.gridid", "_grid.height", "_grid.distance")
@@ -181,8 +236,10 @@ def grid_distances(pairs: DataFrame, min_matches: int = 2, max_distance: float |
 
 def nearest_of_row(pairs: DataFrame, min_matches: int = 2, max_distance: float | None = None,
                    carry: Sequence[str] = ()) -> DataFrame:
-    """A1 of pairs per sample, reduced to the nearest grid of each row before anything is shuffled."""
+    """A1 of pairs per sample or block, reduced to the nearest grid of each row or sample of a block before anything is shuffled."""
     described = [*SAMPLE_KEY, *SERVING, *carry]
+    if "known" in pairs.columns:
+        return _scored_blocks(pairs, described, min_matches, max_distance, _PerSample)
     return pairs.select(*described, F.array_min(_scored_grids(min_matches, max_distance)).alias("_grid")) \
         .where(F.col("_grid").isNotNull()).select(*described, "_grid.gridid", "_grid.height", "_grid.distance")
 
@@ -200,12 +257,219 @@ def best_grid(distances: DataFrame) -> DataFrame:
 
 
 def locate_by_join(mro: DataFrame, *fingers: DataFrame, min_matches: int = 2,
-                   max_distance: float | None = None, carry: Sequence[str] = ()) -> DataFrame:
-    """C6 as join, aggregate and top-1: all pairs of samples and grids of a cell are scored."""
-    pairs = candidate_pairs(mro, all_layers(*fingers), carry, per="sample")
+                   max_distance: float | None = None, carry: Sequence[str] = (), per: str = "sample") -> DataFrame:
+    """C6 as join, aggregate and top-1: all pairs of samples and grids of a cell are scored.
+
+    With ``per="block"`` tasks score them block by block in numpy, which is far faster; else Spark's own expressions do.
+    """
+    pairs = candidate_pairs(mro, all_layers(*fingers), carry, per=per)
     return best_grid(nearest_of_row(pairs, min_matches, max_distance, carry))
 
 
+def _scored_blocks(pairs: DataFrame, described: Sequence[str], min_matches: int, max_distance: float | None, per) -> DataFrame:
+    """What ``per`` makes of the distances of all pairs of samples and grids of each block."""
+    types = dict(pairs.dtypes)
+    needed = [*BLOCK, *(c for c in described if c not in BLOCK), "seen", "gridid", "height", "known"]
+    schema = ", ".join([*(f"`{c}` {types[c]}" for c in described), *per.SCHEMA])
+    return pairs.select(*needed).groupBy(*BLOCK).applyInArrow(_block_scorer(list(described), min_matches, max_distance, per), schema)
+
+
+def _block_scorer(described, min_matches, max_distance, per, cells_per_tile=4_000_000, cells_per_chunk=1 << 16):
+    """Task-side scorer of all pairs of a block.
+
+    The grids are cut so that their gaps by neighbour fit ``cells_per_tile``; the samples with as many readings as each
+    other are scored together, reading by reading, ``cells_per_chunk`` distances at once. The squared gaps of a reading and
+    the rows of a grid are their number times the squared gap to their mean, and what they differ from it.
+    """
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches)
+        samples, grids = (table.filter(table[side].is_valid()) for side in ("seen", "known"))
+        if not samples.num_rows or not grids.num_rows:
+            return
+        # In the order of ties.
+        grids = grids.take(pc.sort_indices(grids, [("height", "ascending"), ("gridid", "ascending")], null_placement="at_start"))
+        out = per(samples.select(described), grids.select(["gridid", "height"]))
+        owner, cell, gap, n = _readings(grids["known"])
+        shared, cell = np.unique(cell, return_inverse=True)
+        alike = list(_by_size(*_readings(samples["seen"]), shared))
+        step = max(1, cells_per_tile // len(shared))
+        for first in range(0, grids.num_rows, step):
+            last = min(first + step, grids.num_rows)
+            tile = slice(*np.searchsorted(owner, (first, last)))
+            known = _Known(owner[tile] - first, cell[tile], gap[tile], n[tile], (len(shared), last - first))
+            chunk = max(1, cells_per_chunk // (last - first))
+            for rows, *readings in alike:
+                for start in range(0, len(rows), chunk):
+                    part = slice(start, start + chunk)
+                    distance, allowed = known.distances(*(a[part] for a in readings), max(min_matches, 1))
+                    if distance is None:
+                        continue
+                    if max_distance is not None:
+                        near = distance <= max_distance
+                        allowed = near if allowed is None else allowed & near
+                    if allowed is None or allowed.any():
+                        yield from out.add(rows[part], first, distance, allowed)
+        yield from out.rest()
+
+    return score
+
+
+def _readings(lists: pa.ChunkedArray) -> tuple[np.ndarray, ...]:
+    """The number of the list, cell, gap and count of each reading."""
+    lists = lists.combine_chunks()
+    lists = lists if isinstance(lists, pa.ListArray) else pa.concat_arrays(lists.chunks)
+    owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    return owner, *(lists.flatten().field(k).to_numpy(zero_copy_only=False) for k in ("cell", "gap", "n"))
+
+
+def _by_size(owner, cell, gap, n, shared) -> Iterator[tuple[np.ndarray, ...]]:
+    """Samples with as many readings of shared neighbours: their numbers, and a row per sample of places in ``shared``, gaps and
+    counts. Samples whose counts are all 1 are apart."""
+    at = np.minimum(np.searchsorted(shared, cell), len(shared) - 1)
+    keep = shared[at] == cell
+    owner, at, gap, n = owner[keep], at[keep], gap[keep], n[keep]
+    starts = np.flatnonzero(np.diff(owner, prepend=-1))
+    if not len(starts):
+        return
+    sizes = np.diff(np.append(starts, len(owner)))
+    repeated = np.maximum.reduceat(n, starts) > 1
+    for size, more in np.unique(np.column_stack([sizes, repeated]), axis=0).tolist():
+        chosen = starts[(sizes == size) & (repeated == more)]
+        rows = chosen[:, None] + np.arange(size)
+        yield owner[chosen], at[rows], gap[rows], n[rows]
+
+
+class _Known:
+    """Some grids: count, mean and spread of their rows by neighbour."""
+
+    def __init__(self, owner, cell, gap, n, shape):
+        place = cell * shape[1] + owner
+
+        def summed(values):
+            return np.bincount(place, weights=values, minlength=shape[0] * shape[1])
+
+        self.count = summed(n)
+        self.mean = np.divide(summed(n * gap), self.count, out=np.zeros(len(self.count)), where=self.count > 0)
+        once = bool((self.count == 1).all())
+        self.spread = None
+        if (self.count > 1).any():
+            off = np.where(self.count[place] > 1, gap - self.mean[place], 0.0)
+            self.spread = summed(n * off * off).reshape(shape)
+        self.count, self.mean = None if once else self.count.reshape(shape), self.mean.reshape(shape)
+
+    def distances(self, at, gap, n, least) -> tuple[np.ndarray | None, np.ndarray | None]:
+        """Rounded distance of each sample to each grid, and which have ``least`` pairs of rows; None stands for all.
+
+        The distance is not a number where there are fewer, and None if that holds for all.
+        """
+        shape = len(at), self.mean.shape[1]
+        once = self.count is None and bool((n == 1).all())
+        if once and at.shape[1] < least:
+            return None, None
+        total, off, held, pairs = np.zeros(shape), np.empty(shape), np.empty(shape), None if once else np.zeros(shape)
+        for k in range(at.shape[1]):
+            np.take(self.mean, at[:, k], axis=0, out=off, mode="clip")
+            off -= gap[:, k, None]
+            off *= off
+            if not once:
+                if self.count is None:
+                    held.fill(1.0)
+                else:
+                    np.take(self.count, at[:, k], axis=0, out=held, mode="clip")
+                held *= n[:, k, None]
+                pairs += held
+                off *= held
+                if self.spread is not None:
+                    off += n[:, k, None] * self.spread[at[:, k]]
+            total += off
+        if once:
+            total /= at.shape[1]
+            return np.round(total, DECIMALS, out=total), None
+        allowed = pairs >= least
+        distance = np.divide(total, pairs, out=np.full(shape, np.nan), where=allowed)
+        return np.round(distance, DECIMALS, out=distance), None if allowed.all() else allowed
+
+
+class _PerGrid:
+    """How many samples each grid has, the least of their distances and the sum."""
+
+    SCHEMA = ("gridid string", "height int", "samples long", "nearest double", "total double")
+
+    def __init__(self, samples, grids):
+        self.grids = grids
+        self.samples, self.total = np.zeros(grids.num_rows, dtype=np.int64), np.zeros(grids.num_rows)
+        self.nearest = np.full(grids.num_rows, np.nan)
+
+    def add(self, rows, first, distance, allowed):
+        some = slice(first, first + distance.shape[1])
+        if allowed is None:
+            self.samples[some] += len(rows)
+            self.total[some] += distance.sum(axis=0)
+        else:
+            self.samples[some] += allowed.sum(axis=0)
+            self.total[some] += distance.sum(axis=0, where=allowed)
+            distance = np.where(allowed, distance, np.nan)
+        self.nearest[some] = np.fmin(self.nearest[some], np.fmin.reduce(distance, axis=0))
+        return ()
+
+    def rest(self):
+        met = np.flatnonzero(self.samples)
+        yield from _beside(self.grids.take(met), samples=self.samples[met], nearest=self.nearest[met], total=self.total[met])
+
+
+class _PerSample:
+    """The nearest grid of each sample, the first of those equally near."""
+
+    SCHEMA = ("gridid string", "height int", "distance double")
+
+    def __init__(self, samples, grids):
+        self.samples, self.grids = samples, grids
+        self.best, self.at = np.full(samples.num_rows, np.nan), np.full(samples.num_rows, -1)
+
+    def add(self, rows, first, distance, allowed):
+        value = distance if allowed is None else np.where(allowed, distance, np.inf)
+        place = value.argmin(axis=1)
+        found = np.ones(len(rows), dtype=bool) if allowed is None else allowed.any(axis=1)
+        value = value[np.arange(len(rows)), place]
+        for k in np.flatnonzero(found & ~np.isfinite(value)).tolist():
+            # not a number is further than any
+            can = np.arange(distance.shape[1]) if allowed is None else np.flatnonzero(allowed[k])
+            numbers = can[~np.isnan(distance[k, can])]
+            place[k] = numbers[distance[k, numbers].argmin()] if len(numbers) else can[0]
+            value[k] = distance[k, place[k]]
+        best = self.best[rows]
+        better = found & ((self.at[rows] < 0) | (value < best) | (np.isnan(best) & ~np.isnan(value)))
+        self.best[rows[better]], self.at[rows[better]] = value[better], first + place[better]
+        return ()
+
+    def rest(self):
+        found = np.flatnonzero(self.at >= 0)
+        yield from _beside(self.samples.take(found), self.grids.take(self.at[found]), distance=self.best[found])
+
+
+class _PerPair:
+    """Each sample beside each grid that matches."""
+
+    SCHEMA = _PerSample.SCHEMA
+
+    def __init__(self, samples, grids):
+        self.samples, self.grids = samples, grids
+
+    def add(self, rows, first, distance, allowed):
+        i, j = np.nonzero(np.ones(distance.shape, dtype=bool) if allowed is None else allowed)
+        yield from _beside(self.samples.take(rows[i]), self.grids.take(first + j), distance=distance[i, j])
+
+    def rest(self):
+        return ()
+
+
+def _beside(*tables: pa.Table, **columns) -> Iterator[pa.RecordBatch]:
+    """The columns of all in one table."""
+    found = {name: table[name] for table in tables for name in table.column_names}
+    yield from pa.table(found | columns).to_batches()
+
+
 def block_counts(readings: DataFrame, finger: DataFrame, sample_rows: int, finger_rows: int) -> DataFrame:
     """How many sample and fingerprint blocks each serving cell is cut into, from the folded rows of both sides.
 

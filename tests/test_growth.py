@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,3 +144,83 @@ def test_pairs_per_sample_leave_out_unknown_cells(table):
     rows = L.grid_distances(L.candidate_pairs(mro, finger, per="sample"), min_matches=1).collect()
     assert [(r.mmeues1apid, r.gridid, r.distance) for r in rows] == [("u", "a", 0.0)]
     assert [r.gridid for r in L.locate_by_join(mro, finger).collect()] == ["a"]
+
+
+def _odd_pairs_data(table):
+    """Repeats, unknown cells, grids and users without a name, and signals that are no numbers."""
+    mro_rows, finger_rows = make_data(22)
+    mro_rows += [(0, None, "t", 50, 1, 1.0, n, 40 + (n or 0)) for n in (0, 1, 2, 2, None)] + [(None, "u", "t", 50, 1, 1.0, 0, 40)]
+    finger_rows += [(0, None, 0.0, 0.0, -70.0, n, -80.0, 0) for n in (0, 1, 2)] + [(None, "g", 0.0, 0.0, -70.0, 0, -80.0, 0)]
+    finger_rows += [(0, "nan", 0.0, 0.0, float("nan"), n, -80.0, None) for n in (0, 1, 2, None)]
+    finger_rows += [(9, "far", 0.0, 0.0, float("nan"), n, -80.0, 0) for n in (0, 1)]
+    mro_rows += [(9, "v", "t", 50, 1, 1.0, n, 40) for n in (0, 1)]
+    return table(MRO, *mro_rows), table(schemas.FINGER, *finger_rows)
+
+
+READINGS = pa.list_(pa.struct([("cell", pa.int64()), ("gap", pa.float64()), ("n", pa.float64())]))
+PAIR_OPTIONS = [{}, {"min_matches": 3, "max_distance": 60.0}, {"min_matches": 1}]
+
+
+def _small_blocks(monkeypatch):
+    monkeypatch.setattr(L, "MOST_ROWS_PER_BLOCK", 30)
+    monkeypatch.setattr(L, "ROW_PAIRS_PER_BLOCK", 1500)
+
+
+@pytest.mark.parametrize("options", PAIR_OPTIONS)
+def test_distances_of_blocks_equal_those_per_reading(table, monkeypatch, options):
+    _small_blocks(monkeypatch)
+    mro, finger = _odd_pairs_data(table)
+    columns = ["objectid", "mmeues1apid", "time_stamp", "ltescrsrq", "gridid", "height", "distance"]
+    blocks = L.candidate_pairs(mro, finger, per="block")
+    assert blocks.select("sample_block").distinct().count() > 1 and blocks.select("finger_block").distinct().count() > 1
+    got, want = (sorted(map(str, map(tuple, L.grid_distances(pairs, **options).select(*columns).collect())))
+                 for pairs in (blocks, L.candidate_pairs(mro, finger)))
+    assert got == want and len(want) > 20
+
+
+@pytest.mark.parametrize("options", PAIR_OPTIONS)
+def test_distances_are_summed_per_grid_before_they_leave_a_block(table, monkeypatch, options):
+    _small_blocks(monkeypatch)
+    mro, finger = _odd_pairs_data(table)
+    blocks = L.candidate_pairs(mro, finger, per="block")
+    summed, pairs = L.grid_distances(blocks, per="grid", **options), L.grid_distances(L.candidate_pairs(mro, finger), **options)
+    most = blocks.where("known is not null").count()
+    assert most < pairs.count() or "max_distance" in options
+    assert summed.count() <= most
+    grid = ["gridid", "height"]
+    got = summed.groupBy(*grid).agg(F.sum("samples"), F.min("nearest"), F.round(F.sum("total") / F.sum("samples"), 6))
+    want = pairs.groupBy(*grid).agg(F.count("*"), F.min("distance"), F.round(F.avg("distance"), 6))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
+
+
+@pytest.mark.parametrize("cells_per_tile,cells_per_chunk", [(1, 1), (25, 40), (4_000_000, 1 << 16)])
+def test_tiles_and_chunks_of_a_block_do_not_show(cells_per_tile, cells_per_chunk):
+    draw = random.Random(23)
+
+    def side(known, many):
+        readings = [[{"cell": draw.randrange(5), "gap": draw.randrange(-9, 9) / 10, "n": float(draw.choice([1, 1, 3]))}
+                     for _ in range(draw.randrange(1, 6))] for _ in range(many)]
+        names = [f"{k:02d}" for k in range(many)]
+        other = [None] * many
+        return pa.record_batch({
+            "mmeues1apid": pa.array(other if known else names, pa.string()), "gridid": pa.array(names if known else other, pa.string()),
+            "height": pa.array([draw.choice([0, 5]) if known else None for _ in range(many)], pa.int32()),
+            "seen": pa.array(other if known else readings, READINGS), "known": pa.array(readings if known else other, READINGS)})
+
+    samples, grids = side(False, 30), side(True, 20)
+    want = {}
+    for s in samples.to_pylist():
+        for g in grids.to_pylist():
+            met = [(a["n"] * b["n"], (a["gap"] - b["gap"]) ** 2) for a in s["seen"] for b in g["known"] if a["cell"] == b["cell"]]
+            if sum(n for n, _ in met) >= 2:
+                want[s["mmeues1apid"], g["gridid"]] = (sum(n * v for n, v in met) / sum(n for n, _ in met), g["height"], g["gridid"])
+    nearest = {u: min(((round(d, 9), h, g) for (v, _), (d, h, g) in want.items() if v == u)) for u, _ in want}
+
+    def run(per):
+        scorer = L._block_scorer(["mmeues1apid"], 2, None, per, cells_per_tile, cells_per_chunk)
+        return [r for batch in scorer(iter([samples, grids])) for r in batch.to_pylist()]
+
+    got = {(r["mmeues1apid"], r["gridid"]): (r["distance"], r["height"], r["gridid"]) for r in run(L._PerPair)}
+    assert got.keys() == want.keys() and all(got[k][0] == pytest.approx(want[k][0], abs=1e-9) for k in want)
+    assert {r["mmeues1apid"]: (r["distance"], r["height"], r["gridid"]) for r in run(L._PerSample)} == nearest
+    assert {r["gridid"]: r["samples"] for r in run(L._PerGrid)} == {g: sum(k[1] == g for k in want) for g in {k[1] for k in want}}
