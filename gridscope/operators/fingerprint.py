@@ -24,6 +24,8 @@ INDOOR_SITE_TYPE = 0
 
 #: Tasks that a step with a large result is dealt to.
 TASKS_PER_CORE = 4
+#: Indoor cells of a building that meet a grid as one row.
+CELLS_PER_ROW = 1024
 
 
 def _slots(raw: DataFrame) -> list[int]:
@@ -188,31 +190,45 @@ def hashed_noise(*keys: str) -> Column:
 
 def indoor_fingerprint(sites: DataFrame, cells: DataFrame, cell_building: DataFrame,
                        grid_building: DataFrame, serving: DataFrame,
-                       noise: Column | None = None) -> DataFrame:
+                       noise: Column | None = None, decimals: int | None = None) -> DataFrame:
     """C17: serving rows of indoor cells on every grid of the buildings they cover.
 
     A cell and a grid that share several buildings meet in the least of them, so what a building's cells and grids give,
     which is as large as the result, is neither shuffled nor made distinct. Grids are dealt out one by one, whatever
-    their building.
+    their building. Cells that cover the same buildings meet a grid together, ``CELLS_PER_ROW`` or so in a row, and
+    become rows last; one list of cells follows the other for all grids of a task, which columnar files store in little
+    room. ``decimals`` rounds the coordinates, once for each place.
     """
     served = (
         sites.where(F.col("sitetype") == INDOOR_SITE_TYPE).select(F.col("oid").alias("siteoid"))
         .join(cells.select("siteoid", "objectid"), "siteoid")
         .join(cell_building.select("objectid", "buildingid"), "objectid")
-        .groupBy("objectid").agg(F.collect_set("buildingid").alias("_covers"))
+        .groupBy("objectid").agg(F.sort_array(F.collect_set("buildingid")).alias("_covers"))
     )
-    # One row per cell and building. Written, so that its size is known when the join is planned.
+    # One row per cell and building. Written, as it is read twice.
     served = cut_lineage(served.select("objectid", "_covers", F.explode("_covers").alias("buildingid")), "served")
+    covering = ("buildingid", "_covers")
+    lists = served.groupBy(*covering).agg(F.ceil(F.count(F.lit(1)) / CELLS_PER_ROW).alias("_lists"))
+    together = served.join(lists, list(covering)) \
+        .groupBy(*covering, F.pmod(F.xxhash64("objectid"), "_lists").alias("_list")) \
+        .agg(F.sort_array(F.collect_list("objectid")).alias("_cells"))
+    parts = TASKS_PER_CORE * serving.sparkSession.sparkContext.defaultParallelism
     places = serving.select("gridid", "longitude", "latitude", "height").distinct()
+    if decimals is not None:
+        places = places.withColumns({c: F.round(c, decimals) for c in ("longitude", "latitude")})
     buildings = grid_building.groupBy("gridid").agg(F.collect_set("buildingid").alias("_stands_in"))
-    spark = serving.sparkSession
     grids = (
-        places.join(buildings, "gridid").repartition(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, "gridid", "height")
+        places.join(buildings, "gridid").withColumn("_part", F.pmod(F.xxhash64("gridid", "height"), F.lit(parts)).cast("int"))
         .withColumn("buildingid", F.explode("_stands_in"))
     )
+    # The result is far larger than both sides, so their size must not decide how many tasks there are.
+    copies, grids = (
+        side.repartition(parts, "buildingid", "_part")
+        for side in (together.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))), grids))
     least = F.array_min(F.array_intersect("_covers", "_stands_in"))
     alone = (F.size("_covers") == 1) | (F.size("_stands_in") == 1)
-    covered = grids.join(served, "buildingid").where(alone | (F.col("buildingid") == least))
+    covered = copies.join(grids.hint("merge"), ["buildingid", "_part"]).where(alone | (F.col("buildingid") == least)) \
+        .select(F.explode("_cells").alias("objectid"), "gridid", "longitude", "latitude", "height")
     noise = hashed_noise("objectid", "gridid", "height") if noise is None else noise
     return covered.select("objectid", "gridid", "longitude", "latitude",
                           (noise * INDOOR_SPREAD + INDOOR_RSRP).cast("double").alias("rsrp"), "height")

@@ -224,3 +224,24 @@ def test_tiles_and_chunks_of_a_block_do_not_show(cells_per_tile, cells_per_chunk
     assert got.keys() == want.keys() and all(got[k][0] == pytest.approx(want[k][0], abs=1e-9) for k in want)
     assert {r["mmeues1apid"]: (r["distance"], r["height"], r["gridid"]) for r in run(L._PerSample)} == nearest
     assert {r["gridid"]: r["samples"] for r in run(L._PerGrid)} == {g: sum(k[1] == g for k in want) for g in {k[1] for k in want}}
+
+
+def test_indoor_cells_of_the_same_buildings_meet_a_grid_in_few_rows(table, monkeypatch):
+    """Lists of cells meet the grids, and only the lists are laid out as rows afterwards; coordinates are rounded once a place."""
+    monkeypatch.setattr(fingerprint, "CELLS_PER_ROW", 3)
+    draw = random.Random(31)
+    covers = {c: draw.choice([(1,), (1,), (2,), (1, 2), (2, 3), (1, 2, 3), ()]) for c in range(40)}
+    stands = {f"g{g}": draw.choice([(1,), (2,), (1, 2), (2, 3), (4,), ()]) for g in range(20)}
+    sites, cells = table("oid bigint, sitetype int", (1, 0), (2, 1)), [(1 + (c % 5 == 0), c) for c in covers]
+    df = fingerprint.indoor_fingerprint(
+        sites, table("siteoid bigint, objectid bigint", *cells, *cells),
+        table("objectid bigint, buildingid int", *[(c, b) for c, bs in covers.items() for b in bs]),
+        table("gridid string, buildingid int", *[(g, b) for g, bs in stands.items() for b in bs]),
+        table("gridid string, longitude double, latitude double, height int", *[(g, 117.123456, 32.0, h) for g in stands for h in (0, 5, 5)]),
+        noise=F.lit(0.5), decimals=3)
+    indoor = {c for site, c in cells if site == 1}
+    want = sorted((c, g, 117.123, -80.0, h) for c in indoor for g in stands for h in (0, 5) if set(covers[c]) & set(stands[g]))
+    assert sorted((r.objectid, r.gridid, r.longitude, r.rsrp, r.height) for r in df.collect()) == want and len(want) > 300
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "explode(_cells" in plan[:plan.index("Join")] and "round" not in plan[:plan.index("Join")]
+    assert df.columns == ["objectid", "gridid", "longitude", "latitude", "rsrp", "height"]
